@@ -17,6 +17,9 @@ from ..functions import (
 )
 from .timespan import trailing
 
+# Policy holders up to this many rows (some 100 MB) are copied to every executor.
+BROADCAST_ROWS = 500_000
+
 _PERSON = ("first_name", "last_name", "email")
 _CONTACT = ("phone_number", "address", "city", "state", "zip_code")
 
@@ -26,8 +29,10 @@ def _with_owner(facts: DataFrame, vehicles: DataFrame, policies: DataFrame, cust
     """Left-join vehicle and policy holder to every fact row.
 
     Policies and customers are joined to each other first, so the facts pass two joins
-    instead of three. No hint is given: either side is broadcast only if measured small,
-    else the join shuffles and hot or NULL keys are split at run time.
+    instead of three. The planner cannot see that this join adds no rows and would always
+    shuffle the facts for it, so policies are counted: up to ``BROADCAST_ROWS`` the holders
+    are broadcast. Beyond that, and for vehicles above the session's size limit, the join
+    shuffles and hot or NULL keys are split at run time.
     """
     known = [c for c in person if c in customers.columns]
     missing = [F.lit(None).cast("string").alias(c) for c in person if c not in customers.columns]
@@ -39,6 +44,8 @@ def _with_owner(facts: DataFrame, vehicles: DataFrame, policies: DataFrame, cust
         .join(customers.select("customer_id", *known, *missing), "customer_id", "left")
         .drop("customer_id")
     )
+    if policies.count() <= BROADCAST_ROWS:
+        holders = F.broadcast(holders)
     cars = vehicles.select("vin", "make", "model", F.col("year").alias("vehicle_year"), "color")
     return (
         facts.withColumn("_policy", policy_key(F.col("policy_id")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import struct
-from ..sources.paths import or_empty
+from ..sources.paths import Files, or_empty
 
 FILE_LIST = struct("path STRING, name STRING, bytes BIGINT, date DATE")
 CONSOLIDATED = "consolidated"
@@ -17,24 +17,45 @@ def list_files(spark: SparkSession, base: str, *, pattern: str = "*.parquet",
     """Path, name, size and partition date of every file under ``base``; no file is opened.
 
     ``date_glob`` restricts the listing itself to matching ``date=`` folders, which bounds
-    what one listing holds: large tables are listed a month or a day at a time.
+    what one listing holds: large tables are listed a month or a day at a time. Spark's
+    listing leaves out files of zero length, so a folder with more files than were listed
+    is searched for those.
     """
     place = base if date_glob is None else f"{base}/date={date_glob}"
 
+    def described(paths: DataFrame) -> DataFrame:
+        return paths.select(
+            "path",
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+            "bytes",
+            F.regexp_extract("path", r"/date=([^/]+)/", 1).try_cast("date").alias("date"),
+        )
+
     def read() -> DataFrame:
-        return (
+        return described(
             spark.read.format("binaryFile")
             .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
             .load(place)
-            .select(
-                "path",
-                F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-                F.col("length").alias("bytes"),
-                F.regexp_extract("path", r"/date=([^/]+)/", 1).try_cast("date").alias("date"),
-            )
+            .select("path", F.col("length").alias("bytes"))
         )
 
-    return or_empty(spark, FILE_LIST, read)
+    listed = or_empty(spark, FILE_LIST, read)
+    files = Files(spark, base)
+    folders = files.folders(f"{base}/date={date_glob or '*'}")
+    if not folders and date_glob is None:
+        folders = files.folders(base)
+    inside = F.regexp_extract("path", r"(/date=[^/]+)/", 1)
+    counted = {row["d"]: row["n"] for row in
+               listed.groupBy(inside.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    empty = []
+    for folder in folders:
+        day = "/" + folder.rstrip("/").rsplit("/", 1)[-1]
+        if files.count(folder) > counted.get(day if day.startswith("/date=") else "", 0):
+            empty += files.empty_files(folder, pattern)
+    if not empty:
+        return listed
+    zero = spark.createDataFrame([(path, 0) for path in empty], "path STRING, bytes BIGINT")
+    return listed.unionByName(described(zero))
 
 
 def partition_inventory(files: DataFrame) -> DataFrame:

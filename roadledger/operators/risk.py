@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import customer_name, policy_key
+from ..session import materialized
 from .activity import SPEEDING_MPH, sort_key, top
 from .timespan import trailing
 
@@ -184,22 +185,29 @@ def vehicle_safety(
     marked = F.lit(0)
     for i in range(words):
         marked = marked + F.coalesce(F.bit_count(f"mark_{i}"), F.lit(0))
-    groups = groups.withColumn("_marked", marked)
+    # Written out, because the second scan depends on it: one row per model.
+    groups = materialized(groups.withColumn("_marked", marked), "vehicle-groups")
 
     same_model = [F.col(f"o.{m}").eqNullSafe(F.col(f"g.{m}")) for m in model]
-    open_groups = groups.where(F.col("_marked") <= min_events).select(*model)
-    open_cars = cars.alias("g").join(open_groups.alias("o"), same_model, "left_semi")
-    settled = (
-        events.where(F.col("event_ts").isNotNull()).select("vin", "event_ts")
-        .join(open_cars, "vin")
-        .select(*model, "event_ts").distinct()
-        .groupBy(*model).agg(F.count(F.lit(1)).alias("_exact"))
-    )
+    undecided = groups.where(F.col("_marked") <= min_events).select(*model)
+    if undecided.isEmpty():
+        counted = groups
+    else:
+        open_cars = cars.alias("g").join(undecided.alias("o"), same_model, "left_semi")
+        settled = (
+            events.where(F.col("event_ts").isNotNull()).select("vin", "event_ts")
+            .join(open_cars, "vin")
+            .select(*model, "event_ts").distinct()
+            .groupBy(*model).agg(F.count(F.lit(1)).alias("_exact"))
+            .where(F.col("_exact") > min_events)
+        )
+        proven = F.col("_marked") > min_events
+        counted = groups.where(proven).unionByName(
+            groups.where(~proven).alias("g").join(settled.alias("o"), same_model, "left_semi"))
     report = (
-        groups.alias("g").join(settled.alias("o"), same_model, "left")
-        .where((F.col("_marked") > min_events) | (F.col("_exact") > min_events))
+        counted
         .select(
-            *[F.col(f"g.{m}") for m in model], "vehicle_count", "avg_g_force", "total_crashes",
+            *model, "vehicle_count", "avg_g_force", "total_crashes",
             F.try_divide(F.col("total_crashes").cast("double"), F.col("vehicle_count"))
             .alias("crashes_per_vehicle"),
             "avg_speed", "avg_device_health", "avg_gps_accuracy",

@@ -123,7 +123,7 @@ def _compact_group(spark, base, day, group, target_mb, schema):
         rows = _merge(spark, paths, staging, f"telemetry-{day}-{CONSOLIDATED}-{run}", target_mb, schema)
     except Exception as error:  # any failure before publishing leaves the sources as they are
         files.delete(staging, recursive=True)
-        return (when, "FAILED", len(paths), size, 0, None, str(error).split("\n")[0][:300])
+        return (when, "FAILED", len(paths), size, 0, None, " ".join(str(error).split())[:500])
     written = [name for name in files.names(staging) if name.endswith(".parquet")]
     marker = f"{base}/{_WORK}/{run}.json"
     _write_text(spark, marker, json.dumps({"staging": staging, "folder": f"{base}/date={day}",

@@ -31,7 +31,7 @@ from ..operators import (
     timespan,
     training,
 )
-from ..session import shared_folder
+from ..session import materialized, shared_folder
 from ..sources import (
     append_scores,
     crash_reports,
@@ -105,10 +105,11 @@ class Tables:
 
     def history(self) -> DataFrame:
         """Weighted scores at two times and model scores one second after the second."""
+        latest = materialized(self.training(), "training")
         runs = (
             ("a", scoring.score_weighted(self.training(EARLIER)), EARLIER, fx.weighted_notes()),
-            ("b", scoring.score_weighted(self.training()), AS_OF, fx.weighted_notes()),
-            ("c", scoring.score_logistic(self.training(), KNOWN_COEFFICIENTS),
+            ("b", scoring.score_weighted(latest), AS_OF, fx.weighted_notes()),
+            ("c", scoring.score_logistic(latest, KNOWN_COEFFICIENTS),
              "2024-01-31 00:00:01", fx.logistic_notes()),
         )
         out = None
@@ -396,14 +397,14 @@ def on_clause_restriction(t):
 @query
 def new_data_gate(t):
     """New events and drivers since the features were refreshed in the middle of the month."""
-    known = t.features(EARLIER)
+    known = materialized(t.features(EARLIER), "features")
     return training.new_data(t.telemetry, known).agg(
         F.count(F.lit(1)).alias("new_records"), F.count_distinct("driver_id").alias("drivers"))
 
 
 @query
 def drivers_with_new_data(t):
-    return training.drivers_with_new_data(t.telemetry, t.features(EARLIER))
+    return training.drivers_with_new_data(t.telemetry, materialized(t.features(EARLIER), "features"))
 
 
 @query
@@ -605,7 +606,7 @@ def score_weighted(t):
 
 @query
 def train_accident_model(t):
-    return model.train_accident_model(t.training())
+    return model.train_accident_model(materialized(t.training(), "training"))
 
 
 @query
@@ -630,7 +631,7 @@ def model_confusion(t):
 
 @query
 def model_evaluate(t):
-    return model.model_evaluate(t.predicted())
+    return model.model_evaluate(materialized(t.predicted(), "predicted"))
 
 
 @query
@@ -705,7 +706,7 @@ def reference_tables(t):
 def append_score_history(t):
     """Two runs appended, the second one twice: the history holds each once."""
     path = f"{shared_folder(t.spark, 'history')}/safe_driver_scores"
-    scored = scoring.score_weighted(t.training())
+    scored = materialized(scoring.score_weighted(t.training()), "scored")
     for run, at in (("a", EARLIER), ("b", AS_OF), ("b", AS_OF)):
         append_scores(scored, path, run, fx.instant(at), fx.weighted_notes())
     return read_scores(t.spark, path).select("score_id", "driver_id", "score", "calculation_date", "notes")

@@ -18,6 +18,11 @@ def struct(columns: str) -> StructType:
     return out
 
 
+def with_columns(schema: StructType, columns: str) -> StructType:
+    """A new schema with columns added; ``StructType.add`` would change ``schema`` itself."""
+    return StructType([*schema.fields, *struct(columns).fields])
+
+
 _SENSORS = """
   gps_latitude DOUBLE, gps_longitude DOUBLE, gps_altitude DOUBLE, gps_speed DOUBLE,
   gps_bearing DOUBLE, gps_accuracy DOUBLE, gps_satellite_count INT, gps_fix_time INT,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written for. Joins carry no broadcast hints: a side is
 # broadcast only when its measured size is under these limits, and joined by shuffle
@@ -47,3 +47,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="run-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to a shared folder and read back.
+
+    For small results that several plans start from: the work before them is not repeated,
+    survives the loss of executors, and the planner knows the table's real size.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

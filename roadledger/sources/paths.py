@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -48,6 +49,23 @@ class Files:
     def delete(self, name: str, recursive: bool = False) -> bool:
         return self._fs.delete(self.path(name), recursive)
 
+    def folders(self, glob: str) -> list[str]:
+        """Paths matching ``glob``; for levels with few entries, such as dates."""
+        return [s.getPath().toString() for s in self._fs.globStatus(self.path(glob)) or []]
+
+    def count(self, folder: str) -> int:
+        """Files anywhere under ``folder``, in one call to the file system."""
+        return self._fs.getContentSummary(self.path(folder)).getFileCount()
+
+    def empty_files(self, folder: str, pattern: str) -> list[str]:
+        """Files of zero length under ``folder`` whose name matches ``pattern``."""
+        found, entries = [], self._fs.listFiles(self.path(folder), True)
+        while entries.hasNext():
+            entry = entries.next()
+            if entry.getLen() == 0 and fnmatch.fnmatch(entry.getPath().getName(), pattern):
+                found.append(entry.getPath().toString())
+        return found
+
     def names(self, folder: str) -> list[str]:
         """Names directly under ``folder``; for folders whose size is bounded."""
         return [s.getPath().getName() for s in self._fs.listStatus(self.path(folder))]

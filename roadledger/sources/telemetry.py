@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions import event_ts
-from ..schemas import TELEMETRY, TELEMETRY_FILE, TELEMETRY_FILE_V1
+from ..schemas import TELEMETRY, TELEMETRY_FILE, TELEMETRY_FILE_V1, with_columns
 from .paths import or_empty
 
 TELEMETRY_FILES = "telemetry-*.parquet"
@@ -38,7 +38,7 @@ def telemetry(
     ``skip_corrupt`` unreadable files and files of at most ``tiny_bytes`` are left out;
     :func:`skipped_files` reports them. A missing path gives no rows.
     """
-    schema = StructType(TELEMETRY_FILE.fields).add("date", DateType())
+    schema = with_columns(TELEMETRY_FILE, "date DATE")
 
     def read() -> DataFrame:
         df = _reader(spark, schema, base, pattern, skip_corrupt).parquet(f"{base}/date={date_glob}")
@@ -63,7 +63,7 @@ def telemetry_v1(
     so both values are taken from each file's path by the given patterns. A predicate on
     either is then one on file metadata, which drops files before they are opened.
     """
-    out = StructType(TELEMETRY.fields).add("driver_id_partition", LongType())
+    out = with_columns(TELEMETRY, "driver_id_partition BIGINT")
 
     def read() -> DataFrame:
         df = _reader(spark, TELEMETRY_FILE_V1, base, pattern, False) \

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..functions import event_ts, weighted_notes
 from ..operators.activity import high_gforce_events
 from ..operators.scoring import score_weighted
 from ..operators.training import behaviour_counts, features_of, training_data
-from ..schemas import TELEMETRY, TELEMETRY_FILE, struct
+from ..schemas import TELEMETRY, TELEMETRY_FILE, struct, with_columns
 from ..sources import append_scores
 from ..sources.telemetry import TELEMETRY_FILES
 
@@ -27,7 +26,7 @@ FEATURE_WINDOWS = struct("""
 def telemetry_stream(spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES,
                      max_files: int | None = None) -> DataFrame:
     """Telemetry files under ``base/date=*`` as a stream of canonical rows."""
-    schema = StructType(TELEMETRY_FILE.fields).add("date", "date")
+    schema = with_columns(TELEMETRY_FILE, "date DATE")
     reader = spark.readStream.schema(schema).option("basePath", base).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
