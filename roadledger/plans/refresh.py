@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import instant, logistic_notes, weighted_notes
 from ..operators import scoring, training
+from ..operators.mergeable import combine_features
 from ..operators.model import train_accident_model
-from ..sources import append_scores, load_core, overwrite_atomically, read_scores, recover_swap, telemetry
+from ..sources import append_scores, load_core, overwrite_atomically, read_scores, recover_swap
 from ..sources.paths import Files
 from .compaction import remove_tiny
+from .days import update_days
 
 
 @dataclass(frozen=True)
@@ -60,24 +62,26 @@ class RefreshResult:
 def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force: bool = False) -> RefreshResult:
     """Recalculate all driver scores if there is new telemetry, or if forced.
 
-    Features and training data are written as tables and read back, so later steps start
-    from one row per driver whatever happens to the executors that scanned the telemetry.
+    Only date folders that changed since the last run are read; see :mod:`.days`. Features
+    and training data are written as tables and read back, so later steps start from one
+    row per driver whatever happens to the executors that did the work before.
     ``as_of`` also names the run: repeating a run replaces what it wrote.
     """
     if config.delete_tiny_files:
         remove_tiny(spark, config.telemetry, dry_run=False)
-    events = telemetry(spark, config.telemetry, skip_corrupt=True)
+    days = update_days(spark, config.telemetry, config.home)
     accidents = load_core(spark, config.core, config.core_format)["accidents"]
 
     for table in (config.features, config.training, config.model):
         recover_swap(spark, table)
     if not force and Files(spark, config.home).exists(config.features):
         known = spark.read.parquet(config.features)
-        if training.drivers_with_new_data(events, known).isEmpty():
+        latest = days.select("driver_id", F.col("latest_event").alias("event_ts"))
+        if training.drivers_with_new_data(latest, known).isEmpty():
             return RefreshResult(status="NO_NEW_DATA")
 
     run_id = as_of.strftime("%Y%m%dT%H%M%S")
-    features = overwrite_atomically(training.driver_features(events, as_of), config.features)
+    features = overwrite_atomically(combine_features(days, as_of), config.features)
     examples = overwrite_atomically(training.training_data(features, accidents), config.training)
     append_scores(scoring.score_weighted(examples), config.history, f"{run_id}-weighted",
                   instant(as_of), weighted_notes())

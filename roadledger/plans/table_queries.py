@@ -24,6 +24,7 @@ from ..operators import (
     crashes,
     enrich,
     inventory,
+    mergeable,
     model,
     quality,
     risk,
@@ -42,7 +43,7 @@ from ..sources import (
     write_telemetry,
 )
 from ..sources.sample_tables import sample
-from ..streaming import combine_features, latest_windows, stream_features, stream_high_gforce
+from ..streaming import latest_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
 from . import compaction
 from .refresh import RefreshConfig, refresh
@@ -776,7 +777,7 @@ def _windows(t: Tables, out: str) -> str:
 def stream_driver_features(t):
     """Features combined from streamed windows; equal to the batch features."""
     windows = _windows(t, shared_folder(t.spark, "features"))
-    return combine_features(latest_windows(read_windows(t.spark, windows)), AS_OF)
+    return mergeable.combine_features(latest_windows(read_windows(t.spark, windows)), AS_OF)
 
 
 @query

@@ -1,7 +1,6 @@
 """Structured Streaming jobs that reuse the batch operators."""
 
 from .jobs import (
-    combine_features,
     feature_windows,
     latest_windows,
     stream_features,
@@ -9,5 +8,5 @@ from .jobs import (
     stream_scores,
 )
 
-__all__ = ["combine_features", "feature_windows", "latest_windows", "stream_features",
+__all__ = ["feature_windows", "latest_windows", "stream_features",
            "stream_high_gforce", "stream_scores"]

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions import event_ts, weighted_notes
 from ..operators.activity import high_gforce_events
+from ..operators.mergeable import PARTIAL, combine_features, partial_features
 from ..operators.scoring import score_weighted
-from ..operators.training import behaviour_counts, features_of, training_data
+from ..operators.training import training_data
 from ..schemas import TELEMETRY, TELEMETRY_FILE, struct, with_columns
 from ..sources import append_scores
 from ..sources.telemetry import TELEMETRY_FILES
 
-FEATURE_WINDOWS = struct("""
-  driver_id BIGINT, window_start TIMESTAMP, window_end TIMESTAMP,
-  total_events BIGINT, violations BIGINT, harsh_driving_events BIGINT, phone_events BIGINT,
-  excessive_speeding_count BIGINT,
-  g_n BIGINT, g_mean DOUBLE, speed_n BIGINT, speed_mean DOUBLE, speed_m2 DOUBLE, speed_max DOUBLE,
-  batch_id BIGINT
-""")
+_WINDOW = ("driver_id", "window_start", "window_end")
+FEATURE_WINDOWS = StructType([
+    *struct("driver_id BIGINT, window_start TIMESTAMP, window_end TIMESTAMP").fields,
+    *PARTIAL.fields,
+    *struct("batch_id BIGINT").fields,
+])
 
 
 def telemetry_stream(spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES,
@@ -52,25 +53,12 @@ def stream_high_gforce(tel: DataFrame, sink: str, checkpoint: str, every: str |
 
 
 def feature_windows(tel: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Mergeable features per driver and tumbling window.
-
-    Deviation is kept as count, mean and sum of squared differences from the mean, which
-    merge without the cancellation that sums of squares suffer.
-    """
-    grouped = tel.where(F.col("driver_id").isNotNull()).groupBy(
-        F.col("driver_id"), F.window("event_ts", window).alias("w")
-    ).agg(
-        *behaviour_counts(),
-        F.count("g_force").alias("g_n"), F.avg("g_force").alias("g_mean"),
-        F.count("speed_mph").alias("speed_n"), F.avg("speed_mph").alias("speed_mean"),
-        F.var_pop("speed_mph").alias("speed_var"), F.max("speed_mph").alias("speed_max"),
-    )
-    return grouped.select(
+    """Mergeable features per driver and tumbling window."""
+    partials = partial_features(
+        tel.where(F.col("driver_id").isNotNull()), F.window("event_ts", window).alias("w"))
+    return partials.select(
         F.col("driver_id").cast("bigint").alias("driver_id"),
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "total_events", "violations", "harsh_driving_events", "phone_events",
-        "excessive_speeding_count", "g_n", "g_mean", "speed_n", "speed_mean",
-        (F.col("speed_var") * F.col("speed_n")).alias("speed_m2"), "speed_max",
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *PARTIAL.names,
     )
 
 
@@ -97,42 +85,14 @@ def stream_features(tel: DataFrame, sink: str, checkpoint: str, every: str | Non
 
 def latest_windows(versions: DataFrame) -> DataFrame:
     """The newest version of every driver's window."""
-    key = ["driver_id", "window_start", "window_end"]
-    values = [c for c in FEATURE_WINDOWS.names if c not in (*key, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
-    return versions.groupBy(*key).agg(newest).select(*key, "v.*")
+    newest = F.max_by(F.struct(*PARTIAL.names), "batch_id").alias("v")
+    return versions.groupBy(*_WINDOW).agg(newest).select(*_WINDOW, "v.*")
 
 
 def read_windows(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.schema(FEATURE_WINDOWS).option("basePath", sink).parquet(f"{sink}/batch_id=*")
 
 
-def combine_features(windows: DataFrame, as_of) -> DataFrame:
-    """Driver features from feature windows, equal to those of the batch operator.
-
-    The overall mean of each driver is found first, then squared differences are moved to
-    it; windows were reduced per task before both shuffles.
-    """
-    whole = windows.groupBy("driver_id").agg(
-        *[F.sum(c).alias(c) for c in ("total_events", "violations", "harsh_driving_events",
-                                      "phone_events", "excessive_speeding_count")],
-        F.try_divide(F.sum(F.col("g_mean") * F.col("g_n")), F.sum("g_n")).alias("g_mean"),
-        F.sum("speed_n").alias("n"),
-        F.try_divide(F.sum(F.col("speed_mean") * F.col("speed_n")), F.sum("speed_n")).alias("speed_mean"),
-        F.max("speed_max").alias("speed_max"),
-    )
-    apart = F.col("w.speed_mean") - F.col("m.speed_mean")
-    spread = (
-        windows.alias("w").join(whole.select("driver_id", "speed_mean").alias("m"), "driver_id")
-        .groupBy("driver_id")
-        .agg(F.sum(F.col("speed_m2") + F.col("speed_n") * apart * apart).alias("m2"))
-    )
-    deviation = F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1)))
-    return features_of(
-        whole.join(spread, "driver_id").withColumn("speed_deviation", deviation), as_of
-    )
-
-
 def stream_scores(spark: SparkSession, windows: str, accidents: DataFrame, history: str,
                   checkpoint: str, every: str | None = "30 minutes", name: str = "stream") -> StreamingQuery:
     """Rescore the drivers whose feature windows changed and append to the history.

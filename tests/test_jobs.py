@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from roadledger import __main__ as cli
 from roadledger.functions import instant
 from roadledger.operators import scoring, training
+from roadledger.operators.mergeable import combine_features
 from roadledger.plans.catalog import register_views
 from roadledger.plans.refresh import RefreshConfig, refresh, retrain_only
 from roadledger.plans.reports import standard_reports
@@ -16,7 +17,6 @@ from roadledger.plans.table_queries import Tables
 from roadledger.sources import load_core, read_scores, telemetry, write_telemetry
 from roadledger.sources.paths import Files
 from roadledger.streaming import (
-    combine_features,
     feature_windows,
     latest_windows,
     stream_features,
@@ -222,3 +222,35 @@ def test_command_line(spark, world, tmp_path, capsys):
                                     "--name", "data_freshness", "--as-of", "2024-01-31")[1]
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["compact", "--base", base, "--date", "15.1.2024"])
+
+
+def test_only_changed_days_are_read_again(spark, world, tmp_path):
+    import shutil
+
+    from roadledger.plans import compaction
+    from roadledger.plans.days import update_days
+
+    _, tables = world
+    base, home = str(tmp_path / "t"), str(tmp_path / "home")
+
+    def days_written():
+        update_days(spark, base, home)
+        seen = {p.name: max(f.stat().st_mtime_ns for f in p.iterdir()) for p in (tmp_path / "home/driver_days").glob("date=*")}
+        return seen
+
+    def agrees():
+        got = combine_features(update_days(spark, base, home), WEDNESDAY)
+        return rows(got) == rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
+
+    for i in range(5):
+        write_part(tables, base, f"date < '2024-01-06' and event_id % 5 = {i}")
+    first = days_written()
+    assert len(first) == 5 and agrees() and days_written() == first
+    write_part(tables, base, "date = '2024-01-08'")
+    write_part(tables, base, "date = '2024-01-03' and event_id % 2 = 0")
+    second = days_written()
+    assert {d for d in second if second[d] != first.get(d)} == {"date=2024-01-03", "date=2024-01-08"} and agrees()
+    compaction.compact(spark, base, ["2024-01-02"], dry_run=False)
+    shutil.rmtree(f"{base}/date=2024-01-01")
+    third = days_written()
+    assert "date=2024-01-01" not in third and third["date=2024-01-02"] != second["date=2024-01-02"] and agrees()
