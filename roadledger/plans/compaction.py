@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date as Date
 from datetime import timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,6 +33,8 @@ from ..sources.telemetry import TELEMETRY_FILES
 from ..sources.writers import TELEMETRY_WRITE_OPTIONS
 
 FILES_PER_JOB = 10_000
+DATES_PER_LISTING = 31
+PARALLEL_DATES = 4
 TINY_BYTES = 1024
 MIN_FILES = 5
 TARGET_MB = 128
@@ -64,39 +68,53 @@ def compact(
     schema: StructType | None = None,
     delete_tiny: bool = False,
     files_per_job: int = FILES_PER_JOB,
+    parallel_dates: int = PARALLEL_DATES,
 ) -> DataFrame:
     """Merge the small files of each date; one result row per date and group.
 
     A dry run lists and sizes only. Dates with fewer than ``min_files`` source files are
     skipped. A date that fails is reported as FAILED with its sources untouched, and the
     other dates go on. Files that arrive meanwhile are not part of the listing and stay.
-    ``schema`` fixes the column types when writers of a date disagree about them.
+    ``schema`` fixes the column types when writers of a date disagree about them. Several
+    dates are merged at a time, so that a small date does not leave the cluster idle.
     """
     results = []
-    for day in dates:
-        if delete_tiny and not dry_run:
-            remove_tiny(spark, base, tiny_bytes=TINY_BYTES, dry_run=False, date_glob=day)
-        listed = sources_of(list_files(spark, base, pattern=TELEMETRY_FILES, date_glob=day))
-        sizes = listed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()
-        if sizes["n"] < min_files:
-            results.append((Date.fromisoformat(day), "SKIPPED", sizes["n"], sizes["b"], 0, None,
-                            f"fewer than {min_files} files"))
-            continue
-        if dry_run:
-            results.append((Date.fromisoformat(day), "PLANNED", sizes["n"], sizes["b"],
-                            -(-sizes["b"] // (target_mb << 20)), None, "dry run"))
-            continue
-        for group in _groups(spark, base, listed, sizes["n"], files_per_job):
-            results.append(_compact_group(spark, base, day, group, target_mb, schema))
+    with ThreadPoolExecutor(parallel_dates) as pool:
+        for start in range(0, len(dates), DATES_PER_LISTING):
+            batch = dates[start:start + DATES_PER_LISTING]
+            glob = "{" + ",".join(batch) + "}"
+            if delete_tiny and not dry_run:
+                remove_tiny(spark, base, tiny_bytes=TINY_BYTES, dry_run=False, date_glob=glob)
+            listed = sources_of(list_files(spark, base, pattern=TELEMETRY_FILES, date_glob=glob))
+            sizes = {str(r["date"]): (r["files"], r["bytes"]) for r in partition_inventory(listed).collect()}
+            eligible = [d for d in batch if sizes.get(d, (0, 0))[0] >= min_files]
+            paths: dict[str, list] = {}
+            if not dry_run and sum(sizes[d][0] for d in eligible) <= files_per_job:
+                for row in listed.select("date", "path", "bytes").collect():
+                    paths.setdefault(str(row["date"]), []).append(row)
+
+            def handle(day: str, sizes=sizes, eligible=eligible, paths=paths) -> list[tuple]:
+                n, size = sizes.get(day, (0, 0))
+                when = Date.fromisoformat(day)
+                if day not in eligible:
+                    return [(when, "SKIPPED", n, size, 0, None, f"fewer than {min_files} files")]
+                if dry_run:
+                    return [(when, "PLANNED", n, size, -(-size // (target_mb << 20)), None, "dry run")]
+                groups = [paths[day]] if paths else _groups(spark, base, day, n, files_per_job)
+                return [_compact_group(spark, base, day, group, target_mb, schema) for group in groups]
+
+            for rows in pool.map(inheritable_thread_target(spark)(handle), batch):
+                results += rows
     return spark.createDataFrame(results, RESULT)
 
 
-def _groups(spark, base: str, listed: DataFrame, n: int, per_job: int):
-    """Source files in lists of at most about ``per_job``, one list at a time on the driver.
+def _groups(spark, base: str, day: str, n: int, per_job: int):
+    """The day's source files in lists of about ``per_job``, one list at a time on the driver.
 
     With several lists the listing is first written to a table: compacting one list
     deletes files that a fresh evaluation of the next one would look for.
     """
+    listed = sources_of(list_files(spark, base, pattern=TELEMETRY_FILES, date_glob=day))
     parts = -(-n // per_job)
     if parts == 1:
         yield listed.select("path", "bytes").collect()

@@ -2,7 +2,10 @@ import os
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -15,6 +18,7 @@ def spark(tmp_path_factory):
         "tests", master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
         spark__ui__showConsoleProgress="false",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -40,8 +44,9 @@ def telemetry_of(spark):
         names = sorted({k for r in full for k in r})
         types = {f.name: f.dataType.simpleString() for f in TELEMETRY}
         types["event_ts"] = types["date"] = "string"
-        ddl = ", ".join(f"{n} {types[n]}" for n in names)
-        df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in full], ddl)
+        # An Arrow table becomes a local relation, which needs no Python worker.
+        schema = to_arrow_schema(StructType.fromDDL(", ".join(f"{n} {types[n]}" for n in names)))
+        df = spark.createDataFrame(pa.Table.from_pylist([{n: r.get(n) for n in names} for r in full], schema))
         if "event_ts" in names and "date" not in names:
             df = df.withColumn("date", F.col("event_ts").cast("timestamp").cast("date"))
         return df.select(*[

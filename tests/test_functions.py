@@ -6,16 +6,21 @@ from pyspark.sql import functions as F
 from roadledger import functions as fx
 
 
+def row(spark, **columns):
+    """One row of constants, each given as ``(value, type)``; needs no Python worker."""
+    return spark.range(1).select(*[F.lit(v).cast(t).alias(n) for n, (v, t) in columns.items()])
+
+
 def one(spark, value, column):
-    return spark.createDataFrame([(value,)], "v string").select(column).first()[0]
+    return row(spark, v=(value, "string")).select(column).collect()[0][0]
 
 
 @pytest.mark.parametrize("g, label", [
     (1.99, "NORMAL"), (2.0, "MODERATE"), (3.99, "MODERATE"), (4.0, "HIGH"), (6.0, "SEVERE"),
     (7.99, "SEVERE"), (8.0, "CRITICAL"), (None, "NORMAL")])
 def test_severity_edges(spark, g, label):
-    df = spark.createDataFrame([(g,)], "g double")
-    assert df.select(fx.severity_level(F.col("g"))).first()[0] == label
+    df = row(spark, g=(g, "double"))
+    assert df.select(fx.severity_level(F.col("g"))).collect()[0][0] == label
 
 
 @pytest.mark.parametrize("score, label", [
@@ -30,8 +35,8 @@ def test_risk_category_edges(spark, score, label):
     (True, 69.0, "STANDARD_RESPONSE", 3), (False, 95.0, "STANDARD_RESPONSE", 3), (False, 50.0, "STANDARD_RESPONSE", 3),
     (True, 49.9, "LOW_PRIORITY", 4), (None, 95.0, "STANDARD_RESPONSE", 3), (True, None, "LOW_PRIORITY", 4)])
 def test_response_priority(spark, emergency, risk, label, rank):
-    df = spark.createDataFrame([(emergency, risk)], "emergency_recommended boolean, risk_score double")
-    got = df.select(fx.response_priority(), fx.response_priority(as_rank=True)).first()
+    df = row(spark, emergency_recommended=(emergency, "boolean"), risk_score=(risk, "double"))
+    (got,) = df.select(fx.response_priority(), fx.response_priority(as_rank=True)).collect()
     assert tuple(got) == (label, rank)
 
 
@@ -65,8 +70,8 @@ def test_event_time_encodings(spark, raw, expected):
 @pytest.mark.parametrize("part, whole, percent", [
     (1, 3, "33.33"), (2, 3, "66.67"), (1, 8, "12.50"), (1, 800, "0.13"), (0, 5, "0.00"), (5, 5, "100.00")])
 def test_percent_is_half_up(spark, part, whole, percent):
-    df = spark.createDataFrame([(part, whole)], "p bigint, w bigint")
-    assert df.select(fx.as_percent(F.col("p"), F.col("w"))).first()[0] == Decimal(percent)
+    df = row(spark, p=(part, "bigint"), w=(whole, "bigint"))
+    assert df.select(fx.as_percent(F.col("p"), F.col("w"))).collect()[0][0] == Decimal(percent)
 
 
 def test_rounding_ignores_binary_fractions(spark):

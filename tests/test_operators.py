@@ -36,10 +36,9 @@ def test_null_speed_counts_as_compliant(telemetry_of):
 def weighted_of(spark, **changes):
     base = {"driver_id": 1, "total_events": 100, "speed_compliance_rate": "100", "avg_g_force": "1.0",
             "harsh_driving_events": 0, "phone_usage_rate": "0", "speed_variance": "6", "accident_count": 0} | changes
-    df = spark.createDataFrame([tuple(base.values())], ", ".join(f"{k} string" for k in base))
     types = {"speed_compliance_rate": "decimal(5,2)", "avg_g_force": "decimal(18,4)", "phone_usage_rate": "decimal(5,2)",
              "speed_variance": "decimal(18,2)"}
-    return df.select(*[F.col(c).cast(types.get(c, "bigint")).alias(c) for c in df.columns])
+    return spark.range(1).select(*[F.lit(v).cast(types.get(c, "bigint")).alias(c) for c, v in base.items()])
 
 
 @pytest.mark.parametrize("changes, score", [

@@ -30,6 +30,9 @@ def test_every_query_has_its_sql():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert bad not in plan
     if name in ROWS_ONLY:
         assert df.count() > 0
         return
