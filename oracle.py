@@ -599,6 +599,17 @@ ORACLE: dict[str, str] = {
     "scan_telemetry_v2": build(
         "telemetry", """policy_id:n vehicle_id:n vin driver_id:n event_ts:t date speed_mph:d g_force:d
   device_battery_level:d device_signal_strength:n device_screen_on""", "select * from telemetry"),
+    "scan_telemetry_v1": build(
+        "telemetry", "policy_id:n vin driver_id:n event_ts:t date speed_mph:d device_battery_level:d",
+        "select * from telemetry"),
+    "scan_skip_corrupt": build("telemetry", "date events:n",
+                               "select date, count(*) as events from telemetry group by date"),
+    "flatten_json": build(
+        "telemetry", """policy_id:n vin driver_id:n event_ts:t date speed_mph:d g_force:d gps_latitude:d
+  accelerometer_z:d gyroscope_y:d device_battery_level:d device_signal_strength:n device_charging""",
+        "select * from telemetry"),
+    "bind_by_position": build("crash", "report_id crash_type crash_timestamp:t risk_score:d emergency_recommended",
+                              "select * from crash"),
     "scan_crash_reports": build(
         "crash", """report_id policy_id vin crash_timestamp:t crash_type risk_score:d emergency_recommended
   severity_level report_date""", "select * from crash"),
@@ -612,6 +623,13 @@ ORACLE: dict[str, str] = {
     "swap_table": build("features", _FEATURE_COLUMNS, "select * from features"),
     "compact_partition": build("telemetry", "date events:n max_g_force:d", """
   select date, count(*) as events, max(g_force) as max_g_force from telemetry group by date"""),
+    "compact_range_dry_run": build("telemetry", "date status", """
+  select distinct date, 'PLANNED' as status from telemetry
+  where date between DATE '2024-01-13' and DATE '2024-01-15'"""),
+    "inventory_snapshot": build("telemetry", "date diff:n change", """
+  select distinct date, 0 as diff, 'kept' as change from telemetry
+  union all select DATE '2024-02-01', 1, 'added'"""),
+    "remove_tiny_files": build("telemetry", "date tiny:n", "select distinct date, 0 as tiny from telemetry"),
     "refresh_scores": build("weighted", "driver_id:n score:x risk_category notes", f"""
   select driver_id, safe_driver_score as score, risk_category, {WEIGHTED_NOTES} as notes from weighted"""),
     "stream_high_gforce_events": build("telemetry", "policy_id:n vin event_ts:t g_force:d severity_level", _HIGH_G),

@@ -28,7 +28,7 @@ from ..operators.inventory import (
 )
 from ..operators.quality import fingerprint_columns
 from ..schemas import struct
-from ..sources.paths import Files
+from ..sources.paths import Files, write_text
 from ..sources.telemetry import TELEMETRY_FILES
 from ..sources.writers import TELEMETRY_WRITE_OPTIONS
 
@@ -77,7 +77,12 @@ def compact(
     other dates go on. Files that arrive meanwhile are not part of the listing and stay.
     ``schema`` fixes the column types when writers of a date disagree about them. Several
     dates are merged at a time, so that a small date does not leave the cluster idle.
+
+    One compaction may run on a folder at a time. It first finishes any replacement that an
+    earlier one left half-done, since merging its remaining sources again would double rows.
     """
+    if not dry_run:
+        recover(spark, base)
     results = []
     with ThreadPoolExecutor(parallel_dates) as pool:
         for start in range(0, len(dates), DATES_PER_LISTING):
@@ -144,7 +149,7 @@ def _compact_group(spark, base, day, group, target_mb, schema):
         return (when, "FAILED", len(paths), size, 0, None, " ".join(str(error).split())[:500])
     written = [name for name in files.names(staging) if name.endswith(".parquet")]
     marker = f"{base}/{_WORK}/{run}.json"
-    _write_text(spark, marker, json.dumps({"staging": staging, "folder": f"{base}/date={day}",
+    write_text(spark, marker, json.dumps({"staging": staging, "folder": f"{base}/date={day}",
                                            "written": written, "sources": paths}))
     _publish(files, marker, staging, f"{base}/date={day}", written, paths)
     return (when, "COMPACTED", len(paths), size, len(written), rows, None)
@@ -217,21 +222,6 @@ def recover(spark: SparkSession, base: str) -> int:
     return len(markers)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that it appears complete or not at all."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    partial = jvm.org.apache.hadoop.fs.Path(path + ".part")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(partial, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    if not fs.rename(partial, target):
-        raise OSError(f"could not write {path}")
-
-
 def succeeded(result: DataFrame) -> bool:
     """Whether no date failed."""
     return result.where(F.col("status") == "FAILED").isEmpty()

@@ -45,20 +45,22 @@ def update_days(spark: SparkSession, base: str, home: str) -> DataFrame:
     """
     state, days = f"{home}/folder_state", f"{home}/driver_days"
     recover_swap(spark, state)
-    now = folder_state(spark, base)
-    then = or_empty(spark, STATE, lambda: spark.read.schema(STATE).parquet(state))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in STATE.names]
-    # One row per date on both sides, so the lists are bounded by the calendar.
-    changed = [r["date"] for r in now.alias("a").join(then.alias("b"), same, "left_anti").collect()]
-    gone = [r["date"] for r in then.join(now, "date", "left_anti").select("date").collect()]
+    # One row per date, so both lists are bounded by the calendar. The listing is taken
+    # once: a file that arrives later makes its day differ at the next run.
+    now = {tuple(r) for r in folder_state(spark, base).collect()}
+    then = {tuple(r) for r in or_empty(
+        spark, STATE, lambda: spark.read.schema(STATE).parquet(state)).collect()}
+    changed = sorted({day for day, *_ in now - then})
+    gone = sorted({day for day, *_ in then} - {day for day, *_ in now})
 
     files = Files(spark, home)
     for day in changed + gone:
         files.delete(f"{days}/date={day}", recursive=True)
     if changed:
         fresh = telemetry(spark, base, skip_corrupt=True).where(F.col("date").isin(changed))
-        partial_features(fresh, "date").select(*DAYS.names) \
+        # Rebalanced by date: one file per small day, several for a large one.
+        partial_features(fresh, "date").select(*DAYS.names).hint("rebalance", "date") \
             .write.mode("append").partitionBy("date").parquet(days)
     if changed or gone:
-        overwrite_atomically(now, state)
+        overwrite_atomically(spark.createDataFrame(sorted(now), STATE), state)
     return or_empty(spark, DAYS, lambda: spark.read.schema(DAYS).parquet(days))

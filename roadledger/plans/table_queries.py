@@ -32,16 +32,21 @@ from ..operators import (
     timespan,
     training,
 )
+from ..schemas import TELEMETRY_FILE_V1
 from ..session import materialized, shared_folder
 from ..sources import (
     append_scores,
     crash_reports,
     load_core,
     overwrite_atomically,
+    parse_telemetry,
     read_scores,
     telemetry,
+    telemetry_v1,
     write_telemetry,
 )
+from ..sources import bind_by_position as source_bind
+from ..sources.paths import write_text
 from ..sources.sample_tables import sample
 from ..streaming import latest_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
@@ -83,7 +88,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return sample(self.spark, self.folder, name)
+        """The mapped table ``name``, kept on this object once it was asked for."""
+        df = sample(self.spark, self.folder, name)
+        setattr(self, name, df)
+        return df
 
     @property
     def owners(self):
@@ -148,7 +156,7 @@ class Tables:
         )
         if many:
             # At least six files a date, so that compaction has something to merge.
-            stored = stored.repartition(max(6, stored.rdd.getNumPartitions()))
+            stored = stored.repartition(max(6, self.spark.sparkContext.defaultParallelism))
         write_telemetry(stored, base)
         return base
 
@@ -685,6 +693,56 @@ def scan_telemetry_v2(t):
                       "g_force", "device_battery_level", "device_signal_strength", "device_screen_on")
 
 
+@query
+def scan_telemetry_v1(t):
+    base = f"{shared_folder(t.spark, 'legacy')}/telemetry-data"
+    stored = [c for c in TELEMETRY_FILE_V1.names if c in t.telemetry.columns or c == "event_time"]
+    t.telemetry.withColumn("event_time", F.col("event_ts")).select(*stored, "date").write.partitionBy("date") \
+        .option("mapreduce.output.basename", "telemetry").parquet(base)
+    return telemetry_v1(t.spark, base).select("policy_id", "vin", "driver_id", "event_ts", "date", "speed_mph",
+                                              "device_battery_level")
+
+
+@query
+def scan_skip_corrupt(t):
+    """A scan that passes over a file that is not Parquet and one that is too small."""
+    base = t.write_files()
+    for name, size in (("bad", 4000), ("tiny", 10)):
+        write_text(t.spark, f"{base}/date={PROBE_DAY}/telemetry-{name}.parquet", "x" * size)
+    return telemetry(t.spark, base, skip_corrupt=True).groupBy("date").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def flatten_json(t):
+    """Telemetry through nested JSON events and back."""
+    def group(**fields: str):
+        return F.struct(*[F.col(column).alias(name) for name, column in fields.items()])
+
+    event = F.struct(
+        "policy_id", "vin", F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
+        "speed_mph", "speed_limit_mph", "g_force",
+        F.concat(F.lit("DRIVER-"), F.col("driver_id").cast("string")).alias("driver_id"),
+        F.struct(
+            group(latitude="gps_latitude", longitude="gps_longitude", accuracy="gps_accuracy").alias("gps"),
+            group(x="accelerometer_x", y="accelerometer_y", z="accelerometer_z").alias("accelerometer"),
+            group(pitch="gyroscope_x", roll="gyroscope_y", yaw="gyroscope_z").alias("gyroscope"),
+            group(battery_level="device_battery_level", signal_strength="device_signal_strength",
+                  screen_on="device_screen_on", charging="device_charging").alias("device"),
+        ).alias("sensors"),
+    )
+    return parse_telemetry(t.telemetry.select(F.to_json(event).alias("value"))).select(
+        "policy_id", "vin", "driver_id", "event_ts", "date", "speed_mph", "g_force", "gps_latitude",
+        "accelerometer_z", "gyroscope_y", "device_battery_level", "device_signal_strength", "device_charging")
+
+
+@query
+def bind_by_position(t):
+    """Crash columns given other names, bound back by their position."""
+    names = t.crash.columns
+    return source_bind(t.crash.toDF(*[f"c{i}" for i in range(len(names))]), t.crash.schema).select(
+        "report_id", "crash_type", "crash_timestamp", "risk_score", "emergency_recommended")
+
+
 @query
 def scan_crash_reports(t):
     base = f"{shared_folder(t.spark, 'crashes')}/accident-reports"
@@ -745,6 +803,35 @@ def compact_partition(t):
         F.count(F.lit(1)).alias("events"), F.max("g_force").alias("max_g_force"))
 
 
+@query
+def compact_range_dry_run(t):
+    """What a compaction of a day and the two before it would touch."""
+    base = t.write_files(many=True)
+    return compaction.compact(t.spark, base, compaction.dates_back(PROBE_DAY, 2)).select("date", "status")
+
+
+@query
+def inventory_snapshot(t):
+    """File counts by date against the saved snapshot, after one more day arrived."""
+    folder = shared_folder(t.spark, "snapshot")
+    base = t.write_files()
+    compaction.snapshot(t.spark, base, f"{folder}/saved")
+    write_text(t.spark, f"{base}/date=2024-02-01/telemetry-new.parquet", "x" * 2000)
+    current, previous = compaction.snapshot(t.spark, base, f"{folder}/saved")
+    return inventory.inventory_diff(current, previous).select("date", "diff", "change")
+
+
+@query
+def remove_tiny_files(t):
+    """Dates that still hold tiny files after they were removed from two of them."""
+    base = t.write_files()
+    for day in ("2024-01-10", PROBE_DAY):
+        write_text(t.spark, f"{base}/date={day}/telemetry-tiny.parquet", "x")
+    compaction.remove_tiny(t.spark, base, dry_run=False)
+    files = inventory.list_files(t.spark, base)
+    return files.groupBy("date").agg(F.count_if(F.col("bytes") <= compaction.TINY_BYTES).alias("tiny"))
+
+
 @query
 def refresh_scores(t):
     """Current scores after a refresh over files."""

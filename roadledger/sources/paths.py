@@ -69,3 +69,18 @@ class Files:
     def names(self, folder: str) -> list[str]:
         """Names directly under ``folder``; for folders whose size is bounded."""
         return [s.getPath().getName() for s in self._fs.listStatus(self.path(folder))]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it appears complete or not at all."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    partial = jvm.org.apache.hadoop.fs.Path(path + ".part")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(partial, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(partial, target):
+        raise OSError(f"could not write {path}")

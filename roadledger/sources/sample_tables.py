@@ -89,8 +89,18 @@ _SOURCE = {"telemetry": "events", "crash": "events", "accidents": "events", "cla
            "policies": "orders", "customers": "customer", "vehicles": "part", "drivers": "customer"}
 
 
+# Declared so that reading a table needs no job to infer its schema.
+_SCHEMA = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
+
+
 def sample(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the mapped tables over the Parquet files in ``folder``."""
     source = _SOURCE[name]
-    files = spark.read.parquet(f"{folder}/{source}.parquet")
+    files = spark.read.schema(_SCHEMA[source]).parquet(f"{folder}/{source}.parquet")
     return spark.sql(SAMPLE_SQL[name], **{source: files})

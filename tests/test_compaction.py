@@ -137,7 +137,10 @@ def test_recovery_finishes_an_interrupted_replacement(spark, tmp_path, monkeypat
     with pytest.raises(KeyboardInterrupt):
         compaction.compact(spark, base, [DAY], dry_run=False)
     monkeypatch.setattr(compaction, "_publish", publish)
-    assert compaction.recover(spark, base) == 1
+    if published:  # the next compaction finishes the work before its own
+        compaction.compact(spark, base, [DAY], dry_run=False)
+    else:
+        assert compaction.recover(spark, base) == 1
     assert len(parquet_names(base)) == 1
     assert rows(telemetry(spark, base)) == before
     assert compaction.recover(spark, base) == 0
