@@ -45,3 +45,37 @@ def test_current_scores_cut_rows_before_the_shuffle(spark, tmp_path):
 
 def test_facts_pass_no_shuffle_when_owners_are_small(spark):
     assert "Exchange hashpartitioning" not in plan_of(entry.queries()["telemetry_enriched"](spark, FOLDER))
+
+
+def test_hot_and_null_keys_are_split_when_owners_are_too_large_to_broadcast(spark, monkeypatch):
+    """A third of the facts on one vehicle and policy, a third without any."""
+    from roadledger.operators import enrich
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    monkeypatch.setattr(enrich, "BROADCAST_ROWS", -1)
+    which = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id") % 1000)
+    facts = spark.range(0, 300_000, 1, 8).select("id", which.alias("policy_id"), F.concat(F.lit("V"), which).alias("vin"))
+    vehicles = spark.range(1000).select(
+        F.concat(F.lit("V"), "id").alias("vin"), F.lit("M").alias("make"), F.lit("X").alias("model"),
+        F.lit(2020).alias("year"), F.lit("red").alias("color"))
+    policies = spark.range(1000).select(
+        F.col("id").alias("policy_id"), F.col("id").alias("customer_id"), F.lit("P").alias("policy_number"),
+        F.lit("ACTIVE").alias("status"))
+    customers = spark.range(1000).select(
+        F.col("id").alias("customer_id"), *[F.lit("x").alias(c) for c in ("first_name", "last_name", "email")])
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = enrich._with_owner(facts, vehicles, policies, customers, ("first_name", "last_name", "email")) \
+            .groupBy("make", "policy_status").count()
+        assert sorted((tuple(r) for r in out.collect()), key=repr) == [("M", "ACTIVE", 200_000), (None, None, 100_000)]
+        assert plan_of(out).count("SortMergeJoin(skew=true)") >= 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
