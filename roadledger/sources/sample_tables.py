@@ -61,7 +61,7 @@ select event_id as accident_id, user_id as policy_id,
 from {{events}} where event_type = 'error' and {_K} >= 97""",
     "policies": """
 select o_orderkey as policy_id, o_custkey as customer_id,
-  concat('IMC-', cast(o_orderkey as string)) as policy_number,
+  concat('POL-', cast(o_orderkey as string)) as policy_number,
   cast(o_orderdate as date) as start_date,
   case o_orderstatus when 'O' then 'ACTIVE' when 'F' then 'EXPIRED' else 'CANCELLED' end as status
 from {orders}""",
