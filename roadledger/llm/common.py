@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
@@ -70,5 +70,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", purpose: str = "com
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
 
 
-def sha256_hex(column: Column) -> Column:
-    return F.sha2(column.cast("binary"), 256)

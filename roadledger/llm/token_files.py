@@ -69,12 +69,23 @@ def write_tokens(
      .parquet(path))
 
 
+def _with_starts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """start: the ids of all documents before, from the sums of the parts before (one row each)."""
+    counts = spark.read.schema(SCHEMA).parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
+    return rows.join(offsets(counts, "part", "tokens"), "part").withColumn(
+        "start", F.col("tokens_before") + F.col("start_in_part"))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Rows (doc_id, ids, n_tokens, start): start counts the ids of all documents before it."""
     files = spark.read.schema(SCHEMA).parquet(path)
-    before = offsets(files.groupBy("part").agg(F.sum("n_tokens").alias("tokens")), "part", "tokens")
-    return files.join(before, "part").select(
-        "doc_id", "ids", "n_tokens", (F.col("tokens_before") + F.col("start_in_part")).alias("start"))
+    return _with_starts(spark, path, files).select("doc_id", "ids", "n_tokens", "start")
+
+
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_tokens``, with ids_crc32 for the ids; the ids themselves are not shuffled."""
+    sums = with_checksum(spark.read.schema(SCHEMA).parquet(path))
+    return _with_starts(spark, path, sums).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def with_checksum(rows: DataFrame, ids: str = "ids") -> DataFrame:
@@ -98,5 +109,4 @@ def token_rows(docs: DataFrame, tokenizer: str, *, spaces: bool = False) -> Data
     """Writes the files of ``docs`` to the shared folder and reads them back."""
     path = shared_folder(docs.sparkSession, "token-files")
     write_tokens(docs, path, tokenizer, spaces=spaces)
-    return with_checksum(read_tokens(docs.sparkSession, path)).select(
-        "doc_id", "start", "n_tokens", "ids_crc32")
+    return read_checksums(docs.sparkSession, path)
