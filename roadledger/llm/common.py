@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from ..session import materialized
 
 # Rows a Python batch gets from the JVM at once: texts may be long.
 BATCH_ROWS = 512
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Python gets texts in batches bounded in rows (and, by Spark's setting, in bytes)."""
+    """Python gets texts in batches bounded in rows (and, by Spark's setting, in bytes).
+
+    Workers look for this package where the driver has it, too: there it is in local mode and
+    where the library is installed on every machine.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -210,12 +210,24 @@ class Pseudonyms:
     def _phone(self, m):
         area, exchange, line = m[1] or m[2], m[3], m[4]
         if area[0] in "01" or exchange[0] in "01":
-            return None
-        a, e, n = self._mixed("phone", [(int(area) - 200, 800), (int(exchange) - 200, 800), (int(line), 10000)])
+            # No number of the plan; told apart from other digits only by its form.
+            if m[1] is None and not m[0].startswith("+"):
+                return None
+            a, e, n = self._unplanned(int(area), int(exchange), int(line))
+        else:
+            a, e, n = self._mixed("phone", [(int(area) - 200, 800), (int(exchange) - 200, 800), (int(line), 10000)])
+            a, e = a + 200, e + 200
         head, between = m[0][:m.start(1 if m[1] else 2) - m.start()], m[0]
         base = m.start()
-        return (head + f"{a + 200}" + between[m.end(1 if m[1] else 2) - base:m.start(3) - base]
-                + f"{e + 200}" + between[m.end(3) - base:m.start(4) - base] + f"{n:04d}")
+        return (head + f"{a:03d}" + between[m.end(1 if m[1] else 2) - base:m.start(3) - base]
+                + f"{e:03d}" + between[m.end(3) - base:m.start(4) - base] + f"{n:04d}")
+
+    def _unplanned(self, area: int, exchange: int, line: int) -> tuple[int, int, int]:
+        """Ten digits that are no plan number, among themselves: moved until they are none again."""
+        while True:
+            area, exchange, line = self._mixed("ten digits", [(area, 1000), (exchange, 1000), (line, 10000)])
+            if area < 200 or exchange < 200:
+                return area, exchange, line
 
     def _foreign_phone(self, m):
         n = sum(c.isdigit() for c in m[0])
