@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, small_batches, written
@@ -111,54 +111,96 @@ def node_of(s: np.ndarray) -> int | None:
     return int(_scatter(np.add.reduce(_scatter(s ^ _MIX[1]), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+# What a row of the sketch is.
+DOCUMENT, KEY, LINK = 0, 1, 2
+# Keys a task gathers before it links their holders and passes each key on once.
+HELD_KEYS = 1 << 20
+
+
 def _sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, keys): node is a hash of the whole set, null for an empty one."""
+    """One pass over the texts. DOCUMENT rows: doc_id, n_shingles, node (a hash of the whole set,
+    null for an empty one). KEY rows: a fragment key and a node that has it. LINK rows: two nodes
+    that share a key. A task links the holders of a key among the texts it has at hand and passes
+    on one of them, so a key that very many texts share leaves each task a few times only.
+    """
+    names = ["kind", "doc_id", "n_shingles", "node", "other"]
+
+    def rows(kind, *columns):
+        n = max(len(c) for c in columns if c is not None)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(n, kind, np.int8)),
+            *[pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns]], names=names)
+
+    def passed_on(keys, nodes):
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        order = np.argsort(key, kind="stable")
+        key, node = key[order].view(np.int64), node[order]
+        again = np.flatnonzero(key[1:] == key[:-1]) + 1
+        first = np.ones(len(key), dtype=bool)
+        first[again] = False
+        again = again[node[again] != node[again - 1]]
+        if len(again):
+            pairs = np.unique(np.stack([node[again], node[again - 1]], axis=1), axis=0)
+            yield rows(LINK, None, None, pairs[:, 0], pairs[:, 1])
+        # By node, so that the column of nodes is stored in runs.
+        key, node = key[first], node[first]
+        order = np.argsort(node, kind="stable")
+        yield rows(KEY, None, None, node[order], key[order])
+
     def measure(batches):
+        keys, nodes, held = [], [], 0
         for batch in batches:
-            sizes, nodes, keys, ends = [], [], [], [0]
+            sizes, found = [], []
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text)
-                k = fragment_keys(s)
+                node, k = node_of(s), fragment_keys(s)
                 sizes.append(len(s))
-                nodes.append(node_of(s))
-                keys.append(k)
-                ends.append(ends[-1] + len(k))
-            flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                names=["doc_id", "n_shingles", "node", "keys"])
-
-    return docs.mapInArrow(measure, "doc_id long, n_shingles long, node long, keys array<long>")
+                found.append(node)
+                if len(k):
+                    keys.append(k)
+                    nodes.append(np.full(len(k), node, np.int64))
+                    held += len(k)
+            if sizes:
+                yield rows(DOCUMENT, batch.column("doc_id"), sizes, found, None)
+            if held > HELD_KEYS:
+                yield from passed_on(keys, nodes)
+                keys, nodes, held = [], [], 0
+        if held:
+            yield from passed_on(keys, nodes)
+
+    return docs.mapInArrow(measure, "kind byte, doc_id long, n_shingles long, node long, other long")
 
 
 def _families(sketch: DataFrame) -> DataFrame:
     """(node, family): different sets joined by a chain of shared fragment keys.
 
-    A key's smallest node stands for it, so a key that very many sets share gives one row for
-    each of them. Both steps pre-aggregate; the join splits hot keys at run time.
+    The holders of a key that different tasks passed on are linked in a chain, one shuffle of
+    narrow rows, nothing collected.
     """
-    keys = sketch.where("node is not null").select("node", F.explode("keys").alias("key"))
-    least = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = least.where("low < high").select("key", "low")
-    links = keys.join(shared, "key").where("node <> low").select("node", "low").distinct()
-    found = components(links, "node", "low", "families")
+    keys = sketch.where(F.col("kind") == KEY).select("node", F.col("other").alias("key"))
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
+    chained = keys.select("node", before.alias("other")).where("node <> other")
+    links = chained.unionAll(sketch.where(F.col("kind") == LINK).select("node", "other"))
+    found = components(links, "node", "other", "families")
     return found.select("node", F.col("component").alias("family"))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(node, family, data): the shingle sets of documents that stand for a node."""
+def _sets(texts: DataFrame) -> DataFrame:
+    """(node, family, blocks, data): the shingle sets of documents that stand for a node."""
+    names = ["node", "family", "blocks", "data"]
+
     def measure(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "family", "text")))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "family", "blocks", "text")))
             # A repeated doc_id also brings texts of other sets.
-            kept = [(node, family, s.tobytes()) for node, family, text in rows
+            kept = [(node, family, blocks, s.tobytes()) for node, family, blocks, text in rows
                     if node_of(s := shingle_set(text)) == node]
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    zip(*kept), (pa.int64(), pa.int64(), pa.binary()))], names=["node", "family", "data"])
+                    zip(*kept), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=names)
 
-    return docs.select("node", "family", "text").mapInArrow(measure, "node long, family long, data binary")
+    return texts.select("node", "family", "blocks", "text").mapInArrow(
+        measure, "node long, family long, blocks int, data binary")
 
 
 def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
@@ -200,8 +242,7 @@ def _links(sets: DataFrame) -> DataFrame:
     A family is dealt into blocks by hash; each pair of blocks is one unit of work, so a large
     family is spread over tasks. Small families are compared many at a time.
     """
-    size = sets.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = sets.join(size, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = dealt.select("node", "family", "data", "block",
                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "node", "family", "data", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
@@ -250,19 +291,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = written(_sketch(source), "sketch")
+    seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", "n_shingles", "node")
     families = written(_families(sketch), "families")
-    # One document for each node that has company; an id of its own whatever doc_id is.
-    stands = sketch.where("doc_id is not null").join(families, "node").groupBy("node", "family").agg(
-        F.min("doc_id").alias("doc_id"))
-    texts = source.join(stands, "doc_id").select("node", "family", "text")
-    sets = written(_sets(texts), "sets")
+    # One document for each node that has company.
+    blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    stands = seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
+        "node", "family").agg(F.min("doc_id").alias("doc_id")).join(blocks, "family")
+    sets = _sets(source.join(stands, "doc_id"))
     linked = components(_links(sets), "node", "other", "links").withColumnRenamed("component", "root")
-    lowest = sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
+    lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     nodes = rooted.join(named, "root").select("node", "component_id")
-    return sketch.where("node is not null").join(nodes, "node").select("doc_id", "n_shingles", "component_id") \
-        .unionAll(sketch.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return seen.where("node is not null").join(nodes, "node").select("doc_id", "n_shingles", "component_id") \
+        .unionAll(seen.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
