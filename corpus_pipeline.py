@@ -1,13 +1,61 @@
-"""The corpus pipeline: stages of training-data operators over ``documents``."""
+"""The corpus pipeline: quality, near duplicates, contamination, personal data, packing.
+
+Each stage works on all rows the one before it kept, has its input as ``docs`` and writes nothing
+that a later stage needs. Deciding stages drop documents whole; the personal-data stage changes
+texts; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadledger.llm import decontaminate, ngram_join, packing, pseudonyms, quality, token_files
+from roadledger.llm.common import table, written
+from roadledger.llm.queries import SAMPLE_KEY
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return quality.keep_good(spark, docs, sf_dir)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return ngram_join.keep_one(spark, docs, sf_dir)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate.keep_clean(spark, docs, sf_dir)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by pseudonyms."""
+    hidden = pseudonyms.pseudonymize(docs, SAMPLE_KEY)
+    return hidden.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return token_files.with_checksum(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("pii", personal_data_stage),
+    ("packing", packing_stage),
+]
 
-STAGES = []
-# Stages that score, tokenize and permute have no SQL.
+# No SQL: the stages fit a model, permute under a key and tokenize.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)
