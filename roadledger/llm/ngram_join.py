@@ -68,38 +68,49 @@ def _bounds() -> np.ndarray:
 _BANDS = _bounds()
 
 
-def _fragments(band: int) -> int:
-    """One more than two linked sets of the band can differ in: |A xor B| <= 1 - s of the union,
-    and the union is at most (|A| + |B|) / (1 + s)."""
+# A fragment in which a set has fewer elements gives no key: texts that only share a passage
+# could agree in it by chance.
+LEAST = 4
+
+
+def _fragments(band: int) -> tuple[int, int]:
+    """(fragments, of them spare): more than two linked sets of the band can differ in.
+
+    |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s). Spare ones, a sixth
+    and one more, may have fewer than ``LEAST`` elements.
+    """
     largest = int(_BANDS[band + 1]) - 1
-    return (DEN - NUM) * 2 * largest // (DEN + NUM) + 1
+    differ = (DEN - NUM) * 2 * largest // (DEN + NUM)
+    spare = -(-differ // 6) + 1 if differ else 0
+    return differ + 1 + spare, spare
 
 
 def fragment_keys(s: np.ndarray) -> np.ndarray:
     """Hashes of the set's share of each fragment of the global order, with band and fragment.
 
-    A band cuts the order into more fragments than two linked sets of it differ in elements, so
-    linked sets agree wholly in at least one. Unless both have nothing there, they share its key.
-    A set with an empty fragment therefore adds the keys of a prefix filter: its first elements
-    in the global order, one more than a linked set can lack. Two linked sets that have empty
-    fragments share one of those. Where no linked sets can differ at all there are no keys.
+    Linked sets agree wholly in all fragments but those they differ in, so in more fragments
+    than are spare. As long as one of the two has no more fragments with too few elements than
+    are spare, they share a key. A set with more of them adds the keys of a prefix filter: its
+    first elements in the global order, one more than a linked set can lack; two such sets share
+    one of those. Where no linked sets can differ at all there are no keys.
     """
-    n, out, gaps = len(s), [], False
+    n, out, short = len(s), [], False
     if not n:
         return np.empty(0, np.uint64)
     band = int(np.searchsorted(_BANDS, n, side="right")) - 1
     bands = [band] + [band + 1] * (n * DEN >= int(_BANDS[band + 1]) * NUM)
     for b in bands:
-        cuts = _fragments(b)
+        cuts, spare = _fragments(b)
         if cuts < 2:
             continue
         at = ((s >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         sums = np.add.reduceat(_scatter(s ^ _MIX[0]), starts)
         size = np.diff(np.concatenate([starts, [n]])).astype(np.uint64)
-        out.append(_scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b))))
-        gaps |= len(starts) < cuts
-    if gaps:
+        keys = _scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b)))[size >= LEAST]
+        out.append(keys)
+        short |= cuts - len(keys) > spare
+    if short:
         out.append(_scatter(s[:n - -(-n * NUM // DEN) + 1] ^ _MIX[2]))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
