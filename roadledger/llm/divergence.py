@@ -24,7 +24,7 @@ MIN_WORDS = 50  # fewer fail the base rules
 MIN_CHARS = 200  # a character histogram of fewer points decides nothing
 MIN_COMMON_WORDS = 200  # nor does a word histogram of fewer words
 CHAR_LIMIT = 0.30  # Jensen-Shannon distances (base 2, 0 to 1) above which a text is rejected
-WORD_LIMIT = 0.45
+WORD_LIMIT = 0.33
 
 SCHEMA = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, "
           "n_dup_lines long, n_repeat_words long, chars array<long>, common array<long>")
