@@ -70,18 +70,18 @@ _BANDS = _bounds()
 
 # A fragment in which a set has fewer elements gives no key: texts that only share a passage
 # could agree in it by chance.
-LEAST = 4
+LEAST = 3
 
 
 def _fragments(band: int) -> tuple[int, int]:
     """(fragments, of them spare): more than two linked sets of the band can differ in.
 
-    |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s). Spare ones, a sixth
+    |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s). Spare ones, a seventh
     and one more, may have fewer than ``LEAST`` elements.
     """
     largest = int(_BANDS[band + 1]) - 1
     differ = (DEN - NUM) * 2 * largest // (DEN + NUM)
-    spare = -(-differ // 6) + 1 if differ else 0
+    spare = -(-differ // 7) + 1 if differ else 0
     return differ + 1 + spare, spare
 
 
@@ -90,11 +90,11 @@ def fragment_keys(s: np.ndarray) -> np.ndarray:
 
     Linked sets agree wholly in all fragments but those they differ in, so in more fragments
     than are spare. As long as one of the two has no more fragments with too few elements than
-    are spare, they share a key. A set with more of them adds the keys of a prefix filter: its
-    first elements in the global order, one more than a linked set can lack; two such sets share
-    one of those. Where no linked sets can differ at all there are no keys.
+    are spare, they share a key. A set with more of them adds the band's keys of a prefix filter:
+    its first elements in the global order, one more than a linked set can lack; two such sets
+    share one of those. Where no linked sets can differ at all there are no keys.
     """
-    n, out, short = len(s), [], False
+    n, out = len(s), []
     if not n:
         return np.empty(0, np.uint64)
     band = int(np.searchsorted(_BANDS, n, side="right")) - 1
@@ -109,9 +109,8 @@ def fragment_keys(s: np.ndarray) -> np.ndarray:
         size = np.diff(np.concatenate([starts, [n]])).astype(np.uint64)
         keys = _scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b)))[size >= LEAST]
         out.append(keys)
-        short |= cuts - len(keys) > spare
-    if short:
-        out.append(_scatter(s[:n - -(-n * NUM // DEN) + 1] ^ _MIX[2]))
+        if cuts - len(keys) > spare:
+            out.append(_scatter((s[:n - -(-n * NUM // DEN) + 1] ^ _MIX[2]) + np.uint64(b)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -196,22 +195,49 @@ def _families(sketch: DataFrame) -> DataFrame:
     return found.select("node", F.col("component").alias("family"))
 
 
+def _bands_of(n):
+    """The size bands, own and perhaps next, in which a set of ``n`` elements meets its partners."""
+    bounds = F.array(*[F.lit(int(x)) for x in _BANDS])
+    band = F.size(F.filter(bounds, lambda x: x <= n)) - 1
+    reaches = n * DEN >= F.get(bounds, band + 1) * NUM
+    return F.when(reaches, F.array(band, band + 1)).otherwise(F.array(band))
+
+
+def _units(stands: DataFrame) -> DataFrame:
+    """(node, units): the comparisons a node takes part in, as (band, x, y).
+
+    A family is dealt by size band, and a band with many sets into blocks by hash; each pair of
+    blocks is one comparison, so a large family is spread over tasks and sets of sizes that
+    cannot be linked do not meet.
+    """
+    banded = stands.select("node", "family", F.explode(_bands_of(F.col("n_shingles"))).alias("band"))
+    size = banded.groupBy("family", "band").agg(
+        F.count(F.lit(1)).alias("m"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("m > 1")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
+        F.col("band").alias("band"), F.least(block, other).alias("x"), F.greatest(block, other).alias("y")))
+    return banded.join(size, ["family", "band"]).groupBy("node").agg(
+        F.flatten(F.collect_list(pairs)).alias("units"))
+
+
 def _sets(texts: DataFrame) -> DataFrame:
-    """(node, family, blocks, data): the shingle sets of documents that stand for a node."""
-    names = ["node", "family", "blocks", "data"]
+    """(family, band, x, y, node, data): the shingle sets of documents that stand for a node, once
+    for each comparison."""
+    names = ["family", "band", "x", "y", "node", "data"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
     def measure(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "family", "blocks", "text")))
-            # A repeated doc_id also brings texts of other sets.
-            kept = [(node, family, blocks, s.tobytes()) for node, family, blocks, text in rows
-                    if node_of(s := shingle_set(text)) == node]
-            if kept:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    zip(*kept), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=names)
+            out = []
+            for node, family, units, text in zip(*(batch.column(c).to_pylist() for c in ("node", "family", "units", "text"))):
+                s = shingle_set(text)
+                if node_of(s) == node:  # a repeated doc_id also brings texts of other sets
+                    out += [(family, u["band"], u["x"], u["y"], node, s.tobytes()) for u in units]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return texts.select("node", "family", "blocks", "text").mapInArrow(
-        measure, "node long, family long, blocks int, data binary")
+    return texts.select("node", "family", "units", "text").mapInArrow(
+        measure, "family long, band int, x int, y int, node long, data binary")
 
 
 def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
@@ -248,15 +274,9 @@ def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _links(sets: DataFrame) -> DataFrame:
-    """(node, other) for linked sets of a family: a few per set, enough to connect them.
-
-    A family is dealt into blocks by hash; each pair of blocks is one unit of work, so a large
-    family is spread over tasks. Small families are compared many at a time.
-    """
-    dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pairs = dealt.select("node", "family", "data", "block",
-                         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "node", "family", "data", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    """(node, other) for linked sets: a few per set, enough to connect them. A task compares one
+    unit after the other, as they come sorted."""
+    unit_of = ("family", "band", "x", "y")
 
     def compare(batches):
         unit, nodes, sets = None, [], []
@@ -271,10 +291,10 @@ def _links(sets: DataFrame) -> DataFrame:
 
         for batch in batches:
             found = []
-            for family, x, y, node, data in zip(*(batch.column(c).to_pylist() for c in ("family", "x", "y", "node", "data"))):
-                if (family, x, y) != unit:
+            for *now, node, data in zip(*(batch.column(c).to_pylist() for c in (*unit_of, "node", "data"))):
+                if now != unit:
                     found += done()
-                    unit, nodes, sets = (family, x, y), [], []
+                    unit, nodes, sets = now, [], []
                 nodes.append(node)
                 sets.append(np.frombuffer(data, np.uint64))
             if found:
@@ -282,8 +302,7 @@ def _links(sets: DataFrame) -> DataFrame:
         if last := done():
             yield out(last)
 
-    return pairs.repartition("family", "x", "y").sortWithinPartitions("family", "x", "y").mapInArrow(
-        compare, "node long, other long")
+    return sets.repartition(*unit_of).sortWithinPartitions(*unit_of).mapInArrow(compare, "node long, other long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -305,10 +324,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", "n_shingles", "node")
     families = written(_families(sketch), "families")
     # One document for each node that has company.
-    blocks = families.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    stands = seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
-        "node", "family").agg(F.min("doc_id").alias("doc_id")).join(blocks, "family")
-    sets = _sets(source.join(stands, "doc_id"))
+    stands = written(seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
+        "node", "family", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "stands")
+    sets = _sets(source.join(stands.join(_units(stands), "node"), "doc_id"))
     linked = components(_links(sets), "node", "other", "links").withColumnRenamed("component", "root")
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
