@@ -92,7 +92,7 @@ def sentences(text: Column) -> Column:
     """Normalised sentences: ASCII letters and digits in lower case with single spaces."""
     cut = F.regexp_replace(F.lower(text), BREAK, MARK)
     plain = F.regexp_replace(cut, f"[^a-z0-9{MARK}]+", " ")
-    return F.transform(F.split(plain, MARK), F.trim)
+    return F.transform(F.split(plain, MARK), lambda s: F.trim(s))
 
 
 def sentence_ids(text: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, chat_trees, decontaminate, divergence, licences, ngram_join, packing, pseudonyms, quality, token_files
+from . import bwt_dedup, chat_trees, decontaminate, divergence, licences, ngram_join, packing, pseudonyms, quality, sql, token_files
 from .common import table
 
 # The key of the sample tables; users pass their own.
@@ -85,3 +85,6 @@ def op10_licences(spark, sf_dir):
 def op7_bwt_dedup(spark, sf_dir):
     left = bwt_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE |= {"op1_chat_trees": sql.OP1, "op4_decontamination": sql.OP4, "op10_licences": sql.OP10}
