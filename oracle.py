@@ -132,10 +132,11 @@ _STEPS = {
   p.status as policy_status, u.first_name, u.last_name, u.email from crash c
   left join vehicles v on c.vin = v.vin left join policies p on cast(c.policy_id as bigint) = p.policy_id
   left join customers u on p.customer_id = u.customer_id)""",
-    "now_files": """now_files as (select date, count(*) as files from telemetry
-  where date >= DATE '2024-01-04' group by date)""",
-    "then_files": f"""then_files as (select date, count(*) as files from telemetry
-  where event_ts < {EARLIER} group by date)""",
+    "now_files": """now_files as (select date, count(*) as files from telemetry group by date)""",
+    "kept": "kept as (select * from telemetry where date <> DATE '2024-01-15')",
+    "kept_features": features("kept_features", "kept", AS_OF),
+    "then_files": """then_files as (select cast(date + interval 7 day as date) as date, count(*) as files
+  from telemetry group by 1)""",
 }
 _NEEDS = {
     "features": ["telemetry"], "features_extended": ["telemetry"], "early": ["telemetry"],
@@ -145,6 +146,7 @@ _NEEDS = {
     "history": ["weighted", "early_weighted", "logistic"], "current_scores": ["history"],
     "owned": ["crash", "vehicles", "policies", "customers"],
     "now_files": ["telemetry"], "then_files": ["telemetry"],
+    "kept": ["telemetry"], "kept_features": ["kept"],
 }
 
 
@@ -407,7 +409,7 @@ ORACLE: dict[str, str] = {
     "partition_equality": build("telemetry", "event_id:n g_force:d",
                                 "select * from telemetry where date = DATE '2024-01-15' and g_force > 1.0"),
     "partition_prefix": build("now_files", "date files:n",
-                              "select * from now_files where cast(date as string) like '2024-01%'"),
+                              "select * from now_files where cast(date as string) like '2024-01-1%'"),
     "high_risk_drivers": build("current_scores", "driver_id:n score:x risk_category",
                                "select * from current_scores where score < 60"),
     # joins
@@ -529,10 +531,9 @@ ORACLE: dict[str, str] = {
   select count(*) as total_drivers, round(cast(avg(score) as decimal(28,10)), 2) as avg_score,
   count(*) filter (where score >= 90) as excellent_count,
   count(*) filter (where score < 60) as high_risk_count from current_scores"""),
-    "high_risk_alert": build("current_scores", "id_range:n drivers:n driver_ids", """
-  select driver_id // 10000 as id_range, count(*) as drivers,
-  string_agg(cast(driver_id as string), ',' order by driver_id) as driver_ids
-  from current_scores where score < 60 group by driver_id // 10000"""),
+    "high_risk_alert": build("current_scores", "drivers:n driver_ids", """
+  select count(*) as drivers, string_agg(cast(driver_id as string), ',' order by driver_id) as driver_ids
+  from current_scores where score < 60"""),
     # ordered operators and set operations
     "current_driver_scores": build("current_scores", "driver_id:n score:x calculation_date:t notes risk_category",
                                    "select * from current_scores"),
@@ -632,6 +633,16 @@ ORACLE: dict[str, str] = {
     "remove_tiny_files": build("telemetry", "date tiny:n", "select distinct date, 0 as tiny from telemetry"),
     "refresh_scores": build("weighted", "driver_id:n score:x risk_category notes", f"""
   select driver_id, safe_driver_score as score, risk_category, {WEIGHTED_NOTES} as notes from weighted"""),
+    "refresh_after_late_file": build("weighted", "driver_id:n score:x risk_category notes", f"""
+  select driver_id, safe_driver_score as score, risk_category, {WEIGHTED_NOTES} as notes from weighted"""),
+    "refresh_after_removed_day": build("kept_features", _FEATURE_COLUMNS, "select * from kept_features"),
+    "refresh_unchanged": build("weighted", "scores:n status",
+                               "select count(safe_driver_score) as scores, 'NO_NEW_DATA' as status from weighted"),
+    "refresh_retrained": build("weighted logistic", "by_model drivers:n", """
+  select false as by_model, count(safe_driver_score) as drivers from weighted
+  union all select true, count(safe_driver_score) from logistic"""),
+    "skipped_files_report": build("telemetry", "rows:n files:n reason", """
+  select count(*) as rows, 2 as files, 'no readable footer' as reason from telemetry"""),
     "stream_high_gforce_events": build("telemetry", "policy_id:n vin event_ts:t g_force:d severity_level", _HIGH_G),
     "stream_driver_features": build("features", _FEATURE_COLUMNS, "select * from features"),
     "stream_driver_scores": build("weighted", "driver_id:n score:x",

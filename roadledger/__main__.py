@@ -7,6 +7,7 @@ import re
 import sys
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import inventory
@@ -74,6 +75,13 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show(table: DataFrame) -> None:
+    """All rows, tab-separated with a header, one partition at a time on the driver."""
+    print("\t".join(table.columns))
+    for row in table.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def run(args: argparse.Namespace, spark) -> int:
     now = datetime.now().replace(microsecond=0)
     if args.command in ("refresh", "train"):
@@ -81,33 +89,33 @@ def run(args: argparse.Namespace, spark) -> int:
         config = RefreshConfig(args.telemetry, args.core, args.home, core_format=args.core_format,
                                delete_tiny_files=getattr(args, "delete_tiny_files", False))
         if args.command == "train":
-            retrain_only(spark, config, max_iter=15).show(truncate=False)
+            show(retrain_only(spark, config, max_iter=15))
             return 0
         done = refresh(spark, config, as_of, args.force)
         print(done.status)
-        for table in (done.statistics, done.alert, done.distribution):
+        for table in (done.statistics, done.alert, done.distribution, done.skipped):
             if table is not None:
-                table.show(truncate=False)
+                show(table)
     elif args.command == "compact":
         result = compaction.compact(
             spark, args.base, compaction.dates_back(args.date, args.days_back),
             target_mb=args.target_size, dry_run=args.dry_run, delete_tiny=True)
-        result.show(result.count(), truncate=False)
+        show(result)
         return 0 if compaction.succeeded(result) else 1
     elif args.command == "preview":
-        compaction.preview(spark, args.base, args.date).orderBy("date").show(1000, truncate=False)
+        show(compaction.preview(spark, args.base, args.date).orderBy("date"))
     elif args.command == "inventory":
         prefix = args.month or args.year
         current, previous = compaction.snapshot(spark, args.base, args.saved, prefix)
         if prefix:
             current = partition_prefix(current, prefix)
-        inventory.running_total(current).orderBy("date").show(10000)
+        show(inventory.running_total(current).orderBy("date"))
         if previous is not None:
             changed = inventory.inventory_diff(current, previous).where(F.col("diff") != 0)
-            changed.orderBy("date").show(10000)
+            show(changed.orderBy("date"))
     elif args.command == "cleanup":
         files = inventory.list_files(spark, args.base, pattern=compaction.TELEMETRY_FILES)
-        inventory.cleanup_report(files, args.threshold).show(truncate=False)
+        show(inventory.cleanup_report(files, args.threshold))
         n = compaction.remove_tiny(spark, args.base, tiny_bytes=args.threshold, dry_run=args.dry_run)
         print(f"{'would delete' if args.dry_run else 'deleted'} {n} files")
     elif args.command == "report":
@@ -116,7 +124,7 @@ def run(args: argparse.Namespace, spark) -> int:
             load_core(spark, args.core, args.core_format), args.as_of or str(now))
         for name in list(reports) if args.name == "all" else [args.name]:
             print(name)
-            reports[name]().show(truncate=False)
+            show(reports[name]())
     return 0
 
 

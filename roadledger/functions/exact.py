@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 
 def exact(value: Column, scale: int = 10) -> Column:
-    """A double as DECIMAL; absorbs the last-bit noise of a distributed sum."""
-    return value.cast(f"decimal(28,{scale})")
+    """A double as DECIMAL; absorbs the last-bit noise of a distributed sum. NULL beyond its range."""
+    return value.try_cast(f"decimal(28,{scale})")
 
 
 def rounded(value: Column, digits: int) -> Column:

@@ -12,5 +12,6 @@ def policy_key(policy_id: Column) -> Column:
 
 
 def geo_zone(coordinate: Column, digits: int = 3) -> Column:
-    """A coordinate rounded to a grid cell, in DECIMAL so the edge is exact."""
-    return F.round(coordinate.cast("decimal(20,12)"), digits)
+    """A coordinate rounded to a grid cell, in DECIMAL so the edge is exact. What is no
+    coordinate at all (beyond the type's range) has no cell: NULL."""
+    return F.round(coordinate.try_cast("decimal(20,12)"), digits)

@@ -17,9 +17,6 @@ from ..functions import (
 )
 from .timespan import trailing
 
-# Policy holders up to this many rows (some 100 MB) are copied to every executor.
-BROADCAST_ROWS = 500_000
-
 _PERSON = ("first_name", "last_name", "email")
 _CONTACT = ("phone_number", "address", "city", "state", "zip_code")
 
@@ -28,29 +25,24 @@ def _with_owner(facts: DataFrame, vehicles: DataFrame, policies: DataFrame, cust
                 person: tuple[str, ...]) -> DataFrame:
     """Left-join vehicle and policy holder to every fact row.
 
-    Policies and customers are joined to each other first, so the facts pass two joins
-    instead of three. The planner cannot see that this join adds no rows and would always
-    shuffle the facts for it, so policies are counted: up to ``BROADCAST_ROWS`` the holders
-    are broadcast. Beyond that, and for vehicles above the session's size limit, the join
-    shuffles and hot or NULL keys are split at run time.
+    Vehicles, policies and customers are joined one after the other, so the planner sees the
+    size of each table: what is under the session's limit is broadcast and the facts are not
+    moved for it, what is larger is shuffled, with hot or NULL keys split at run time. No side
+    is hinted, and no job runs while the plan is built.
     """
     known = [c for c in person if c in customers.columns]
     missing = [F.lit(None).cast("string").alias(c) for c in person if c not in customers.columns]
-    holders = (
-        policies.select(
-            policy_key(F.col("policy_id")).alias("_policy"), "customer_id",
-            "policy_number", F.col("status").alias("policy_status"),
-        )
-        .join(customers.select("customer_id", *known, *missing), "customer_id", "left")
-        .drop("customer_id")
-    )
-    if policies.count() <= BROADCAST_ROWS:
-        holders = F.broadcast(holders)
     cars = vehicles.select("vin", "make", "model", F.col("year").alias("vehicle_year"), "color")
+    held = policies.select(
+        policy_key(F.col("policy_id")).alias("_policy"), F.col("customer_id").alias("_customer"),
+        "policy_number", F.col("status").alias("policy_status"),
+    )
+    people = customers.select(F.col("customer_id").alias("_customer"), *known, *missing)
     return (
         facts.withColumn("_policy", policy_key(F.col("policy_id")))
         .join(cars, "vin", "left")
-        .join(holders, "_policy", "left")
+        .join(held, "_policy", "left")
+        .join(people, "_customer", "left")
         .select(*facts.columns, "make", "model", "vehicle_year", "color",
                 "policy_number", "policy_status", *person)
     )

@@ -100,7 +100,7 @@ def model_evaluate(predicted: DataFrame, threshold: float = 0.5) -> DataFrame:
     spark = predicted.sparkSession
     known = predicted.where(F.col("accident_probability").isNotNull())
     auc = BinaryClassificationEvaluator(
-        rawPredictionCol="accident_probability", labelCol="label", metricName="areaUnderROC"
+        rawPredictionCol="accident_probability", labelCol="label", metricName="areaUnderROC", numBins=0
     ).evaluate(known.select(F.col("has_accident").cast("double").alias("label"), "accident_probability"))
 
     def cell(label: int, guess: int):

@@ -8,13 +8,10 @@ from per-key totals, so the T*C rows never exist.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import customer_name, policy_key
-from ..session import materialized
 from .activity import SPEEDING_MPH, sort_key, top
 from .timespan import trailing
 
@@ -131,43 +128,19 @@ def customer_risk_profile(
                F.col("customer_id").asc())
 
 
-_WORD = 64
-
-
-def _time_marks(words: int) -> list[Column]:
-    """Bit words in which every distinct event time sets one of ``64 * words`` bits.
-
-    The number of bits set never exceeds the number of distinct times, and words merge by
-    OR, so they prove "more than n distinct times" without shuffling the times.
-    """
-    slot = F.pmod(F.xxhash64("event_ts"), F.lit(_WORD * words))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(_WORD)).cast("int"))
-    known = F.col("event_ts").isNotNull()
-    return [
-        F.bit_or(F.when(known & (F.floor(slot / _WORD) == i), bit)).alias(f"mark_{i}")
-        for i in range(words)
-    ]
-
-
 def vehicle_safety(
     vehicles: DataFrame, tel: DataFrame, crash: DataFrame, as_of,
     fanout: bool = False, min_events: int = 100, k: int | None = 15,
 ) -> DataFrame:
     """Crashes and telemetry averages per make, model and year, most crashes per vehicle first.
 
-    Only groups with more than ``min_events`` distinct event times count. Most groups are
-    decided by bit marks collected in the same aggregation; exact distinct times are
-    counted only for groups the marks leave open, which have few of them.
+    Only groups with more than ``min_events`` distinct event times count. Times are made
+    distinct per vehicle first, within each task and then by vehicle and time, so a vehicle that
+    holds very many events is spread by its times; models only count what is left.
     """
     model = ["make", "model", "year"]
-    # Enough bits that a group somewhat above the limit fills more than min_events of them.
-    words = max(1, math.ceil(min_events * 2.5 / _WORD))
-    if words > 32:
-        words = 0  # a limit this high is settled by exact counting alone
     events = trailing(tel, "date", as_of, days=90)
-    t = events.groupBy("vin").agg(
-        *_telemetry_totals("g", "speed", "battery", "accuracy"), *_time_marks(words)
-    )
+    t = events.groupBy("vin").agg(*_telemetry_totals("g", "speed", "battery", "accuracy"))
     c = trailing(crash, "report_date", as_of, days=365).groupBy("vin").agg(*_crash_totals())
     cars = vehicles.select("vin", *model)
 
@@ -178,32 +151,15 @@ def vehicle_safety(
         _mean("speed").alias("avg_speed"),
         _mean("battery").alias("avg_device_health"),
         _mean("accuracy").alias("avg_gps_accuracy"),
-        F.coalesce(F.sum("t_times"), F.lit(0)).alias("_times"),
-        *[F.bit_or(f"mark_{i}").alias(f"mark_{i}") for i in range(words)],
-    ).where(F.col("_times") > min_events)
-
-    marked = F.lit(0)
-    for i in range(words):
-        marked = marked + F.coalesce(F.bit_count(f"mark_{i}"), F.lit(0))
-    # Written out, because the second scan depends on it: one row per model.
-    groups = materialized(groups.withColumn("_marked", marked), "vehicle-groups")
-
-    same_model = [F.col(f"o.{m}").eqNullSafe(F.col(f"g.{m}")) for m in model]
-    undecided = groups.where(F.col("_marked") <= min_events).select(*model)
-    if undecided.isEmpty():
-        counted = groups
-    else:
-        open_cars = cars.alias("g").join(undecided.alias("o"), same_model, "left_semi")
-        settled = (
-            events.where(F.col("event_ts").isNotNull()).select("vin", "event_ts")
-            .join(open_cars, "vin")
-            .select(*model, "event_ts").distinct()
-            .groupBy(*model).agg(F.count(F.lit(1)).alias("_exact"))
-            .where(F.col("_exact") > min_events)
-        )
-        proven = F.col("_marked") > min_events
-        counted = groups.where(proven).unionByName(
-            groups.where(~proven).alias("g").join(settled.alias("o"), same_model, "left_semi"))
+    )
+    times = (
+        events.where(F.col("event_ts").isNotNull() & F.col("vin").isNotNull()).select("vin", "event_ts").distinct()
+        .join(cars, "vin").select(*model, "event_ts").distinct()
+        .groupBy(*model).agg(F.count(F.lit(1)).alias("_times"))
+        .where(F.col("_times") > min_events)
+    )
+    same_model = [F.col(f"g.{m}").eqNullSafe(F.col(f"o.{m}")) for m in model]
+    counted = groups.alias("g").join(times.alias("o"), same_model, "left_semi")
     report = (
         counted
         .select(

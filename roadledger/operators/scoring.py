@@ -33,7 +33,6 @@ ALERT_RULES = (
 )
 
 HIGH_RISK_BELOW = 60
-ALERT_PAGE = 10_000
 
 _DETAIL = ("total_events", "speed_compliance_rate", "avg_g_force", "harsh_driving_events",
            "phone_usage_rate", "accident_count")
@@ -219,20 +218,16 @@ def high_risk_drivers(current: DataFrame, below: float = HIGH_RISK_BELOW) -> Dat
     return current.where(F.col("score") < below)
 
 
-def high_risk_alert(current: DataFrame, below: float = HIGH_RISK_BELOW, page: int = ALERT_PAGE) -> DataFrame:
-    """Comma-separated ids of high-risk drivers, one row per range of ``page`` ids.
+def high_risk_alert(current: DataFrame, below: float = HIGH_RISK_BELOW) -> DataFrame:
+    """The alert message: number and comma-separated ids of all high-risk drivers, one line.
 
-    A driver has one current score, so a row never lists more than ``page`` ids and no
-    task gathers all drivers. Ids within one range give the single line of a small fleet.
+    The line is as long as the list. :func:`high_risk_drivers` has the same drivers as rows,
+    for fleets whose list is too long for a message.
     """
-    return (
-        high_risk_drivers(current, below)
-        .groupBy(F.floor(F.col("driver_id") / page).alias("id_range"))
-        .agg(
-            F.count(F.lit(1)).alias("drivers"),
-            F.expr("listagg(cast(driver_id as string), ',') within group (order by driver_id)")
-            .alias("driver_ids"),
-        )
+    return high_risk_drivers(current, below).agg(
+        F.count(F.lit(1)).alias("drivers"),
+        F.expr("listagg(cast(driver_id as string), ',') within group (order by driver_id)")
+        .alias("driver_ids"),
     )
 
 

@@ -8,6 +8,9 @@ merges partials; the resulting features equal those computed from all telemetry.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,12 +40,23 @@ def folder_state(spark: SparkSession, base: str) -> DataFrame:
     return or_empty(spark, STATE, read)
 
 
-def update_days(spark: SparkSession, base: str, home: str) -> DataFrame:
-    """Bring the partials under ``home`` up to date with ``base`` and return them.
+@dataclass(frozen=True)
+class DayUpdate:
+    """The partials of all days, and which days this update recomputed or dropped."""
+
+    days: DataFrame
+    changed: list
+    gone: list
+    _settle: Callable[[], None]
+
+    def settle(self) -> None:
+        """Remember the folders as they were listed. Until then the same days count as changed,
+        so that work that stops before its results are stored is done again."""
+        self._settle()
+
 
-    The folder state is saved last: a run that stops half-way leaves the changed days
-    marked as changed, and the next run does them again.
-    """
+def update_days(spark: SparkSession, base: str, home: str) -> DayUpdate:
+    """Bring the partials under ``home`` up to date with ``base``; see :meth:`DayUpdate.settle`."""
     state, days = f"{home}/folder_state", f"{home}/driver_days"
     recover_swap(spark, state)
     # One row per date, so both lists are bounded by the calendar. The listing is taken
@@ -57,10 +71,18 @@ def update_days(spark: SparkSession, base: str, home: str) -> DataFrame:
     for day in changed + gone:
         files.delete(f"{days}/date={day}", recursive=True)
     if changed:
-        fresh = telemetry(spark, base, skip_corrupt=True).where(F.col("date").isin(changed))
+        # Only the changed folders are listed and read.
+        fresh = telemetry(spark, base, skip_corrupt=True, date_glob=glob_of(changed))
         # Rebalanced by date: one file per small day, several for a large one.
         partial_features(fresh, "date").select(*DAYS.names).hint("rebalance", "date") \
             .write.mode("append").partitionBy("date").parquet(days)
-    if changed or gone:
-        overwrite_atomically(spark.createDataFrame(sorted(now), STATE), state)
-    return or_empty(spark, DAYS, lambda: spark.read.schema(DAYS).parquet(days))
+
+    def settle() -> None:
+        if changed or gone:
+            overwrite_atomically(spark.createDataFrame(sorted(now), STATE), state)
+
+    return DayUpdate(or_empty(spark, DAYS, lambda: spark.read.schema(DAYS).parquet(days)), changed, gone, settle)
+
+
+def glob_of(days: list) -> str:
+    return "{" + ",".join(map(str, days)) + "}"

@@ -14,8 +14,9 @@ from ..operators.mergeable import combine_features
 from ..operators.model import train_accident_model
 from ..sources import append_scores, load_core, overwrite_atomically, read_scores, recover_swap
 from ..sources.paths import Files
+from ..sources.telemetry import skipped_files
 from .compaction import remove_tiny
-from .days import update_days
+from .days import glob_of, update_days
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,11 @@ class RefreshConfig:
 
 @dataclass(frozen=True)
 class RefreshResult:
-    """What a refresh did. The DataFrames are small summaries, evaluated when used."""
+    """What a refresh did. The DataFrames are small summaries, evaluated when used.
+
+    ``skipped`` lists the files of the days it read whose rows could not be read, all or in
+    part, with the number of rows lost.
+    """
 
     status: str
     retrained: bool = False
@@ -57,31 +62,30 @@ class RefreshResult:
     statistics: DataFrame | None = None
     alert: DataFrame | None = None
     distribution: DataFrame | None = None
+    skipped: DataFrame | None = None
 
 
 def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force: bool = False) -> RefreshResult:
-    """Recalculate all driver scores if there is new telemetry, or if forced.
+    """Recalculate all driver scores if telemetry changed, or if forced.
 
-    Only date folders that changed since the last run are read; see :mod:`.days`. Features
+    Files that came late for an old date count, and so do removed ones; rows without a driver
+    count once, with the files they came in. Only date folders that changed since the last run are read; see :mod:`.days`. Features
     and training data are written as tables and read back, so later steps start from one
     row per driver whatever happens to the executors that did the work before.
     ``as_of`` also names the run: repeating a run replaces what it wrote.
     """
     if config.delete_tiny_files:
         remove_tiny(spark, config.telemetry, dry_run=False)
-    days = update_days(spark, config.telemetry, config.home)
+    update = update_days(spark, config.telemetry, config.home)
     accidents = load_core(spark, config.core, config.core_format)["accidents"]
 
     for table in (config.features, config.training, config.model):
         recover_swap(spark, table)
-    if not force and Files(spark, config.home).exists(config.features):
-        known = spark.read.parquet(config.features)
-        latest = days.select("driver_id", F.col("latest_event").alias("event_ts"))
-        if training.drivers_with_new_data(latest, known).isEmpty():
-            return RefreshResult(status="NO_NEW_DATA")
+    if not force and not update.changed and not update.gone and Files(spark, config.home).exists(config.features):
+        return RefreshResult(status="NO_NEW_DATA")
 
     run_id = as_of.strftime("%Y%m%dT%H%M%S")
-    features = overwrite_atomically(combine_features(days, as_of), config.features)
+    features = overwrite_atomically(combine_features(update.days, as_of), config.features)
     examples = overwrite_atomically(training.training_data(features, accidents), config.training)
     append_scores(scoring.score_weighted(examples), config.history, f"{run_id}-weighted",
                   instant(as_of), weighted_notes())
@@ -92,6 +96,7 @@ def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force:
         append_scores(scoring.score_logistic(examples, model), config.history, f"{run_id}-model",
                       instant(as_of) + F.expr("INTERVAL '1' SECOND"), logistic_notes(retrained=True))
 
+    update.settle()
     current = scoring.current_scores(read_scores(spark, config.history))
     return RefreshResult(
         status="REFRESHED",
@@ -100,6 +105,7 @@ def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force:
         statistics=scoring.refresh_statistics(current),
         alert=scoring.high_risk_alert(current),
         distribution=scoring.score_distribution(current),
+        skipped=skipped_files(spark, config.telemetry, date_glob=glob_of(update.changed)) if update.changed else None,
     )
 
 

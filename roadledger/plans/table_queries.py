@@ -46,8 +46,9 @@ from ..sources import (
     write_telemetry,
 )
 from ..sources import bind_by_position as source_bind
-from ..sources.paths import write_text
+from ..sources.paths import Files, write_text
 from ..sources.sample_tables import sample
+from ..sources.telemetry import skipped_files
 from ..streaming import latest_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
 from . import compaction
@@ -135,14 +136,12 @@ class Tables:
         return scoring.current_scores(self.history())
 
     def inventories(self) -> tuple[DataFrame, DataFrame]:
-        """Events per date standing in for files: two weeks in the middle before, all but
-        the first days now."""
-        def counted(tel: DataFrame) -> DataFrame:
-            return tel.groupBy("date").agg(F.count(F.lit(1)).alias("files"))
+        """Events per date standing in for files: all of them now, and the same moved by a week
+        before, so that dates are added, removed and changed."""
+        def counted(date) -> DataFrame:
+            return self.telemetry.groupBy(date.alias("date")).agg(F.count(F.lit(1)).alias("files"))
 
-        now = self.telemetry.where(F.col("date") >= F.lit("2024-01-04").cast("date"))
-        then = self.telemetry.where(F.col("event_ts") < fx.instant(EARLIER))
-        return counted(now), counted(then)
+        return counted(F.col("date")), counted(F.date_add("date", 7))
 
     def core(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name)
@@ -151,15 +150,15 @@ class Tables:
     def write_files(self, *, many: bool = False) -> str:
         """Telemetry in the file layout, in a new shared folder."""
         base = f"{shared_folder(self.spark, 'telemetry')}/telemetry-data-v2"
-        stored = self.telemetry.withColumn(
-            "event_time", (F.unix_micros("event_ts").cast("decimal(20,0)") / F.lit(1000000)).cast("string")
-        )
-        if many:
-            # At least six files a date, so that compaction has something to merge.
-            stored = stored.repartition(max(6, self.spark.sparkContext.defaultParallelism))
-        write_telemetry(stored, base)
+        # At least six files a date, so that compaction has something to merge.
+        parts = max(6, self.spark.sparkContext.defaultParallelism) if many else None
+        self.write_to(base, self.telemetry.repartition(parts) if parts else self.telemetry)
         return base
 
+    def write_to(self, base: str, tel: DataFrame) -> None:
+        write_telemetry(tel.withColumn(
+            "event_time", (F.unix_micros("event_ts").cast("decimal(20,0)") / F.lit(1000000)).cast("string")), base)
+
 
 def query(make: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register ``make`` under its name."""
@@ -354,7 +353,7 @@ def partition_equality(t):
 @query
 def partition_prefix(t):
     now, _ = t.inventories()
-    return timespan.partition_prefix(now, "2024-01")
+    return timespan.partition_prefix(now, "2024-01-1")
 
 
 @query
@@ -843,6 +842,75 @@ def refresh_scores(t):
     return done.current.select("driver_id", "score", "risk_category", "notes")
 
 
+def _refreshed(t, *steps, **options):
+    """Refresh after each step; the last result. A step changes the telemetry folder."""
+    home, base = shared_folder(t.spark, "refresh"), f"{shared_folder(t.spark, 'telemetry')}/telemetry-data-v2"
+    for name, df in t.core().items():
+        df.write.parquet(f"{home}/core/{name}")
+    config = RefreshConfig(telemetry=base, core=f"{home}/core", home=f"{home}/state")
+    done = None
+    for n, step in enumerate(steps):
+        step(base)
+        last = n + 1 == len(steps)
+        done = refresh(t.spark, config, datetime.fromisoformat(AS_OF if last else EARLIER), **(options if last else {}))
+    return config, done
+
+
+def _add(t, condition: str = "true"):
+    return lambda base: t.write_to(base, t.telemetry.where(condition))
+
+
+def _scores_of(done):
+    return done.current.select("driver_id", "score", "risk_category", "notes")
+
+
+@query
+def refresh_after_late_file(t):
+    """Current scores after a second file came for every date, with older and newer events."""
+    return _scores_of(_refreshed(t, _add(t, "event_type = 'view'"),
+                                 _add(t, "event_type <> 'view' or event_type is null"))[1])
+
+
+@query
+def refresh_after_removed_day(t):
+    """Features after one date folder was removed between two refreshes."""
+    def remove(base):
+        Files(t.spark, base).delete(f"{base}/date={PROBE_DAY}", recursive=True)
+
+    config, _ = _refreshed(t, _add(t), remove)
+    return t.spark.read.parquet(config.features)
+
+
+@query
+def refresh_unchanged(t):
+    """Status and stored scores of a refresh without new files, rows without a driver present."""
+    config, done = _refreshed(t, _add(t), lambda base: None)
+    scores = read_scores(t.spark, config.history)
+    return scores.agg(F.count(F.lit(1)).alias("scores")).withColumn("status", F.lit(done.status))
+
+
+@query
+def refresh_retrained(t):
+    """Scores stored by a forced refresh: the weighted and the model's run."""
+    config, done = _refreshed(t, _add(t), force=True)
+    scores = read_scores(t.spark, config.history)
+    return scores.groupBy(F.col("notes").contains("(Retrained)").alias("by_model")).agg(
+        F.count_distinct("driver_id").alias("drivers"))
+
+
+@query
+def skipped_files_report(t):
+    """Files that cannot be read, in a folder of readable ones."""
+    base = t.write_files()
+    for day in ("2024-01-10", PROBE_DAY):
+        write_text(t.spark, f"{base}/date={day}/telemetry-bad.parquet", "x" * 3000)
+    read = telemetry(t.spark, base, skip_corrupt=True).select(
+        F.lit(1).alias("rows"), F.lit(0).alias("files"), F.lit(None).cast("string").alias("reason"))
+    lost = skipped_files(t.spark, base).select(F.lit(0).alias("rows"), F.lit(1).alias("files"), "reason")
+    return read.unionAll(lost).agg(F.sum("rows").alias("rows"), F.sum("files").alias("files"),
+                                   F.max("reason").alias("reason"))
+
+
 @query
 def stream_high_gforce_events(t):
     """The alert stream run over everything there is."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,16 +35,10 @@ def build_session(app: str = "roadledger", master: str | None = None, **extra: s
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster the
-    executors would not see it.
+    """A new folder under the cluster's ``spark.checkpoint.dir`` or, where that is not set, under
+    the warehouse: executors reach both.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

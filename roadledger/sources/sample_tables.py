@@ -53,10 +53,10 @@ select cast(event_id as string) as report_id, cast(user_id as string) as policy_
   concat('St ', cast(event_id % 13 as string)) as current_street,
   event_id % 7 = 0 as rollover_detected, event_id % 5 = 0 as spinning_detected,
   {_K} >= 60 as emergency_recommended, {_K} as risk_score
-from {{events}} where event_type = 'error' and user_id % 3 <> 0""",
+from {{events}} where event_type = 'error'""",
     "accidents": f"""
 select event_id as accident_id, user_id as policy_id,
-  user_id % 97 as vehicle_id, user_id as driver_id,
+  user_id % 97 - 9 as vehicle_id, user_id as driver_id,
   cast(ts as timestamp) as accident_timestamp, cast(ts as timestamp) as created_at
 from {{events}} where event_type = 'error' and {_K} >= 97""",
     "policies": """
@@ -73,7 +73,7 @@ from {customer}""",
 select p_partkey as vehicle_id, p_partkey as policy_id,
   concat('VIN', cast(p_partkey as string)) as vin, p_brand as make, p_type as model,
   2000 + p_size as year, cast(null as string) as color
-from {part} where p_partkey % 10 <> 3""",
+from {part}""",
     "drivers": """
 select c_custkey as driver_id, c_custkey as policy_id,
   c_name as first_name, c_mktsegment as last_name

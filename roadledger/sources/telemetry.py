@@ -29,21 +29,19 @@ def telemetry(
     date_glob: str = "*",
     pattern: str = TELEMETRY_FILES,
     skip_corrupt: bool = False,
-    tiny_bytes: int = 1024,
 ) -> DataFrame:
     """Telemetry under ``base/date=*/telemetry-*.parquet`` with decoded ``event_ts``.
 
     ``date`` comes from the folder name, so a predicate on it prunes folders;
     ``date_glob`` (``2024-01-*``) keeps other folders from being listed at all. With
-    ``skip_corrupt`` unreadable files and files of at most ``tiny_bytes`` are left out;
-    :func:`skipped_files` reports them. A missing path gives no rows.
+    ``skip_corrupt`` unreadable files, and the rows after the damage in a partly readable one,
+    are left out; :func:`skipped_files` reports both. Size alone leaves nothing out. A missing
+    path gives no rows.
     """
     schema = with_columns(TELEMETRY_FILE, "date DATE")
 
     def read() -> DataFrame:
         df = _reader(spark, schema, base, pattern, skip_corrupt).parquet(f"{base}/date={date_glob}")
-        if skip_corrupt:
-            df = df.where(F.col("_metadata.file_size") > tiny_bytes)
         return df.withColumn("event_ts", event_ts(F.col("event_time"))).select(*TELEMETRY.names)
 
     return or_empty(spark, TELEMETRY, read)
@@ -83,26 +81,34 @@ def telemetry_v1(
 
 
 def skipped_files(
-    spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES, tiny_bytes: int = 1024
+    spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES, date_glob: str = "*"
 ) -> DataFrame:
-    """Files that a scan with ``skip_corrupt`` leaves out, with the reason."""
+    """What a scan with ``skip_corrupt`` loses: (date, path, bytes, rows_lost, reason).
+
+    Per file, the rows its footer counts are compared with the rows that all its columns can be
+    read for. ``rows_lost`` is null for a file without a readable footer.
+    """
     from ..operators.inventory import list_files
 
     # The two sides spell the scheme differently, so files are matched by folder and name.
     def place(path: str):
         return F.regexp_extract(F.col(path), r"(date=[^/]+/[^/]+)$", 1)
 
-    files = list_files(spark, base, pattern=pattern, date_glob="*").withColumn("_place", place("path"))
-    read_from = (
-        _reader(spark, TELEMETRY_FILE, base, pattern, True).parquet(f"{base}/date=*")
-        .groupBy(place("_metadata.file_path").alias("_place"))
-        .agg(F.count(F.lit(1)).alias("rows_read"))
-    )
-    return (
-        files.join(read_from, "_place", "left")
-        .where(F.col("rows_read").isNull() | (F.col("bytes") <= tiny_bytes))
-        .select(
-            "date", "path", "bytes",
-            F.when(F.col("bytes") <= tiny_bytes, "tiny").otherwise("no readable rows").alias("reason"),
+    def counted(name: str, of) -> DataFrame:
+        return (
+            _reader(spark, TELEMETRY_FILE, base, pattern, True).parquet(f"{base}/date={date_glob}")
+            .select(place("_metadata.file_path").alias("_place"), of.alias("_of"))
+            .groupBy("_place").agg(F.count_if(F.col("_of") != 0).alias(name))
         )
+
+    files = list_files(spark, base, pattern=pattern, date_glob=date_glob).withColumn("_place", place("path"))
+    in_footer = counted("in_footer", F.lit(1))  # needs no column, so only footers are read
+    # A hash over all columns (never 0, as good as) makes the reader decode every page.
+    read = counted("rows_read", F.xxhash64(*[F.col(f.name) for f in TELEMETRY_FILE]))
+    lost = F.col("in_footer") - F.coalesce("rows_read", F.lit(0))
+    return (
+        files.join(in_footer, "_place", "left").join(read, "_place", "left")
+        .where(F.col("in_footer").isNull() | (lost > 0))
+        .select("date", "path", "bytes", lost.alias("rows_lost"),
+                F.when(F.col("in_footer").isNull(), "no readable footer").otherwise("damaged").alias("reason"))
     )

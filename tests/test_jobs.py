@@ -55,8 +55,7 @@ def config_in(world, tmp_path):
 def test_refresh_end_to_end(spark, world, tmp_path):
     _, tables = world
     config = config_in(world, tmp_path)
-    # Rows without a driver always count as new, so they are left out of this data.
-    write_part(tables, config.telemetry, "driver_id is not null and date < '2024-01-20'")
+    write_part(tables, config.telemetry, "date < '2024-01-20'")
     first = refresh(spark, config, datetime(2024, 1, 20))
     assert (first.status, first.retrained) == ("REFRESHED", False)
     n = first.current.count()
@@ -64,7 +63,7 @@ def test_refresh_end_to_end(spark, world, tmp_path):
     assert first.statistics.first()["total_drivers"] == n
 
     assert refresh(spark, config, datetime(2024, 1, 21)).status == "NO_NEW_DATA"
-    write_part(tables, config.telemetry, "driver_id is not null and date >= '2024-01-20'")
+    write_part(tables, config.telemetry, "date >= '2024-01-20'")
     second = refresh(spark, config, WEDNESDAY)
     assert second.status == "REFRESHED" and not second.retrained
     expected = scoring.score_weighted(
@@ -234,12 +233,12 @@ def test_only_changed_days_are_read_again(spark, world, tmp_path):
     base, home = str(tmp_path / "t"), str(tmp_path / "home")
 
     def days_written():
-        update_days(spark, base, home)
+        update_days(spark, base, home).settle()
         seen = {p.name: max(f.stat().st_mtime_ns for f in p.iterdir()) for p in (tmp_path / "home/driver_days").glob("date=*")}
         return seen
 
     def agrees():
-        got = combine_features(update_days(spark, base, home), WEDNESDAY)
+        got = combine_features(update_days(spark, base, home).days, WEDNESDAY)
         return rows(got) == rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
 
     for i in range(5):

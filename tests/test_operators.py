@@ -79,15 +79,15 @@ def test_current_score_takes_latest_then_larger_id(spark):
     current = scoring.current_scores(history)
     assert rows(current.select("driver_id", "score", "risk_category")) == [
         (1, Decimal("60.00"), "POOR"), (2, Decimal("59.99"), "HIGH_RISK")]
-    assert rows(scoring.high_risk_alert(current)) == [(0, 1, "2")]
+    assert rows(scoring.high_risk_alert(current)) == [(1, "2")]
     assert scoring.score_distribution(current).first()["line"] == \
         "Total: 2 | Excellent: 0 | Good: 0 | Average: 0 | Poor: 1 | High-Risk: 1"
 
 
-def test_alert_lists_are_bounded_but_complete(spark):
+def test_alert_line_is_complete(spark):
     history = history_of(spark, *[(f"s{i}", i, "10", "2024-01-01") for i in (1, 2, 3, 4, 5, 12)])
-    alert = rows(scoring.high_risk_alert(scoring.current_scores(history), page=5))
-    assert alert == [(0, 4, "1,2,3,4"), (1, 1, "5"), (2, 1, "12")]
+    alert = rows(scoring.high_risk_alert(scoring.current_scores(history)))
+    assert alert == [(6, "1,2,3,4,5,12")]
 
 
 def test_history_changes_cross_days(spark):
@@ -198,14 +198,13 @@ def test_vehicle_fanout_equals_the_literal_join(spark, telemetry_of):
 
 # ---- enrichment, reports, inventory, quality ---------------------------------------------
 
-def test_enrichment_keeps_unmatched_rows_and_both_join_ways_agree(spark, telemetry_of, monkeypatch):
+def test_enrichment_keeps_unmatched_rows_and_both_join_ways_agree(spark, telemetry_of):
     tel, _, policies, customers, vehicles = risk_inputs(spark, telemetry_of)
     tel = tel.unionByName(telemetry_of({"policy_id": None, "vin": None, "g_force": 1.0}))
     policies = policies.withColumn("policy_number", F.lit("P"))
     vehicles = vehicles.withColumn("color", F.lit(None).cast("string"))
     small = enrich.telemetry_enriched(tel, vehicles, policies, customers)
     assert small.count() == tel.count()
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", -1)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -47,7 +47,7 @@ def test_facts_pass_no_shuffle_when_owners_are_small(spark):
     assert "Exchange hashpartitioning" not in plan_of(entry.queries()["telemetry_enriched"](spark, FOLDER))
 
 
-def test_hot_and_null_keys_are_split_when_owners_are_too_large_to_broadcast(spark, monkeypatch):
+def test_hot_and_null_keys_are_split_when_owners_are_too_large_to_broadcast(spark):
     """A third of the facts on one vehicle and policy, a third without any."""
     from roadledger.operators import enrich
 
@@ -58,7 +58,6 @@ def test_hot_and_null_keys_are_split_when_owners_are_too_large_to_broadcast(spar
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", -1)
     which = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id") % 1000)
     facts = spark.range(0, 300_000, 1, 8).select("id", which.alias("policy_id"), F.concat(F.lit("V"), which).alias("vin"))
     vehicles = spark.range(1000).select(
