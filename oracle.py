@@ -456,6 +456,8 @@ ORACLE: dict[str, str] = {
   max_g_force:x extreme_events:n low_battery_driving_events:n speed_variance_squared:x acceleration_variance:x""",
                                      "select * from features_extended"),
     "vehicle_behavior_summary": build("telemetry", "policy_id:n vin date " + _SUMMARY_COLUMNS, _summary()),
+    "vehicle_behavior_summary_by_folder": build(
+        "telemetry", "policy_id:n vin date " + _SUMMARY_COLUMNS, _summary()),
     "top_vehicle_behavior": build("telemetry", "policy_id:n vin date " + _SUMMARY_COLUMNS, _summary(
         f"date >= {DAY} - 7") + " order by max_g_force desc nulls first, date desc, policy_id nulls last, vin limit 10"),
     "crash_patterns": build("crash", """crash_type crash_count:n avg_risk_score:d avg_g_force:d
@@ -572,6 +574,19 @@ ORACLE: dict[str, str] = {
     "model_confusion": build("predicted", "label:n predicted:n drivers:n", """
   select has_accident as label, cast(accident_probability >= 0.5 as int) as predicted, count(*) as drivers
   from predicted where accident_probability is not null group by 1, 2"""),
+    "model_evaluate": build("predicted", """true_positive:n false_positive:n true_negative:n false_negative:n
+  accuracy:d area_under_roc:d""", """
+  select *, (true_positive + true_negative) / cast(n as double) as accuracy,
+    (rank_sum - p * (p + 1) / cast(2 as double)) / cast(p * (n - p) as double) as area_under_roc
+  from (select count(*) as n, sum(has_accident) as p,
+    count(*) filter (where has_accident = 1 and accident_probability >= 0.5) as true_positive,
+    count(*) filter (where has_accident = 0 and accident_probability >= 0.5) as false_positive,
+    count(*) filter (where has_accident = 0 and accident_probability < 0.5) as true_negative,
+    count(*) filter (where has_accident = 1 and accident_probability < 0.5) as false_negative,
+    sum(case when has_accident = 1 then mid_rank end) as rank_sum
+    from (select *, (rank() over (order by accident_probability)
+      + rank() over (order by accident_probability) + count(*) over (partition by accident_probability) - 1)
+      / cast(2 as double) as mid_rank from predicted where accident_probability is not null) r) s"""),
     "alert_rules": build("weighted", "driver_id:n trigger severity message action", """
   select driver_id, 'safety_score < 40' as trigger, 'critical' as severity,
     'Driver ' || driver_id || ' flagged as HIGH_RISK' as message, 'immediate_intervention' as action
@@ -622,8 +637,10 @@ ORACLE: dict[str, str] = {
   r.at as calculation_date, {WEIGHTED_NOTES} as notes from weighted,
   (select 'a' as run, {EARLIER} as at union all select 'b', {AS_OF}) r"""),
     "swap_table": build("features", _FEATURE_COLUMNS, "select * from features"),
-    "compact_partition": build("telemetry", "date events:n max_g_force:d", """
-  select date, count(*) as events, max(g_force) as max_g_force from telemetry group by date"""),
+    "compact_partition": build(
+        "telemetry", "date status source_files:n written_files:n rows:n files_left:n events:n max_g_force:d", """
+  select date, 'COMPACTED' as status, 6 as source_files, 1 as written_files, count(*) as rows, 1 as files_left,
+  count(*) as events, max(g_force) as max_g_force from telemetry group by date"""),
     "compact_range_dry_run": build("telemetry", "date status", """
   select distinct date, 'PLANNED' as status from telemetry
   where date between DATE '2024-01-13' and DATE '2024-01-15'"""),

@@ -35,9 +35,14 @@ def high_gforce_events(tel: DataFrame, min_g: float = HIGH_G_EVENT) -> DataFrame
     )
 
 
-def vehicle_behavior_summary(tel: DataFrame) -> DataFrame:
-    """Per policy, vehicle and day: counts, speeds, forces, violations, device averages."""
-    return tel.groupBy("policy_id", "vin", day_of(F.col("event_ts")).alias("date")).agg(
+def vehicle_behavior_summary(tel: DataFrame, by_folder: bool = False) -> DataFrame:
+    """Per policy, vehicle and day: counts, speeds, forces, violations, device averages.
+
+    The day is the event's, or with ``by_folder`` that of the date folder the row is stored in:
+    a filter on it then leaves other folders unread.
+    """
+    day = F.col("date") if by_folder else day_of(F.col("event_ts"))
+    return tel.groupBy("policy_id", "vin", day.alias("date")).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.avg("speed_mph").alias("avg_speed"),
         F.max("speed_mph").alias("max_speed"),

@@ -38,7 +38,8 @@ def views(tel: DataFrame, crash: DataFrame, core: dict[str, DataFrame], as_of,
         **core,
         "v_vehicle_telemetry_enriched": enrich.telemetry_enriched(tel, *owners),
         "v_high_gforce_events": activity.high_gforce_events(tel).withColumnRenamed("event_ts", "event_time"),
-        "v_vehicle_behavior_summary": activity.vehicle_behavior_summary(tel),
+        # By folder, so that a date in a query prunes folders.
+        "v_vehicle_behavior_summary": activity.vehicle_behavior_summary(tel, by_folder=True),
         "v_crash_reports_enriched": enriched_crashes,
         "v_emergency_response_queue": enrich.emergency_queue(enriched_crashes, as_of),
         "v_crash_patterns": crashes.crash_patterns(crash),

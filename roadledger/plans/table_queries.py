@@ -57,6 +57,8 @@ from .refresh import RefreshConfig, refresh
 AS_OF = "2024-01-31 00:00:00"
 EARLIER = "2024-01-16 00:00:00"
 PROBE_DAY = "2024-01-15"
+# Files written for each date where a query compacts them.
+FILES_A_DATE = 6
 
 # Intercept and one coefficient per model feature, spread so that every band occurs.
 KNOWN_COEFFICIENTS = [1.2, -0.04, 0.12, 0.02, 0.05, 0.01]
@@ -445,6 +447,12 @@ def vehicle_behavior_summary(t):
     return activity.vehicle_behavior_summary(t.telemetry)
 
 
+@query
+def vehicle_behavior_summary_by_folder(t):
+    """The summary by the folder's date, over files."""
+    return activity.vehicle_behavior_summary(telemetry(t.spark, t.write_files()), by_folder=True)
+
+
 @query
 def top_vehicle_behavior(t):
     """The ten hardest vehicle days of the last week."""
@@ -795,11 +803,16 @@ def cleanup_report(t):
 
 @query
 def compact_partition(t):
-    """Rows per date after compacting three dates in place."""
-    base = t.write_files(many=True)
-    compaction.compact(t.spark, base, compaction.dates_back(PROBE_DAY, 2), dry_run=False)
-    return telemetry(t.spark, base).groupBy("date").agg(
+    """What compacting every date did, with the files and rows found afterwards."""
+    base = f"{shared_folder(t.spark, 'telemetry')}/telemetry-data-v2"
+    t.write_to(base, t.telemetry.repartition(FILES_A_DATE))
+    days = [str(r["date"]) for r in inventory.partition_inventory(
+        inventory.list_files(t.spark, base)).select("date").collect()]
+    done = compaction.compact(t.spark, base, days, dry_run=False)
+    files = inventory.partition_inventory(inventory.list_files(t.spark, base)).select("date", F.col("files").alias("files_left"))
+    rows = telemetry(t.spark, base).groupBy("date").agg(
         F.count(F.lit(1)).alias("events"), F.max("g_force").alias("max_g_force"))
+    return done.select("date", "status", "source_files", "written_files", "rows").join(files, "date").join(rows, "date")
 
 
 @query

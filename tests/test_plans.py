@@ -78,3 +78,15 @@ def test_hot_and_null_keys_are_split_when_owners_are_too_large_to_broadcast(spar
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_the_summary_view_prunes_date_folders(spark, tmp_path, telemetry_of):
+    from roadledger.operators.activity import vehicle_behavior_summary
+    from roadledger.sources import telemetry, write_telemetry
+
+    base = str(tmp_path / "t")
+    write_telemetry(telemetry_of({"event_ts": "2024-01-15 08:00:00", "event_time": "1705305600", "vin": "V"}), base)
+    vehicle_behavior_summary(telemetry(spark, base), by_folder=True).createOrReplaceTempView("summary_by_folder")
+    plan = plan_of(spark.sql("select * from summary_by_folder where date = date'2024-01-15'"))
+    scan = next(line for line in plan.split("\n") if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(date" in scan
