@@ -49,7 +49,7 @@ from ..sources import bind_by_position as source_bind
 from ..sources.paths import Files, write_text
 from ..sources.sample_tables import sample
 from ..sources.telemetry import skipped_files
-from ..streaming import latest_windows, stream_features, stream_high_gforce
+from ..streaming import merged_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
 from . import compaction
 from .refresh import RefreshConfig, refresh
@@ -936,7 +936,7 @@ def stream_high_gforce_events(t):
 
 def _windows(t: Tables, out: str) -> str:
     stream_features(
-        telemetry_stream(t.spark, t.write_files()), f"{out}/windows", f"{out}/checkpoint", every=None
+        telemetry_stream(t.spark, t.write_files(), max_files=4), f"{out}/windows", f"{out}/checkpoint", every=None
     ).awaitTermination()
     return f"{out}/windows"
 
@@ -945,7 +945,7 @@ def _windows(t: Tables, out: str) -> str:
 def stream_driver_features(t):
     """Features combined from streamed windows; equal to the batch features."""
     windows = _windows(t, shared_folder(t.spark, "features"))
-    return mergeable.combine_features(latest_windows(read_windows(t.spark, windows)), AS_OF)
+    return mergeable.combine_features(merged_windows(read_windows(t.spark, windows)), AS_OF)
 
 
 @query

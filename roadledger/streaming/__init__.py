@@ -2,11 +2,11 @@
 
 from .jobs import (
     feature_windows,
-    latest_windows,
+    merged_windows,
     stream_features,
     stream_high_gforce,
     stream_scores,
 )
 
-__all__ = ["feature_windows", "latest_windows", "stream_features",
+__all__ = ["feature_windows", "merged_windows", "stream_features",
            "stream_high_gforce", "stream_scores"]

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import event_ts, weighted_notes
 from ..operators.activity import high_gforce_events
-from ..operators.mergeable import PARTIAL, combine_features, partial_features
+from ..operators.mergeable import PARTIAL, combine_features, merge_partials, partial_features
 from ..operators.scoring import score_weighted
 from ..operators.training import training_data
 from ..schemas import TELEMETRY, TELEMETRY_FILE, struct, with_columns
@@ -63,30 +63,24 @@ def feature_windows(tel: DataFrame, window: str = "5 minutes") -> DataFrame:
 
 
 def stream_features(tel: DataFrame, sink: str, checkpoint: str, every: str | None = "5 minutes",
-                    window: str = "5 minutes", watermark: str = "10 minutes") -> StreamingQuery:
-    """Keep ``sink`` up to date with the feature windows of a telemetry stream.
+                    window: str = "5 minutes") -> StreamingQuery:
+    """Add the feature windows of each batch of a telemetry stream to ``sink``.
 
-    Each trigger writes the windows it changed as new versions under ``batch_id=N``;
-    :func:`latest_windows` reads the newest version of each. Repeating a batch rewrites its
-    own folder, so a restart neither loses nor doubles anything. Events later than the
-    watermark are dropped, and state older than it is freed.
+    A batch is reduced to one partial per driver and window and written as ``batch_id=N``;
+    partials of a window from several batches merge, see :func:`merged_windows`. So no state is
+    kept between batches and no event is ever too late, whatever the order of files. Repeating
+    a batch rewrites its own folder, so a restart neither loses nor doubles anything.
     """
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        feature_windows(batch, window).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    writer = (
-        feature_windows(tel.withWatermark("event_ts", watermark), window)
-        .writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _trigger(writer, every).start()
+    return _trigger(tel.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), every).start()
 
 
-def latest_windows(versions: DataFrame) -> DataFrame:
-    """The newest version of every driver's window."""
-    newest = F.max_by(F.struct(*PARTIAL.names), "batch_id").alias("v")
-    return versions.groupBy(*_WINDOW).agg(newest).select(*_WINDOW, "v.*")
+def merged_windows(parts: DataFrame) -> DataFrame:
+    """Every driver's windows, the partials of all batches merged."""
+    return merge_partials(parts, *_WINDOW)
 
 
 def read_windows(spark: SparkSession, sink: str) -> DataFrame:
@@ -107,7 +101,7 @@ def stream_scores(spark: SparkSession, windows: str, accidents: DataFrame, histo
         newest = changed.agg(F.max("window_end")).scalar()
         drivers = changed.select("driver_id").distinct()
         mine = read_windows(changed.sparkSession, windows).join(drivers, "driver_id", "left_semi")
-        features = combine_features(latest_windows(mine), F.current_timestamp())
+        features = combine_features(mine, F.current_timestamp())
         scored = score_weighted(training_data(features, accidents))
         append_scores(scored, history, f"{name}-{batch_id}", newest, weighted_notes())
 

@@ -18,7 +18,7 @@ from roadledger.sources import load_core, read_scores, telemetry, write_telemetr
 from roadledger.sources.paths import Files
 from roadledger.streaming import (
     feature_windows,
-    latest_windows,
+    merged_windows,
     stream_features,
     stream_high_gforce,
     stream_scores,
@@ -125,9 +125,9 @@ def test_feature_stream_equals_batch_over_several_batches(spark, world, tmp_path
     for condition in ("date < '2024-01-15'", "date >= '2024-01-15' and event_id % 2 = 0",
                       "date >= '2024-01-15' and event_id % 2 = 1"):
         write_part(tables, base, condition)
-        stream_features(telemetry_stream(spark, base), f"{out}/w", f"{out}/ck", every=None, watermark="40 days") \
+        stream_features(telemetry_stream(spark, base), f"{out}/w", f"{out}/ck", every=None) \
             .awaitTermination()
-    windows = latest_windows(read_windows(spark, f"{out}/w"))
+    windows = merged_windows(read_windows(spark, f"{out}/w"))
     assert rows(combine_features(windows, WEDNESDAY)) == \
         rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
     assert read_windows(spark, f"{out}/w").select("batch_id").distinct().count() == 3
@@ -139,7 +139,7 @@ def test_rescoring_stream_touches_only_changed_drivers_and_repeats_safely(spark,
     accidents = load_core(spark, f"{world[0]}/core")["accidents"]
 
     def run():
-        stream_features(telemetry_stream(spark, base), f"{out}/w", f"{out}/ck", every=None, watermark="40 days") \
+        stream_features(telemetry_stream(spark, base), f"{out}/w", f"{out}/ck", every=None) \
             .awaitTermination()
         stream_scores(spark, f"{out}/w", accidents, f"{out}/h", f"{out}/sck", every=None).awaitTermination()
 
