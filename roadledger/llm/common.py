@@ -32,6 +32,16 @@ def small_batches(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among ``ids`` (one column); null ids compare equal.
+
+    A list of documents grows with the corpus, so it is never broadcast: the same merge join at
+    every size.
+    """
+    listed = ids.distinct().toDF("_listed").hint("merge")
+    return docs.join(listed, docs["doc_id"].cast("long").eqNullSafe(listed["_listed"]), "left_anti")
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder, so that lost executors cost no earlier work."""
     return materialized(df, f"llm-{purpose}")

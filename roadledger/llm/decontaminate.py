@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, without, written
 
 WINDOW = 13  # words of an item that must occur one after the other
 SHINGLE = 4  # words of a token of the join
@@ -140,5 +140,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated, with their columns."""
     judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    return without(docs, judged.where("contaminated").select("doc_id"))

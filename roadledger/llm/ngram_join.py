@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, small_batches, written
+from .common import components, small_batches, without, written
 
 SHINGLE = 3
 # Similarity as a fraction: linked when DEN * intersection >= NUM * union.
@@ -326,7 +326,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # One document for each node that has company.
     stands = written(seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
         "node", "family", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "stands")
-    sets = _sets(source.join(stands.join(_units(stands), "node"), "doc_id"))
+    # A list of documents grows with the corpus: the same merge join at every size.
+    sets = _sets(source.join(stands.join(_units(stands), "node").hint("merge"), "doc_id"))
     linked = components(_links(sets), "node", "other", "links").withColumnRenamed("component", "root")
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
@@ -339,5 +340,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
     groups = near_duplicates(docs)
-    extra = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_extra")).distinct()
-    return docs.join(extra, F.col("doc_id").cast("long").eqNullSafe(F.col("_extra")), "left_anti")
+    return without(docs, groups.where("doc_id <> component_id").select("doc_id"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import small_batches, table, without, written
 from .features import CLASSES, base_counts, class_counts
 
 FREQUENCIES = 192  # random Fourier features
@@ -199,5 +199,4 @@ def quality(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFram
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier predicts to be good, with their columns."""
     judged = quality(docs, table(spark, sf_dir, "labels"))
-    bad = judged.where("predicted = 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    return without(docs, judged.where("predicted = 0").select("doc_id"))
