@@ -87,4 +87,5 @@ def op7_bwt_dedup(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-ORACLE |= {"op1_chat_trees": sql.OP1, "op4_decontamination": sql.OP4, "op10_licences": sql.OP10}
+ORACLE |= {"op1_chat_trees": sql.OP1, "op4_decontamination": sql.OP4, "op6_ngram_join": sql.OP6,
+           "op7_bwt_dedup": sql.OP7, "op10_licences": sql.OP10}

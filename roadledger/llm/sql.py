@@ -86,3 +86,51 @@ from docs left join named using (d)"""
 
 
 OP10 = _licences()
+
+# Texts as hexadecimal digits, two a byte; taken apart in steps, as long strings are slow to cut.
+OP7 = """
+with docs as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+parts as (
+  select doc_id, n, a, substr(h, 2 * a + 1, 610) as part
+  from (select doc_id, n, h, unnest(range(0, n, 256)) as a from docs)),
+places as (
+  select doc_id, n, a + k as q, substr(part, 2 * k + 1, 100) as s
+  from (select *, unnest(range(0, least(256, n - a))) as k from parts)),
+windows as (select doc_id, q as p, s from places where q + 50 <= n),
+firsts as (select s, min(doc_id) as low from windows group by s),
+hits as (select doc_id, p from windows join firsts using (s) where low < doc_id),
+bytes as (select doc_id, q, left(s, 2) as x from places),
+marked as (
+  select b.doc_id, q, x, coalesce(q - max(p) over (partition by b.doc_id order by q) < 50, false) as gone
+  from bytes b left join hits on hits.doc_id = b.doc_id and p = q),
+runs as (
+  select *, gone and not coalesce(lag(gone) over (partition by doc_id order by q), false) as opens from marked),
+done as (
+  select doc_id, count(*) filter (where gone) as n_removed, count(*) filter (where opens) as n_spans,
+    string_agg(x, '' order by q) filter (where not gone) as kept
+  from runs group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(kept, ''))) as kept_sha256
+from docs left join done using (doc_id)"""
+
+OP6 = r"""
+with recursive docs as (
+  select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as ws from documents),
+shingles as (
+  select distinct doc_id, list_slice(ws, a, a + 2) as s
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) as a from docs where len(ws) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as u, b.doc_id as v, count(*) as shared
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select u, v from common join sizes x on x.doc_id = u join sizes y on y.doc_id = v
+  where 100 * shared >= 90 * (x.n + y.n - shared)),
+edges as (select u, v from links union all select v, u from links),
+reached(doc_id, node) as (
+  select doc_id, doc_id from docs union select r.doc_id, e.v from reached r join edges e on e.u = r.node),
+lowest as (select doc_id, min(node) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0) as n_shingles, component_id
+from docs join lowest using (doc_id) left join sizes using (doc_id)"""
