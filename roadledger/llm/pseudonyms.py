@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import functools
 import hashlib
+import math
 import re
 from collections.abc import Callable
 
@@ -24,9 +25,7 @@ class Feistel:
 
     def __init__(self, key: bytes, kind: str, n: int):
         self.n = n
-        self.a = max(2, int(n ** 0.5))
-        while self.a * self.a < n:
-            self.a += 1
+        self.a = max(2, math.isqrt(n - 1) + 1)
         self.b = -(-n // self.a)
         self.salt = f"{kind}:{n}:".encode()
         self.key = hashlib.blake2b(key, digest_size=32).digest()
