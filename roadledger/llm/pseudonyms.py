@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from .common import small_batches
 
 ROUNDS = 8
+# Characters permuted as one number: 26 ** BLOCK keeps each half of a network below the 128 bits
+# that a round adds.
+BLOCK = 40
 
 
 class Feistel:
@@ -92,7 +95,7 @@ class Pseudonyms:
         self.kinds: list[tuple[re.Pattern, Callable[[re.Match], str | None]]] = [
             (re.compile(r"(?<![\w.+-])([A-Za-z0-9][\w.+-]{0,63})@((?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])"), self._email),
             (re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])"), self._access_key),
-            (re.compile(r"""(?i)(?<![a-z0-9])((?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?)([^\s"']{4,200})"""), self._secret),
+            (re.compile(r"""(?i)(?<![a-z0-9])((?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?)([^\s"']{4,})"""), self._secret),
             (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), self._iban),
             (re.compile(r"(?<![\d.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\d|\.\d)"), self._ip),
             (re.compile(r"(?<![\w.-])(\d{4})-(\d{2})-(\d{2})(?![\w-])"), self._iso_date),
@@ -121,12 +124,20 @@ class Pseudonyms:
         return out[::-1]
 
     def _characters(self, kind: str, text: str, hexadecimal: bool = False) -> str:
-        """Digits become digits and letters letters of the same case; the rest stays."""
+        """Digits become digits and letters letters of the same case; the rest stays.
+
+        More than ``BLOCK`` of them are dealt into blocks of about equal length, each with
+        permutations of its own place.
+        """
         letters = "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz"
         at = [k for k, c in enumerate(text) if c.isascii() and c.isalnum()]
         pairs = [(int(text[k]), 10) if text[k].isdigit() else (letters.index(text[k].lower()), len(letters)) for k in at]
+        blocks = max(1, -(-len(at) // BLOCK))
+        cuts = [len(at) * b // blocks for b in range(blocks + 1)]
+        fresh = [v for b, (i, j) in enumerate(zip(cuts, cuts[1:]))
+                 for v in self._mixed(f"{kind} block {b}" if b else kind, pairs[i:j])]
         out = list(text)
-        for k, (v, (_, radix)) in zip(at, zip(self._mixed(kind, pairs), pairs)):
+        for k, v, (_, radix) in zip(at, fresh, pairs):
             c = str(v) if radix == 10 else letters[v]
             out[k] = c.upper() if text[k].isupper() else c
         return "".join(out)
@@ -146,10 +157,19 @@ class Pseudonyms:
     def _access_key(self, m):
         return m[1][:4] + self._characters("access key", m[1][4:])
 
+    def _hidden(self, value: str) -> str:
+        return self._characters("secret", value, bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)))
+
     def _secret(self, m):
         if not any(c.isascii() and c.isalnum() for c in m[2]):
             return None
-        return m[1] + self._characters("secret", m[2], bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", m[2])))
+        return m[1] + self._hidden(m[2])
+
+    def _around(self, m, taken: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+        """What a secret has before, between and after values of other kinds, each replaced."""
+        edges = [m.start(2), *[x for span in sorted(taken) for x in span], m.end(2)]
+        gaps = [(a, b, m.string[a:b]) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+        return [(a, b, self._hidden(t)) for a, b, t in gaps if any(c.isascii() and c.isalnum() for c in t)]
 
     def _iban(self, m):
         plain = m[0].replace(" ", "")
@@ -242,7 +262,10 @@ class Pseudonyms:
                 continue
             for m in pattern.finditer(text):
                 # Kinds come in order of precedence: no value is replaced twice.
-                if any(a < m.end() and m.start() < b for a, b, _ in found):
+                taken = [(a, b) for a, b, _ in found if a < m.end() and m.start() < b]
+                if taken:
+                    if change == self._secret:
+                        found += self._around(m, taken)
                     continue
                 fresh = change(m)
                 if fresh is not None:
@@ -264,7 +287,10 @@ def pseudonymize(docs: DataFrame, key: str, *, counted: bool = False, undo: bool
 
     Kinds: e-mail addresses (local part), access keys, passwords and tokens after their name,
     IBANs (mod 97), IPv4 addresses, calendar dates from 1900 to 2099, US social security numbers,
-    payment cards (Luhn), North American and +country phone numbers. Equal values become equal
+    payment cards (Luhn), North American and +country phone numbers. Values of any length are
+    replaced whole, long ones in blocks of ``BLOCK`` characters at most; equal blocks at the same
+    place of equally long values get equal pseudonyms. A secret that holds an address or access
+    key has that replaced as such and the rest around it as a secret. Equal values become equal
     pseudonyms everywhere, whatever separators they are written with; formats, separators and
     check digits hold; no value stays itself. The key holder can undo it, value by value (a date
     written with one-digit parts comes back with two).

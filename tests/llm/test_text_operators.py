@@ -93,6 +93,30 @@ def test_values_keep_their_format_and_can_be_restored(value):
     assert Pseudonyms(b"other").replace(text)[0] != out
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+LONG = ["token = " + "9f8e7d6c5b4a3210" * 4, "secret: " + (LETTERS + "0123456789") * 5 + LETTERS[:20], "token=" + "eyJhbGciOi.Jz-_" * 60,
+        "password=" + LETTERS + "0123456789abcde", (LETTERS * 3)[:64] + "@mail.example.com"]
+
+
+@pytest.mark.parametrize("text", LONG)
+def test_long_values_leave_no_part_in_clear(text):
+    hide, show = Pseudonyms(b"key"), Pseudonyms(b"key", undo=True)
+    out, n = hide.replace(f"x {text} y")
+    assert n == 1 and show.replace(out) == (f"x {text} y", 1)
+    head = 0 if "@" in text else re.match(r"\w+ ?[=:] ?", text).end()
+    value, fresh = text[head:].split("@")[0], out[2 + head:-2].split("@")[0]
+    assert len(value) == len(fresh)
+    # No run of a dozen characters stays, at the beginning and the end neither.
+    assert all(value[k:k + 12] != fresh[k:k + 12] for k in range(len(value) - 11))
+
+
+def test_secrets_around_other_values():
+    text = "token=abcdefgh123/joe.doe@mail.example.com/" + "zyxwvuts" * 30
+    out, _ = Pseudonyms(b"key").replace(text)
+    assert "abcdefgh123" not in out and "joe.doe" not in out and "zyxwvuts" not in out and "@mail.example.com/" in out
+    assert Pseudonyms(b"key", undo=True).replace(out)[0] == text
+
+
 def test_equal_values_stay_linked_whatever_their_separators():
     hide = Pseudonyms(b"key").replace
     a, b = hide("4041894974608795")[0], hide("4041 8949 7460 8795")[0]
