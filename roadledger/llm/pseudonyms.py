@@ -82,6 +82,15 @@ def _iban_check(country: str, rest: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}"
 
 
+# Length of a country's IBANs.
+IBAN_LENGTH = {c: int(n) for c, n in (x.split(":") for x in (
+    "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 "
+    "EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 "
+    "IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 MC:27 MD:24 ME:22 MK:19 MR:27 MT:31 MU:30 NL:18 "
+    "NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SE:24 SI:19 SK:24 SM:27 ST:25 TL:23 TN:24 TR:26 "
+    "UA:29 VA:22 VG:24 XK:20").split())}
+
+
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 
@@ -172,15 +181,21 @@ class Pseudonyms:
         return [(a, b, self._hidden(t)) for a, b, t in gaps if any(c.isascii() and c.isalnum() for c in t)]
 
     def _iban(self, m):
-        plain = m[0].replace(" ", "")
-        country, check, rest = plain[:2], plain[2:4], plain[4:]
-        if not 15 <= len(plain) <= 34 or _iban_check(country, rest) != check:
-            return None
-        rest = self._characters("iban " + country, rest)
-        fresh, out = iter(country + _iban_check(country, rest) + rest), ""
-        for c in m[0]:
-            out += c if c == " " else next(fresh)
-        return out
+        """An IBAN at the start of the match, which may run on into words that follow: it ends at
+        a space or where the match does. The country's length comes first, then the longest."""
+        text = m[0]
+        ends = [len(text), *[k for k in range(len(text) - 1, 0, -1) if text[k] == " "]]
+        known = IBAN_LENGTH.get(text[:2])
+        if known:
+            ends = [k for k in ends if k - text.count(" ", 0, k) == known] + ends[:1]
+        for k in ends:
+            plain = text[:k].replace(" ", "")
+            country, check, rest = plain[:2], plain[2:4], plain[4:]
+            if 15 <= len(plain) <= 34 and _iban_check(country, rest) == check:
+                rest = self._characters("iban " + country, rest)
+                fresh = iter(country + _iban_check(country, rest) + rest)
+                return "".join(c if c == " " else next(fresh) for c in text[:k])
+        return None
 
     def _ip(self, m):
         parts = [int(x) for x in m.groups()]
@@ -254,22 +269,36 @@ class Pseudonyms:
             return None
         return self._digits("phone " + str(n), m[0], first=2)
 
+    def _matches(self, pattern, change, text: str):
+        """(match, its end, pseudonym or None). An IBAN may take less than the match: the rest,
+        and a failed match but its first character, are looked at again."""
+        if change != self._iban:
+            yield from ((m, m.end(), None) for m in pattern.finditer(text))
+            return
+        m = pattern.search(text)
+        while m:
+            fresh = change(m)
+            end = m.start() + len(fresh) if fresh else m.start() + 1
+            if fresh:
+                yield m, end, fresh
+            m = pattern.search(text, end)
+
     def replace(self, text: str) -> tuple[str, int]:
         """The text with every value replaced, and how many were."""
         found: list[tuple[int, int, str]] = []
         for k, (pattern, change) in enumerate(self.kinds):
             if k == 0 and "@" not in text:
                 continue
-            for m in pattern.finditer(text):
+            for m, end, fresh in self._matches(pattern, change, text):
                 # Kinds come in order of precedence: no value is replaced twice.
-                taken = [(a, b) for a, b, _ in found if a < m.end() and m.start() < b]
+                taken = [(a, b) for a, b, _ in found if a < end and m.start() < b]
                 if taken:
                     if change == self._secret:
                         found += self._around(m, taken)
                     continue
-                fresh = change(m)
+                fresh = fresh or change(m)
                 if fresh is not None:
-                    found.append((m.start(), m.end(), fresh))
+                    found.append((m.start(), end, fresh))
         if not found:
             return text, 0
         out, at = [], 0

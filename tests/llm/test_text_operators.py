@@ -117,6 +117,20 @@ def test_secrets_around_other_values():
     assert Pseudonyms(b"key", undo=True).replace(out)[0] == text
 
 
+ES, BE = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+
+
+@pytest.mark.parametrize("text, values", [
+    (f"{ES} BIC CAIXESBB", [ES]), (f"{BE} KRED", [BE]), (f"{BE} {ES} {BE}", [BE, ES, BE]), (f"{ES.replace(' ', '')} BIC", [ES.replace(" ", "")]),
+    (f"AB12 3456 7890 {ES}", [ES]), ("GB82 WEST 1234 5698 7654 32 IBAN", ["GB82 WEST 1234 5698 7654 32"])])
+def test_ibans_end_before_the_words_that_follow(text, values):
+    out, n = Pseudonyms(b"key").replace(f"to {text}.")
+    assert n == len(values) and not any(v in out for v in values)
+    assert Pseudonyms(b"key", undo=True).replace(out) == (f"to {text}.", n)
+    for word in ("BIC", "CAIXESBB", "KRED", "IBAN", "AB12 3456 7890"):
+        assert (word in out) == (word in text)
+
+
 def test_equal_values_stay_linked_whatever_their_separators():
     hide = Pseudonyms(b"key").replace
     a, b = hide("4041894974608795")[0], hide("4041 8949 7460 8795")[0]
