@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -10,11 +13,6 @@ from pyspark.sql import functions as F
 
 from .common import components, small_batches, without, written
 
-SHINGLE = 3
-# Similarity as a fraction: linked when DEN * intersection >= NUM * union.
-NUM, DEN = 90, 100
-# Set sizes are banded by this ratio; a set also stands in the next band when a partner can.
-BAND_RATIO = 1.5
 # Members of a family compared at once, and columns of one fragment of the comparison.
 BLOCK = 512
 COLUMNS = 4096
@@ -24,6 +22,11 @@ CACHE_WORDS = 400_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
+def _factor(k: int) -> np.uint64:
+    """An odd number for the k-th word of a shingle."""
+    return _MIX[k] if k < len(_MIX) else np.uint64(xxhash.xxh3_64_intdigest(b"%d" % k) | 1)
+
+
 class _Hashes(dict):
     """64-bit hash of each word; forgotten when there are many."""
 
@@ -36,6 +39,53 @@ class _Hashes(dict):
 
 _hashes = _Hashes()
 
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and similarity as a fraction: linked when den * intersection >= num * union."""
+
+    shingle: int
+    num: int
+    den: int
+
+    @functools.cached_property
+    def bands(self) -> np.ndarray:
+        """Smallest size of each band. Sizes of linked sets are in the same or in the next band; a
+        set also stands in the next one when a partner can."""
+        wide = self.num * 10 >= self.den * 9
+        out = [1]
+        while out[-1] < 1 << 40:
+            low = out[-1]
+            out.append(max(low + 1, low * 3 // 2 if wide else -(-low * self.den // self.num)))
+        return np.array(out, dtype=np.int64)
+
+    @property
+    def least(self) -> int:
+        """A fragment in which a set has fewer elements gives no key: texts that only share a
+        passage could agree in it by chance. Below 0.9 there are more fragments, with fewer each."""
+        return 3 if self.num * 10 >= self.den * 9 else 2
+
+    def differ(self, n: int, partner: int) -> int:
+        """Most elements that only one of two linked sets of these sizes has.
+
+        |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s).
+        """
+        return (self.den - self.num) * (n + partner) // (self.den + self.num)
+
+    def fragments(self, band: int) -> int:
+        """More than two linked sets of the band can differ in: as many spare ones, which may have
+        fewer than ``least`` elements, as leave most sets enough others."""
+        largest = int(self.bands[band + 1]) - 1
+        differ = self.differ(largest, largest)
+        return differ + 1 + ((-(-differ // 7) if self.least == 3 else -(-differ * 5 // 8)) + 1 if differ else 0)
+
+    def needed(self, n: int) -> int:
+        """Least elements that a set of ``n`` has in common with a linked one."""
+        return -(-n * self.num // self.den)
+
+
+# The rule of op6, and of the pipeline's stage.
+CONTRACT, STAGE = Rule(3, 90, 100), Rule(5, 80, 100)
+
 
 def _scatter(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit numbers; one to one."""
@@ -44,73 +94,45 @@ def _scatter(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_set(text: str | None) -> np.ndarray:
+def shingle_set(text: str | None, rule: Rule = CONTRACT) -> np.ndarray:
     """Sorted 64-bit hashes of the different shingles: the global order is that of the hashes."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(h) - SHINGLE + 1)
-    total = np.full(n, np.uint64(min(len(h), SHINGLE)), np.uint64)
-    for k in range(min(len(h), SHINGLE)):
-        total = _scatter(total + h[k:k + n] * _MIX[k])
+    n = max(1, len(h) - rule.shingle + 1)
+    total = np.full(n, np.uint64(min(len(h), rule.shingle)), np.uint64)
+    for k in range(min(len(h), rule.shingle)):
+        total = _scatter(total + h[k:k + n] * _factor(k))
     return np.unique(total)
 
 
-def _bounds() -> np.ndarray:
-    """Smallest size of each band."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(max(out[-1] + 1, int(out[-1] * BAND_RATIO)))
-    return np.array(out, dtype=np.int64)
-
-
-_BANDS = _bounds()
-
-
-# A fragment in which a set has fewer elements gives no key: texts that only share a passage
-# could agree in it by chance.
-LEAST = 3
-
-
-def _fragments(band: int) -> tuple[int, int]:
-    """(fragments, of them spare): more than two linked sets of the band can differ in.
-
-    |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s). Spare ones, a seventh
-    and one more, may have fewer than ``LEAST`` elements.
-    """
-    largest = int(_BANDS[band + 1]) - 1
-    differ = (DEN - NUM) * 2 * largest // (DEN + NUM)
-    spare = -(-differ // 7) + 1 if differ else 0
-    return differ + 1 + spare, spare
-
-
-def fragment_keys(s: np.ndarray) -> np.ndarray:
+def fragment_keys(s: np.ndarray, rule: Rule = CONTRACT) -> np.ndarray:
     """Hashes of the set's share of each fragment of the global order, with band and fragment.
 
-    Linked sets agree wholly in all fragments but those they differ in, so in more fragments
-    than are spare. As long as one of the two has no more fragments with too few elements than
-    are spare, they share a key. A set with more of them adds the band's keys of a prefix filter:
-    its first elements in the global order, one more than a linked set can lack; two such sets
-    share one of those. Where no linked sets can differ at all there are no keys.
+    Linked sets agree wholly in all fragments but those they differ in. As long as one of the two
+    has more fragments with enough elements than its linked sets can differ in, they share a key.
+    A set with fewer adds the band's keys of a prefix filter: its first elements in the global
+    order, one more than a linked set can lack; two such sets share one of those. Where no linked
+    sets can differ at all there are no keys.
     """
     n, out = len(s), []
     if not n:
         return np.empty(0, np.uint64)
-    band = int(np.searchsorted(_BANDS, n, side="right")) - 1
-    bands = [band] + [band + 1] * (n * DEN >= int(_BANDS[band + 1]) * NUM)
+    band = int(np.searchsorted(rule.bands, n, side="right")) - 1
+    bands = [band] + [band + 1] * (n * rule.den >= int(rule.bands[band + 1]) * rule.num)
     for b in bands:
-        cuts, spare = _fragments(b)
+        cuts = rule.fragments(b)
         if cuts < 2:
             continue
         at = ((s >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         sums = np.add.reduceat(_scatter(s ^ _MIX[0]), starts)
         size = np.diff(np.concatenate([starts, [n]])).astype(np.uint64)
-        keys = _scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b)))[size >= LEAST]
+        keys = _scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b)))[size >= rule.least]
         out.append(keys)
-        if cuts - len(keys) > spare:
-            out.append(_scatter((s[:n - -(-n * NUM // DEN) + 1] ^ _MIX[2]) + np.uint64(b)))
+        if len(keys) <= rule.differ(n, min(int(rule.bands[b + 1]) - 1, n * rule.den // rule.num)):
+            out.append(_scatter((s[:n - rule.needed(n) + 1] ^ _MIX[2]) + np.uint64(b)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -127,7 +149,7 @@ DOCUMENT, KEY, LINK = 0, 1, 2
 HELD_KEYS = 1 << 20
 
 
-def _sketch(docs: DataFrame) -> DataFrame:
+def _sketch(docs: DataFrame, rule: Rule) -> DataFrame:
     """One pass over the texts. DOCUMENT rows: doc_id, n_shingles, node (a hash of the whole set,
     null for an empty one). KEY rows: a fragment key and a node that has it. LINK rows: two nodes
     that share a key. A task links the holders of a key among the texts it has at hand and passes
@@ -162,8 +184,8 @@ def _sketch(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, found = [], []
             for text in batch.column("text").to_pylist():
-                s = shingle_set(text)
-                node, k = node_of(s), fragment_keys(s)
+                s = shingle_set(text, rule)
+                node, k = node_of(s), fragment_keys(s, rule)
                 sizes.append(len(s))
                 found.append(node)
                 if len(k):
@@ -195,22 +217,22 @@ def _families(sketch: DataFrame) -> DataFrame:
     return found.select("node", F.col("component").alias("family"))
 
 
-def _bands_of(n):
+def _bands_of(n, rule: Rule):
     """The size bands, own and perhaps next, in which a set of ``n`` elements meets its partners."""
-    bounds = F.array(*[F.lit(int(x)) for x in _BANDS])
+    bounds = F.array(*[F.lit(int(x)) for x in rule.bands])
     band = F.size(F.filter(bounds, lambda x: x <= n)) - 1
-    reaches = n * DEN >= F.get(bounds, band + 1) * NUM
+    reaches = n * rule.den >= F.get(bounds, band + 1) * rule.num
     return F.when(reaches, F.array(band, band + 1)).otherwise(F.array(band))
 
 
-def _units(stands: DataFrame) -> DataFrame:
+def _units(stands: DataFrame, rule: Rule) -> DataFrame:
     """(node, units): the comparisons a node takes part in, as (band, x, y).
 
     A family is dealt by size band, and a band with many sets into blocks by hash; each pair of
     blocks is one comparison, so a large family is spread over tasks and sets of sizes that
     cannot be linked do not meet.
     """
-    banded = stands.select("node", "family", F.explode(_bands_of(F.col("n_shingles"))).alias("band"))
+    banded = stands.select("node", "family", F.explode(_bands_of(F.col("n_shingles"), rule)).alias("band"))
     size = banded.groupBy("family", "band").agg(
         F.count(F.lit(1)).alias("m"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("m > 1")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -220,7 +242,7 @@ def _units(stands: DataFrame) -> DataFrame:
         F.flatten(F.collect_list(pairs)).alias("units"))
 
 
-def _sets(texts: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, rule: Rule) -> DataFrame:
     """(family, band, x, y, node, data): the shingle sets of documents that stand for a node, once
     for each comparison."""
     names = ["family", "band", "x", "y", "node", "data"]
@@ -230,7 +252,7 @@ def _sets(texts: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for node, family, units, text in zip(*(batch.column(c).to_pylist() for c in ("node", "family", "units", "text"))):
-                s = shingle_set(text)
+                s = shingle_set(text, rule)
                 if node_of(s) == node:  # a repeated doc_id also brings texts of other sets
                     out += [(family, u["band"], u["x"], u["y"], node, s.tobytes()) for u in units]
             if out:
@@ -240,7 +262,7 @@ def _sets(texts: DataFrame) -> DataFrame:
         measure, "family long, band int, x int, y int, node long, data binary")
 
 
-def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
+def linked_labels(sets: list[np.ndarray], rule: Rule = CONTRACT) -> np.ndarray:
     """For each set the smallest index it is linked with through others of the list.
 
     The global order is cut into fragments of ``COLUMNS`` elements. In each, a product of 0/1
@@ -263,7 +285,7 @@ def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
         part[owner[a:b], column[a:b] - low] = 1
         overlap += part @ part.T
     both = overlap.astype(np.int64)
-    linked = DEN * both >= NUM * (sizes[:, None] + sizes[None, :] - both)
+    linked = rule.den * both >= rule.num * (sizes[:, None] + sizes[None, :] - both)
     labels = np.arange(m)
     while True:
         lower = np.where(linked, labels[None, :], m).min(axis=1)
@@ -273,7 +295,7 @@ def linked_labels(sets: list[np.ndarray]) -> np.ndarray:
         labels = np.minimum(labels, lower)
 
 
-def _links(sets: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, rule: Rule) -> DataFrame:
     """(node, other) for linked sets: a few per set, enough to connect them. A task compares one
     unit after the other, as they come sorted."""
     unit_of = ("family", "band", "x", "y")
@@ -282,7 +304,7 @@ def _links(sets: DataFrame) -> DataFrame:
         unit, nodes, sets = None, [], []
 
         def done():
-            labels = linked_labels(sets) if len(sets) > 1 else []
+            labels = linked_labels(sets, rule) if len(sets) > 1 else []
             return [(nodes[k], nodes[at]) for k, at in enumerate(labels) if k != at]
 
         def out(found):
@@ -305,8 +327,8 @@ def _links(sets: DataFrame) -> DataFrame:
     return sets.repartition(*unit_of).sortWithinPartitions(*unit_of).mapInArrow(compare, "node long, other long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document.
+def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document, by shingles and similarity of ``rule``.
 
     Documents with equal sets are one node from the start, however many copies there are.
     Fragment keys find the nodes that can be linked at all; sets of chained nodes are compared
@@ -320,15 +342,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(_sketch(source), "sketch")
+    sketch = written(_sketch(source, rule), "sketch")
     seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", "n_shingles", "node")
     families = written(_families(sketch), "families")
     # One document for each node that has company.
     stands = written(seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
         "node", "family", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "stands")
     # A list of documents grows with the corpus: the same merge join at every size.
-    sets = _sets(source.join(stands.join(_units(stands), "node").hint("merge"), "doc_id"))
-    linked = components(_links(sets), "node", "other", "links").withColumnRenamed("component", "root")
+    sets = _sets(source.join(stands.join(_units(stands, rule), "node").hint("merge"), "doc_id"), rule)
+    linked = components(_links(sets, rule), "node", "other", "links").withColumnRenamed("component", "root")
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -338,6 +360,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    groups = near_duplicates(docs)
+    """One document of each group of near duplicates by ``STAGE``, the one with the smallest id."""
+    groups = near_duplicates(docs, STAGE)
     return without(docs, groups.where("doc_id <> component_id").select("doc_id"))

@@ -73,7 +73,7 @@ def op4_decontamination(spark, sf_dir):
 
 @query
 def op6_ngram_join(spark, sf_dir):
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.CONTRACT)
 
 
 @query

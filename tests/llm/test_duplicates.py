@@ -124,6 +124,33 @@ def test_linked_sets_always_share_a_key():
                 assert len(np.intersect1d(ngram_join.fragment_keys(a), ngram_join.fragment_keys(b))), (n, drop)
 
 
+@pytest.mark.parametrize("rule", [ngram_join.STAGE, ngram_join.Rule(5, 70, 100), ngram_join.Rule(2, 95, 100)])
+def test_linked_sets_share_a_key_under_other_rules(rule):
+    rng = np.random.default_rng(5)
+    tried = 0
+    for n in [*range(1, 60), 90, 150, 400, 1500]:
+        for _ in range(12):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+            b = np.setdiff1d(a, rng.choice(a, rng.integers(0, int(n * (1 - rule.num / rule.den)) + 1), replace=False))
+            b = np.union1d(b, rng.integers(0, 1 << 63, rng.integers(0, int(n * 0.15) + 1)).astype(np.uint64))
+            both = len(np.intersect1d(a, b))
+            if len(b) and rule.den * both >= rule.num * (len(a) + len(b) - both) and not np.array_equal(a, b):
+                tried += 1
+                assert len(np.intersect1d(ngram_join.fragment_keys(a, rule), ngram_join.fragment_keys(b, rule))), n
+                assert ngram_join.linked_labels([a, b], rule).tolist() == [0, 0]
+    assert tried > 100
+
+
+def test_stage_drops_copies_of_80_to_90_percent(spark, texts):
+    rng = random.Random(12)
+    fresh = lambda n: [f"z{rng.randrange(10**6)}" for _ in range(n)]
+    origin = fresh(200)
+    rows = [(1, origin), (2, origin + fresh(26)), (3, origin + fresh(48)), (4, origin[:100] + fresh(12) + origin[112:]),
+            (5, origin[:50] + fresh(17) + origin[67:]), (6, origin + fresh(60)), (7, origin[:50] + fresh(40) + origin[90:]), (8, fresh(200))]
+    out = ngram_join.keep_one(spark, texts(*[(i, " ".join(w)) for i, w in rows]), None)
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 6, 7, 8]
+
+
 def test_labels_connect_linked_sets(monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS", 4)
     chain = [np.arange(k, k + 40, dtype=np.uint64) for k in range(6)] + [np.arange(1000, 1040, dtype=np.uint64)]
