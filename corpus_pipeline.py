@@ -1,7 +1,7 @@
 """The corpus pipeline: quality, near duplicates, contamination, personal data, packing.
 
 Each stage works on all rows the one before it kept, has its input as ``docs`` and writes nothing
-that a later stage needs. Deciding stages drop documents whole; the personal-data stage changes
+that a later stage needs. Deciding stages drop rows whole, each by its own text; the personal-data stage changes
 texts; the last returns the packed pieces.
 """
 

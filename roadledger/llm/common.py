@@ -32,14 +32,23 @@ def small_batches(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not among ``ids`` (one column); null ids compare equal.
+# A row's key: 128 bits of its doc_id and text. Verdicts depend on those only.
+ROW = ("_row1", "_row2")
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    values = [F.col("doc_id").cast("long"), F.col("doc_id").isNull(), "text", F.col("text").isNull()]
+    return docs.withColumns({ROW[0]: F.xxhash64(*values), ROW[1]: F.xxhash64(F.lit(1), *values)})
+
+
+def without(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is not among ``rows``, without the key. Rows that share
+    only their doc_id, null or not, are told apart by their text.
 
     A list of documents grows with the corpus, so it is never broadcast: the same merge join at
     every size.
     """
-    listed = ids.distinct().toDF("_listed").hint("merge")
-    return docs.join(listed, docs["doc_id"].cast("long").eqNullSafe(listed["_listed"]), "left_anti")
+    return keyed.join(rows.select(*ROW).distinct().hint("merge"), list(ROW), "left_anti").drop(*ROW)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

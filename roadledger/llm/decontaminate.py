@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, without, written
+from .common import ROW, table, with_row_key, without, written
 
 WINDOW = 13  # words of an item that must occur one after the other
 SHINGLE = 4  # words of a token of the join
@@ -90,8 +90,9 @@ def _hit_positions(item: Column) -> Column:
     return F.flatten(F.transform(starts, lambda a: F.sequence(shift + a, shift + a + w - 1)))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document, and its
+    ``carried`` columns.
 
     ``items`` lists, sorted as strings, the ids of the items that have an occurring window.
     Documents and items without words (null text included) hit nothing. Rows with equal or
@@ -104,7 +105,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shuffles both sides, hot tokens split at run time, if not. Only documents with candidates
     carry item words through the last join.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carried)
     keyed = source.withColumn("doc", F.xxhash64("doc_id", "text"))
     items = written(items_of(benchmark).where(F.col("item_id").isNotNull()), "items")
     sizes = [r[0] for r in items.select(F.least("w", F.lit(SHINGLE))).distinct().collect()]
@@ -112,7 +113,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         none = F.lit(0).cast("long")
         return source.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), none.alias("n_hit"),
                              none.alias("n_items"), F.array().cast("array<string>").alias("items"),
-                             F.lit(False).alias("contaminated"))
+                             F.lit(False).alias("contaminated"), *carried)
     measured = items.withColumn("n_words", F.size("ws"))
     item_tokens = written(_occurrences(measured, ["item_id", "n_words", "w", "ws"], sizes).where(
         F.col("size") == F.least("w", F.lit(SHINGLE))).drop("ws"), "item-tokens")
@@ -124,20 +125,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     by_doc = placed.join(items, "item_id").groupBy("doc").agg(
         F.collect_list(F.struct("item_id", "shift", "ws", "w")).alias("placed"))
     both = keyed.join(by_doc, "doc", "left").select(
-        "doc_id", words(F.col("text")).alias("ws"), "placed")
+        "doc_id", words(F.col("text")).alias("ws"), "placed", *carried)
     hits = F.transform("placed", lambda p: F.struct(p["item_id"].alias("item_id"), _hit_positions(p).alias("at")))
     judged = both.select("doc_id", F.size("ws").cast("long").alias("n_words"),
-                         F.filter(hits, lambda h: F.size(h["at"]) > 0).alias("hits"))
+                         F.filter(hits, lambda h: F.size(h["at"]) > 0).alias("hits"), *carried)
     counted = judged.select(
         "doc_id", "n_words",
         F.coalesce(F.size(F.array_distinct(F.flatten("hits.at"))), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct("hits.item_id")), F.array().cast("array<string>")).alias("items"))
+        F.coalesce(F.array_sort(F.array_distinct("hits.item_id")), F.array().cast("array<string>")).alias("items"), *carried)
     return counted.select("doc_id", "n_words", F.when(F.col("n_hit") > 0, F.col("n_hit")).otherwise(0).alias("n_hit"),
                           F.size("items").cast("long").alias("n_items"), "items",
-                          ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+                          ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), *carried)
 
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not contaminated, with their columns."""
-    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, judged.where("contaminated").select("doc_id"))
+    """The documents that are not contaminated, with their columns. Each row goes or stays by its
+    own text, whatever other rows have its doc_id or none."""
+    keyed = with_row_key(docs)
+    judged = decontaminate(keyed, table(spark, sf_dir, "benchmark"), ROW)
+    return without(keyed, judged.where("contaminated"))

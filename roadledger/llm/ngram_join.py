@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, small_batches, without, written
+from .common import ROW, components, small_batches, with_row_key, without, written
 
 # Members of a family compared at once, and columns of one fragment of the comparison.
 BLOCK = 512
@@ -360,6 +360,23 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates by ``STAGE``, the one with the smallest id."""
-    groups = near_duplicates(docs, STAGE)
-    return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    """One document of each group of near duplicates by ``STAGE``, the one with the smallest id.
+
+    Rows without an id come after those with one and are compared like them. Of rows with equal
+    doc_id and different texts each is judged by its own; equal rows (doc_id and text) are one
+    group. Texts without words are in no group and all stay.
+    """
+    words = F.coalesce(F.col("text").rlike(r"[^\x09-\x0d ]"), F.lit(False))
+    # Equal rows become one in their task first, so many of them do not meet in one.
+    once = with_row_key(docs.where(words)).dropDuplicates(list(ROW))
+    # Keys stand for ids in the join: unlike these they are never null, and never shared.
+    keys = with_row_key(docs.where(words)).select("doc_id", "text", *ROW)
+    groups = near_duplicates(keys.select(F.col(ROW[0]).alias("doc_id"), "text"), STAGE)
+    groups = groups.select(F.col("doc_id").alias(ROW[0]), "component_id").distinct()
+    members = written(keys.select(F.col("doc_id").cast("long").alias("id"), *ROW).distinct().join(
+        groups.hint("merge"), ROW[0]), "members")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", *ROW)
+    first = members.groupBy("component_id").agg(F.min(order).alias("first"))
+    others = members.join(first, "component_id").where(
+        f"{ROW[0]} <> first.{ROW[0]} or {ROW[1]} <> first.{ROW[1]}")
+    return without(once, others).unionByName(docs.where(~words))

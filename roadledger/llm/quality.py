@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, without, written
+from .common import ROW, small_batches, table, with_row_key, without, written
 from .features import CLASSES, base_counts, class_counts
 
 FREQUENCIES = 192  # random Fourier features
@@ -41,8 +41,8 @@ def statistics(data: bytes) -> list[float]:
     ]
 
 
-def document_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, stats): whole texts; null as empty. No other column is read."""
+def document_statistics(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, stats) and the ``carried`` long columns: whole texts; null as empty. No other column is read."""
     small_batches(docs.sparkSession)
 
     def measure(batches):
@@ -50,10 +50,11 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             stats = [statistics((t or "").encode("utf-8", "surrogatepass"))
                      for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(stats, pa.list_(pa.float64()))], names=["doc_id", "stats"])
+                [batch.column("doc_id"), pa.array(stats, pa.list_(pa.float64())), *map(batch.column, carried)],
+                names=["doc_id", "stats", *carried])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        measure, "doc_id long, stats array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(
+        measure, ", ".join(["doc_id long, stats array<double>", *[f"{c} long" for c in carried]]))
 
 
 class Model:
@@ -173,14 +174,14 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document.
+def quality(docs: DataFrame, labels: DataFrame, *, cut: float = CUT, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document, and its ``carried`` long columns.
 
     Labels outside the held-out fifth are learned from; several rows of labels for one document
     all count, rows with a null label or id do not. Null and empty texts get the score of
     all-zero statistics. Equal texts get equal scores. An empty table gives no rows.
     """
-    stats = written(document_statistics(docs), "statistics")
+    stats = written(document_statistics(docs, carried), "statistics")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
     known = known.where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
     model = fit(written(stats.join(known, "doc_id").select("stats", "label"), "labelled"))
@@ -189,14 +190,17 @@ def quality(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFram
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(model.score(_matrix(batch)))], names=["doc_id", "score"])
+                    [batch.column("doc_id"), pa.array(model.score(_matrix(batch))), *map(batch.column, carried)],
+                    names=["doc_id", "score", *carried])
 
-    scored = stats.mapInArrow(score, "doc_id long, score double")
+    scored = stats.mapInArrow(score, ", ".join(["doc_id long, score double", *[f"{c} long" for c in carried]]))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                         (F.col("score") >= cut).cast("int").alias("predicted"))
+                         (F.col("score") >= cut).cast("int").alias("predicted"), *carried)
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier predicts to be good, with their columns."""
-    judged = quality(docs, table(spark, sf_dir, "labels"))
-    return without(docs, judged.where("predicted = 0").select("doc_id"))
+    """The documents that the classifier predicts to be good, with their columns. Each row goes or
+    stays by its own text, whatever other rows have its doc_id or none."""
+    keyed = with_row_key(docs)
+    judged = quality(keyed, table(spark, sf_dir, "labels"), carried=ROW)
+    return without(keyed, judged.where("predicted = 0"))

@@ -1,11 +1,13 @@
 """The registered queries against their SQL, and the pipeline stage by stage."""
 
+from collections import Counter
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from roadledger.llm import queries
+from roadledger.llm import quality, queries
 
 from .conftest import ODD
 
@@ -44,6 +46,30 @@ def test_pipeline_stages_keep_columns_and_drop_what_they_should(spark):
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.collect()}
 
 
+def test_stages_judge_each_row_by_its_text(spark, texts):
+    def left(k, rows):
+        out = corpus_pipeline.STAGES[k][1](spark, texts(*rows), FOLDER).collect()
+        return sorted(((r["doc_id"], r["text"]) for r in out), key=repr)
+
+    item = max((r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect() if r["text"]), key=len)
+    clean = [(None, "nothing in here"), (None, "nothing in here"), (5, "also fine"), (None, None), (5, "")]
+    assert left(2, [*clean, (None, item), (5, item)]) == sorted(clean, key=repr)
+
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.quality(docs, labels).join(docs, "doc_id").orderBy("score").select("text").collect()
+    bad, good = scored[0]["text"], scored[-1]["text"]
+    rows, far = [(None, good), (None, bad), (10**9, bad), (10**9, good), (10**9, good)], "doc_id is null or doc_id >= 1000000000"
+    out = corpus_pipeline.STAGES[0][1](spark, docs.unionByName(texts(*rows).select(docs.columns)), FOLDER).where(far).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == {(None, good): 1, (10**9, good): 2}
+
+    near = [f"n{k}" for k in range(100)]
+    a, b, c = (" ".join(near[:k]) for k in (100, 99, 98))
+    other, third = " ".join(f"o{k}" for k in range(50)), " ".join(f"t{k}" for k in range(50))
+    rows = [(3, a), (3, a), (None, b), (9, c), (9, other), (None, other), (None, third), (None, third), (4, None), (4, None), (None, " ")]
+    assert left(1, rows) == sorted([(3, a), (9, other), (None, third), (4, None), (4, None), (None, " ")], key=repr)
+    assert left(1, [(8, a), (None, b), (2, c), (2, b), (2, b)]) in ([(2, b)], [(2, c)])
+
+
 @pytest.mark.parametrize("k", range(5))
 def test_stages_take_odd_rows(spark, texts, k):
     docs = texts(*ODD)
