@@ -43,9 +43,11 @@ def _occurrences(rows: DataFrame, keep: list[str], sizes: list[int]) -> DataFram
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """Items with words: (item_id, ws, w) with the length w of a window of the item."""
+    """Items with words: (item, item_id, ws, w) with the length w of a window of the item. ``item``
+    tells rows of one item_id with different texts apart; equal rows are one item."""
     ws = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("ws"))
-    return ws.where(F.size("ws") > 0).withColumn("w", F.least(F.size("ws"), F.lit(WINDOW)))
+    known = ws.where(F.size("ws") > 0).withColumn("item", F.xxhash64(F.col("item_id").isNull(), "item_id", "ws"))
+    return known.dropDuplicates(["item"]).withColumn("w", F.least(F.size("ws"), F.lit(WINDOW)))
 
 
 def prefixes(item_tokens: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -56,22 +58,22 @@ def prefixes(item_tokens: DataFrame, frequency: DataFrame) -> DataFrame:
     share it. A shingle that never occurs rules its windows out.
     """
     rarity = item_tokens.join(frequency, ["size", "token"], "left").select(
-        "item_id", "n_words", "w", "size", "at", "token",
+        "item", "n_words", "w", "size", "at", "token",
         F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "at").alias("rank"))
     # The shingles of the window that begins at word a begin at a .. a + w - size.
     starts = rarity.select("*", F.explode(F.sequence(
         F.greatest(F.lit(0), F.col("at") - F.col("w") + F.col("size")),
         F.least("at", F.col("n_words") - F.col("w")))).alias("window"))
-    first = starts.groupBy("item_id", "window", "size").agg(F.min("rank").alias("r"))
-    return first.where("r.n > 0").select("item_id", "size", F.col("r.token").alias("token"),
+    first = starts.groupBy("item", "window", "size").agg(F.min("rank").alias("r"))
+    return first.where("r.n > 0").select("item", "size", F.col("r.token").alias("token"),
                                          F.col("r.at").alias("at")).distinct()
 
 
 def candidates(corpus_tokens: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc, item_id, shift): the item's first word would stand at word ``shift`` of the document."""
+    """(doc, item, shift): the item's first word would stand at word ``shift`` of the document."""
     tokens = corpus_tokens.select("doc", "size", F.col("at").alias("doc_at"), "token")
     return tokens.join(items, ["size", "token"]).select(
-        "doc", "item_id", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
+        "doc", "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
 
 
 def _hit_positions(item: Column) -> Column:
@@ -90,14 +92,16 @@ def _hit_positions(item: Column) -> Column:
     return F.flatten(F.transform(starts, lambda a: F.sequence(shift + a, shift + a + w - 1)))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...] = (), *,
+                  nameless: bool = False) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document, and its
     ``carried`` columns.
 
     ``items`` lists, sorted as strings, the ids of the items that have an occurring window.
     Documents and items without words (null text included) hit nothing. Rows with equal or
-    null doc_id are judged each by its own text. Items with equal texts are all listed; items
-    with null id are not. An empty benchmark or table leaves nothing hit. Other columns are
+    null doc_id are judged each by its own text. Items with equal texts are all listed; rows of
+    one item_id with different texts all count for it. Items with null id take no part or, with
+    ``nameless``, hit words like others but are not listed. An empty benchmark or table leaves nothing hit. Other columns are
     not read.
 
     The corpus is read twice: once for the occurrences of benchmark shingles, a narrow table,
@@ -107,7 +111,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carried)
     keyed = source.withColumn("doc", F.xxhash64("doc_id", "text"))
-    items = written(items_of(benchmark).where(F.col("item_id").isNotNull()), "items")
+    used = benchmark if nameless else benchmark.where(F.col("item_id").isNotNull())
+    items = written(items_of(used), "items")
     sizes = [r[0] for r in items.select(F.least("w", F.lit(SHINGLE))).distinct().collect()]
     if not sizes:
         none = F.lit(0).cast("long")
@@ -115,14 +120,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...
                              none.alias("n_items"), F.array().cast("array<string>").alias("items"),
                              F.lit(False).alias("contaminated"), *carried)
     measured = items.withColumn("n_words", F.size("ws"))
-    item_tokens = written(_occurrences(measured, ["item_id", "n_words", "w", "ws"], sizes).where(
+    item_tokens = written(_occurrences(measured, ["item", "n_words", "w", "ws"], sizes).where(
         F.col("size") == F.least("w", F.lit(SHINGLE))).drop("ws"), "item-tokens")
     wanted = item_tokens.select("size", "token").distinct()
     split = keyed.select("doc", words(F.col("text")).alias("ws"))
     found = written(_occurrences(split, ["doc"], sizes).join(wanted, ["size", "token"]), "occurrences")
     frequency = found.groupBy("size", "token").agg(F.count(F.lit(1)).alias("n"))
     placed = candidates(found, prefixes(item_tokens, frequency))
-    by_doc = placed.join(items, "item_id").groupBy("doc").agg(
+    by_doc = placed.join(items, "item").groupBy("doc").agg(
         F.collect_list(F.struct("item_id", "shift", "ws", "w")).alias("placed"))
     both = keyed.join(by_doc, "doc", "left").select(
         "doc_id", words(F.col("text")).alias("ws"), "placed", *carried)
@@ -132,7 +137,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...
     counted = judged.select(
         "doc_id", "n_words",
         F.coalesce(F.size(F.array_distinct(F.flatten("hits.at"))), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct("hits.item_id")), F.array().cast("array<string>")).alias("items"), *carried)
+        F.coalesce(F.array_sort(F.array_distinct(F.array_compact("hits.item_id"))), F.array().cast("array<string>")).alias("items"), *carried)
     return counted.select("doc_id", "n_words", F.when(F.col("n_hit") > 0, F.col("n_hit")).otherwise(0).alias("n_hit"),
                           F.size("items").cast("long").alias("n_items"), "items",
                           ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), *carried)
@@ -140,7 +145,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated, with their columns. Each row goes or stays by its
-    own text, whatever other rows have its doc_id or none."""
+    own text, whatever other rows have its doc_id or none. Passages of items without an id count."""
     keyed = with_row_key(docs)
-    judged = decontaminate(keyed, table(spark, sf_dir, "benchmark"), ROW)
+    judged = decontaminate(keyed, table(spark, sf_dir, "benchmark"), ROW, nameless=True)
     return without(keyed, judged.where("contaminated"))

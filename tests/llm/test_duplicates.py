@@ -63,6 +63,16 @@ def test_decontamination_equals_brute_force(spark, texts):
     assert clean.count() == len(rows) and clean.where("contaminated or n_hit > 0").count() == 0
 
 
+def test_items_that_share_an_id_or_have_none_are_found(spark, texts):
+    first, second, third = (" ".join(f"{c}{k}" for k in range(13)) for c in "pqr")
+    bench = spark.createDataFrame([("a", first), ("a", second), ("a", second), (None, third)], "item_id string, text string")
+    docs = texts((1, f"x {second} y"), (2, f"{third} z"), (3, "x y z"), (4, second + " " + third))
+    for nameless, third_hits in ((False, 0), (True, 13)):
+        got = {r["doc_id"]: (r["n_hit"], r["items"], r["contaminated"])
+               for r in decontaminate.decontaminate(docs, bench, nameless=nameless).collect()}
+        assert got == {1: (13, ["a"], True), 2: (third_hits, [], nameless), 3: (0, [], False), 4: (13 + third_hits, ["a"], True)}
+
+
 def shingles(text):
     w = WORD.findall((text or "").translate(LOWER))
     return frozenset(tuple(w[k:k + 3]) for k in range(max(1, len(w) - 2))) if w else frozenset()
