@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, chat_trees, decontaminate, divergence, licences, ngram_join, packing, pseudonyms, quality, sql, token_files
+from . import bwt_dedup, chat_trees, decontaminate, divergence, licences, ngram_join, packing, pseudonyms, quality, repair, resampling, sql, super_kmers, token_files
 from .common import table
 
 # The key of the sample tables; users pass their own.
@@ -87,5 +87,24 @@ def op7_bwt_dedup(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_super_kmers(spark, sf_dir):
+    left = super_kmers.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    ranked = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair_report(rows, repair.damage(rows))
+
+
 ORACLE |= {"op1_chat_trees": sql.OP1, "op4_decontamination": sql.OP4, "op6_ngram_join": sql.OP6,
-           "op7_bwt_dedup": sql.OP7, "op10_licences": sql.OP10}
+           "op7_bwt_dedup": sql.OP7, "op10_licences": sql.OP10,
+           "op11_super_kmers": sql.OP11, "op12_resampling": sql.OP12, "op13_repair": sql.OP13}

@@ -134,3 +134,134 @@ reached(doc_id, node) as (
 lowest as (select doc_id, min(node) as component_id from reached group by doc_id)
 select doc_id, coalesce(n, 0) as n_shingles, component_id
 from docs join lowest using (doc_id) left join sizes using (doc_id)"""
+
+
+# The same windows of words as strings; words hold no spaces.
+OP11 = r"""
+with docs as (
+  select doc_id, row_number() over () as d, [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+')
+    if x <> ''] as ws from documents),
+places as (select d, doc_id, ws, unnest(range(1, len(ws) - 48)) as a from docs where len(ws) >= 50),
+windows as (select d, doc_id, a, array_to_string(list_slice(ws, a, a + 49), ' ') as s from places),
+firsts as (select s, min(doc_id) as low from windows group by s),
+hits as (select d, a from windows join firsts using (s) where low < doc_id),
+words as (select d, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as q from docs),
+marked as (
+  select w.d, q, w, coalesce(q - max(a) over (partition by w.d order by q) < 50, false) as gone
+  from words w left join hits h on h.d = w.d and a = q),
+done as (
+  select d, count(*) filter (where gone) as n_removed, string_agg(w, ' ' order by q) filter (where not gone) as kept
+  from marked group by d)
+select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from docs left join done using (d)"""
+
+# CRC-32 of the strings of a table: bytes through the table of 256 remainders, made by its rule.
+_CRC_TABLE = """
+crc_table as (
+  select list(c order by k) as t from (
+    select k, list_reduce(list_prepend(k, range(8)), lambda a, b:
+      case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as c from range(256) r(k)))"""
+
+
+def _crc(strings: str, column: str) -> str:
+    return f"""
+  select {column}, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])),
+    4294967295) as crc
+  from (select {column}, [16 * (strpos('0123456789ABCDEF', h[2 * k + 1]) - 1) + strpos('0123456789ABCDEF', h[2 * k + 2]) - 1
+      for k in range(len(h) // 2)] as bytes
+    from (select {column}, hex(encode({column})) as h from ({strings}))), crc_table"""
+
+
+OP12 = rf"""
+with {_CRC_TABLE},
+docs as (select doc_id, row_number() over () as d, {_WORDS} as ws from documents),
+corpus as (select d, unnest(ws) as w from docs),
+target as (select unnest(ws) as w from (select {_WORDS} as ws from benchmark)),
+known as (select w, crc % 10000 as b from ({_crc("select distinct w from (select w from corpus union all select w from target)", "w")})),
+s as (select b, count(*) as n from corpus join known using (w) group by b),
+t as (select b, count(*) as n from target join known using (w) group by b),
+sums as (select coalesce((select sum(n) from s), 0) as sn, coalesce((select sum(n) from t), 0) as tn),
+gains as (
+  select b, cast(floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (sn + 10000) / ((s.n + 1)::double * (tn + 10000)))) as bigint)
+    as gain from s left join t using (b), sums),
+weights as (select d, sum(gain) as weight from corpus join known using (w) join gains using (b) group by d),
+scored as (
+  select doc_id, cast(len(ws) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) as h
+  from docs left join weights using (d)),
+noisy as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) as bigint) as score from scored),
+ranked as (
+  select *, case when n_features >= 20 then row_number() over (
+      partition by n_features >= 20 order by score desc, doc_id nulls last) end as place,
+    count(*) filter (where n_features >= 20) over () as able from noisy)
+select doc_id, n_features, weight, score, case when place <= 10 * able // 100 then place end as rank from ranked"""
+
+OP13 = rf"""
+with recursive {_CRC_TABLE},
+original as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as place from conversations),
+marks as (select place, crc % 20 as kind from ({_crc("select distinct place from original", "place")})),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from original join marks using (place) where kind <> 0),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    role[1] as initial from damaged),
+judged as (
+  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' end as fault,
+    lag(initial) over (partition by conv_id order by i) || initial as pair from ordered),
+counted as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where pair is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id),
+-- What may be done with a row: state before, initial the row must have, edits, their cost, state after.
+moves(st, needs, edits, price, nxt, stays) as (values
+  ('', 's', 'K', 0, 's', true), ('', 'u', 'K', 0, 'u', true), ('', 'a', 'IK', 2, 'a', true),
+  ('s', 'u', 'K', 0, 'u', true), ('s', 'a', 'IK', 2, 'a', true), ('u', 'a', 'K', 0, 'a', true),
+  ('u', 'u', 'IK', 2, 'u', true), ('a', 'u', 'K', 0, 'u', true), ('a', 'a', 'IK', 2, 'a', true),
+  ('', null, 'R', 2, 'u', true), ('', null, 'IR', 4, 'a', true), ('s', null, 'R', 2, 'u', true),
+  ('s', null, 'IR', 4, 'a', true), ('u', null, 'R', 2, 'a', true), ('u', null, 'IR', 4, 'u', true),
+  ('a', null, 'R', 2, 'u', true), ('a', null, 'IR', 4, 'a', true),
+  ('', null, 'D', 3, '', false), ('s', null, 'D', 3, 's', false), ('u', null, 'D', 3, 'u', false),
+  ('a', null, 'D', 3, 'a', false)),
+steps(conv_id, i, st, best) as (
+  select conv_id, 0, '', '00000000' from counted
+  union all
+  select p.conv_id, p.i + 1, nxt, min(printf('%08d', cast(left(best, 8) as bigint) + price
+      + case when stays and fault = 'truncated' then 1 else 0 end) || substr(best, 9) || edits)
+  from steps p join judged r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+  join moves m on m.st = p.st and (needs is null or needs = initial)
+    and (not stays or fault is null or fault = 'truncated')
+  group by p.conv_id, p.i, nxt),
+ends as (
+  select c.conv_id, min(case st when 'u' then printf('%08d', cast(left(best, 8) as bigint) + 2) || substr(best, 9) || 'I'
+      when 's' then printf('%08d', cast(left(best, 8) as bigint) + 4) || substr(best, 9) || 'II' else best end) as best
+  from counted c join steps p on p.conv_id is not distinct from c.conv_id and p.i = c.n group by c.conv_id),
+letters as (
+  select conv_id, unnest(range(9, len(best) + 1)) as q, best[unnest(range(9, len(best) + 1))] as edit from ends),
+taken as (select *, sum(case when edit = 'I' then 0 else 1 end) over (partition by conv_id order by q) as i from letters),
+left_ as (
+  select t.conv_id, q, edit, r.role, r.initial, r.text, row_number() over (partition by t.conv_id order by q) as k
+  from taken t left join judged r on r.conv_id is not distinct from t.conv_id and r.i = t.i and edit <> 'I'
+  where edit <> 'D'),
+named as (
+  select *, max(case when k = 1 and edit = 'K' and initial = 's' then 1 else 0 end) over (partition by conv_id) as lead from left_),
+texts as (
+  select conv_id, string_agg(case when edit = 'K' then role when (k - lead) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || coalesce(text, ''), chr(10) order by q) as repaired from named group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(cast(left(best, 8) as bigint), 0) as cost, coalesce(substr(best, 9), '') as audit,
+  sha256(coalesce(repaired, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counted c on c.conv_id is not distinct from o.conv_id
+left join ends e on e.conv_id is not distinct from o.conv_id
+left join texts x on x.conv_id is not distinct from o.conv_id"""
