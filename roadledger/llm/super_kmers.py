@@ -14,6 +14,7 @@ least document is a partial aggregate.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -194,6 +195,23 @@ def repeated_runs(strings: list[tuple[bytes, int]], length: int) -> Iterator[tup
         yield int(string[gone[k]]), int(place[gone[k]]), int(place[gone[k]] + n)
 
 
+def squeezed(rows: DataFrame) -> DataFrame:
+    """The same rows with their text as zlib bytes: whole texts are shuffled at half the size."""
+    others, types = [c for c in rows.columns if c != "text"], dict(rows.dtypes)
+
+    def squeeze(batches):
+        for batch in batches:
+            texts = [None if t is None else zlib.compress(t.encode(), 1) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in others], pa.array(texts, pa.binary())], names=[*others, "text"])
+
+    return rows.mapInArrow(squeeze, ", ".join([*[f"`{c}` {types[c]}" for c in others], "text binary"]))
+
+
+def unsqueezed(data: bytes | None) -> str | None:
+    return None if data is None else zlib.decompress(data).decode()
+
+
 def _travelling(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The packed strings of the ``wanted`` super-k-mers: rows (mini, h1, h2, low, large, string)."""
     one = F.struct("start", "n", *STRING, "large")
@@ -204,7 +222,7 @@ def _travelling(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             rows: list[tuple] = []
             size = 0
             for text, low, parts in zip(*(batch.column(c).to_pylist() for c in ("text", "low", "parts"))):
-                words, seen = text_words(text), set()
+                words, seen = text_words(unsqueezed(text)), set()
                 for p in parts:
                     key = tuple(p[c] for c in STRING)
                     if key not in seen:
@@ -222,7 +240,7 @@ def _travelling(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[*STRING, "low", "large", "string"])
 
-    texts = keyed.select(*ROW, "text").join(lists.hint("merge"), list(ROW)).select("text", "low", "parts")
+    texts = squeezed(keyed.select(*ROW, "text")).join(lists.hint("merge"), list(ROW)).select("text", "low", "parts")
     return texts.mapInArrow(pack, "mini long, h1 long, h2 long, low long, large boolean, string binary")
 
 
@@ -290,10 +308,12 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
     small_batches(docs.sparkSession)
     keyed = with_row_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = written(cuts(keyed, length, gram), "super-kmers")
-    strings = found.groupBy(*STRING).agg(F.min("doc_id").alias("low"))
+    strings = found.groupBy(*STRING).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     # Buckets with strings of different least documents; a bucket of one string is settled by it.
     open_ = strings.groupBy("mini").agg(F.min("low").alias("_a"), F.max("low").alias("_b"), F.count("*").alias("_n")).where("_a < _b")
     strings = strings.join(open_.select("mini", (F.col("_n") > BUCKET).alias("large")).hint("merge"), "mini", "left")
+    # Only strings that something is decided by: the others stand in one document, alone in their bucket.
+    strings = strings.where("low < high or large is not null").drop("high")
     told = written(
         found.join(strings.hint("merge"), list(STRING)).where("doc_id > low or large is not null"), "super-kmers-told")
     wanted = told.where("doc_id = low")
@@ -308,7 +328,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
         for batch in batches:
             sizes, gone, kept = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                words = text_words(text)
+                words = text_words(unsqueezed(text))
                 change = np.zeros(len(words) + 1, np.int32)
                 for s in spans or ():
                     change[s["a"]] += 1
@@ -321,5 +341,5 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
                 pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    whole = keyed.join(spans.hint("merge"), list(ROW), "left").select("doc_id", "text", "spans")
+    whole = squeezed(keyed).join(spans.hint("merge"), list(ROW), "left").select("doc_id", "text", "spans")
     return whole.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
