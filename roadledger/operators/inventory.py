@@ -2,26 +2,45 @@
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import struct
 from ..sources.paths import Files, or_empty
+from ..sources.writers import overwrite_atomically, recover_swap
 
 FILE_LIST = struct("path STRING, name STRING, bytes BIGINT, date DATE")
 CONSOLIDATED = "consolidated"
 
 
+# File-system calls under way at once.
+LISTERS = 16
+
+
 def list_files(spark: SparkSession, base: str, *, pattern: str = "*.parquet",
-               date_glob: str | None = None) -> DataFrame:
+               date_glob: str | None = None, dates: list[str] | None = None) -> DataFrame:
     """Path, name, size and partition date of every file under ``base``; no file is opened.
 
-    ``date_glob`` restricts the listing itself to matching ``date=`` folders, which bounds
-    what one listing holds: large tables are listed a month or a day at a time. Spark's
-    listing leaves out files of zero length, so a folder with more files than were listed
-    is searched for those.
+    ``dates`` or ``date_glob`` restricts the listing itself to those ``date=`` folders, which
+    bounds what one listing holds. Folders are listed in parallel by Spark. Its listing leaves
+    out files of zero length, so a folder with more files than were listed is searched for
+    those, several folders at a time.
     """
-    place = base if date_glob is None else f"{base}/date={date_glob}"
+    files = Files(spark, base)
+    if dates is not None:
+        there = {name for name, _ in files.states(base)}
+        folders = [f"{base}/date={day}" for day in dates if f"date={day}" in there]
+        places = folders
+    else:
+        folders = files.folders(f"{base}/date={date_glob or '*'}")
+        if not folders and date_glob is None:
+            folders = files.folders(base)
+        places = [base if date_glob is None else f"{base}/date={date_glob}"]
 
     def described(paths: DataFrame) -> DataFrame:
         return paths.select(
@@ -35,29 +54,82 @@ def list_files(spark: SparkSession, base: str, *, pattern: str = "*.parquet",
         return described(
             spark.read.format("binaryFile")
             .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-            .load(place)
+            .load(places)
             .select("path", F.col("length").alias("bytes"))
         )
 
+    if not places:
+        return spark.createDataFrame([], FILE_LIST)
     listed = or_empty(spark, FILE_LIST, read)
-    files = Files(spark, base)
-    folders = files.folders(f"{base}/date={date_glob or '*'}")
-    if not folders and date_glob is None:
-        folders = files.folders(base)
     inside = F.regexp_extract("path", r"(/date=[^/]+)/", 1)
     counted = {row["d"]: row["n"] for row in
                listed.groupBy(inside.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    empty = []
-    for folder in folders:
+
+    def empty_in(folder: str) -> list[str]:
         day = "/" + folder.rstrip("/").rsplit("/", 1)[-1]
         if files.count(folder) > counted.get(day if day.startswith("/date=") else "", 0):
-            empty += files.empty_files(folder, pattern)
+            return files.empty_files(folder, pattern)
+        return []
+
+    with ThreadPoolExecutor(LISTERS) as pool:
+        found = pool.map(inheritable_thread_target(spark)(empty_in), folders)
+        empty = [path for paths in found for path in paths]
     if not empty:
         return listed
     zero = spark.createDataFrame([(path, 0) for path in empty], "path STRING, bytes BIGINT")
     return listed.unionByName(described(zero))
 
 
+# A folder that changed so shortly before it was listed may change again within the clock's step.
+SETTLE_MS = 2000
+_FOLDERS = struct("day STRING, changed BIGINT")
+_KEPT = struct("path STRING, name STRING, bytes BIGINT, day STRING")
+
+
+@dataclass(frozen=True)
+class Listing:
+    """A kept listing: its files, the files and bytes of each date folder (empty ones with 0), and
+    which folders this refresh listed again or found gone."""
+
+    files: DataFrame
+    inventory: DataFrame
+    relisted: list[str]
+    gone: list[str]
+
+
+def refreshed_listing(spark: SparkSession, base: str, saved: str, *, pattern: str = "*.parquet",
+                      settle_ms: int = SETTLE_MS) -> Listing:
+    """The listing of ``base`` kept at ``saved``, brought up to date.
+
+    One call lists the date folders with their times of change. Only folders whose time differs
+    from the kept one are listed again; the files of the others come from the kept table. The
+    times are stored last: work that stops before that is done again by the next refresh.
+    """
+    place, times = Files(spark, saved), f"{saved}/folders"
+    recover_swap(spark, times)
+    clock = int(time.time() * 1000)
+    now = {name[5:]: changed for name, changed in Files(spark, base).states(base) if name.startswith("date=")}
+    then = {r["day"]: r["changed"] for r in or_empty(
+        spark, _FOLDERS, lambda: spark.read.schema(_FOLDERS).parquet(times)).collect()}
+    relisted = sorted(day for day, changed in now.items() if then.get(day) != changed)
+    gone = sorted(set(then) - set(now))
+    for day in relisted + gone:
+        place.delete(f"{saved}/files/day={day}", recursive=True)
+    if relisted:
+        fresh = list_files(spark, base, pattern=pattern, dates=relisted)
+        fresh.select("path", "name", "bytes", F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("day")) \
+            .hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(f"{saved}/files")
+    if relisted or gone:
+        known = [(day, changed if clock - changed > settle_ms else -1) for day, changed in sorted(now.items())]
+        overwrite_atomically(spark.createDataFrame(known, _FOLDERS), times)
+    kept = or_empty(spark, _KEPT, lambda: spark.read.schema(_KEPT).parquet(f"{saved}/files"))
+    files = kept.select("path", "name", "bytes", F.col("day").try_cast("date").alias("date"))
+    days = spark.createDataFrame([(day,) for day in sorted(now)], "day STRING").select(F.col("day").try_cast("date").alias("date"))
+    inventory = days.where("date is not null").join(partition_inventory(files), "date", "left").select(
+        "date", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("files", "bytes")])
+    return Listing(files, inventory, relisted, gone)
+
+
 def partition_inventory(files: DataFrame) -> DataFrame:
     """Files and bytes per date partition."""
     return files.where(F.col("date").isNotNull()).groupBy("date").agg(

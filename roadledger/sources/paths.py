@@ -53,6 +53,14 @@ class Files:
         """Paths matching ``glob``; for levels with few entries, such as dates."""
         return [s.getPath().toString() for s in self._fs.globStatus(self.path(glob)) or []]
 
+    def states(self, parent: str) -> list[tuple[str, int]]:
+        """Name and time of change (milliseconds) of each folder in ``parent``, from one listing.
+        A folder's time changes when a file is added to it, replaced or removed."""
+        if not self.exists(parent):
+            return []
+        return [(s.getPath().getName(), s.getModificationTime())
+                for s in self._fs.listStatus(self.path(parent)) if s.isDirectory()]
+
     def count(self, folder: str) -> int:
         """Files anywhere under ``folder``, in one call to the file system."""
         return self._fs.getContentSummary(self.path(folder)).getFileCount()

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions import event_ts
 from ..schemas import TELEMETRY, TELEMETRY_FILE, TELEMETRY_FILE_V1, with_columns
+from .manifest import only_live
 from .paths import or_empty
 
 TELEMETRY_FILES = "telemetry-*.parquet"
@@ -36,12 +37,12 @@ def telemetry(
     ``date_glob`` (``2024-01-*``) keeps other folders from being listed at all. With
     ``skip_corrupt`` unreadable files, and the rows after the damage in a partly readable one,
     are left out; :func:`skipped_files` reports both. Size alone leaves nothing out. A missing
-    path gives no rows.
+    path gives no rows. While a compaction replaces files, rows count once (see :mod:`.manifest`).
     """
     schema = with_columns(TELEMETRY_FILE, "date DATE")
 
     def read() -> DataFrame:
-        df = _reader(spark, schema, base, pattern, skip_corrupt).parquet(f"{base}/date={date_glob}")
+        df = only_live(_reader(spark, schema, base, pattern, skip_corrupt).parquet(f"{base}/date={date_glob}"), base)
         return df.withColumn("event_ts", event_ts(F.col("event_time"))).select(*TELEMETRY.names)
 
     return or_empty(spark, TELEMETRY, read)

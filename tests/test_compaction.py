@@ -41,7 +41,7 @@ def test_merges_and_keeps_every_row(spark, tmp_path):
     done = compaction.compact(spark, base, [DAY], dry_run=False).collect()
     assert [(r["status"], r["source_files"], r["written_files"], r["rows"]) for r in done] == [("COMPACTED", 6, 1, 1200)]
     names = parquet_names(base)
-    assert len(names) == 1 and names[0].startswith(f"telemetry-{DAY}-consolidated-")
+    assert len(names) == 1 and names[0].startswith("telemetry-consolidated-")
     assert rows(telemetry(spark, base)) == before
     assert os.listdir(f"{base}/_compaction") == []
 
@@ -110,40 +110,87 @@ def test_type_drift_needs_a_schema(spark, tmp_path):
                 .groupBy("device_battery_level").count()) == [(82.0, 500), (82.5, 500)]
 
 
-def test_many_files_are_compacted_in_groups(spark, tmp_path):
+def test_thirty_dates_are_one_write(spark, tmp_path, monkeypatch):
     base = str(tmp_path / "t")
-    write_small_files(spark, base, files=9, rows_each=50)
-    before = rows(telemetry(spark, base))
-    done = compaction.compact(spark, base, [DAY], dry_run=False, files_per_job=3).collect()
-    assert len(done) > 1 and sum(r["source_files"] for r in done) == 9
-    assert rows(telemetry(spark, base)) == before
+    days = [f"2024-01-{d:02d}" for d in range(1, 31)]
+    spark.range(30 * 5 * 200, numPartitions=5).select(
+        F.col("id").alias("policy_id"), F.concat(F.lit("VIN"), F.col("id")).alias("vin"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("date"),
+    ).write.partitionBy("date").option("mapreduce.output.basename", "telemetry").parquet(base)
+    before = rows(telemetry(spark, base).select("date", "policy_id", "vin"))
+    jobs = []
+    merge = compaction._merge
+    monkeypatch.setattr(compaction, "_merge", lambda *a: (jobs.append(a[3]), merge(*a))[1])
+    done = compaction.compact(spark, base, days, dry_run=False).collect()
+    assert jobs == [days]
+    assert {(str(r["date"]), r["status"], r["source_files"], r["written_files"], r["rows"]) for r in done} == {
+        (day, "COMPACTED", 5, 1, 1000) for day in days}
+    assert rows(telemetry(spark, base).select("date", "policy_id", "vin")) == before
+
+
+def moment(spark, base):
+    return rows(telemetry(spark, base).groupBy("date", "driver_id").count())
+
+
+@pytest.mark.parametrize("stop", ["written", "marked", "half moved", "moved", "committed", "half deleted"])
+def test_readers_see_each_row_once_whenever_a_run_stops(spark, tmp_path, monkeypatch, stop):
+    """A run that dies at each step: scans then, and after the next run has cleaned up."""
+    base = str(tmp_path / "t")
+    write_small_files(spark, base)
+    write_small_files(spark, base, day="2024-01-14")
+    before, expected = moment(spark, base), telemetry(spark, base).count()
+
+    class Stop(BaseException):
+        pass
+
+    def stop_now(*_):
+        raise Stop
+
+    def after(original, calls):
+        def act(self, *args, **kw):
+            result = original(self, *args, **kw)
+            calls[0] -= 1
+            if calls[0] == 0:
+                raise Stop
+            return result
+        return act
+
+    with monkeypatch.context() as patch:
+        if stop == "written":
+            patch.setattr(compaction, "write_text", stop_now)
+        elif stop == "marked":
+            patch.setattr(compaction, "_in_batches", stop_now)
+        elif stop == "half moved":
+            patch.setattr(compaction.Files, "rename", after(compaction.Files.rename, [1]))
+        elif stop == "moved":
+            rename = compaction.Files.rename
+            patch.setattr(compaction.Files, "rename",
+                          lambda self, old, new: stop_now() if new.endswith(".committed") else rename(self, old, new))
+        elif stop == "committed":
+            patch.setattr(compaction, "_finish", stop_now)
+        else:
+            patch.setattr(compaction.Files, "delete", after(compaction.Files.delete, [3]))
+        with pytest.raises(Stop):
+            compaction.compact(spark, base, [DAY, "2024-01-14"], dry_run=False)
+    assert moment(spark, base) == before
+    compaction.recover(spark, base)
+    assert moment(spark, base) == before and os.listdir(f"{base}/_compaction") == []
+    assert len(parquet_names(base)) == (1 if stop in ("committed", "half deleted") else 6)
+    compaction.compact(spark, base, [DAY, "2024-01-14"], dry_run=False)
+    assert moment(spark, base) == before and telemetry(spark, base).count() == expected
+    assert len(parquet_names(base)) == 1
 
 
-@pytest.mark.parametrize("published", [False, True])
-def test_recovery_finishes_an_interrupted_replacement(spark, tmp_path, monkeypatch, published):
+def test_a_scan_planned_before_the_commit_still_runs(spark, tmp_path):
     base = str(tmp_path / "t")
     write_small_files(spark, base)
-    before = rows(telemetry(spark, base))
-    publish = compaction._publish
-
-    def crash(files, marker, staging, folder, written, sources):
-        if published:
-            for name in written:
-                files.rename(f"{staging}/{name}", f"{folder}/{name}")
-            files.delete(sources[0])
-        raise KeyboardInterrupt
-
-    monkeypatch.setattr(compaction, "_publish", crash)
-    with pytest.raises(KeyboardInterrupt):
-        compaction.compact(spark, base, [DAY], dry_run=False)
-    monkeypatch.setattr(compaction, "_publish", publish)
-    if published:  # the next compaction finishes the work before its own
-        compaction.compact(spark, base, [DAY], dry_run=False)
-    else:
-        assert compaction.recover(spark, base) == 1
-    assert len(parquet_names(base)) == 1
-    assert rows(telemetry(spark, base)) == before
-    assert compaction.recover(spark, base) == 0
+    planned = telemetry(spark, base)
+    compaction.compact(spark, base, [DAY], dry_run=False, keep_sources=True)
+    assert len(parquet_names(base)) == 7
+    assert planned.count() == telemetry(spark, base).count() == 1200
+    assert telemetry(spark, base).where("date = '2024-01-15'").count() == 1200
+    assert compaction.recover(spark, base) == 1
+    assert len(parquet_names(base)) == 1 and telemetry(spark, base).count() == 1200
 
 
 def test_session_settings_do_not_leak(spark, tmp_path):
@@ -167,6 +214,57 @@ def test_tiny_files(spark, tmp_path):
     assert "telemetry-a.parquet" not in parquet_names(base) and "telemetry-c.parquet" in parquet_names(base)
 
 
+def test_small_files_with_rows_are_not_tiny_junk(spark, tmp_path):
+    base = str(tmp_path / "t")
+    spark.range(3, numPartitions=1).select(F.col("id").alias("a")).write.option("compression", "snappy") \
+        .option("mapreduce.output.basename", "telemetry").parquet(f"{base}/date={DAY}")
+    size = list_files(spark, base).first()["bytes"]
+    with open(f"{base}/date={DAY}/telemetry-junk.parquet", "wb") as f:
+        f.write(b"x" * size)
+    assert compaction.remove_tiny(spark, base, tiny_bytes=size, dry_run=False) == 1
+    assert len(parquet_names(base)) == 1 and "junk" not in parquet_names(base)[0]
+
+
+def test_only_changed_folders_are_listed_again(spark, tmp_path, monkeypatch):
+    from roadledger.operators import inventory
+
+    base, saved = str(tmp_path / "t"), str(tmp_path / "saved")
+    for d in range(1, 31):
+        os.makedirs(f"{base}/date=2024-01-{d:02d}")
+        for k in range(d % 3):
+            with open(f"{base}/date=2024-01-{d:02d}/telemetry-{k}.parquet", "wb") as f:
+                f.write(b"x" * (k * 10))  # the first one is empty
+    first = inventory.refreshed_listing(spark, base, saved, settle_ms=0)
+    assert len(first.relisted) == 30
+
+    def counts(listing):
+        return [(r["date"].day, r["files"], r["bytes"]) for r in listing.inventory.orderBy("date").collect()]
+
+    assert counts(first) == [(d, d % 3, 10 if d % 3 == 2 else 0) for d in range(1, 31)]
+    with monkeypatch.context() as patch:
+        patch.setattr(inventory, "list_files", None)  # unchanged folders need no listing
+        again = inventory.refreshed_listing(spark, base, saved, settle_ms=0)
+    assert again.relisted == again.gone == [] and counts(again) == counts(first)
+    with open(f"{base}/date=2024-01-03/telemetry-new.parquet", "wb") as f:
+        f.write(b"x" * 7)
+    os.remove(f"{base}/date=2024-01-02/telemetry-1.parquet")
+    os.rename(f"{base}/date=2024-01-30", f"{base}/date=2024-02-01")
+    later = inventory.refreshed_listing(spark, base, saved, settle_ms=0)
+    assert later.relisted == ["2024-01-02", "2024-01-03", "2024-02-01"] and later.gone == ["2024-01-30"]
+    assert counts(later)[:3] == [(1, 1, 0), (2, 1, 0), (3, 1, 7)] and len(counts(later)) == 30
+
+
+def test_a_folder_changed_just_now_is_listed_again(spark, tmp_path):
+    from roadledger.operators import inventory
+
+    base, saved = str(tmp_path / "t"), str(tmp_path / "saved")
+    os.makedirs(f"{base}/date={DAY}")
+    assert inventory.refreshed_listing(spark, base, saved, settle_ms=10**9).relisted == [DAY]
+    assert inventory.refreshed_listing(spark, base, saved, settle_ms=10**9).relisted == [DAY]
+    assert inventory.refreshed_listing(spark, base, saved, settle_ms=0).relisted == [DAY]
+    assert inventory.refreshed_listing(spark, base, saved, settle_ms=0).relisted == []
+
+
 def test_row_check_sees_a_changed_value(spark):
     a = spark.range(100).select("id", (F.col("id") * 2).alias("v"))
     b = a.withColumn("v", F.when(F.col("id") == 7, 0).otherwise(F.col("v")))
