@@ -307,34 +307,47 @@ _REFERENCES = (
 
 
 def _duplicate(name: str, key: str) -> str:
-    source = "features" if name == "driver_behavior_features" else name
+    source = {"driver_behavior_features": "features", "safe_driver_scores": "history"}.get(name, name)
     return f"""select '{name}' as table_name, count(*) as duplicate_keys,
   coalesce(sum(n - 1), 0) as surplus_rows from (select {key}, count(*) as n from {source}
   group by {key} having count(*) > 1) d"""
 
 
 _KEYS = {"customers": "customer_id", "policies": "policy_id", "vehicles": "vehicle_id", "drivers": "driver_id",
-         "accidents": "accident_id", "claims": "claim_id", "driver_behavior_features": "driver_id"}
-
-_LENGTH = {"first_name": 50, "last_name": 50, "email": 255}
+         "accidents": "accident_id", "claims": "claim_id", "driver_behavior_features": "driver_id",
+         "safe_driver_scores": "score_id"}
+
+# Written from the declared tables: NOT NULL and primary keys, VARCHAR(n), CHECK, NUMERIC(p,s).
+_NOT_NULL = {
+    "customers": "customer_id first_name last_name email", "policies": "policy_id customer_id policy_number start_date end_date",
+    "vehicles": "vehicle_id policy_id vin make model year",
+    "drivers": "driver_id policy_id first_name last_name date_of_birth license_number",
+    "accidents": "accident_id policy_id vehicle_id driver_id accident_timestamp", "claims": "claim_id accident_id claim_date",
+    "history": "score_id driver_id score calculation_date"}
+_LENGTH = {
+    "customers": "first_name=50 last_name=50 email=255 phone_number=20 address=255 city=100 state=2 zip_code=10",
+    "policies": "policy_number=20 status=20", "vehicles": "make=50 model=50 color=30",
+    "drivers": "first_name=50 last_name=50 license_number=20", "claims": "status=20"}
 _RULES = [
-    *[("customers", c, "not null", f"{c} is null") for c in ("first_name", "last_name", "email")],
-    *[("customers", c, f"length <= {n}", f"length({c}) > {n}") for c, n in _LENGTH.items()],
-    *[("policies", c, "not null", f"{c} is null") for c in ("customer_id", "policy_number", "start_date")],
-    ("policies", "policy_number", "length <= 20", "length(policy_number) > 20"),
+    *[(t, c, "not null", f"{c} is null") for t, names in _NOT_NULL.items() for c in names.split()],
+    *[(t, c, f"length <= {n}", f"length({c}) > {n}") for t, lengths in _LENGTH.items()
+      for c, n in (x.split("=") for x in lengths.split())],
     ("policies", "status", "in ACTIVE/EXPIRED/CANCELLED", "status not in ('ACTIVE', 'EXPIRED', 'CANCELLED')"),
-    *[("vehicles", c, "not null", f"{c} is null") for c in ("policy_id", "vin", "make", "model", "year")],
-    *[("vehicles", c, f"length <= {n}", f"length({c}) > {n}") for c, n in
-      (("make", 50), ("model", 50), ("color", 30))],
     ("vehicles", "vin", "length = 17", "length(vin) <> 17"),
-    *[("accidents", c, "not null", f"{c} is null") for c in
-      ("policy_id", "vehicle_id", "driver_id", "accident_timestamp")],
-    *[("claims", c, "not null", f"{c} is null") for c in ("accident_id", "claim_date")],
     ("claims", "status", "in PENDING/APPROVED/DENIED", "status not in ('PENDING', 'APPROVED', 'DENIED')"),
+    *[("accidents", c, f"numeric({p})", f"abs({c}) >= {top}") for c, p, top in
+      (("latitude", "10,7", 1000), ("longitude", "10,7", 1000), ("g_force", "4,2", 100))],
+    ("claims", "amount", "numeric(10,2)", "abs(amount) >= 100000000"),
+    ("history", "score", "numeric(5,2)", "abs(score) >= 1000"),
 ]
+# Declared columns that the mapped tables do not have: their rules have a line without a number.
+_ABSENT = {("customers", c) for c in "phone_number address city state zip_code".split()} | {
+    ("policies", "end_date"), ("drivers", "date_of_birth"), ("drivers", "license_number"), ("claims", "amount"),
+    ("accidents", "latitude"), ("accidents", "longitude"), ("accidents", "g_force")}
 _DOMAIN = " union all ".join(
-    f"select '{t}' as table_name, '{c}' as column_name, '{rule}' as rule,"
-    f" count(*) filter (where {broken}) as broken_rows, count(*) as checked_rows from {t}"
+    f"select '{'safe_driver_scores' if t == 'history' else t}' as table_name, '{c}' as column_name, '{rule}' as rule, "
+    + ("null" if (t, c) in _ABSENT else f"count(*) filter (where {broken})")
+    + f" as broken_rows, count(*) as checked_rows from {t}"
     for t, c, rule, broken in _RULES)
 
 _D = "cast({} as double)".format
@@ -351,6 +364,22 @@ _COMPOSITE = f"""select driver_id, speed_score, smoothness_score, harsh_driving_
     greatest(0, 100 - phone_usage_rate * 3) as distraction_score,
     greatest(0, 100 - accident_count * 20) as accident_score from training) p) q"""
 
+_CLEANUP_COLUMNS = """total_files:n small_files:n bytes_before:n bytes_after:n bytes_freed:n small_below_1kb:n
+  small_from_1kb:n reduction_percent:d health"""
+
+
+def _cleanup(threshold: int) -> str:
+    return f"""select *, floor(cast(bytes_freed * 10000 as double) / bytes_before) / cast(100 as double) as reduction_percent,
+  case when small_files = 0 then 'healthy' when small_files < 10 then 'acceptable' when small_files < 100 then 'moderate'
+    else 'high' end as health
+  from (select count(*) as total_files, count(*) filter (where bytes <= {threshold}) as small_files,
+    sum(bytes) as bytes_before, coalesce(sum(bytes) filter (where bytes > {threshold}), 0) as bytes_after,
+    coalesce(sum(bytes) filter (where bytes <= {threshold}), 0) as bytes_freed,
+    count(*) filter (where bytes < 1024) as small_below_1kb,
+    count(*) filter (where bytes between 1024 and 10240) as small_from_1kb
+    from (select event_id * 37 % 20000 as bytes from telemetry) f) s"""
+
+
 ORACLE: dict[str, str] = {
     # scalar derivations
     **{name: build("telemetry", f"event_id:n {name}:d", f"select event_id, {sql} as {name} from telemetry")
@@ -603,13 +632,13 @@ ORACLE: dict[str, str] = {
     "dq_orphan_rows": build(
         "accidents vehicles", "accident_id:n policy_id:n vehicle_id:n driver_id:n accident_timestamp:t created_at:t",
         "select * from accidents where vehicle_id not in (select vehicle_id from vehicles)"),
-    "dq_duplicates": build("customers policies vehicles drivers accidents claims features",
+    "dq_duplicates": build("customers policies vehicles drivers accidents claims features history",
                            "table_name duplicate_keys:n surplus_rows:n",
                            " union all ".join(_duplicate(*k) for k in _KEYS.items())),
     "dq_duplicate_keys": build("telemetry", "vin minute:t copies:n", """
   select vin, date_trunc('minute', event_ts) as minute, count(*) as copies from telemetry
   group by 1, 2 having count(*) > 1"""),
-    "dq_domain": build("customers policies vehicles accidents claims",
+    "dq_domain": build("customers policies vehicles drivers accidents claims history",
                        "table_name column_name rule broken_rows:n checked_rows:n", _DOMAIN),
     # sources, sinks and jobs
     "scan_telemetry_v2": build(
@@ -631,7 +660,7 @@ ORACLE: dict[str, str] = {
   severity_level report_date""", "select * from crash"),
     "reference_tables": build("customers policies vehicles drivers accidents claims", "table_name total_records:n",
                               " union all ".join(f"select '{t}' as table_name, count(*) as total_records from {t}"
-                                                 for t in _KEYS if t != "driver_behavior_features")),
+                                                 for t in list(_KEYS)[:6])),
     "append_score_history": build("weighted", "score_id driver_id:n score:x calculation_date:t notes", f"""
   select concat(r.run, '-', driver_id) as score_id, driver_id, safe_driver_score as score,
   r.at as calculation_date, {WEIGHTED_NOTES} as notes from weighted,
@@ -641,6 +670,54 @@ ORACLE: dict[str, str] = {
         "telemetry", "date status source_files:n written_files:n rows:n files_left:n events:n max_g_force:d", """
   select date, 'COMPACTED' as status, 6 as source_files, 1 as written_files, count(*) as rows, 1 as files_left,
   count(*) as events, max(g_force) as max_g_force from telemetry group by date"""),
+    "reader_during_compaction": build("telemetry", "date files:n before_commit:n after_commit:n", """
+  select date, count(distinct event_id % 6) + 1 as files, count(*) as before_commit, count(*) as after_commit
+  from telemetry group by date"""),
+    "compaction_row_check": build("telemetry", "date rows_before:n rows_after:n matches", """
+  select date, count(*) as rows_before, count(*) filter (where date <> DATE '2024-01-15' or vin <> 'VIN7') as rows_after,
+  count(*) filter (where date = DATE '2024-01-15' and vin = 'VIN7') = 0 as matches from telemetry group by date"""),
+    "partition_inventory": build("telemetry", "date files:n has_bytes", """
+  select date, count(distinct event_id % 6) as files, true as has_bytes from telemetry group by date
+  union all select DATE '2024-02-05', 0, false"""),
+    "incremental_inventory": build("telemetry", "date files:n relisted", """
+  select date, count(distinct event_id % 6) + case when date = DATE '2024-01-15' then 1 else 0 end as files,
+  date = DATE '2024-01-15' as relisted from telemetry where date <> DATE '2024-01-10' group by date"""),
+    "compaction_preview": build(
+        "telemetry", """date files:n total_bytes:n avg_bytes:n min_bytes:n max_bytes:n files_after:n reduction_percent:n
+  grade query_speedup:n""", """
+  select *, (files - files_after) * 100 // files as reduction_percent,
+    case when files < 5 then 'below minimum' when files > 10 then 'excellent' when files > 5 then 'good'
+      else 'eligible' end as grade, case when files > 1 then files // 2 end as query_speedup
+  from (select date, count(*) as files, sum(bytes) as total_bytes, sum(bytes) // count(*) as avg_bytes,
+      min(bytes) as min_bytes, max(bytes) as max_bytes,
+      case when count(*) >= 5 then greatest(1, (sum(bytes) + 134217727) // 134217728) end as files_after
+    from (select date, coalesce(policy_id, 0) % extract(day from date) as part, count(*) * 1000003 as bytes
+      from telemetry group by 1, 2) f group by date) d"""),
+    "cleanup_report": build("telemetry", _CLEANUP_COLUMNS, _cleanup(1024)),
+    "cleanup_report_10kb": build("telemetry", _CLEANUP_COLUMNS, _cleanup(10240)),
+    "folder_sizes": build("telemetry", "depth:n folder files:n bytes:n", " union all ".join(
+        f"select {depth} as depth, {folder} as folder, count(*) as files, sum(event_id * 37 % 20000) as bytes"
+        f" from telemetry group by 1, 2" for depth, folder in (
+            (0, "''"), (1, "'date=' || date"), (2, "'date=' || date || '/hour=' || extract(hour from event_ts)")))),
+    "scan_whole_files": build("telemetry", "date events:n damaged_files:n", """
+  select date, count(*) filter (where not (date = DATE '2024-01-15' and event_id % 5 = 0)) as events,
+  case when date = DATE '2024-01-15' then 1 else 0 end as damaged_files from telemetry group by date"""),
+    "missing_paths": build("telemetry", "table_name total_records:n", """
+  select 'there' as table_name, count(*) as total_records from telemetry
+  union all select unnest(['telemetry', 'telemetry_v1', 'crash_reports', 'score_history']), 0"""),
+    "scan_telemetry_v1_layouts": build("telemetry", "layout date driver_id_partition:n events:n", """
+  select 'date and driver' as layout, date, coalesce(driver_id, 0) % 5 as driver_id_partition, count(*) as events
+  from telemetry group by 1, 2, 3 union all select 'policy and month', date, null, count(*) from telemetry group by 1, 2"""),
+    "scan_crash_by_position": build(
+        "crash", "report_id policy_id crash_timestamp:t crash_type risk_score:d emergency_recommended severity_level",
+        "select * from crash"),
+    "kept_current_scores": build("weighted early_weighted", "driver_id:n score:x calculation_date:t risk_category", f"""
+  select driver_id, score, calculation_date, {category("score")} as risk_category from (
+    select *, row_number() over (partition by driver_id order by calculation_date desc) as rn from (
+      select driver_id, safe_driver_score as score, {EARLIER} as calculation_date from early_weighted
+      union all select driver_id, safe_driver_score, TIMESTAMP '2024-01-20 00:00:00' from weighted
+      union all select driver_id, safe_driver_score, {AS_OF} from weighted where driver_id % 3 = 0) h
+    where score is not null) r where rn = 1"""),
     "compact_range_dry_run": build("telemetry", "date status", """
   select distinct date, 'PLANNED' as status from telemetry
   where date between DATE '2024-01-13' and DATE '2024-01-15'"""),

@@ -97,18 +97,46 @@ def device_health(tel: DataFrame, as_of, days: int = 3, low_battery: float = 20,
     )
 
 
+def policy_bitmaps(tel: DataFrame) -> DataFrame:
+    """Per date and block of policy numbers: which policies reported, as a bitmap, and the first
+    and last event.
+
+    Bitmaps of different dates, or of pieces of one date, unite to those of all: kept as a table,
+    only new dates need their telemetry read. Rows are first reduced to one per date and policy
+    by an aggregate that works on them as they come.
+    """
+    seen = tel.groupBy("date", "policy_id").agg(F.min("event_ts").alias("earliest"), F.max("event_ts").alias("latest"))
+    number = F.col("policy_id").cast("bigint")
+    return seen.groupBy("date", F.bitmap_bucket_number(number).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("policies"),
+        F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+
+
+def freshness_of(bitmaps: DataFrame) -> DataFrame:
+    """The freshness report from :func:`policy_bitmaps` of any pieces of the telemetry."""
+    blocks = bitmaps.groupBy("block").agg(
+        F.bitmap_or_agg("policies").alias("policies"), F.sort_array(F.collect_set("date")).alias("dates"),
+        F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
+    return blocks.agg(
+        F.min("earliest").alias("earliest_record"),
+        F.max("latest").alias("latest_record"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("dates")))).cast("bigint").alias("unique_dates"),
+        F.coalesce(F.sum(F.bitmap_count("policies")), F.lit(0)).alias("unique_policies"),
+    )
+
+
 def data_freshness(tel: DataFrame, approximate: bool = False) -> DataFrame:
     """First and last event and the number of distinct dates and policies.
 
-    ``approximate`` replaces the two exact distinct counts, whose cost grows with the
-    number of policies, by sketches.
+    Counted exactly by bitmaps that merge (:func:`policy_bitmaps`); ``approximate`` takes sketches.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    if not approximate:
+        return freshness_of(policy_bitmaps(tel))
     return tel.agg(
         F.min("event_ts").alias("earliest_record"),
         F.max("event_ts").alias("latest_record"),
-        distinct("date").alias("unique_dates"),
-        distinct("policy_id").alias("unique_policies"),
+        F.approx_count_distinct("date").alias("unique_dates"),
+        F.approx_count_distinct("policy_id").alias("unique_policies"),
     )
 
 
@@ -148,14 +176,21 @@ def data_completeness(tel: DataFrame, crash: DataFrame, as_of, telemetry_days: i
         def missing(column: str) -> Column:
             return F.count_if(F.col(column).isNull())
 
-        return df.agg(
+        # Rows are counted once per day and policy; days and policies are counted from that.
+        seen = df.groupBy(F.col(day).alias("_day"), "policy_id").agg(
             F.count(F.lit(1)).alias("total_records"),
             missing("policy_id").alias("missing_policy_id"),
             missing("vin").alias("missing_vin"),
             missing(place).alias("missing_gps"),
             missing(extra).alias("missing_device_data"),
-            F.count_distinct(day).alias("unique_dates"),
-            F.count_distinct("policy_id").alias("unique_policies"),
+        )
+        counts = ("total_records", "missing_policy_id", "missing_vin", "missing_gps", "missing_device_data")
+        days = seen.groupBy("_day").agg(*[F.sum(c).alias(c) for c in counts]).select(
+            *counts, F.col("_day").isNotNull().cast("bigint").alias("unique_dates"), F.lit(0).alias("unique_policies"))
+        policies = seen.where(F.col("policy_id").isNotNull()).select("policy_id").distinct().select(
+            *[F.lit(0).alias(c) for c in (*counts, "unique_dates")], F.lit(1).alias("unique_policies"))
+        return days.unionAll(policies).agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*counts, "unique_dates", "unique_policies")]
         ).select(F.lit(name).alias("table_name"), "*")
 
     events = trailing(tel, "date", as_of, days=telemetry_days)

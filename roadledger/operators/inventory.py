@@ -216,7 +216,8 @@ def compaction_preview(files: DataFrame, target_mb: int = 128, min_files: int =
 
 
 def cleanup_report(files: DataFrame, threshold_bytes: int = 1024) -> DataFrame:
-    """Totals before and after deleting files of at most ``threshold_bytes``, with a health grade."""
+    """Totals before and after deleting files of at most ``threshold_bytes``, the numbers of files
+    below 1 KB and from 1 to 10 KB whatever the threshold, and a health grade."""
     small = F.col("bytes") <= threshold_bytes
     return files.agg(
         F.count(F.lit(1)).alias("total_files"),
@@ -224,8 +225,8 @@ def cleanup_report(files: DataFrame, threshold_bytes: int = 1024) -> DataFrame:
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_before"),
         F.coalesce(F.sum(F.when(~small, F.col("bytes"))), F.lit(0)).alias("bytes_after"),
         F.coalesce(F.sum(F.when(small, F.col("bytes"))), F.lit(0)).alias("bytes_freed"),
-        F.count_if(small & (F.col("bytes") < 1024)).alias("small_below_1kb"),
-        F.count_if(small & (F.col("bytes") >= 1024)).alias("small_from_1kb"),
+        F.count_if(F.col("bytes") < 1024).alias("small_below_1kb"),
+        F.count_if((F.col("bytes") >= 1024) & (F.col("bytes") <= 10240)).alias("small_from_1kb"),
     ).withColumns({
         "reduction_percent": F.coalesce(
             F.try_divide(F.floor(F.try_divide(F.col("bytes_freed") * 10000, F.col("bytes_before"))), F.lit(100)),
@@ -237,12 +238,27 @@ def cleanup_report(files: DataFrame, threshold_bytes: int = 1024) -> DataFrame:
     })
 
 
-def folder_sizes(files: DataFrame, base: str) -> DataFrame:
-    """Files and bytes of each folder directly under ``base``."""
-    inside = F.regexp_extract("path", re_escape(base.rstrip("/")) + r"/([^/]+)/", 1)
-    return files.groupBy(inside.alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")
-    )
+def folder_sizes(files: DataFrame, base: str, depth: int = 1) -> DataFrame:
+    """Files and bytes of ``base`` and of the folders down to ``depth`` levels under it, those of
+    their subfolders included: rows (depth, folder, files, bytes).
+
+    A rollup over the levels of the path: one pass and one shuffle whatever the depth.
+    """
+    inside = F.regexp_extract("path", re_escape(base.rstrip("/")) + r"/(?:(.*)/)?[^/]+$", 1)
+    levels = [f"_l{i}" for i in range(1, depth + 1)]
+    parts = files.where(F.col("path").contains(base.rstrip("/") + "/")).withColumn("_parts", F.split(inside, "/"))
+    named = parts.select("bytes", *[F.get("_parts", F.lit(i)).alias(c) for i, c in enumerate(levels)])
+    named = named.withColumn("_l1", F.nullif("_l1", F.lit("")))
+    rolled = named.rollup(*levels).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.grouping_id().alias("_set"))
+    # A set over the first k levels has zeros in the k highest bits. Files that lie higher up have
+    # no name at the last of them and count in the sets above only.
+    level = F.lit(0)
+    for k in range(1, depth + 1):
+        level = F.when((F.col("_set") == (1 << (depth - k)) - 1) & F.col(levels[k - 1]).isNotNull(), k).otherwise(level)
+    top = F.col("_set") == (1 << depth) - 1
+    return rolled.withColumn("depth", level).where(top | (F.col("depth") > 0)).select(
+        F.col("depth").cast("bigint").alias("depth"), F.concat_ws("/", *levels).alias("folder"), "files", "bytes")
 
 
 def re_escape(text: str) -> str:

@@ -37,26 +37,32 @@ PRIMARY_KEYS = {
 def orphan_report(tables: dict[str, DataFrame], references=REFERENCES) -> DataFrame:
     """Orphan rows and distinct orphan keys for each reference whose tables are given.
 
-    A child is reduced to one row per key before the anti join, so a key repeated in a
-    large share of the rows crosses the network once per task.
+    Each child is read once: grouping sets over its foreign keys reduce it to one row per
+    reference and key, so a key repeated in a large share of the rows crosses the network once
+    per task. Each parent is read once, too, and all references share one anti join.
     """
-    reports = []
-    for child, fk, parent, pk in references:
-        if child not in tables or parent not in tables:
-            continue
-        keyed = tables[child].where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("key")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        lost = keyed.join(
-            tables[parent].select(F.col(pk).alias("_pk")), F.col("key") == F.col("_pk"), "left_anti"
-        )
-        reports.append(
-            lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-                     F.count(F.lit(1)).alias("orphan_keys"))
-            .select(F.lit(f"{child}.{fk} -> {parent}.{pk}").alias("reference"),
-                    "orphan_rows", "orphan_keys")
-        )
-    return _stacked(reports)
+    given = {f"{c}.{fk} -> {p}.{pk}": (c, fk, p, pk) for c, fk, p, pk in references if c in tables and p in tables}
+    keyed, parents = [], []
+    for child in dict.fromkeys(c for c, *_ in given.values()):
+        mine = [(name, fk) for name, (c, fk, *_) in given.items() if c == child]
+        columns = [f"_k{i}" for i in range(len(mine))]
+        rows = tables[child].select(*[F.col(fk).cast("string").alias(c) for c, (_, fk) in zip(columns, mine)])
+        # The grouping id has a zero only for the column of its set; the first column is the highest bit.
+        every, reference = (1 << len(mine)) - 1, F.lit(None).cast("string")
+        for i, (name, _) in enumerate(mine):
+            reference = F.when(F.col("_set") == (every ^ (1 << (len(mine) - 1 - i))), name).otherwise(reference)
+        keyed.append(
+            rows.groupingSets([[F.col(c)] for c in columns], *[F.col(c) for c in columns])
+            .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_set"))
+            .select(reference.alias("reference"), F.coalesce(*columns).alias("key"), "n")
+            .where(F.col("key").isNotNull()))
+    for parent, pk in dict.fromkeys((p, pk) for *_, p, pk in given.values()):
+        names = F.array(*[F.lit(name) for name, (*_, p, k) in given.items() if (p, k) == (parent, pk)])
+        parents.append(tables[parent].select(F.explode(names).alias("reference"), F.col(pk).cast("string").alias("key")))
+    lost = _stacked(keyed).join(_stacked(parents), ["reference", "key"], "left_anti").groupBy("reference").agg(
+        F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
+    names = next(iter(tables.values())).sparkSession.createDataFrame([(name,) for name in given], "reference STRING")
+    return names.join(lost, "reference", "left").fillna(0, ["orphan_rows", "orphan_keys"])
 
 
 def duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
@@ -100,36 +106,51 @@ def at_most(column: str, length: int) -> Rule:
     return Rule(column, f"length <= {length}", F.char_length(column) > length)
 
 
+def fits(column: str, precision: int, scale: int) -> Rule:
+    """A number that a column NUMERIC(precision, scale) can hold."""
+    return Rule(column, f"numeric({precision},{scale})", F.abs(F.col(column)) >= 10 ** (precision - scale))
+
+
 def exactly(column: str, length: int) -> Rule:
     return Rule(column, f"length = {length}", F.char_length(column) != length)
 
 
-# Rules that follow from the declared columns.
+# The declared columns as (not null, lengths), and further conditions.
+DECLARED = {
+    "customers": ("customer_id first_name last_name email",
+                  {"first_name": 50, "last_name": 50, "email": 255, "phone_number": 20, "address": 255,
+                   "city": 100, "state": 2, "zip_code": 10}),
+    "policies": ("policy_id customer_id policy_number start_date end_date", {"policy_number": 20, "status": 20}),
+    "vehicles": ("vehicle_id policy_id vin make model year", {"make": 50, "model": 50, "color": 30}),
+    "drivers": ("driver_id policy_id first_name last_name date_of_birth license_number",
+                {"first_name": 50, "last_name": 50, "license_number": 20}),
+    "accidents": ("accident_id policy_id vehicle_id driver_id accident_timestamp", {}),
+    "claims": ("claim_id accident_id claim_date", {"status": 20}),
+    "safe_driver_scores": ("score_id driver_id score calculation_date", {}),
+}
+
+
 def declared_rules() -> dict[str, list[Rule]]:
-    return {
-        "customers": [required("first_name"), required("last_name"), required("email"),
-                      at_most("first_name", 50), at_most("last_name", 50), at_most("email", 255)],
-        "policies": [required("customer_id"), required("policy_number"), required("start_date"),
-                     required("end_date"), at_most("policy_number", 20),
-                     one_of("status", "ACTIVE", "EXPIRED", "CANCELLED")],
-        "vehicles": [required("policy_id"), required("vin"), required("make"), required("model"),
-                     required("year"), at_most("make", 50), at_most("model", 50),
-                     at_most("color", 30), exactly("vin", 17)],
-        "drivers": [required("policy_id"), required("first_name"), required("last_name"),
-                    required("date_of_birth"), required("license_number"), at_most("license_number", 20)],
-        "accidents": [required("policy_id"), required("vehicle_id"), required("driver_id"),
-                      required("accident_timestamp")],
-        "claims": [required("accident_id"), required("claim_date"),
-                   one_of("status", "PENDING", "APPROVED", "DENIED")],
+    """Rules that follow from the declared columns, per table."""
+    more = {
+        "policies": [one_of("status", "ACTIVE", "EXPIRED", "CANCELLED")],
+        "vehicles": [exactly("vin", 17)],
+        "accidents": [fits("latitude", 10, 7), fits("longitude", 10, 7), fits("g_force", 4, 2)],
+        "claims": [one_of("status", "PENDING", "APPROVED", "DENIED"), fits("amount", 10, 2)],
+        "safe_driver_scores": [fits("score", 5, 2)],
     }
+    return {table: [*map(required, names.split()), *[at_most(c, n) for c, n in lengths.items()], *more.get(table, [])]
+            for table, (names, lengths) in DECLARED.items()}
 
 
 def domain_report(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Rows breaking each rule, all counted in one pass over the table."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(rule.broken).alias(f"broken_{i}") for i, rule in enumerate(rules)],
-    )
+    """Rows breaking each rule, all counted in one pass over the table. A rule on a column that
+    the table lacks has a line, too, without a number."""
+    def broken(i: int, rule: Rule) -> Column:
+        counted = F.count_if(rule.broken) if rule.column in df.columns else F.lit(None).cast("bigint")
+        return counted.alias(f"broken_{i}")
+
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[broken(i, rule) for i, rule in enumerate(rules)])
     lines = F.array(*[
         F.struct(F.lit(rule.column).alias("column_name"), F.lit(rule.check).alias("rule"),
                  F.col(f"broken_{i}").alias("broken_rows"), F.col("rows").alias("checked_rows"))

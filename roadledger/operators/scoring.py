@@ -124,8 +124,8 @@ def score_composite(training: DataFrame) -> DataFrame:
     )
 
 
-def current_scores(history: DataFrame) -> DataFrame:
-    """Each driver's latest score with its category; a tie goes to the larger score id.
+def latest_scores(history: DataFrame) -> DataFrame:
+    """Each driver's latest row; a tie goes to the larger score id.
 
     Keeping only rank 1 lets Spark cut every task's rows to one per driver before the
     shuffle, so a driver with a long history does not fill one task.
@@ -133,12 +133,13 @@ def current_scores(history: DataFrame) -> DataFrame:
     latest_first = Window.partitionBy("driver_id").orderBy(
         F.col("calculation_date").desc_nulls_last(), F.col("score_id").desc_nulls_last()
     )
-    return (
-        history.withColumn("_rank", F.row_number().over(latest_first))
-        .where(F.col("_rank") == 1)
-        .select("driver_id", "score", "calculation_date", "notes",
-                risk_category(F.col("score")).alias("risk_category"))
-    )
+    return history.withColumn("_rank", F.row_number().over(latest_first)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def current_scores(history: DataFrame) -> DataFrame:
+    """Each driver's latest score with its category."""
+    return latest_scores(history).select(
+        "driver_id", "score", "calculation_date", "notes", risk_category(F.col("score")).alias("risk_category"))
 
 
 def score_history(history: DataFrame) -> DataFrame:

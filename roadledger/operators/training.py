@@ -118,20 +118,39 @@ def _is_new(event_time: Column) -> Column:
     return (event_time > since) | F.col("_seen").isNull()
 
 
-def new_data(tel: DataFrame, features: DataFrame) -> DataFrame:
-    """Telemetry newer than its driver's last refresh, or of a driver not refreshed yet.
+def zone_map(tel: DataFrame) -> DataFrame:
+    """Newest event of each date folder and driver: a small table that merges by maximum."""
+    return tel.groupBy("date", "driver_id").agg(F.max("event_ts").alias("latest_event"))
 
-    Rows without a driver match no feature row and so always count as new.
-    """
-    return _with_refresh_time(tel, features).where(_is_new(F.col("event_ts"))).select(*tel.columns)
 
+def new_data(tel: DataFrame, features: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Telemetry newer than its driver's last refresh, or of a driver not refreshed yet.
 
-def drivers_with_new_data(tel: DataFrame, features: DataFrame) -> DataFrame:
+    Rows without a driver match no feature row and so always count as new. The refresh times are
+    joined to the zone map (one row per date and driver, kept or made from ``tel``), which tells
+    the dates that can hold new rows: no other folder is read. Of those, rows meet only the
+    zones of their date and driver; rows without a driver pass around the join.
+    """
+    zones = zone_map(tel) if zones is None else zones
+    news = _with_refresh_time(zones, features).where(_is_new(F.col("latest_event")))
+    # At most one value per date of the calendar.
+    days = [row["date"] for row in news.select("date").distinct().collect()]
+    read = tel.where(F.col("date").isin([day for day in days if day is not None]) | (F.col("date").isNull() & F.lit(None in days)))
+    zone = news.where(F.col("driver_id").isNotNull()).select(
+        F.col("date").alias("_date"), F.col("driver_id").alias("_driver"), "last_updated", "_seen")
+    known = read.where(F.col("driver_id").isNotNull()).join(
+        zone, (F.col("driver_id") == F.col("_driver")) & F.col("date").eqNullSafe(F.col("_date")))
+    return known.where(_is_new(F.col("event_ts"))).select(*tel.columns).unionAll(
+        read.where(F.col("driver_id").isNull()).select(*tel.columns))
+
+
+def drivers_with_new_data(tel: DataFrame, features: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """Drivers that :func:`new_data` has rows for, from one row per driver.
 
-    The gate only asks whether there is anything new, so telemetry is reduced to each
-    driver's latest event before the join instead of being joined row by row.
+    The gate only asks whether there is anything new, so telemetry (or, without reading any, a
+    kept zone map) is reduced to each driver's latest event before the join.
     """
-    latest = tel.groupBy("driver_id").agg(F.max("event_ts").alias("latest_event"))
+    newest = F.max("event_ts") if zones is None else F.max("latest_event")
+    latest = (tel if zones is None else zones).groupBy("driver_id").agg(newest.alias("latest_event"))
     return _with_refresh_time(latest, features).where(_is_new(F.col("latest_event"))) \
         .select("driver_id", "latest_event")

@@ -12,11 +12,11 @@ from ..functions import instant, logistic_notes, weighted_notes
 from ..operators import scoring, training
 from ..operators.mergeable import combine_features
 from ..operators.model import train_accident_model
-from ..sources import append_scores, load_core, overwrite_atomically, read_scores, recover_swap
+from ..sources import append_scores, load_core, overwrite_atomically, recover_swap
 from ..sources.paths import Files
-from ..sources.telemetry import skipped_files
 from .compaction import remove_tiny
-from .days import glob_of, update_days
+from .days import update_days
+from .snapshot import refreshed_scores
 
 
 @dataclass(frozen=True)
@@ -52,8 +52,8 @@ class RefreshConfig:
 class RefreshResult:
     """What a refresh did. The DataFrames are small summaries, evaluated when used.
 
-    ``skipped`` lists the files of the days it read whose rows could not be read, all or in
-    part, with the number of rows lost.
+    ``skipped`` lists the files of the days it read that are damaged, with the number of rows
+    that cannot be read; none of the rows of such a file count.
     """
 
     status: str
@@ -85,7 +85,7 @@ def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force:
         return RefreshResult(status="NO_NEW_DATA")
 
     run_id = as_of.strftime("%Y%m%dT%H%M%S")
-    features = overwrite_atomically(combine_features(update.days, as_of), config.features)
+    features = overwrite_atomically(combine_features(update.months, as_of), config.features)
     examples = overwrite_atomically(training.training_data(features, accidents), config.training)
     append_scores(scoring.score_weighted(examples), config.history, f"{run_id}-weighted",
                   instant(as_of), weighted_notes())
@@ -97,7 +97,7 @@ def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force:
                       instant(as_of) + F.expr("INTERVAL '1' SECOND"), logistic_notes(retrained=True))
 
     update.settle()
-    current = scoring.current_scores(read_scores(spark, config.history))
+    current = refreshed_scores(spark, config.history, f"{config.home}/current_scores").scores
     return RefreshResult(
         status="REFRESHED",
         retrained=retrain,
@@ -105,7 +105,7 @@ def refresh(spark: SparkSession, config: RefreshConfig, as_of: datetime, force:
         statistics=scoring.refresh_statistics(current),
         alert=scoring.high_risk_alert(current),
         distribution=scoring.score_distribution(current),
-        skipped=skipped_files(spark, config.telemetry, date_glob=glob_of(update.changed)) if update.changed else None,
+        skipped=update.skipped,
     )
 
 

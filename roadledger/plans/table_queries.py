@@ -32,11 +32,12 @@ from ..operators import (
     timespan,
     training,
 )
-from ..schemas import TELEMETRY_FILE_V1
+from ..schemas import CRASH, TELEMETRY_FILE_V1
 from ..session import materialized, shared_folder
 from ..sources import (
     append_scores,
     crash_reports,
+    manifest,
     load_core,
     overwrite_atomically,
     parse_telemetry,
@@ -46,13 +47,14 @@ from ..sources import (
     write_telemetry,
 )
 from ..sources import bind_by_position as source_bind
-from ..sources.paths import Files, write_text
+from ..sources.paths import Files, write_bytes, write_text
 from ..sources.sample_tables import sample
 from ..sources.telemetry import skipped_files
 from ..streaming import merged_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
 from . import compaction
 from .refresh import RefreshConfig, refresh
+from .snapshot import refreshed_scores
 
 AS_OF = "2024-01-31 00:00:00"
 EARLIER = "2024-01-16 00:00:00"
@@ -157,6 +159,21 @@ class Tables:
         self.write_to(base, self.telemetry.repartition(parts) if parts else self.telemetry)
         return base
 
+    def write_parts(self) -> str:
+        """The same with one file for each date and remainder of the event number."""
+        base = f"{shared_folder(self.spark, 'telemetry')}/telemetry-data-v2"
+        for k in range(FILES_A_DATE):
+            self.write_to(base, self.telemetry.where(F.col("event_id") % FILES_A_DATE == k).coalesce(1))
+        return base
+
+    def listing(self) -> DataFrame:
+        """A file for each event, its size from the event's number, in folders by date and hour."""
+        name = F.format_string("telemetry-%s.parquet", F.col("event_id").cast("string"))
+        return self.telemetry.select(
+            F.format_string("/data/telemetry/date=%s/hour=%s/%s", F.col("date").cast("string"),
+                            F.hour("event_ts").cast("string"), name).alias("path"),
+            name.alias("name"), (F.col("event_id") * 37 % 20000).alias("bytes"), "date")
+
     def write_to(self, base: str, tel: DataFrame) -> None:
         write_telemetry(tel.withColumn(
             "event_time", (F.unix_micros("event_ts").cast("decimal(20,0)") / F.lit(1000000)).cast("string")), base)
@@ -408,7 +425,7 @@ def on_clause_restriction(t):
 def new_data_gate(t):
     """New events and drivers since the features were refreshed in the middle of the month."""
     known = materialized(t.features(EARLIER), "features")
-    return training.new_data(t.telemetry, known).agg(
+    return training.new_data(t.telemetry, known, materialized(training.zone_map(t.telemetry), "zones")).agg(
         F.count(F.lit(1)).alias("new_records"), F.count_distinct("driver_id").alias("drivers"))
 
 
@@ -670,7 +687,8 @@ def dq_orphan_rows(t):
 
 @query
 def dq_duplicates(t):
-    return quality.duplicate_report({**t.core(), "driver_behavior_features": t.features()})
+    return quality.duplicate_report(
+        {**t.core(), "driver_behavior_features": t.features(), "safe_driver_scores": t.history()})
 
 
 @query
@@ -683,9 +701,8 @@ def dq_duplicate_keys(t):
 @query
 def dq_domain(t):
     report = None
-    for table in ("customers", "policies", "vehicles", "accidents", "claims"):
-        df = getattr(t, table)
-        rules = [r for r in quality.declared_rules()[table] if r.column in df.columns]
+    for table, rules in quality.declared_rules().items():
+        df = t.history() if table == "safe_driver_scores" else getattr(t, table)
         lines = quality.domain_report(df, rules).select(F.lit(table).alias("table_name"), "*")
         report = lines if report is None else report.unionAll(lines)
     return report
@@ -719,6 +736,64 @@ def scan_skip_corrupt(t):
     return telemetry(t.spark, base, skip_corrupt=True).groupBy("date").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query
+def scan_whole_files(t):
+    """A scan without the rows of a file that is damaged in the middle, and the files left out."""
+    base = f"{shared_folder(t.spark, 'telemetry')}/telemetry-data-v2"
+    apart = (F.col("date") == F.lit(PROBE_DAY).cast("date")) & (F.col("event_id") % 5 == 0)
+    t.write_to(base, t.telemetry.where(apart).coalesce(1))
+    bad = inventory.list_files(t.spark, base).first()["path"]
+    t.write_to(base, t.telemetry.where(~apart))
+    content = bytearray(t.spark.read.format("binaryFile").load(bad).first()["content"])
+    content[len(content) // 3:len(content) // 2] = b"\xff" * (len(content) // 2 - len(content) // 3)
+    write_bytes(t.spark, bad, content)
+    damaged = materialized(skipped_files(t.spark, base), "damaged")
+    rows = telemetry(t.spark, base, skip_corrupt=True, without=damaged).groupBy("date").agg(F.count(F.lit(1)).alias("events"))
+    listed = damaged.where("reason = 'damaged'").groupBy("date").agg(F.count(F.lit(1)).alias("damaged_files"))
+    return rows.join(listed, "date", "left").fillna(0, ["damaged_files"])
+
+
+@query
+def missing_paths(t):
+    """Rows of each scan over a folder that is not there, beside one that is."""
+    nowhere = f"{shared_folder(t.spark, 'nowhere')}/none"
+    return activity.row_counts(
+        telemetry=telemetry(t.spark, nowhere), telemetry_v1=telemetry_v1(t.spark, nowhere),
+        crash_reports=crash_reports(t.spark, nowhere), score_history=read_scores(t.spark, nowhere),
+        there=telemetry(t.spark, t.write_files()))
+
+
+@query
+def scan_telemetry_v1_layouts(t):
+    """Legacy files by date and driver, and by policy, year, month and date."""
+    stored = [c for c in TELEMETRY_FILE_V1.names if c in t.telemetry.columns or c == "event_time"]
+    rows = t.telemetry.withColumn("event_time", F.col("event_ts")).select(*stored, "date")
+    out = None
+    for layout, values in (
+        ("date and driver", {"date": F.col("date"), "driver_id_partition": F.coalesce("driver_id", F.lit(0)) % 5}),
+        ("policy and month", {"policy": F.coalesce("policy_id", F.lit(0)) % 5, "year": F.year("date"),
+                              "month": F.month("date"), "date": F.col("date")}),
+    ):
+        base = f"{shared_folder(t.spark, 'legacy')}/telemetry-data"
+        rows.withColumns(values).write.partitionBy(*values).option("mapreduce.output.basename", "telemetry").parquet(base)
+        found = telemetry_v1(t.spark, base).groupBy("date", "driver_id_partition").agg(
+            F.count(F.lit(1)).alias("events")).select(F.lit(layout).alias("layout"), "*")
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+@query
+def scan_crash_by_position(t):
+    """Crash files whose columns have other names, bound by position."""
+    base = f"{shared_folder(t.spark, 'crashes')}/accident-reports"
+    full = t.crash.select("severity_level", "report_date", *[
+        (F.col(f.name) if f.name in t.crash.columns else F.lit(None)).cast(f.dataType).alias(f"c{i}")
+        for i, f in enumerate(CRASH)])
+    full.write.partitionBy("severity_level", "report_date").parquet(base)
+    return crash_reports(t.spark, base, by_position=True).select(
+        "report_id", "policy_id", "crash_timestamp", "crash_type", "risk_score", "emergency_recommended", "severity_level")
+
+
 @query
 def flatten_json(t):
     """Telemetry through nested JSON events and back."""
@@ -778,6 +853,21 @@ def append_score_history(t):
     return read_scores(t.spark, path).select("score_id", "driver_id", "score", "calculation_date", "notes")
 
 
+@query
+def kept_current_scores(t):
+    """The snapshot of current scores after each of three runs, the last one written twice."""
+    home = shared_folder(t.spark, "history")
+    path, saved = f"{home}/safe_driver_scores", f"{home}/current"
+    early = materialized(scoring.score_weighted(t.training(EARLIER)), "scored")
+    late = materialized(scoring.score_weighted(t.training()), "scored")
+    done = None
+    for run, scored, at in (("a", early, EARLIER), ("b", late, "2024-01-20 00:00:00"),
+                            ("c", late.where("driver_id % 2 = 0"), AS_OF), ("c", late.where("driver_id % 3 = 0"), AS_OF)):
+        append_scores(scored, path, run, fx.instant(at), fx.weighted_notes())
+        done = refreshed_scores(t.spark, path, saved)
+    return done.scores.select("driver_id", "score", "calculation_date", "risk_category")
+
+
 @query
 def swap_table(t):
     path = f"{shared_folder(t.spark, 'swap')}/features"
@@ -787,18 +877,48 @@ def swap_table(t):
 
 @query
 def partition_inventory(t):
-    files = inventory.list_files(t.spark, t.write_files())
-    return inventory.partition_inventory(files)
+    """Files of each date folder, one of them empty."""
+    base = t.write_parts()
+    Files(t.spark, base).make_folder(f"{base}/date=2024-02-05")
+    listing = inventory.refreshed_listing(t.spark, base, f"{shared_folder(t.spark, 'listing')}/saved")
+    return listing.inventory.select("date", "files", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query
+def incremental_inventory(t):
+    """The kept listing after a day got a file and another one went: which dates were listed again."""
+    base, saved = t.write_parts(), f"{shared_folder(t.spark, 'listing')}/saved"
+    inventory.refreshed_listing(t.spark, base, saved, settle_ms=0)
+    write_text(t.spark, f"{base}/date={PROBE_DAY}/telemetry-late.parquet", "x" * 2000)
+    Files(t.spark, base).delete(f"{base}/date=2024-01-10", recursive=True)
+    listing = inventory.refreshed_listing(t.spark, base, saved, settle_ms=0)
+    again = F.col("date").cast("string").isin(listing.relisted)
+    return listing.inventory.select("date", "files", again.alias("relisted"))
 
 
 @query
 def compaction_preview(t):
-    return compaction.preview(t.spark, t.write_files(many=True))
+    """Dates with one file, two files and so on, as sizes of the sample's events."""
+    part = F.col("user_id") % F.dayofmonth("date")
+    sizes = t.telemetry.withColumn("user_id", F.coalesce("policy_id", F.lit(0))).groupBy("date", part.alias("part")).agg(
+        (F.count(F.lit(1)) * 1000003).alias("bytes"))
+    return inventory.compaction_preview(sizes)
 
 
 @query
 def cleanup_report(t):
-    return inventory.cleanup_report(inventory.list_files(t.spark, t.write_files(many=True)))
+    return inventory.cleanup_report(t.listing())
+
+
+@query
+def cleanup_report_10kb(t):
+    return inventory.cleanup_report(t.listing(), threshold_bytes=10240)
+
+
+@query
+def folder_sizes(t):
+    """Files and bytes of the base, each date and each hour in it."""
+    return inventory.folder_sizes(t.listing(), "/data/telemetry", depth=2)
 
 
 @query
@@ -815,6 +935,39 @@ def compact_partition(t):
     return done.select("date", "status", "source_files", "written_files", "rows").join(files, "date").join(rows, "date")
 
 
+@query
+def reader_during_compaction(t):
+    """Events a scan counts after the merged files came, before and after they are made to count."""
+    base = t.write_parts()
+    days = [str(r["date"]) for r in inventory.partition_inventory(
+        inventory.list_files(t.spark, base)).select("date").collect()]
+    compaction.compact(t.spark, base, days, dry_run=False, keep_sources=True)
+    files = Files(t.spark, base)
+
+    def counted(name: str) -> DataFrame:
+        return materialized(telemetry(t.spark, base).groupBy("date").agg(F.count(F.lit(1)).alias(name)), "counted")
+
+    after = counted("after_commit")
+    (run, _), = manifest.runs(t.spark, base).items()
+    marker = f"{base}/{manifest.WORK}/{run}"
+    files.rename(marker + manifest.COMMITTED, marker + manifest.PENDING)
+    before = counted("before_commit")
+    files.rename(marker + manifest.PENDING, marker + manifest.COMMITTED)
+    stored = inventory.partition_inventory(inventory.list_files(t.spark, base)).select("date", "files")
+    return stored.join(before, "date").join(after, "date")
+
+
+@query
+def compaction_row_check(t):
+    """Rows and checksums by date before and after compaction, one date losing rows afterwards."""
+    base = t.write_parts()
+    before = materialized(telemetry(t.spark, base), "before")
+    days = [str(r["date"]) for r in before.select("date").distinct().collect()]
+    compaction.compact(t.spark, base, days, dry_run=False)
+    after = telemetry(t.spark, base).where((F.col("date") != F.lit(PROBE_DAY).cast("date")) | (F.col("vin") != "VIN7"))
+    return quality.rows_match(before, after, "date").select("date", "rows_before", "rows_after", "matches")
+
+
 @query
 def compact_range_dry_run(t):
     """What a compaction of a day and the two before it would touch."""

@@ -44,19 +44,23 @@ def merged_by(spark: SparkSession, base: str, run: str) -> DataFrame:
     return spark.read.schema(MERGED).parquet(f"{base}/{WORK}/{run}/merged")
 
 
+def without_files(scan: DataFrame, files: DataFrame) -> DataFrame:
+    """``scan`` without the rows of ``files`` (date, name): a file is in or out as a whole."""
+    gone = files.select(F.col("date").alias("_date"), F.col("name").alias("_name"))
+    columns = scan.columns
+    return scan.select("*", F.col("_metadata.file_name").alias("_file")).join(
+        gone, (F.col("_file") == F.col("_name")) & F.col("date").eqNullSafe(F.col("_date")), "left_anti").select(*columns)
+
+
 def only_live(scan: DataFrame, base: str) -> DataFrame:
     """``scan`` without rows of files that do not count now. Call it right after the files were
     listed: a run that starts later adds nothing to them."""
-    spark = scan.sparkSession
+    spark, merged = scan.sparkSession, None
     for run, state in runs(spark, base).items():
-        file = F.col("_metadata.file_name")
         if state == PENDING:
             # A condition on file metadata alone drops files before they are opened.
-            scan = scan.where(~file.contains(run))
+            scan = scan.where(~F.col("_metadata.file_name").contains(run))
         else:
-            gone = merged_by(spark, base, run).select(F.col("date").alias("_date"), F.col("name").alias("_name"))
-            columns = scan.columns
-            scan = scan.select("*", file.alias("_file")).join(
-                gone, (F.col("_file") == F.col("_name")) & F.col("date").eqNullSafe(F.col("_date")), "left_anti"
-            ).select(*columns)
-    return scan
+            more = merged_by(spark, base, run)
+            merged = more if merged is None else merged.unionAll(more)
+    return scan if merged is None else without_files(scan, merged)

@@ -61,6 +61,10 @@ class Files:
         return [(s.getPath().getName(), s.getModificationTime())
                 for s in self._fs.listStatus(self.path(parent)) if s.isDirectory()]
 
+    def changes(self, glob: str) -> dict[str, int]:
+        """Time of change (milliseconds) of each path matching ``glob``."""
+        return {s.getPath().toString(): s.getModificationTime() for s in self._fs.globStatus(self.path(glob)) or []}
+
     def count(self, folder: str) -> int:
         """Files anywhere under ``folder``, in one call to the file system."""
         return self._fs.getContentSummary(self.path(folder)).getFileCount()
@@ -79,6 +83,16 @@ class Files:
         return [s.getPath().getName() for s in self._fs.listStatus(self.path(folder))]
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file over what is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that it appears complete or not at all."""
     jvm = spark._jvm

@@ -40,7 +40,8 @@ select event_id,
   event_type = 'view' as device_screen_on, event_id % 2 = 0 as device_charging
 from {{events}}""",
     "crash": f"""
-select cast(event_id as string) as report_id, cast(user_id as string) as policy_id,
+select cast(event_id as string) as report_id,
+  cast(case when user_id % 3 = 0 then user_id + 1 else user_id end as string) as policy_id,
   concat('VIN', cast(user_id % 97 as string)) as vin,
   cast(ts as timestamp) as crash_timestamp, cast(ts as date) as report_date,
   case event_id % 4 when 0 then 'FRONTAL' when 1 then 'REAR_END' when 2 then 'SIDE'

@@ -8,8 +8,8 @@ from pyspark.sql.types import StringType, StructType
 
 from ..functions import event_ts
 from ..schemas import TELEMETRY, TELEMETRY_FILE, TELEMETRY_FILE_V1, with_columns
-from .manifest import only_live
-from .paths import or_empty
+from .manifest import only_live, without_files
+from .paths import Files, or_empty
 
 TELEMETRY_FILES = "telemetry-*.parquet"
 
@@ -23,6 +23,14 @@ def _reader(spark: SparkSession, schema: StructType, base: str, pattern: str, sk
     )
 
 
+def _places(spark: SparkSession, base: str, date_glob: str, dates: list[str] | None) -> list[str]:
+    """Folders to read: those matching the glob, or those of ``dates`` that exist (one listing)."""
+    if dates is None:
+        return [f"{base}/date={date_glob}"]
+    there = {name for name, _ in Files(spark, base).states(base)}
+    return [f"{base}/date={day}" for day in dates if f"date={day}" in there]
+
+
 def telemetry(
     spark: SparkSession,
     base: str,
@@ -30,19 +38,28 @@ def telemetry(
     date_glob: str = "*",
     pattern: str = TELEMETRY_FILES,
     skip_corrupt: bool = False,
+    dates: list[str] | None = None,
+    without: DataFrame | None = None,
 ) -> DataFrame:
     """Telemetry under ``base/date=*/telemetry-*.parquet`` with decoded ``event_ts``.
 
     ``date`` comes from the folder name, so a predicate on it prunes folders;
-    ``date_glob`` (``2024-01-*``) keeps other folders from being listed at all. With
-    ``skip_corrupt`` unreadable files, and the rows after the damage in a partly readable one,
+    ``date_glob`` (``2024-01-*``) or a list of ``dates`` keeps other folders from being listed
+    at all. ``without`` (date, path of files, as :func:`skipped_files` lists them) leaves files
+    out whole. With ``skip_corrupt`` unreadable files, and the rows after the damage in a partly readable one,
     are left out; :func:`skipped_files` reports both. Size alone leaves nothing out. A missing
     path gives no rows. While a compaction replaces files, rows count once (see :mod:`.manifest`).
     """
     schema = with_columns(TELEMETRY_FILE, "date DATE")
 
     def read() -> DataFrame:
-        df = only_live(_reader(spark, schema, base, pattern, skip_corrupt).parquet(f"{base}/date={date_glob}"), base)
+        places = _places(spark, base, date_glob, dates)
+        if not places:
+            return spark.createDataFrame([], TELEMETRY)
+        df = _reader(spark, schema, base, pattern, skip_corrupt).parquet(*places)
+        if without is not None:
+            df = without_files(df, without.select("date", F.regexp_extract("path", r"([^/]+)$", 1).alias("name")))
+        df = only_live(df, base)
         return df.withColumn("event_ts", event_ts(F.col("event_time"))).select(*TELEMETRY.names)
 
     return or_empty(spark, TELEMETRY, read)
@@ -82,7 +99,8 @@ def telemetry_v1(
 
 
 def skipped_files(
-    spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES, date_glob: str = "*"
+    spark: SparkSession, base: str, *, pattern: str = TELEMETRY_FILES, date_glob: str = "*",
+    dates: list[str] | None = None,
 ) -> DataFrame:
     """What a scan with ``skip_corrupt`` loses: (date, path, bytes, rows_lost, reason).
 
@@ -97,12 +115,13 @@ def skipped_files(
 
     def counted(name: str, of) -> DataFrame:
         return (
-            _reader(spark, TELEMETRY_FILE, base, pattern, True).parquet(f"{base}/date={date_glob}")
+            _reader(spark, TELEMETRY_FILE, base, pattern, True).parquet(*places)
             .select(place("_metadata.file_path").alias("_place"), of.alias("_of"))
             .groupBy("_place").agg(F.count_if(F.col("_of") != 0).alias(name))
         )
 
-    files = list_files(spark, base, pattern=pattern, date_glob=date_glob).withColumn("_place", place("path"))
+    places = _places(spark, base, date_glob, dates)
+    files = list_files(spark, base, pattern=pattern, date_glob=None if dates is not None else date_glob, dates=dates).withColumn("_place", place("path"))
     in_footer = counted("in_footer", F.lit(1))  # needs no column, so only footers are read
     # A hash over all columns (never 0, as good as) makes the reader decode every page.
     read = counted("rows_read", F.xxhash64(*[F.col(f.name) for f in TELEMETRY_FILE]))

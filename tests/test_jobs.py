@@ -1,6 +1,10 @@
 """Refresh, streams, views, reports and the command line over files."""
 
+import os
+import re
+import shutil
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -23,6 +27,7 @@ from roadledger.streaming import (
     stream_high_gforce,
     stream_scores,
 )
+from roadledger.streaming import jobs
 from roadledger.streaming.jobs import read_windows, telemetry_stream
 
 SF = "/root/testdata/sf0.001"
@@ -130,7 +135,134 @@ def test_feature_stream_equals_batch_over_several_batches(spark, world, tmp_path
     windows = merged_windows(read_windows(spark, f"{out}/w"))
     assert rows(combine_features(windows, WEDNESDAY)) == \
         rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
-    assert read_windows(spark, f"{out}/w").select("batch_id").distinct().count() == 3
+    assert len([n for n in os.listdir(f"{out}/w") if n.startswith("batch_id=")]) == 3
+
+
+def test_readers_of_many_batches_read_few_folders(spark, world, tmp_path, monkeypatch):
+    _, tables = world
+    base, out = str(tmp_path / "t"), str(tmp_path / "out")
+    monkeypatch.setattr(jobs, "TIER", 2)
+    write_part(tables, base, "date < '2024-01-08'")
+    stream_features(telemetry_stream(spark, base, max_files=1), f"{out}/w", f"{out}/ck", every=None).awaitTermination()
+    batches = len([n for n in os.listdir(f"{out}/w") if n.startswith("batch_id=")])
+    assert batches >= 5
+    folders = jobs.tier_folders(spark, f"{out}/w", batches - 1)
+    assert len(folders) == bin(batches).count("1") < batches
+    expected = rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
+    assert rows(combine_features(merged_windows(read_windows(spark, f"{out}/w")), WEDNESDAY)) == expected
+    # A merged folder whose write did not finish is replaced by its parts.
+    biggest = next(f for f in folders if "/level=" in f)
+    os.remove(f"{biggest}/_SUCCESS")
+    assert biggest not in jobs.tier_folders(spark, f"{out}/w", batches - 1)
+    assert rows(combine_features(merged_windows(read_windows(spark, f"{out}/w")), WEDNESDAY)) == expected
+
+
+def test_a_thousand_batches_are_read_from_a_bounded_number_of_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs.Files, "exists", lambda self, name: True)
+    for last in (0, 15, 16, 999, 4095, 100_000):
+        folders = jobs.tier_folders(spark, str(tmp_path), last)
+        held = sorted(k for f in folders for level, n in [_level(f)] for k in range(n * 16**level, (n + 1) * 16**level))
+        assert held == list(range(last + 1)) and len(folders) <= 15 * 5
+
+
+def _level(folder):
+    found = re.search(r"batch_id=(\d+)$|level=(\d+)/part=(\d+)$", folder)
+    return (0, int(found[1])) if found[1] else (int(found[2]), int(found[3]))
+
+
+def test_one_changed_day_merges_one_month_again(spark, world, tmp_path):
+    from roadledger.plans.days import update_days
+
+    _, tables = world
+    base, home = str(tmp_path / "t"), str(tmp_path / "home")
+    moved = tables.telemetry.where("date < '2024-01-06'")
+    for months in (0, 1, 2):
+        shifted = moved.withColumn("event_ts", F.expr(f"event_ts + interval {months} month")).withColumn(
+            "date", F.add_months("date", months).cast("date"))
+        write_part(SimpleNamespace(telemetry=shifted), base, "true")
+    first = update_days(spark, base, home)
+    assert first.merged == ["2024-01", "2024-02", "2024-03"]
+    first.settle()
+    assert update_days(spark, base, home).merged == []
+    late = moved.where("driver_id = 3").withColumn("date", F.lit("2024-02-03").cast("date"))
+    write_part(SimpleNamespace(telemetry=late), base, "true")
+    again = update_days(spark, base, home)
+    assert again.merged == ["2024-02"] and [str(d) for d in again.changed] == ["2024-02-03"]
+    again.settle()
+    assert rows(combine_features(again.months, WEDNESDAY)) == rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
+    for day in ("01", "02", "03", "04", "05"):
+        shutil.rmtree(f"{base}/date=2024-03-{day}", ignore_errors=True)
+    gone = update_days(spark, base, home)
+    assert gone.merged == ["2024-03"]
+    assert rows(combine_features(gone.months, WEDNESDAY)) == rows(training.driver_features(telemetry(spark, base), WEDNESDAY))
+
+
+def test_snapshot_of_scores_reads_new_runs_only(spark, tmp_path):
+    from roadledger.functions import instant, weighted_notes
+    from roadledger.plans.snapshot import refreshed_scores
+    from roadledger.sources import append_scores
+
+    path, saved = str(tmp_path / "h"), str(tmp_path / "s")
+
+    def run(name, at, **scores):
+        made = spark.createDataFrame([(int(k[1:]), float(v)) for k, v in scores.items()], "driver_id long, score double").selectExpr(
+            "driver_id", "cast(score as decimal(5,2)) as safe_driver_score", "'GOOD' as risk_category", "1 as accident_count",
+            "1.0 as speed_compliance_rate", "1.0 as phone_usage_rate", "1 as harsh_driving_events")
+        append_scores(made, path, name, instant(at), weighted_notes())
+
+    def check(*read):
+        done = refreshed_scores(spark, path, saved)
+        assert [r.split("run_id=")[1] for r in done.read] == list(read)
+        assert rows(done.scores) == rows(scoring.current_scores(read_scores(spark, path)))
+
+    check()
+    run("a", "2024-01-10 00:00:00", d1=50, d2=60, d3=70)
+    check("a")
+    check()
+    run("b", "2024-01-11 00:00:00", d1=55, d2=65)
+    run("c", "2024-01-12 00:00:00", d2=66, d4=80)
+    check("b", "c")
+    run("c", "2024-01-12 00:00:00", d4=81)  # written again, without driver 2
+    check("c")
+    shutil.rmtree(f"{path}/calculation_day=2024-01-11")
+    check()
+
+
+def test_gate_reads_only_folders_with_new_rows(spark, world, tmp_path):
+    _, tables = world
+    base = str(tmp_path / "t")
+    write_part(tables, base, "driver_id is not null")
+    tel = telemetry(spark, base)
+    known = training.driver_features(tel, "2024-01-20 00:00:00")
+    zones = training.zone_map(tel)
+    news = training.new_data(tel, known, zones)
+    wanted = tel.where("event_ts > '2024-01-20 00:00:00'")
+    assert rows(news) == rows(wanted) and news.count() > 0
+    assert "date#" in news._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert min(str(r["date"]) for r in news.select("date").distinct().collect()) >= "2024-01-20"
+    # Unknown drivers and rows without a driver are new whatever their date.
+    half = known.where("driver_id % 2 = 0")
+    write_part(tables, base, "driver_id is null")
+    tel = telemetry(spark, base)
+    expected = tel.join(half.select("driver_id", F.lit(1).alias("known")), "driver_id", "left").where(
+        "known is null or event_ts > '2024-01-20 00:00:00'").select(tel.columns)
+    assert rows(training.new_data(tel, half)) == rows(expected)
+
+
+def test_bitmaps_of_pieces_unite(spark, telemetry_of):
+    from roadledger.operators import activity
+
+    made = [{"policy_id": p, "event_ts": f"2024-01-{10 + d} 0{h}:00:00"}
+            for p, d, h in ((1, 0, 1), (1, 0, 2), (40_000, 0, 3), (1, 1, 1), (-5, 1, 4), (None, 2, 1), (2**40, 2, 5))]
+    whole, a, b = telemetry_of(*made), telemetry_of(*made[:3]), telemetry_of(*made[3:])
+    united = activity.freshness_of(activity.policy_bitmaps(a).unionAll(activity.policy_bitmaps(b)))
+    assert rows(united) == rows(activity.data_freshness(whole))
+    assert tuple(united.first())[2:] == (3, 4)
+    assert tuple(activity.data_freshness(whole.limit(0)).first()) == (None, None, 0, 0)
+    for report in (activity.data_freshness(whole), activity.data_completeness(
+            whole, whole.select("policy_id", "vin", F.col("date").alias("report_date"), F.lit(None).cast("double").alias("crash_latitude"),
+                                F.lit(1.0).alias("risk_score")), "2024-01-31")):
+        assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rescoring_stream_touches_only_changed_drivers_and_repeats_safely(spark, world, tmp_path):

@@ -13,8 +13,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "conversations").split()
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
          "boolean": "BOOLEAN"}
-# The iterative fit and file sizes have no SQL.
-ROWS_ONLY = {"train_accident_model", "partition_inventory", "compaction_preview", "cleanup_report"}
+# The iterative fit has no SQL.
+ROWS_ONLY = {"train_accident_model"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -59,4 +61,6 @@ def test_the_sample_reaches_every_branch(spark):
     assert values("response_priority_rank", "response_priority") == {1, 2, 3, 4}
     assert values("time_category", "time_category") == {"MORNING_RUSH", "EVENING_RUSH", "DAYTIME"}
     assert values("time_category_wrapped", "time_category") == {"MORNING_RUSH", "EVENING_RUSH", "NIGHT", "DAYTIME"}
+    assert values("compaction_preview", "grade") == {"below minimum", "eligible", "good", "excellent"}
+    assert values("customer_risk_profile", "risk_category") == {"HIGH_RISK", "MEDIUM_RISK", "LOW_RISK"}
     assert values("customer_risk_profile_fanout", "risk_category") == {"HIGH_RISK", "MEDIUM_RISK", "LOW_RISK"}
