@@ -364,6 +364,37 @@ _COMPOSITE = f"""select driver_id, speed_score, smoothness_score, harsh_driving_
     greatest(0, 100 - phone_usage_rate * 3) as distraction_score,
     greatest(0, 100 - accident_count * 20) as accident_score from training) p) q"""
 
+# Weighted least squares by Newton steps from zero: each step sums the normal equations at the
+# coefficients so far and solves them by elimination, pivots 1 to 6 in turn. A step that makes
+# the loss larger is halved until it does not.
+_FIT_X = "[cast(1 as double), " + ", ".join(f"cast({c} as double)" for c in _INPUTS) + "]"
+_FIT = f"""
+rows_ as (select {_FIT_X} as x, cast(has_accident as double) as y from training
+  where {" and ".join(f"{c} is not null" for c in _INPUTS)}),
+fit(step, beta, loss) as (
+  select 0, [cast(0 as double) for i in range(6)], count(*) * ln(cast(2 as double)) from rows_
+  union all
+  select step + 1, tried.beta, tried.loss from (
+    select step, loss, beta, [m[i][7] for i in range(1, 7)] as move from (
+      select step, loss, beta, list_reduce(list_concat([matrix], [[[cast(k as double)]] for k in range(1, 7)]),
+        lambda m, s: [[case when i = cast(s[1][1] as int) then m[i][j] / m[i][i]
+            else m[i][j] - m[i][cast(s[1][1] as int)] * m[cast(s[1][1] as int)][j]
+              / m[cast(s[1][1] as int)][cast(s[1][1] as int)] end for j in range(1, 8)] for i in range(1, 7)]) as m
+      from (
+        select step, loss, beta, [[sums[7 * (i - 1) + j] for j in range(1, 8)] for i in range(1, 7)] as matrix from (
+          select step, any_value(loss) as loss, any_value(beta) as beta, [{", ".join(
+              f"sum(p * (1 - p) * x[{i}] * x[{j}])" if j < 7 else f"sum((y - p) * x[{i}])"
+              for i in range(1, 7) for j in range(1, 8))}] as sums
+          from (select step, loss, beta, x, y, 1 / (1 + exp(-list_sum([beta[i] * x[i] for i in range(1, 7)]))) as p
+            from fit, rows_ where step < 20) f group by step) s) t) u) v,
+    lateral (
+      select b as beta, loss from (
+        select h, b, sum(ln(1 + exp(-abs(z))) + greatest(z, 0) - y * z) as loss from (
+          select h, b, y, list_sum([b[i] * x[i] for i in range(1, 7)]) as z
+          from rows_, (select h, [v.beta[i] + v.move[i] / (1 << h) for i in range(1, 7)] as b
+            from range(11) hs(h)) c) e group by h, b) g
+      order by case when loss <= v.loss * (1 + 1e-12) + 1e-12 then h else 100 - h end limit 1) tried)"""
+
 _CLEANUP_COLUMNS = """total_files:n small_files:n bytes_before:n bytes_after:n bytes_freed:n small_below_1kb:n
   small_from_1kb:n reduction_percent:d health"""
 
@@ -596,6 +627,16 @@ ORACLE: dict[str, str] = {
                                 "select date from then_files except select date from now_files"),
     # scores
     "score_weighted": build("weighted", _SCORE_COLUMNS, "select * from weighted"),
+    "train_accident_model": build("training", "place:n millionths:n rows_used:n rows_skipped:n separable", f"""
+  with recursive {_FIT}
+  select i - 1 as place, round(beta[i] * 1000000) as millionths, (select count(*) from rows_) as rows_used,
+    (select count(*) from training) - (select count(*) from rows_) as rows_skipped, false as separable
+  from (select beta from fit order by step desc limit 1) b, range(1, 7) r(i)"""),
+    "retrained_model": build("training", "driver_id:n accident_probability:d", f"""
+  with recursive {_FIT}
+  select driver_id, case when {" and ".join(f"{c} is not null" for c in _INPUTS)}
+    then 1 / (1 + exp(-list_sum([beta[i] * ({_FIT_X})[i] for i in range(1, 7)]))) end as accident_probability
+  from training, (select beta from fit order by step desc limit 1) b"""),
     "predict_accident_probability": build("predicted", "driver_id:n accident_probability:d", "select * from predicted"),
     "score_logistic": build("logistic", "accident_probability:d " + _SCORE_COLUMNS, "select * from logistic"),
     "score_composite": build("training", """speed_score:x smoothness_score:x harsh_driving_score:x

@@ -53,7 +53,7 @@ from ..sources.telemetry import skipped_files
 from ..streaming import merged_windows, stream_features, stream_high_gforce
 from ..streaming.jobs import read_windows, stream_scores, telemetry_stream
 from . import compaction
-from .refresh import RefreshConfig, refresh
+from .refresh import RefreshConfig, refresh, retrain_only
 from .snapshot import refreshed_scores
 
 AS_OF = "2024-01-31 00:00:00"
@@ -639,7 +639,20 @@ def score_weighted(t):
 
 @query
 def train_accident_model(t):
-    return model.train_accident_model(materialized(t.training(), "training"))
+    """The fitted coefficients in millionths, by place."""
+    fitted = model.train_accident_model(materialized(t.training(), "training"))
+    return fitted.select(F.posexplode("coef").alias("place", "c"), "rows_used", "rows_skipped", "separable").select(
+        "place", F.round(F.col("c") * 1e6).cast("bigint").alias("millionths"), "rows_used", "rows_skipped", "separable")
+
+
+@query
+def retrained_model(t):
+    """Training again on the stored data of a refresh: the model predicts as the one before."""
+    config, _ = _refreshed(t, _add(t), force=True)
+    retrain_only(t.spark, config, max_iter=15)
+    stored = t.spark.read.parquet(config.training)
+    fitted = t.spark.read.parquet(config.model)
+    return scoring.predict_accident_probability(stored, fitted).select("driver_id", "accident_probability")
 
 
 @query
