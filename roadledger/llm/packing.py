@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,8 +111,10 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, tokenizer: str, *, spaces: bool = True, window: int = WINDOW) -> DataFrame:
-    """Pieces of all documents with their sequence and place in it.
+def pack(docs: DataFrame, tokenizer: str, *, spaces: bool = True, window: int = WINDOW,
+         checksums: bool = False) -> DataFrame:
+    """Pieces of all documents with their sequence and place in it; with ``checksums`` the crc32
+    of each piece's ids (``ids_crc32``) in place of the ids, which then stay in the task.
 
     Each task packs the documents it reads: whole windows of a document first, then the
     remainders by minimum bin slack over the multiset of lengths held. Nothing is shuffled, and
@@ -123,7 +127,8 @@ def pack(docs: DataFrame, tokenizer: str, *, spaces: bool = True, window: int =
     Pieces of one document keep their order by ``start``.
     """
     small_batches(docs.sparkSession)
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    schema = SCHEMA.replace("ids array<int>", "ids_crc32 long") if checksums else SCHEMA
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def deal(batches):
         from pyspark import TaskContext
@@ -143,6 +148,9 @@ def pack(docs: DataFrame, tokenizer: str, *, spaces: bool = True, window: int =
         def out():
             columns = list(zip(*rows)) or [()] * len(names)
             rows.clear()
+            if checksums:
+                columns[3] = [zlib.crc32(ids) for ids in columns[3]]
+                return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
             sizes = np.array(columns[2], dtype=np.int64)
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             flat = pa.array(np.frombuffer(b"".join(columns[3]), dtype="<i4"))
@@ -175,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str, *, spaces: bool = True, window: int =
         yield out()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(deal, SCHEMA)
+    return source.mapInArrow(deal, schema)
 
 
 class _Tail:

@@ -27,8 +27,7 @@ def query(f: Query) -> Query:
 
 @query
 def op5_packing(spark, sf_dir):
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return token_files.with_checksum(pieces)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), checksums=True)
 
 
 @query

@@ -4,45 +4,62 @@ Both vocabularies split a text at white space before merging, so the ids of a te
 of its pieces one after the other as long as every cut is one the tokenizer makes anyway. Texts
 are cut only at a lone space or line feed between two characters that are no white space; all
 else (runs of white space, tabs, texts that begin or end with white space) stays in one piece.
-The library is asked for each piece that the cache lacks.
+A piece that the cache lacks is put together from its runs of letters, digits and marks, which
+both tokenizers split too and which repeat far more than whole pieces do; the library is asked
+for each new run, and for pieces with anything else in them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-
-import numpy as np
+from array import array
+from collections.abc import Callable, Iterable
 
 END_ID = 1
-# Pieces kept in each of the two generations of a worker's cache.
-CACHE_PIECES = 250_000
+# Pieces and runs kept in each of the two generations of a worker's caches.
+CACHE_PIECES, CACHE_RUNS = 100_000, 400_000
 
 # White space other than the space and the line feed, and runs of those two.
 _UNUSUAL = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "  ", "\n\n", " \n", "\n ")
 _UNUSUAL_WIDE = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200b)), "\u2028", "\u2029",
                  "\u202f", "\u205f", "\u3000")
-# Pieces that are one token group whatever stands around them: ASCII letters, then marks.
-_PLAIN = re.compile(r"([A-Za-z]+)([.,!*$%&#|;:?]*)")
-
-
-class _Pieces(dict):
-    """Ids of pieces; the least recently made generation goes when the newer one is full."""
-
-    def __init__(self, encode):
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
+# Latin letters (but the one whose lower case is two characters), digits, and ASCII marks but the
+# apostrophe, which begins contractions: runs of one kind are split from each other wherever they stand.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS}]+")
+_RUNS = re.compile(f"[{_LETTERS}]+|[0-9]+|[{_MARKS}]+")
+# Texts of nothing else, and their runs: with the space before them, or digit by digit.
+_PLAIN_TEXT = re.compile(f"[{_LETTERS}0-9{_MARKS} \n]+")
+_SPACED_RUNS = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
+_BARE_RUNS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
+
+
+class _Cache(dict):
+    """Ids of strings; the least recently made generation goes when the newer one is full."""
+
+    def __init__(self, encode: Callable[[str], bytes], size: int):
+        self.encode, self.size, self.old = encode, size, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
-        ids = self.old.get(piece)
+        ids = self.old.get(key)
         if ids is None:
-            ids = np.array(self.encode(piece), "<u4").tobytes()
-        self[piece] = ids
+            ids = self.encode(key)
+        self[key] = ids
         return ids
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level vocabularies' character for each byte: printable ones of Latin-1 stand for
+    themselves, the others are numbered from 256 on."""
+    kept = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    others = [b for b in range(256) if b not in kept]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
     """encode(texts): ids as little-endian unsigned 32-bit bytes, the end id included.
 
@@ -68,50 +85,56 @@ class Encoder:
         self.spaces = spaces
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.known = _Pieces(self._spaced if spaces else self._word)
-        self.feed = np.array(self._whole("\n"), "<u4").tobytes()
-        self.end = np.array([END_ID], "<u4").tobytes()
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _plain(self, m: re.Match, before: str = "") -> list[int]:
-        """Ids of letters and the marks after them, which the tokenizer splits there too."""
-        word, marks = m.groups()
-        out = [x.id for x in self.model.tokenize(before + (word if self.spaces else word.lower()))]
-        return out + [x.id for x in self.model.tokenize(marks)] if marks else out
-
-    def _word(self, piece: str) -> list[int]:
-        m = _PLAIN.fullmatch(piece)
-        return self._plain(m) if m else self._whole(piece)
-
-    def _spaced(self, piece: str) -> list[int]:
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        self.runs = _Cache(self._run, CACHE_RUNS)
+        self.known = _Cache(self._spaced if spaces else self._piece, CACHE_PIECES)
+        self.feed = self._whole("\n")
+        self.end = END_ID.to_bytes(4, "little")
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a run of one kind, straight from the merges (digits without spaces come one by one)."""
+        text = run if self.spaces else run.lower()
+        text = text.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
+
+    def _piece(self, piece: str, before: str = "") -> bytes:
+        """Ids of a piece; ``before`` goes with its first run."""
+        if not _PLAIN.fullmatch(piece):
+            return self._whole(before + piece)
+        found = (_RUNS if self.spaces else _BARE_RUNS).findall(piece)
+        found[0] = before + found[0]
+        return b"".join(map(self.runs.__getitem__, found))
+
+    def _spaced(self, piece: str) -> bytes:
         """A piece that begins with a line feed stands after one; any other after a space."""
         if piece[0] == "\n":
-            return self._whole("\n") + (self._word(piece[1:]) if len(piece) > 1 else [])
-        # The byte-level alphabet writes a space as G with a dot above.
-        m = _PLAIN.fullmatch(piece)
-        return self._plain(m, "\u0120") if m else self._whole(" " + piece)
+            return self.feed + (self._piece(piece[1:]) if len(piece) > 1 else b"")
+        return self._piece(piece, " ")
 
     def _careful(self, text: str) -> bytes:
         """Cut only before a space that stands between two other characters."""
         parts = re.split(r"(?<=\S)(?= \S)", text)
-        return b"".join(np.array(self._whole(p), "<u4").tobytes() for p in parts)
+        return b"".join(map(self._whole, parts))
 
     def _one(self, text: str | None) -> bytes:
         if not text:
             return b""
-        get = self.known.__getitem__
         if not self.spaces:
+            if _PLAIN_TEXT.fullmatch(text):
+                return b"".join(map(self.runs.__getitem__, _BARE_RUNS.findall(text)))
             # Python splits at these four controls, the tokenizer does not.
             if any(x in text for x in ("\x1c", "\x1d", "\x1e", "\x1f")):
-                return np.array(self._whole(text), "<u4").tobytes()
-            return b"".join(map(get, text.split()))
+                return self._whole(text)
+            return b"".join(map(self.known.__getitem__, text.split()))
         if (text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _UNUSUAL)
                 or not text.isascii() and any(x in text for x in _UNUSUAL_WIDE)):
             return self._careful(text)
-        ids = b"".join(map(get, f"\n{text}".replace("\n", " \n").split(" ")[1:]))
+        if _PLAIN_TEXT.fullmatch(text):
+            return b"".join(map(self.runs.__getitem__, _SPACED_RUNS.findall(text)))
+        ids = b"".join(map(self.known.__getitem__, f"\n{text}".replace("\n", " \n").split(" ")[1:]))
         return ids[len(self.feed):]  # the line feed put in front
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:

@@ -33,15 +33,32 @@ def test_pieces_give_the_ids_of_whole_texts(name, spaces):
         assert np.frombuffer(got, "<u4").tolist() == want(text), repr(text)
 
 
+@pytest.mark.parametrize("name, spaces", FILES)
+def test_runs_of_letters_digits_and_marks(name, spaces):
+    """Latin letters, digits and every mark of ASCII, alone and with what is neither."""
+    rng = random.Random(6)
+    path = public_tokenizers.path(name)
+    kinds = ["abcXYZ", "éñçÀßıſǅÞ×÷", "0123", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "'", " ", "\n", "İ²½\u0301日🙂"]
+    texts = ["".join(rng.choice(rng.choice(kinds[:k])) for _ in range(rng.randint(0, 50))) for k in (1, 3, 4, 6, 7, 8)
+             for _ in range(300)]
+    texts += ["we've <|endoftext|> it's 12:30, x_y {a}[b]", "don't", "12'30\" x", "a" * 5000, "é," * 400]
+    want, encoder = plain(path), Encoder(path, spaces)
+    for text, got in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == want(text), repr(text)
+
+
 def test_cache_stays_bounded(monkeypatch):
     from roadledger.llm import tokens
 
     monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
+    monkeypatch.setattr(tokens, "CACHE_RUNS", 10)
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, want = Encoder(path, True), plain(path)
-    text = " ".join(f"w{i}" for i in range(60))
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want(text)
-    assert len(encoder.known) <= 10 and len(encoder.known.old) <= 10
+    for mark in ("", "'", "日"):
+        text = " ".join(f"{chr(97 + i % 26) * (1 + i // 26)}{mark}" for i in range(60))
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want(text)
+    for cache in (encoder.known, encoder.runs):
+        assert 0 < len(cache) <= 10 and 0 < len(cache.old) <= 10
 
 
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
