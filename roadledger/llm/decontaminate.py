@@ -51,74 +51,88 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def prefixes(item_tokens: DataFrame, frequency: DataFrame) -> DataFrame:
-    """The tokens by which windows are found: of each window the rarest of its shingles.
+    """The tokens by which windows are found, with the width w of the window: of each window the
+    rarest of its shingles.
 
     All shingles of a window must occur where the window does, so one is enough: the first in
     the order by number of occurrences in the corpus, then by hash. Neighbouring windows often
     share it. A shingle that never occurs rules its windows out.
     """
     rarity = item_tokens.join(frequency, ["size", "token"], "left").select(
-        "item", "n_words", "w", "size", "at", "token",
-        F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "at").alias("rank"))
+        "item", "n_words", "w", "size", "at", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token").alias("rank"))
     # The shingles of the window that begins at word a begin at a .. a + w - size.
     starts = rarity.select("*", F.explode(F.sequence(
         F.greatest(F.lit(0), F.col("at") - F.col("w") + F.col("size")),
         F.least("at", F.col("n_words") - F.col("w")))).alias("window"))
-    first = starts.groupBy("item", "window", "size").agg(F.min("rank").alias("r"))
-    return first.where("r.n > 0").select("item", "size", F.col("r.token").alias("token"),
-                                         F.col("r.at").alias("at")).distinct()
+    first = starts.groupBy("item", "window", "w", "size").agg(F.min("rank").alias("r"))
+    return first.where("r.n > 0").select("size", "w", F.col("r.token").alias("token")).distinct()
 
 
-def candidates(corpus_tokens: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc, item, shift): the item's first word would stand at word ``shift`` of the document."""
-    tokens = corpus_tokens.select("doc", "size", F.col("at").alias("doc_at"), "token")
-    return tokens.join(items, ["size", "token"]).select(
-        "doc", "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
+def _keys(width: int, at) -> list[Column]:
+    """128 bits of the ``width`` words of ``ws`` from ``at`` on."""
+    return [F.xxhash64(F.lit(seed), *[F.get("ws", at + k) for k in range(width)]).alias(f"h{seed}") for seed in (1, 2)]
 
 
-def _hit_positions(item: Column) -> Column:
-    """Words of the document inside windows of one placed item, verified word by word.
+def item_windows(items: DataFrame, widths: list[int]) -> DataFrame:
+    """Each different window of each item: (w, h1, h2, item_id)."""
+    out = None
+    for width in widths:
+        keys = F.transform(F.sequence(F.lit(0), F.size("ws") - width), lambda a: F.struct(*_keys(width, a)))
+        part = items.where(F.col("w") == width).select("item_id", F.lit(width).alias("w"), F.explode(F.array_distinct(keys)).alias("k"))
+        out = part if out is None else out.unionAll(part)
+    return out.select("w", "k.h1", "k.h2", "item_id").distinct()
 
-    Windows that would begin before or end after the document are out by their position.
-    """
-    shift, ws, w = item["shift"], item["ws"], item["w"]
-    first = F.greatest(F.lit(0), -shift)
-    last = F.least(F.size(ws) - w, F.size("ws") - w - shift)
 
-    def occurs(a):
-        return F.slice("ws", shift + a + 1, w) == F.slice(ws, a + 1, w)
+def _places(width: int) -> Column:
+    """Windows of the document that can hold a prefix token at one of the places found for the
+    width: they begin so that the token is inside, and end within the document."""
+    size = min(width, SHINGLE)
+    last = F.size("ws") - width
+
+    def around(p):
+        low, high = F.greatest(F.lit(0), p - (width - size)), F.least(p, last)
+        return F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    ats = F.flatten(F.filter("found", lambda f: f["w"] == width)["ats"])
+    starts = F.array_distinct(F.flatten(F.transform(ats, around)))
+    return F.transform(starts, lambda a: F.struct(F.lit(width).alias("w"), a.alias("a"), *_keys(width, a)))
+
 
-    starts = F.when(last >= first, F.filter(F.sequence(first, last), occurs))
-    return F.flatten(F.transform(starts, lambda a: F.sequence(shift + a, shift + a + w - 1)))
+def _covered(spans: str) -> Column:
+    """Words under sorted (a, e) spans, e being the word after the last one."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
+    return F.aggregate(spans, start, lambda done, x: F.struct(
+        (done["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["a"], done["upto"]))).cast("long").alias("n"),
+        F.greatest(done["upto"], x["e"]).alias("upto")))["n"]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...] = (), *,
-                  nameless: bool = False) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document, and its
     ``carried`` columns.
 
     ``items`` lists, sorted as strings, the ids of the items that have an occurring window.
     Documents and items without words (null text included) hit nothing. Rows with equal or
     null doc_id are judged each by its own text. Items with equal texts are all listed; rows of
-    one item_id with different texts all count for it. Items with null id take no part or, with
-    ``nameless``, hit words like others but are not listed. An empty benchmark or table leaves nothing hit. Other columns are
-    not read.
+    one item_id with different texts all count for it. Items with null id hit words like others,
+    but have no id to list. An empty benchmark or table leaves nothing hit. Texts and items of one
+    word over and over make as many windows as they have words, not pairs of places. Other
+    columns are not read.
 
     The corpus is read twice: once for the occurrences of benchmark shingles, a narrow table,
-    and once to verify. Spark broadcasts the benchmark's tokens if they are under its limit and
-    shuffles both sides, hot tokens split at run time, if not. Only documents with candidates
-    carry item words through the last join.
+    and once for the windows around those that are prefixes, which are compared with the items'
+    by 128 bits of their words. Spark broadcasts the benchmark's tokens if they are under its
+    limit and shuffles both sides, hot tokens split at run time, if not.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carried)
     keyed = source.withColumn("doc", F.xxhash64("doc_id", "text"))
-    used = benchmark if nameless else benchmark.where(F.col("item_id").isNotNull())
-    items = written(items_of(used), "items")
-    sizes = [r[0] for r in items.select(F.least("w", F.lit(SHINGLE))).distinct().collect()]
-    if not sizes:
+    items = written(items_of(benchmark), "items")
+    widths = sorted(r[0] for r in items.select("w").distinct().collect())
+    if not widths:
         none = F.lit(0).cast("long")
         return source.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), none.alias("n_hit"),
                              none.alias("n_items"), F.array().cast("array<string>").alias("items"),
                              F.lit(False).alias("contaminated"), *carried)
+    sizes = sorted({min(w, SHINGLE) for w in widths})
     measured = items.withColumn("n_words", F.size("ws"))
     item_tokens = written(_occurrences(measured, ["item", "n_words", "w", "ws"], sizes).where(
         F.col("size") == F.least("w", F.lit(SHINGLE))).drop("ws"), "item-tokens")
@@ -126,26 +140,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carried: tuple[str, ...
     split = keyed.select("doc", words(F.col("text")).alias("ws"))
     found = written(_occurrences(split, ["doc"], sizes).join(wanted, ["size", "token"]), "occurrences")
     frequency = found.groupBy("size", "token").agg(F.count(F.lit(1)).alias("n"))
-    placed = candidates(found, prefixes(item_tokens, frequency))
-    by_doc = placed.join(items, "item").groupBy("doc").agg(
-        F.collect_list(F.struct("item_id", "shift", "ws", "w")).alias("placed"))
-    both = keyed.join(by_doc, "doc", "left").select(
-        "doc_id", words(F.col("text")).alias("ws"), "placed", *carried)
-    hits = F.transform("placed", lambda p: F.struct(p["item_id"].alias("item_id"), _hit_positions(p).alias("at")))
-    judged = both.select("doc_id", F.size("ws").cast("long").alias("n_words"),
-                         F.filter(hits, lambda h: F.size(h["at"]) > 0).alias("hits"), *carried)
-    counted = judged.select(
-        "doc_id", "n_words",
-        F.coalesce(F.size(F.array_distinct(F.flatten("hits.at"))), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct(F.array_compact("hits.item_id"))), F.array().cast("array<string>")).alias("items"), *carried)
-    return counted.select("doc_id", "n_words", F.when(F.col("n_hit") > 0, F.col("n_hit")).otherwise(0).alias("n_hit"),
-                          F.size("items").cast("long").alias("n_items"), "items",
+    near = found.join(prefixes(item_tokens, frequency), ["size", "token"])
+    by_doc = near.groupBy("doc", "w").agg(F.collect_set("at").alias("ats")).groupBy("doc").agg(
+        F.collect_list(F.struct("w", "ats")).alias("found"))
+    held = keyed.select("doc", "text").join(by_doc, "doc").select("doc", words(F.col("text")).alias("ws"), "found")
+    windows = held.select("doc", F.explode(F.concat(*[_places(w) for w in widths])).alias("x")).select("doc", "x.*")
+    known = written(item_windows(items, widths), "item-windows")
+    hits = written(windows.join(known.select("w", "h1", "h2").distinct(), ["w", "h1", "h2"], "left_semi").distinct(), "hits")
+    spans = hits.groupBy("doc").agg(F.sort_array(F.collect_list(
+        F.struct("a", (F.col("a") + F.col("w")).alias("e")))).alias("spans")).select("doc", _covered("spans").alias("n_hit"))
+    listed = hits.select("doc", "w", "h1", "h2").distinct().join(known.where("item_id is not null"), ["w", "h1", "h2"]).groupBy(
+        "doc").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    sized = keyed.select("doc", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), *carried)
+    counted = sized.join(spans, "doc", "left").join(listed, "doc", "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), *carried)
+    return counted.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
                           ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), *carried)
 
 
 def keep_clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated, with their columns. Each row goes or stays by its
-    own text, whatever other rows have its doc_id or none. Passages of items without an id count."""
+    own text, whatever other rows have its doc_id or none."""
     keyed = with_row_key(docs)
-    judged = decontaminate(keyed, table(spark, sf_dir, "benchmark"), ROW, nameless=True)
+    judged = decontaminate(keyed, table(spark, sf_dir, "benchmark"), ROW)
     return without(keyed, judged.where("contaminated"))

@@ -27,7 +27,7 @@ _WORDS = (r"[x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEF
 OP4 = rf"""
 with items as (
   select cast(item_id as varchar) as item_id, ws, least(len(ws), 13) as w
-  from (select item_id, {_WORDS} as ws from benchmark) where len(ws) > 0 and item_id is not null),
+  from (select item_id, {_WORDS} as ws from benchmark) where len(ws) > 0),
 windows as (
   select distinct item_id, w, list_slice(ws, a, a + w - 1) as win
   from (select item_id, ws, w, unnest(range(1, len(ws) - w + 2)) as a from items)),
@@ -43,7 +43,7 @@ covered as (
   from (select distinct d, unnest(range(a, a + w)) as word from hits) group by d),
 found as (
   select d, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
-  from (select distinct d, item_id from hits) group by d)
+  from (select distinct d, item_id from hits where item_id is not null) group by d)
 select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(items, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated

@@ -67,10 +67,24 @@ def test_items_that_share_an_id_or_have_none_are_found(spark, texts):
     first, second, third = (" ".join(f"{c}{k}" for k in range(13)) for c in "pqr")
     bench = spark.createDataFrame([("a", first), ("a", second), ("a", second), (None, third)], "item_id string, text string")
     docs = texts((1, f"x {second} y"), (2, f"{third} z"), (3, "x y z"), (4, second + " " + third))
-    for nameless, third_hits in ((False, 0), (True, 13)):
-        got = {r["doc_id"]: (r["n_hit"], r["items"], r["contaminated"])
-               for r in decontaminate.decontaminate(docs, bench, nameless=nameless).collect()}
-        assert got == {1: (13, ["a"], True), 2: (third_hits, [], nameless), 3: (0, [], False), 4: (13 + third_hits, ["a"], True)}
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: (13, ["a"], True), 2: (13, [], True), 3: (0, [], False), 4: (26, ["a"], True)}
+
+
+def test_words_repeated_over_and_over(spark, texts):
+    """Grids and other periodic texts against brute force, and one of 20,000 equal words."""
+    rng = random.Random(3)
+    patterns = [["a"], ["a", "b"], ["a", "b", "c"], ["0", "1", "0"], ["a", "a", "b"]]
+    items = [(k, " ".join((patterns[k % 5] * 80)[:n])) for k, n in enumerate([60, 40, 13, 12, 31, 7, 5, 80])]
+    rows = [(k, " ".join(rng.choice([["x"], []]) + (rng.choice(patterns) * 60)[rng.randint(0, 3):rng.randint(20, 120)]
+                         + (rng.choice(patterns) * 40)[:rng.randint(0, 60)])) for k in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["contaminated"])
+           for r in decontaminate.decontaminate(texts(*rows), bench).collect()}
+    assert got == {i: windows_hit(t, items) for i, t in rows}
+    long = spark.createDataFrame([("one", "word " * 2000), ("two", "word " * 1500 + "end")], "item_id string, text string")
+    got = decontaminate.decontaminate(texts((1, "word " * 20_000), (2, "other " + "word " * 12)), long).collect()
+    assert sorted((r["doc_id"], r["n_hit"], r["items"]) for r in got) == [(1, 20_000, ["one", "two"]), (2, 0, [])]
 
 
 def shingles(text):
