@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import functools
 import hashlib
@@ -95,6 +96,9 @@ _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 
 
+_HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+
+
 class Pseudonyms:
     """replace(text) for one key. Values are validated first; what fails stays as it is."""
 
@@ -102,9 +106,9 @@ class Pseudonyms:
         self.key, self.undo = key, undo
         self.network = functools.lru_cache(maxsize=4096)(lambda kind, n: Feistel(key, kind, n))
         self.kinds: list[tuple[re.Pattern, Callable[[re.Match], str | None]]] = [
-            (re.compile(r"(?<![\w.+-])([A-Za-z0-9][\w.+-]{0,63})@((?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])"), self._email),
+            (re.compile(r"(?<![\w.+-])([A-Za-z0-9][\w.+-]*)@((?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])"), self._email),
             (re.compile(r"(?<![A-Za-z0-9])((?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])"), self._access_key),
-            (re.compile(r"""(?i)(?<![a-z0-9])((?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?)([^\s"']{4,})"""), self._secret),
+            (re.compile(r"""(?i)(?<![a-z0-9])((?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["']?)((?<=")[^"\n]{4,}(?=")|(?<=')[^'\n]{4,}(?=')|[^\s"']{4,})"""), self._secret),
             (re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), self._iban),
             (re.compile(r"(?<![\d.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\d|\.\d)"), self._ip),
             (re.compile(r"(?<![\w.-])(\d{4})-(\d{2})-(\d{2})(?![\w-])"), self._iso_date),
@@ -167,7 +171,14 @@ class Pseudonyms:
         return m[1][:4] + self._characters("access key", m[1][4:])
 
     def _hidden(self, value: str) -> str:
-        return self._characters("secret", value, bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)))
+        """Hexadecimal values are permuted among themselves, the others until the image is no
+        hexadecimal value either: so no two values share one, and each knows its way back."""
+        if _HEXADECIMAL.fullmatch(value):
+            return self._characters("secret", value, True)
+        out = self._characters("secret", value)
+        while _HEXADECIMAL.fullmatch(out):
+            out = self._characters("secret", out)
+        return out
 
     def _secret(self, m):
         if not any(c.isascii() and c.isalnum() for c in m[2]):
@@ -203,12 +214,19 @@ class Pseudonyms:
             return None
         return ".".join(map(str, self._mixed("ip", [(p, 256) for p in parts])))
 
-    def _day(self, year: str, month: str, day: str) -> datetime.date | None:
+    def _day(self, year: str, month: str, day: str, after: int = 0) -> datetime.date | None:
+        """The date permuted, among those beyond day ``after`` of their month."""
         try:
             x = datetime.date(int(year), int(month), int(day)).toordinal() - _FIRST_DAY
         except ValueError:
             return None
-        return datetime.date.fromordinal(_FIRST_DAY + self._move("date", _DAYS, x)) if 0 <= x < _DAYS else None
+        if not 0 <= x < _DAYS:
+            return None
+        while True:
+            x = self._move("date", _DAYS, x)
+            moved = datetime.date.fromordinal(_FIRST_DAY + x)
+            if moved.day > after:
+                return moved
 
     def _iso_date(self, m):
         day = self._day(m[1], m[2], m[3])
@@ -216,11 +234,12 @@ class Pseudonyms:
 
     def _date(self, m):
         """Day first; month first where that alone makes a date. The pseudonym is written with
-        the same order and separators, and two digits each."""
+        the same order and separators, and two digits each. Month-first dates have a day beyond
+        12, and so do their pseudonyms: the reading stays the same."""
         day, sep = self._day(m[4], m[3], m[1]), m[2]
         if day:
             return f"{day.day:02d}{sep}{day.month:02d}{sep}{day.year}"
-        day = self._day(m[4], m[1], m[3])
+        day = self._day(m[4], m[1], m[3], after=12) if int(m[3]) > 12 else None
         return day and f"{day.month:02d}{sep}{day.day:02d}{sep}{day.year}"
 
     def _ssn(self, m):
@@ -291,24 +310,29 @@ class Pseudonyms:
                 continue
             for m, end, fresh in self._matches(pattern, change, text):
                 # Kinds come in order of precedence: no value is replaced twice.
-                taken = [(a, b) for a, b, _ in found if a < end and m.start() < b]
+                first = bisect.bisect_left(found, (m.start(),))
+                first -= first > 0 and found[first - 1][1] > m.start()
+                last = bisect.bisect_left(found, (end,))
+                taken = [(a, b) for a, b, _ in found[first:last]]
                 if taken:
                     if change == self._secret:
-                        found += self._around(m, taken)
+                        for part in self._around(m, taken):
+                            bisect.insort(found, part)
                     continue
                 fresh = fresh or change(m)
                 if fresh is not None:
-                    found.append((m.start(), end, fresh))
+                    found.insert(first, (m.start(), end, fresh))
         if not found:
             return text, 0
         out, at = [], 0
-        for a, b, fresh in sorted(found):
+        for a, b, fresh in found:
             out += (text[at:a], fresh)
             at = b
         return "".join(out) + text[at:], len(found)
 
 
-_MAY_HOLD = re.compile(r"[0-9@]|(?i:passw|pwd|token|secret|key)")
+# What every pattern needs: a digit, an @, the name of a secret, or the beginning of an access key.
+_MAY_HOLD = re.compile(r"[0-9@]|AKIA|ASIA|(?i:passw|pwd|token|secret|key)")
 
 
 def pseudonymize(docs: DataFrame, key: str, *, counted: bool = False, undo: bool = False) -> DataFrame:
@@ -317,7 +341,7 @@ def pseudonymize(docs: DataFrame, key: str, *, counted: bool = False, undo: bool
     Kinds: e-mail addresses (local part), access keys, passwords and tokens after their name,
     IBANs (mod 97), IPv4 addresses, calendar dates from 1900 to 2099, US social security numbers,
     payment cards (Luhn), North American and +country phone numbers. Values of any length are
-    replaced whole, long ones in blocks of ``BLOCK`` characters at most; equal blocks at the same
+    replaced whole (quoted secrets up to the closing quote), long ones in blocks of ``BLOCK`` characters at most; equal blocks at the same
     place of equally long values get equal pseudonyms. A secret that holds an address or access
     key has that replaced as such and the rest around it as a secret. Equal values become equal
     pseudonyms everywhere, whatever separators they are written with; formats, separators and
@@ -329,6 +353,8 @@ def pseudonymize(docs: DataFrame, key: str, *, counted: bool = False, undo: bool
     """
     small_batches(docs.sparkSession)
     at = docs.columns.index("text")
+    if not key:
+        raise ValueError("a key is needed: under a known key anyone can undo the pseudonyms")
     secret = key.encode()
     extra = ", n_replaced long" if counted else ""
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
