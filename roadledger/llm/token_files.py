@@ -31,15 +31,16 @@ def write_tokens(
     pages it needs, and one that selects n_tokens reads no ids.
 
     Null text is empty: its ids are the end id alone. Rows with equal or null doc_id are all
-    kept (null first), equal ones in no fixed order. An empty table gives no rows. Columns other
+    kept (null first), in the order of a hash of their text, then the text; ranges are cut by
+    that hash, too, so that rows without an id spread over many tasks. An empty table gives no rows. Columns other
     than these two are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
     # Ranges are cut on the documents, before any work on their texts.
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-               .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"))
+    ordered = rows.repartitionByRange(n, "doc_id", "_hash").sortWithinPartitions("doc_id", "_hash", "text").drop("_hash")
 
     def encode(batches):
         from pyspark import TaskContext

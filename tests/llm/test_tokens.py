@@ -138,3 +138,14 @@ def test_best_fill_is_the_best_subset():
 def test_checksum_is_of_unsigned_little_endian_ids(spark):
     row = token_files.with_checksum(spark.createDataFrame([(1, [1, 2, 70000])], "doc_id long, ids array<int>")).first()
     assert row["ids_crc32"] == zlib.crc32(np.array([1, 2, 70000], "<u4").tobytes())
+
+
+def test_rows_without_an_id_spread_over_ranges(spark, texts, tmp_path):
+    path, tokenizer = str(tmp_path / "t"), public_tokenizers.path("word_bpe_49k.json")
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"text number {k}") for k in range(3000)]
+    token_files.write_tokens(texts(*rows), path, tokenizer, spaces=False, partitions=10)
+    parts = [r["count"] for r in spark.read.parquet(path).groupBy("part").count().collect()]
+    assert len(parts) == 10 and max(parts) < 600
+    twice = [[(r["doc_id"], r["start"], tuple(r["ids"])) for r in token_files.read_tokens(spark, p).orderBy("start").collect()]
+             for p in (path, path)]
+    assert twice[0] == twice[1] and [r[0] for r in twice[0]] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
