@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadledger.llm import decontaminate, ngram_join, packing, pseudonyms, quality, token_files
+from roadledger.llm import decontaminate, ngram_join, packing, pseudonyms, quality
 from roadledger.llm.common import table, written
 from roadledger.llm.queries import SAMPLE_KEY
 
@@ -39,7 +39,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 2048 tokens."""
-    return token_files.with_checksum(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), checksums=True)
 
 
 STAGES = [
