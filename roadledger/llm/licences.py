@@ -1,126 +1,173 @@
-"""Licence recognition: sentences to identifiers, identifier sequences to licences."""
+"""Licence recognition: sentences to identifiers, identifier sequences to licences.
+
+The published passages are cut by the rule that cuts the documents, so each of their sentences,
+clauses that end with a colon or semicolon included, is an identifier and each passage a rule.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections import Counter
+from functools import cache
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Normalised sentence -> identifier (fixed values: wording of public licences and notices).
-SENTENCES = {
-    "released under the mit license": "mit-ref",
-    "licensed under the mit license": "mit-ref",
-    "this project is licensed under the mit license": "mit-ref",
-    "spdx license identifier mit": "mit-ref",
-    "mit license": "mit-title",
-    "the mit license": "mit-title",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
-    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
-    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
-    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit-liability",
-    "licensed under the apache license version 2 0": "apache2-ref",
-    "released under the apache license version 2 0": "apache2-ref",
-    "licensed under the apache license version 2 0 the license": "apache2-ref",
-    "spdx license identifier apache 2 0": "apache2-ref",
-    "you may not use this file except in compliance with the license": "apache2-compliance",
-    "you may obtain a copy of the license at": "apache2-copy",
-    "apache license": "apache-title",
-    "version 2 0 january 2004": "apache2-date",
-    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
-    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
-    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
-    "licensed under the bsd 3 clause license": "bsd3-ref",
-    "spdx license identifier bsd 3 clause": "bsd3-ref",
-    "licensed under the bsd 2 clause license": "bsd2-ref",
-    "spdx license identifier bsd 2 clause": "bsd2-ref",
-    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
-    "spdx license identifier isc": "isc-ref",
-    "this work is licensed under the gnu general public license version 3": "gpl3-ref",
-    "licensed under the gnu general public license version 3": "gpl3-ref",
-    "spdx license identifier gpl 3 0 only": "gpl3-ref",
-    "this work is licensed under the gnu general public license version 2": "gpl2-ref",
-    "licensed under the gnu general public license version 2": "gpl2-ref",
-    "spdx license identifier gpl 2 0 only": "gpl2-ref",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-later",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-later",
-    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-warranty",
-    "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl2-ref",
-    "spdx license identifier mpl 2 0": "mpl2-ref",
-    "licensed under cc by nc 4 0": "cc-by-nc4-ref",
-    "licensed under cc by 4 0": "cc-by4-ref",
-    "licensed under cc by sa 4 0": "cc-by-sa4-ref",
-    "licensed under cc0 1 0": "cc0-ref",
-    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by4-ref",
-    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "cc-by-nc4-ref",
-}
-
-# Licence and the sentence identifiers that state it, in order. Earlier rules take their
-# sentences first, so the longer texts come before the references they contain.
-RULES = (
-    ("MIT", "mit-title mit-grant mit-notice mit-warranty mit-liability"),
-    ("MIT", "mit-grant mit-notice mit-warranty mit-liability"),
-    ("BSD-3-Clause", "bsd-grant bsd-source bsd-binary bsd-names"),
-    ("BSD-2-Clause", "bsd-grant bsd-source bsd-binary"),
-    ("Apache-2.0", "apache2-ref apache2-compliance apache2-copy"),
-    ("Apache-2.0", "apache-title apache2-date"),
-    ("GPL-3.0-or-later", "gpl3-later gpl-warranty"),
-    ("GPL-3.0-or-later", "gpl3-later"),
-    ("GPL-2.0-or-later", "gpl2-later gpl-warranty"),
-    ("GPL-2.0-or-later", "gpl2-later"),
-    ("ISC", "isc-grant"),
-    ("ISC", "isc-ref"),
-    ("MIT", "mit-grant"),
-    ("MIT", "mit-ref"),
-    ("Apache-2.0", "apache2-ref"),
-    ("BSD-3-Clause", "bsd3-ref"),
-    ("BSD-2-Clause", "bsd2-ref"),
-    ("GPL-3.0-only", "gpl3-ref"),
-    ("GPL-2.0-only", "gpl2-ref"),
-    ("MPL-2.0", "mpl2-ref"),
-    ("CC-BY-NC-4.0", "cc-by-nc4-ref"),
-    ("CC-BY-SA-4.0", "cc-by-sa4-ref"),
-    ("CC-BY-4.0", "cc-by4-ref"),
-    ("CC0-1.0", "cc0-ref"),
-)
-
-# Between sentences: a line feed, or a mark before white space or the end.
-BREAK = r"\n+|[.!?;:]+(?:[ \t\r]+|$)"
-MARK = "\u0001"
-
-
-def sentences(text: Column) -> Column:
-    """Normalised sentences: ASCII letters and digits in lower case with single spaces."""
-    cut = F.regexp_replace(F.lower(text), BREAK, MARK)
-    plain = F.regexp_replace(cut, f"[^a-z0-9{MARK}]+", " ")
-    return F.transform(F.split(plain, MARK), lambda s: F.trim(s))
-
-
-def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    # The set test is a hash lookup; only what it lets pass is looked up in the map.
-    return F.transform(F.filter(sentences(text), lambda s: s.isin(*SENTENCES)), lambda s: F.element_at(known, s))
+from .common import small_batches
+from .licence_texts import NAMES, PASSAGES, REPLACED, STATEMENTS
+
+_PLAIN = bytes.maketrans(b"\1\2", b"  ")
+_LEAD = re.compile(rb"\n[^a-z0-9\n]+")
+_VERSION = re.compile(rb"([^a-z0-9])v\.")
+_LATER = re.compile(rb"([0-9])\+")
+# A whole run of signs that holds an end mark: each run is looked at once.
+_END = re.compile(rb"(?<![^a-z0-9 \t\n\r\f\v])[^a-z0-9 \t\n\r\f\v.!?;:]*+[.!?;:][^a-z0-9 \t\n\r\f\v]*+(?:[ \t\n\r\f\v]|\Z)")
+_BLANK = re.compile(rb"\n\n+")
+_OTHER = re.compile(rb"[^a-z0-9\1\2]+")
+
+
+def units(text: str) -> list[list[bytes]]:
+    """Sentences of a text, each as its lines: ASCII words in lower case with single spaces.
+
+    A sentence ends at ``.``, ``!``, ``?``, ``;`` or ``:``, closing marks after it included,
+    before white space or the end, and at a line without a letter or digit. A line feed alone does
+    not end it. Marks that begin a line (comment signs, bullets) do not count, nor does the point
+    of ``v.`` or the colon after ``identifier``; a plus after a digit reads ``or later``.
+    """
+    low = b"\n" + text.encode("utf-8", "surrogatepass").lower().translate(_PLAIN)
+    low = _LEAD.sub(b"\n", low).replace(b"identifier:", b"identifier ")
+    low = _LATER.sub(rb"\1 or later ", _VERSION.sub(rb"\1v ", low))
+    low = _BLANK.sub(b"\1", _END.sub(b"\1", low)).replace(b"\n", b"\2")
+    found = ([line.strip() for line in unit.split(b"\2")] for unit in _OTHER.sub(b" ", low).split(b"\1"))
+    return [lines for lines in ([x for x in unit if x] for unit in found) if lines]
+
+
+def whole_sentences(text: str) -> list[bytes]:
+    return [b" ".join(lines) for lines in units(text)]
+
+
+class Rules:
+    """Known sentences with their identifiers, and the identifier sequences that state a licence.
+
+    Statements ("Released under the ...", SPDX lines and expressions of two licences) have the
+    identifier ``<licence>-ref``; sentences of passages ``<licence>-<number>``.
+    """
+
+    def __init__(self):
+        self.known: dict[bytes, tuple[str, ...]] = {}
+        self.licence_of: dict[tuple[str, ...], str] = {}
+        spdx = {name: name for name in NAMES} | REPLACED
+        for licence, names in NAMES.items():
+            self.licence_of[f"{licence}-ref",] = licence
+            for name in names:
+                for start in STATEMENTS:
+                    for the in ("", "the "):
+                        self._add(f"{start} {the}{name}", licence)
+        for name, licence in spdx.items():
+            self._add(f"SPDX-License-Identifier: {name}", licence)
+            for other, second in spdx.items():
+                for word in ("OR", "AND"):
+                    self._add(f"SPDX-License-Identifier: {name} {word} {other}", licence, second)
+        counts = Counter()
+        for licence, passage in PASSAGES:
+            sequence = []
+            for s in whole_sentences(passage):
+                if s not in self.known:
+                    counts[licence] += 1
+                    self.known[s] = (f"{licence}-{counts[licence]}",)
+                sequence += self.known[s]
+            self.licence_of.setdefault(tuple(sequence), licence)
+        self.longest = max(map(len, self.licence_of))
+        self.prefixes = {p for s in self.known for p in self._prefixes(s)}
+        self.triggers = self._triggers()
+
+    def _add(self, sentence: str, *licences: str) -> None:
+        self.known.setdefault(whole_sentences(sentence)[0], tuple(f"{x}-ref" for x in licences))
+
+    @staticmethod
+    def _prefixes(sentence: bytes):
+        words = sentence.split()
+        return (b" ".join(words[:k]) for k in range(1, len(words) + 1))
+
+    def _triggers(self) -> list[bytes]:
+        """Words of which each known sentence has one: a text without them has no known sentence."""
+        left = []
+        for s in self.known:
+            words = set(s.split())
+            left.append({w for w in words if len(w) > 6} or {max(words, key=lambda w: (len(w), w))})
+        out = []
+        while left:
+            counts = Counter(w for words in left for w in words)
+            out.append(max(counts, key=lambda w: (counts[w], len(w), w)))
+            left = [words for words in left if out[-1] not in words]
+        return out
+
+    def sentence_ids(self, text: str) -> list[str]:
+        """Identifiers of the known sentences of a text, in order.
+
+        A known sentence is a run of whole lines of one sentence; the longest from the left is
+        taken and its lines are used up. Linear in the text.
+        """
+        low = text.encode("utf-8", "surrogatepass").lower()
+        if not any(w in low for w in self.triggers):
+            return []
+        found = []
+        for lines in units(text):
+            i = 0
+            while i < len(lines):
+                run, j, best = lines[i], i, i
+                ids: tuple[str, ...] = ()
+                while run in self.prefixes:
+                    j += 1
+                    if run in self.known:
+                        ids, best = self.known[run], j
+                    if j == len(lines):
+                        break
+                    run += b" " + lines[j]
+                found += ids
+                i = max(best, i + 1)
+        return found
+
+    def licences(self, ids: list[str]) -> list[str]:
+        """Licences that a sequence of identifiers states: rules in order of length, from the left."""
+        found, i = [], 0
+        while i < len(ids):
+            for n in range(min(self.longest, len(ids) - i), 0, -1):
+                licence = self.licence_of.get(tuple(ids[i:i + n]))
+                if licence:
+                    found.append(licence)
+                    break
+            i += n
+        return found
+
+
+@cache
+def rules() -> Rules:
+    return Rules()
 
 
 def licences(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences, n_licences) of every document.
 
     A rule matches where its identifiers follow one another among the text's known sentences
-    (other sentences may stand between); matched sentences are used up. ``licences`` is sorted,
-    each once, comma-joined; n_licences counts matches. Null and empty texts have none. Row by
-    row without a shuffle; equal rows give equal rows, and no other column is read.
+    (other sentences may stand between); the longest from the left is taken and its sentences are
+    used up. ``licences`` is sorted, each once, comma-joined; n_licences counts matches. Null and
+    empty texts have none. Row by row without a shuffle; equal rows give equal rows, rows without
+    a doc_id stay, an empty table gives no rows, and no other column is read.
     """
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.coalesce(F.array_join(sentence_ids(F.col("text")), " "), F.lit("")).alias("sentence_ids"))
-    left, names, total = F.concat(F.lit(" "), F.replace("sentence_ids", F.lit(" "), F.lit("  ")), F.lit(" ")), [], F.lit(0)
-    for licence, rule in RULES:
-        pattern = " " + rule.replace(" ", "  ") + " "
-        n = F.regexp_count(left, F.lit(pattern))
-        names.append(F.when(n > 0, F.lit(licence)))
-        total = total + n
-        left = F.regexp_replace(left, pattern, "")
-    # Documents without a known sentence, nearly all, do not go through the rules.
-    some = F.col("sentence_ids") != ""
-    listed = F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*names)))), ",")
-    return found.select("doc_id", "sentence_ids", F.when(some, listed).otherwise("").alias("licences"),
-                        F.when(some, total).otherwise(0).cast("long").alias("n_licences"))
+    small_batches(docs.sparkSession)
+    schema = "doc_id long, sentence_ids string, licences string, n_licences long"
+
+    def work(batches):
+        table = rules()
+        for batch in batches:
+            ids = [table.sentence_ids(t) if t else [] for t in batch.column("text").to_pylist()]
+            found = [table.licences(x) for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([" ".join(x) for x in ids], pa.string()),
+                 pa.array([",".join(sorted(set(x))) for x in found], pa.string()),
+                 pa.array([len(x) for x in found], pa.int64())],
+                names=["doc_id", "sentence_ids", "licences", "n_licences"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, schema)

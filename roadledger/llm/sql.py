@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licences import RULES, SENTENCES
+from .licence_texts import NAMES, PASSAGES, REPLACED, STATEMENTS
 
 _BACKSLASHED = r"<\\*\|"
 
@@ -54,38 +54,81 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _licences() -> str:
-    known = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in SENTENCES.items())
-    steps, names, counts, last = [], [], [], "marked"
-    for k, (licence, rule) in enumerate(RULES):
-        pattern = _quoted(" " + rule.replace(" ", "  ") + " ")
-        steps.append(f"r{k} as (select *, len(regexp_extract_all(rest{k}, {pattern})) as n{k}, "
-                     f"replace(rest{k}, {pattern}, '') as rest{k + 1} from {last})")
-        names.append(f"case when n{k} > 0 then {_quoted(licence)} end")
-        counts.append(f"n{k}")
-        last = f"r{k}"
-    return rf"""
-with known(sentence, id) as (values {known}),
-docs as (select doc_id, row_number() over () as d, coalesce(text, '') as text from documents),
-cut as (
-  select d, string_split(regexp_replace(regexp_replace(lower(text), '\n+|[.!?;:]+(?:[ \t\r]+|$)', chr(1), 'g'),
-    '[^a-z0-9\x01]+', ' ', 'g'), chr(1)) as parts from docs),
-sentences as (select d, unnest(parts) as part, unnest(range(len(parts))) as place from cut),
-ids as (
-  select d, string_agg(id, ' ' order by place) as sentence_ids
-  from sentences join known on trim(part) = sentence group by d),
-marked as (
-  select d, sentence_ids, ' ' || replace(sentence_ids, ' ', '  ') || ' ' as rest0 from ids),
-{", ".join(steps)},
-named as (
-  select d, sentence_ids, array_to_string(list_sort(list_distinct([x for x in [{", ".join(names)}]
-    if x is not null])), ',') as licences, {" + ".join(counts)} as n_licences from {last})
-select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(licences, '') as licences,
-  cast(coalesce(n_licences, 0) as bigint) as n_licences
-from docs left join named using (d)"""
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(_quoted(x) if isinstance(x, str) else str(x) for x in row) + ")" for row in rows)
+
 
+_PLAIN = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(1) || chr(2), 'abcdefghijklmnopqrstuvwxyz  ')"
+for _pattern, _by in ((r"'\n[^a-z0-9\n]+'", "chr(10)"), ("'identifier:'", "'identifier '"), (r"'([^a-z0-9])v\.'", r"'\1v '"),
+                      (r"'([0-9])\+'", r"'\1 or later '"),
+                      (r"'[.!?;:][^a-z0-9 \t\n\r\f\v]*([ \t\n\r\f\v]|$)'", "chr(1)"), (r"'\n\n+'", "chr(1)"),
+                      (r"'\n'", "chr(2)"), (r"'[^a-z0-9\x01\x02]+'", "' '")):
+    _PLAIN = f"regexp_replace({_PLAIN}, {_pattern}, {_by}, 'g')"
 
-OP10 = _licences()
+# Only the published wording is the operator's own table; cutting and matching are written out here.
+# Known sentences and rules hardly overlap other than by one holding the other, so what begins
+# within an earlier one, or is the shorter of two that begin together, is not counted.
+OP10 = rf"""
+with names(licence, name) as (values {_values((k, n) for k, ns in NAMES.items() for n in ns)}),
+spdx(name, licence) as (values {_values([*((k, k) for k in NAMES), *REPLACED.items()])}),
+starts(start) as (values {_values((s,) for s in STATEMENTS)}),
+passages(p, licence, text) as (values {_values((k, *x) for k, x in enumerate(PASSAGES))}),
+docs as (select doc_id, row_number() over () as d, coalesce(text, '') as text from documents),
+said as (
+  select licence || '-ref' as ids, start || the || name as text
+  from names, starts, (values (' '), (' the ')) as t(the)
+  union all select licence || '-ref', 'SPDX-License-Identifier: ' || name from spdx
+  union all select a.licence || '-ref ' || b.licence || '-ref', 'SPDX-License-Identifier: ' || a.name || word || b.name
+  from spdx a, spdx b, (values (' OR '), (' AND ')) as t(word)),
+texts as (
+  select 'd' as kind, d as k, text from docs
+  union all select 'p', p, text from passages
+  union all select 's', row_number() over (), text from (select distinct text from said)),
+cut as (select kind, k, string_split({_PLAIN.format("chr(10) || text")}, chr(1)) as parts from texts),
+parts as (select kind, k, unnest(parts) as part, unnest(range(len(parts))) as u from cut),
+units as (
+  select * from (select kind, k, u, [trim(x) for x in string_split(part, chr(2)) if trim(x) <> ''] as lines from parts)
+  where len(lines) > 0),
+spoken as (
+  select distinct ids, array_to_string(lines, ' ') as sentence
+  from (select distinct ids, text from said) join texts t using (text) join units u on u.kind = 's' and t.kind = 's' and u.k = t.k),
+written as (
+  select k as p, u, licence, array_to_string(lines, ' ') as sentence
+  from units join passages on k = p where kind = 'p'),
+numbered as (
+  select licence || '-' || row_number() over (partition by licence order by p, u) as ids, sentence
+  from (select * from written where sentence not in (select sentence from spoken)
+        qualify row_number() over (partition by sentence order by p, u) = 1)),
+known as (select ids, sentence from spoken union all select ids, sentence from numbered),
+words as (select string_split(sentence, ' ') as ws from known),
+prefixes as (select distinct array_to_string(ws[1:n], ' ') as prefix from (select ws, unnest(range(1, len(ws) + 1)) as n from words)),
+firsts as (
+  select * from (select k as d, u, lines, unnest(range(1, len(lines) + 1)) as i from units where kind = 'd')
+  where lines[i] in (select prefix from prefixes)),
+runs as (
+  select d, u, lines, i, unnest(range(i, least(len(lines), i + (select max(len(ws)) from words)) + 1)) as j from firsts),
+matched as (
+  select d, u, i, j, ids from runs join known on array_to_string(lines[i:j], ' ') = sentence),
+kept as (
+  select * from matched m where not exists (
+    select 1 from matched o where o.d = m.d and o.u = m.u
+      and (o.i < m.i and m.i <= o.j or o.i = m.i and o.j > m.j))),
+ids as (select d, string_agg(ids, ' ' order by u, i) as sentence_ids from kept group by d),
+rules as (
+  select sequence, arg_min(licence, p) as licence, len(string_split(sequence, ' ')) as n
+  from (select p, licence, string_agg(ids, ' ' order by u) as sequence from written join known using (sentence) group by p, licence
+        union all select distinct -1, licence, licence || '-ref' from names) group by sequence),
+places as (
+  select d, i, i + n - 1 as j, licence
+  from (select d, string_split(sentence_ids, ' ') as seq, unnest(range(1, len(string_split(sentence_ids, ' ')) + 1)) as i from ids)
+  join rules on array_to_string(seq[i:i + n - 1], ' ') = sequence),
+stated as (
+  select d, string_agg(distinct licence, ',' order by licence) as licences, count(*) as n_licences
+  from places m where not exists (
+    select 1 from places o where o.d = m.d and (o.i < m.i and m.i <= o.j or o.i = m.i and o.j > m.j)) group by d)
+select doc_id, coalesce(sentence_ids, '') as sentence_ids, coalesce(licences, '') as licences,
+  coalesce(n_licences, 0) as n_licences
+from docs left join ids using (d) left join stated using (d)"""
 
 # Texts as hexadecimal digits, two a byte; taken apart in steps, as long strings are slow to cut.
 OP7 = """

@@ -1,4 +1,4 @@
-"""Chat trees, pseudonyms, divergence, quality and licences on small tables."""
+"""Chat trees, pseudonyms, divergence and quality on small tables."""
 
 import datetime
 import itertools
@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadledger.llm import chat_trees, divergence, features, licences, pseudonyms, quality, queries
+from roadledger.llm import chat_trees, divergence, features, pseudonyms, quality, queries
 from roadledger.llm.pseudonyms import Feistel, Pseudonyms, luhn_digit
 
 from .conftest import ODD
@@ -225,16 +225,6 @@ def test_features_of_repeats():
     assert features.class_counts("Aé1 \n".encode()).tolist() == [0, 1, 1, 1, 1, 0, 0, 0, 1, 0]
 
 
-def test_licence_rules_take_the_longest_first(spark, texts):
-    mit = ". ".join(s for s, i in licences.SENTENCES.items() if i in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability"))
-    df = texts((1, "Released under the MIT License."), (2, mit + "."), (3, "x. Licensed under CC BY-NC 4.0.\nReleased under the MIT License"),
-               (4, "released under the mit licence"), *[(10 + i, t) for i, (_, t) in enumerate(ODD)])
-    got = {r["doc_id"]: (r["licences"], r["n_licences"]) for r in licences.licences(df).collect()}
-    assert got[1] == ("MIT", 1) and got[2] == ("MIT", 1) and got[3] == ("CC-BY-NC-4.0,MIT", 2)
-    assert all(v == ("", 0) for k, v in got.items() if k > 3) and len(got) == 4 + len(ODD)
-    assert licences.licences(df.limit(0)).count() == 0
-
-
 def test_secrets_never_share_a_pseudonym_and_come_back():
     hide, show = pseudonyms.Pseudonyms(b"k"), pseudonyms.Pseudonyms(b"k", undo=True)
     letters = "abcdefgz"
