@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession):
+    """Shuffle files of what is written inside are deleted as soon as it is written.
+
+    Nothing reads them again: later steps start from the written table. The session's own
+    setting is put back afterwards.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialized(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to a shared folder and read back.
 
@@ -50,5 +67,6 @@ def materialized(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    with released_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
