@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roadledger.llm import bwt_dedup, decontaminate, ngram_join
 
@@ -215,7 +216,7 @@ def test_repeated_strings_equal_brute_force(spark, texts, monkeypatch):
              *[(600 + i if i else None, t) for i, t in ODD if i != 7], (700, "long " * 3000), (701, "long " * 2999)]
     want = removed(rows)
     names = ("doc_id", "n_bytes", "n_removed", "n_spans")
-    for settings in ({}, {"PIECE": 64, "SHARD": 300, "MERGED": 1000, "SPAN": 32}):
+    for settings in ({}, {"GROUP": 0}, {"PIECE": 64, "SHARD": 300, "MERGED": 1000, "SPAN": 32, "GROUP": 400, "RUN": 7}):
         for name, value in settings.items():
             monkeypatch.setattr(bwt_dedup, name, value)
         got = bwt_dedup.remove_repeats(texts(*rows)).collect()
@@ -223,6 +224,25 @@ def test_repeated_strings_equal_brute_force(spark, texts, monkeypatch):
     assert bwt_dedup.remove_repeats(texts(*rows).limit(0)).count() == 0
 
 
+def test_one_passage_in_many_texts_is_never_one_group(spark, texts, monkeypatch):
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, "".join(rng.choice("ab") for _ in range(60)) + passage + "".join(rng.choice("ab ") for _ in range(60)))
+            for i in rng.sample(range(10_000), 3000)]
+    sizes = []
+    merged = bwt_dedup._merged
+
+    def watched(strings):
+        sizes.append(strings.groupBy("owner", "span").agg(F.sum(F.octet_length("data")).alias("n")).agg(F.max("n")).first()[0])
+        return merged(strings)
+
+    monkeypatch.setattr(bwt_dedup, "_merged", watched)
+    got = bwt_dedup.remove_repeats(texts(*rows)).collect()
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans")
+    assert Counter((*(r[n] for n in names), bytes(r["kept"])) for r in got) == removed(rows)
+    assert sizes[0] is None or sizes[0] <= bwt_dedup.GROUP
+
+
 @pytest.mark.parametrize("alphabet", [b"a", b"ab", b"abc\x00\xff", bytes(range(256))])
 @pytest.mark.parametrize("shard", [1, 150, 10**9])
 def test_merged_transforms_find_all_repeats(monkeypatch, alphabet, shard):
