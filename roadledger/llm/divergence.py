@@ -103,17 +103,23 @@ def distance(counts: str, reference: str):
     return F.when((total > 0) & (norm > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
-def judge(docs: DataFrame, *, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
+def judge(docs: DataFrame, known_references: DataFrame | None = None, *,
+          char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """Base counts, both distances, base_failed and kept for every document.
 
     A text is kept unless it fails the base rules or lies further from its language's
-    reference than a limit. Guards: below ``MIN_CHARS`` code points (``MIN_COMMON_WORDS``
+    reference than a limit. ``known_references``: what :func:`references` gave for a trusted corpus,
+    as a table kept apart; without them all of ``docs`` gives them. Guards: below ``MIN_CHARS`` code points (``MIN_COMMON_WORDS``
     words) the character (word) distance does not judge, and neither does a language
     without reference or word list. Null text fails by its length. An empty table gives no rows.
     """
-    counts = written(document_counts(docs), "histograms")
+    if known_references is None:
+        counts = written(document_counts(docs), "histograms")
+        known_references = references(counts)
+    else:  # one pass, nothing is read twice
+        counts = document_counts(docs)
     # Documents of no language have no reference; the left join leaves their distances null.
-    judged = counts.join(references(counts), "lang", "left")
+    judged = counts.join(known_references.select("lang", "ref_chars", "ref_common"), "lang", "left")
     points = F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x)
     known = F.aggregate("ref_common", F.lit(0.0), lambda a, x: a + x) - F.get("ref_common", F.lit(_PLACES))
     by_chars = F.when(points >= MIN_CHARS, distance("chars", "ref_chars"))

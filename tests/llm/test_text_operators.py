@@ -193,6 +193,77 @@ def test_divergence_drops_junk_and_keeps_prose(spark):
     assert both[both.quality == 0].kept.mean() < 0.6
 
 
+def brute_judgement(rows, references=None):
+    """(doc_id, kept, distances) of each row and the references, by the definitions."""
+    counted = []
+    for i, text, lang in rows:
+        words = (text or "").encode().split()
+        listed = divergence.COMMON_WORDS.get(lang, "").split()
+        common = np.zeros(21)
+        if listed:
+            places = {w: k for k, w in enumerate(listed)}  # a word named twice counts at its last place
+            for w in words:
+                common[places.get(w.lower().strip(b".,").decode(), 20)] += 1
+        chars = np.zeros(10)
+        for c in text or "":
+            groups = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n\r\x0b\x0c", ".,",
+                      "!?;:'\"()-", "#*$%&|<>")
+            chars[next((k for k, g in enumerate(groups) if c in g), 8 if ord(c) > 127 else 9)] += 1
+        n, _, _, _, repeated = base(text)
+        counted.append((i, lang, n, n < 50 or 100 * repeated > 50 * n, chars, common))
+    if references is None:
+        references = {}
+        for lang in {r[1] for r in counted if r[1] is not None}:
+            good = [r for r in counted if r[1] == lang and not r[3]]
+            if good:
+                references[lang] = tuple(np.mean([h / h.sum() if h.sum() else h for h in (r[k] for r in good)], axis=0) for k in (4, 5))
+
+    def apart(h, q):
+        p, q = h / h.sum(), q / q.sum()
+        kl = lambda a, b: sum(x * np.log2(x / y) for x, y in zip(a, b) if x > 0)
+        return np.sqrt(max(0, (kl(p, (p + q) / 2) + kl(q, (p + q) / 2)) / 2))
+
+    out = {}
+    for i, lang, n, failed, chars, common in counted:
+        c = w = None
+        if lang in references:
+            ref_chars, ref_common = references[lang]
+            if chars.sum() >= 200:
+                c = apart(chars, ref_chars)
+            if n >= 200 and ref_common[:20].sum() > 0 and common.sum():
+                w = apart(common, ref_common)
+        out[i] = (not failed and not (c or 0) > divergence.CHAR_LIMIT and not (w or 0) > divergence.WORD_LIMIT, c, w)
+    return out, references
+
+
+def test_verdicts_equal_brute_force(spark, texts):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()]
+    common = divergence.COMMON_WORDS["en"].split()
+    rng = random.Random(8)
+    odd = [" ".join(rng.choice(common) for _ in range(300)), "@" * 500 + " x" * 60, "Words, of the kind. " * 3,
+           " ".join(f"w{rng.randrange(10**6)}" for _ in range(400)), None, ""]
+    rows += [(10**6 + k, t, lang) for k, t in enumerate(odd * 3) for lang in [("en", "xx", None)[k // len(odd)]]]
+    df = texts(*rows)
+    want, references = brute_judgement(rows)
+    assert {v[0] for v in want.values()} == {True, False}
+
+    def same(got, want):
+        assert len(got) == len(want)
+        for r in got:
+            kept, c, w = want[r["doc_id"]]
+            assert r["char_distance"] == (None if c is None else pytest.approx(c, abs=1e-6)), r
+            assert r["word_distance"] == (None if w is None else pytest.approx(w, abs=1e-6)), r
+            assert r["kept"] == kept, r
+
+    same(divergence.judge(df).collect(), want)
+    # References of one corpus judge another one.
+    frozen = divergence.references(divergence.document_counts(df.where("doc_id % 2 = 0")))
+    half, references = brute_judgement([r for r in rows if r[0] % 2 == 0])
+    odd_rows = [r for r in rows if r[0] % 2]
+    same(divergence.judge(df.where("doc_id % 2 = 1"), frozen).collect(), brute_judgement(odd_rows, references)[0])
+
+
 def test_distance_is_jensen_shannon(spark):
     row = spark.createDataFrame([([3, 1, 0], [0.5, 0.25, 0.25])], "c array<long>, r array<double>").select(
         divergence.distance("c", "r").alias("d")).first()
