@@ -15,6 +15,8 @@ from roadledger.llm import decontaminate, ngram_join, packing, pseudonyms, quali
 from roadledger.llm.common import table, written
 from roadledger.llm.queries import SAMPLE_KEY
 
+SECRET = "spark.roadledger.pseudonym.secret"
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -32,8 +34,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by pseudonyms."""
-    hidden = pseudonyms.pseudonymize(docs, SAMPLE_KEY)
+    """All documents, personal data replaced by pseudonyms under the key that the session has in
+    ``SECRET`` (a name that Spark hides in its pages and logs). The key of the sample tables is public: it
+    serves where none is set, for tests and samples only."""
+    hidden = pseudonyms.pseudonymize(docs, spark.conf.get(SECRET, SAMPLE_KEY))
     return hidden.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
 
 
