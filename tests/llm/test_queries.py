@@ -90,3 +90,19 @@ def test_stages_take_odd_rows(spark, texts, k):
         elif k > 1:
             assert got == want
     assert corpus_pipeline.STAGES[k][1](spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_the_session_names_the_key(spark, texts):
+    docs = texts((1, "mail someone@example.org now"))
+
+    def hidden():
+        return corpus_pipeline.STAGES[3][1](spark, docs, FOLDER).first()["text"]
+
+    sample = hidden()
+    spark.conf.set(corpus_pipeline.SECRET, "another key")
+    try:
+        own = hidden()
+    finally:
+        spark.conf.unset(corpus_pipeline.SECRET)
+    assert len({sample, own, "mail someone@example.org now"}) == 3
+    assert hidden() == sample
