@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, components, small_batches, with_row_key, without, written
 
-# Members of a family compared at once, and columns of one fragment of the comparison.
-BLOCK = 512
-COLUMNS = 4096
-# Different words whose hashes a worker keeps.
+# Fragments of the global order, cut at equal shares of all shingles.
+FRAGMENTS = 8
+# Counters of shingles by hash, whatever the size of the corpus: only their logarithms are used,
+# and any counts give right results.
+BUCKET_BITS = 18
+# Candidate pairs for each row of the prefix index up to which all of them are compared at once.
+PAIRS_A_ROW = 2
+# A round that leaves more than this share of the candidate pairs has not helped.
+SLOW = 0.9
+# Different words whose hashes a worker keeps, and shingles it counts at once.
 CACHE_WORDS = 400_000
+COUNTED = 1 << 20
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+# An element is a shingle's commonness (6 bits) and its hash (58 bits).
+_HASH_BITS = 58
 
 
 def _factor(k: int) -> np.uint64:
@@ -39,6 +47,7 @@ class _Hashes(dict):
 
 _hashes = _Hashes()
 
+
 @dataclass(frozen=True)
 class Rule:
     """Words of a shingle, and similarity as a fraction: linked when den * intersection >= num * union."""
@@ -47,40 +56,14 @@ class Rule:
     num: int
     den: int
 
-    @functools.cached_property
-    def bands(self) -> np.ndarray:
-        """Smallest size of each band. Sizes of linked sets are in the same or in the next band; a
-        set also stands in the next one when a partner can."""
-        wide = self.num * 10 >= self.den * 9
-        out = [1]
-        while out[-1] < 1 << 40:
-            low = out[-1]
-            out.append(max(low + 1, low * 3 // 2 if wide else -(-low * self.den // self.num)))
-        return np.array(out, dtype=np.int64)
-
-    @property
-    def least(self) -> int:
-        """A fragment in which a set has fewer elements gives no key: texts that only share a
-        passage could agree in it by chance. Below 0.9 there are more fragments, with fewer each."""
-        return 3 if self.num * 10 >= self.den * 9 else 2
-
-    def differ(self, n: int, partner: int) -> int:
-        """Most elements that only one of two linked sets of these sizes has.
-
-        |A xor B| <= (1 - s) |A or B|, and |A or B| <= (|A| + |B|) / (1 + s).
-        """
-        return (self.den - self.num) * (n + partner) // (self.den + self.num)
-
-    def fragments(self, band: int) -> int:
-        """More than two linked sets of the band can differ in: as many spare ones, which may have
-        fewer than ``least`` elements, as leave most sets enough others."""
-        largest = int(self.bands[band + 1]) - 1
-        differ = self.differ(largest, largest)
-        return differ + 1 + ((-(-differ // 7) if self.least == 3 else -(-differ * 5 // 8)) + 1 if differ else 0)
-
-    def needed(self, n: int) -> int:
-        """Least elements that a set of ``n`` has in common with a linked one."""
-        return -(-n * self.num // self.den)
+    def probed(self, n):
+        """Elements of a set of ``n``, from the first of the global order, that meet the indexed
+        ones of sets not larger: a linked set has at least num / den of the larger one's."""
+        return n - -(-n * self.num // self.den) + 1
+
+    def indexed(self, n):
+        """Elements that sets not smaller can meet: such sets have more in common with it."""
+        return n - -(-2 * n * self.num // (self.den + self.num)) + 1
 
 
 # The rule of op6, and of the pipeline's stage.
@@ -95,7 +78,7 @@ def _scatter(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_set(text: str | None, rule: Rule = CONTRACT) -> np.ndarray:
-    """Sorted 64-bit hashes of the different shingles: the global order is that of the hashes."""
+    """Sorted 64-bit hashes of the different shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -107,33 +90,10 @@ def shingle_set(text: str | None, rule: Rule = CONTRACT) -> np.ndarray:
     return np.unique(total)
 
 
-def fragment_keys(s: np.ndarray, rule: Rule = CONTRACT) -> np.ndarray:
-    """Hashes of the set's share of each fragment of the global order, with band and fragment.
-
-    Linked sets agree wholly in all fragments but those they differ in. As long as one of the two
-    has more fragments with enough elements than its linked sets can differ in, they share a key.
-    A set with fewer adds the band's keys of a prefix filter: its first elements in the global
-    order, one more than a linked set can lack; two such sets share one of those. Where no linked
-    sets can differ at all there are no keys.
-    """
-    n, out = len(s), []
-    if not n:
-        return np.empty(0, np.uint64)
-    band = int(np.searchsorted(rule.bands, n, side="right")) - 1
-    bands = [band] + [band + 1] * (n * rule.den >= int(rule.bands[band + 1]) * rule.num)
-    for b in bands:
-        cuts = rule.fragments(b)
-        if cuts < 2:
-            continue
-        at = ((s >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
-        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums = np.add.reduceat(_scatter(s ^ _MIX[0]), starts)
-        size = np.diff(np.concatenate([starts, [n]])).astype(np.uint64)
-        keys = _scatter(sums + _scatter(at[starts] * _MIX[1] + size * _MIX[2] + np.uint64(b)))[size >= rule.least]
-        out.append(keys)
-        if len(keys) <= rule.differ(n, min(int(rule.bands[b + 1]) - 1, n * rule.den // rule.num)):
-            out.append(_scatter((s[:n - rule.needed(n) + 1] ^ _MIX[2]) + np.uint64(b)))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+def ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """A set's elements in the global order: rare shingles first, by hash among equally rare ones."""
+    common = classes[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+    return np.sort((common << np.uint64(_HASH_BITS)) | (s & np.uint64((1 << _HASH_BITS) - 1)))
 
 
 def node_of(s: np.ndarray) -> int | None:
@@ -143,216 +103,224 @@ def node_of(s: np.ndarray) -> int | None:
     return int(_scatter(np.add.reduce(_scatter(s ^ _MIX[1]), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
-# What a row of the sketch is.
-DOCUMENT, KEY, LINK = 0, 1, 2
-# Keys a task gathers before it links their holders and passes each key on once.
-HELD_KEYS = 1 << 20
-
+def _order(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, pivots): the logarithm of each counter, and where the global order is cut.
 
-def _sketch(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One pass over the texts. DOCUMENT rows: doc_id, n_shingles, node (a hash of the whole set,
-    null for an empty one). KEY rows: a fragment key and a node that has it. LINK rows: two nodes
-    that share a key. A task links the holders of a key among the texts it has at hand and passes
-    on one of them, so a key that very many texts share leaves each task a few times only.
+    Shingles of all documents are counted in 2^18 counters by hash, one partial histogram a task;
+    the driver gets the sums, as many at every size of the corpus. One that very many documents
+    share stands out of its counter's chance content and comes late in the order.
     """
-    names = ["kind", "doc_id", "n_shingles", "node", "other"]
-
-    def rows(kind, *columns):
-        n = max(len(c) for c in columns if c is not None)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, kind, np.int8)),
-            *[pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns]], names=names)
-
-    def passed_on(keys, nodes):
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        order = np.argsort(key, kind="stable")
-        key, node = key[order].view(np.int64), node[order]
-        again = np.flatnonzero(key[1:] == key[:-1]) + 1
-        first = np.ones(len(key), dtype=bool)
-        first[again] = False
-        again = again[node[again] != node[again - 1]]
-        if len(again):
-            pairs = np.unique(np.stack([node[again], node[again - 1]], axis=1), axis=0)
-            yield rows(LINK, None, None, pairs[:, 0], pairs[:, 1])
-        # By node, so that the column of nodes is stored in runs.
-        key, node = key[first], node[first]
-        order = np.argsort(node, kind="stable")
-        yield rows(KEY, None, None, node[order], key[order])
-
-    def measure(batches):
-        keys, nodes, held = [], [], 0
+    def count(batches):
+        n, held, size = np.zeros(1 << BUCKET_BITS, np.int64), [], 0
         for batch in batches:
-            sizes, found = [], []
             for text in batch.column("text").to_pylist():
-                s = shingle_set(text, rule)
-                node, k = node_of(s), fragment_keys(s, rule)
-                sizes.append(len(s))
-                found.append(node)
-                if len(k):
-                    keys.append(k)
-                    nodes.append(np.full(len(k), node, np.int64))
-                    held += len(k)
-            if sizes:
-                yield rows(DOCUMENT, batch.column("doc_id"), sizes, found, None)
-            if held > HELD_KEYS:
-                yield from passed_on(keys, nodes)
-                keys, nodes, held = [], [], 0
+                held.append((shingle_set(text, rule) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+                size += len(held[-1])
+                if size > COUNTED:
+                    n += np.bincount(np.concatenate(held), minlength=len(n))
+                    held, size = [], 0
         if held:
-            yield from passed_on(keys, nodes)
-
-    return docs.mapInArrow(measure, "kind byte, doc_id long, n_shingles long, node long, other long")
+            n += np.bincount(np.concatenate(held), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["bucket", "n"])
+
+    sums = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    bucket, n = sums.column("bucket").to_numpy(), sums.column("n").to_numpy()
+    classes = np.zeros(1 << BUCKET_BITS, np.uint64)
+    classes[bucket] = np.log2(np.maximum(n, 1)).astype(np.uint64)
+    totals = np.bincount(classes[bucket].astype(np.int64), weights=n, minlength=64)
+    ends = np.cumsum(totals)
+    pivots = []
+    for k in range(1, FRAGMENTS):
+        share = ends[-1] * k / FRAGMENTS
+        c = int(np.searchsorted(ends, share, side="right"))
+        inside = (share - (ends[c] - totals[c])) / totals[c] if c < 64 and totals[c] else 0.0
+        pivots.append((min(c, 63) << _HASH_BITS) + int(inside * (1 << _HASH_BITS)))
+    return classes, np.array(pivots, dtype=np.uint64)
 
 
-def _families(sketch: DataFrame) -> DataFrame:
-    """(node, family): different sets joined by a chain of shared fragment keys.
-
-    The holders of a key that different tasks passed on are linked in a chain, one shuffle of
-    narrow rows, nothing collected.
-    """
-    keys = sketch.where(F.col("kind") == KEY).select("node", F.col("other").alias("key"))
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    chained = keys.select("node", before.alias("other")).where("node <> other")
-    links = chained.unionAll(sketch.where(F.col("kind") == LINK).select("node", "other"))
-    found = components(links, "node", "other", "families")
-    return found.select("node", F.col("component").alias("family"))
-
-
-def _bands_of(n, rule: Rule):
-    """The size bands, own and perhaps next, in which a set of ``n`` elements meets its partners."""
-    bounds = F.array(*[F.lit(int(x)) for x in rule.bands])
-    band = F.size(F.filter(bounds, lambda x: x <= n)) - 1
-    reaches = n * rule.den >= F.get(bounds, band + 1) * rule.num
-    return F.when(reaches, F.array(band, band + 1)).otherwise(F.array(band))
+# What a row of the sketch is.
+DOCUMENT, KEY = 0, 1
 
 
-def _units(stands: DataFrame, rule: Rule) -> DataFrame:
-    """(node, units): the comparisons a node takes part in, as (band, x, y).
+def _sketch(docs: DataFrame, rule: Rule, classes: np.ndarray) -> DataFrame:
+    """One pass over the texts. DOCUMENT rows: doc_id, n (elements), node (a hash of the whole set,
+    null for an empty one). KEY rows: one for each element of the node's prefix, with its place. A
+    task passes on the prefix of a set once (of up to ``CACHE_WORDS`` sets it remembers)."""
+    names = ["kind", "doc_id", "n", "node", "key", "pos"]
+    small = classes.astype(np.uint8)
 
-    A family is dealt by size band, and a band with many sets into blocks by hash; each pair of
-    blocks is one comparison, so a large family is spread over tasks and sets of sizes that
-    cannot be linked do not meet.
-    """
-    banded = stands.select("node", "family", F.explode(_bands_of(F.col("n_shingles"), rule)).alias("band"))
-    size = banded.groupBy("family", "band").agg(
-        F.count(F.lit(1)).alias("m"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("m > 1")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
-        F.col("band").alias("band"), F.least(block, other).alias("x"), F.greatest(block, other).alias("y")))
-    return banded.join(size, ["family", "band"]).groupBy("node").agg(
-        F.flatten(F.collect_list(pairs)).alias("units"))
-
-
-def _sets(texts: DataFrame, rule: Rule) -> DataFrame:
-    """(family, band, x, y, node, data): the shingle sets of documents that stand for a node, once
-    for each comparison."""
-    names = ["family", "band", "x", "y", "node", "data"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    def rows(kind, doc, n, node, key, pos):
+        size = len(n)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(size, kind, np.int8)), pa.nulls(size, pa.int64()) if doc is None else doc, pa.array(n, pa.int64()),
+            pa.array(node, pa.int64()), pa.nulls(size, pa.int64()) if key is None else pa.array(key),
+            pa.nulls(size, pa.int32()) if pos is None else pa.array(pos)], names=names)
 
     def measure(batches):
+        known, order = set(), small.astype(np.uint64)
         for batch in batches:
-            out = []
-            for node, family, units, text in zip(*(batch.column(c).to_pylist() for c in ("node", "family", "units", "text"))):
+            sizes, nodes, prefixes = [], [], []
+            for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
                 s = shingle_set(text, rule)
-                if node_of(s) == node:  # a repeated doc_id also brings texts of other sets
-                    out += [(family, u["band"], u["x"], u["y"], node, s.tobytes()) for u in units]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-
-    return texts.select("node", "family", "units", "text").mapInArrow(
-        measure, "family long, band int, x int, y int, node long, data binary")
-
-
-def linked_labels(sets: list[np.ndarray], rule: Rule = CONTRACT) -> np.ndarray:
-    """For each set the smallest index it is linked with through others of the list.
-
-    The global order is cut into fragments of ``COLUMNS`` elements. In each, a product of 0/1
-    matrices counts the overlaps of all pairs at once; the counts of the fragments are summed.
-    """
-    m = len(sets)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner = np.repeat(np.arange(m), sizes)
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = times[column] > 1  # an element of one set overlaps with none
-    rank = np.cumsum(times > 1) - 1
-    owner, column = owner[common], rank[column[common]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    overlap = np.zeros((m, m), dtype=np.float32)
-    n = int(column[-1]) + 1 if len(column) else 0
-    for low in range(0, n, COLUMNS):
-        a, b = np.searchsorted(column, [low, low + COLUMNS])
-        part = np.zeros((m, min(COLUMNS, n - low)), dtype=np.float32)
-        part[owner[a:b], column[a:b] - low] = 1
-        overlap += part @ part.T
-    both = overlap.astype(np.int64)
-    linked = rule.den * both >= rule.num * (sizes[:, None] + sizes[None, :] - both)
-    labels = np.arange(m)
-    while True:
-        lower = np.where(linked, labels[None, :], m).min(axis=1)
-        lower = np.minimum(lower, labels[np.minimum(lower, labels)])
-        if (lower == labels).all():
-            return labels
-        labels = np.minimum(labels, lower)
-
-
-def _links(sets: DataFrame, rule: Rule) -> DataFrame:
-    """(node, other) for linked sets: a few per set, enough to connect them. A task compares one
-    unit after the other, as they come sorted."""
-    unit_of = ("family", "band", "x", "y")
+                node = node_of(s)
+                sizes.append(len(s))
+                nodes.append(node)
+                if node is not None and doc is not None and node not in known:
+                    if len(known) >= CACHE_WORDS:
+                        known.clear()
+                    known.add(node)
+                    prefixes.append((len(s), node, ordered(s, order)[:rule.probed(len(s))]))
+            if sizes:
+                yield rows(DOCUMENT, batch.column("doc_id"), sizes, nodes, None, None)
+            if prefixes:
+                n, node, keys = zip(*prefixes)
+                long = [len(k) for k in keys]
+                yield rows(KEY, None, np.repeat(np.array(n), long), np.repeat(np.array(node), long),
+                           np.concatenate(keys).view(np.int64), np.concatenate([np.arange(m, dtype=np.int32) for m in long]))
 
-    def compare(batches):
-        unit, nodes, sets = None, [], []
+    return docs.mapInArrow(measure, "kind byte, doc_id long, n long, node long, key long, pos int")
 
-        def done():
-            labels = linked_labels(sets, rule) if len(sets) > 1 else []
-            return [(nodes[k], nodes[at]) for k, at in enumerate(labels) if k != at]
 
-        def out(found):
-            a, b = zip(*found)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["node", "other"])
+def _fragments(texts: DataFrame, rule: Rule, classes: np.ndarray, pivots: np.ndarray) -> DataFrame:
+    """(node, fragment, elements): the sets of documents that stand for a node, cut at the pivots."""
+    names = ["node", "fragment", "elements"]
+    small = classes.astype(np.uint8)
 
+    def cut(batches):
+        order = small.astype(np.uint64)
         for batch in batches:
-            found = []
-            for *now, node, data in zip(*(batch.column(c).to_pylist() for c in (*unit_of, "node", "data"))):
-                if now != unit:
-                    found += done()
-                    unit, nodes, sets = now, [], []
-                nodes.append(node)
-                sets.append(np.frombuffer(data, np.uint64))
+            found, part, lists = [], [], []
+            for node, text in zip(*(batch.column(c).to_pylist() for c in ("node", "text"))):
+                s = shingle_set(text, rule)
+                if node_of(s) == node:  # a repeated doc_id also brings texts of other sets
+                    s = ordered(s, order)
+                    for f, piece in enumerate(np.split(s, np.searchsorted(s, pivots))):
+                        if len(piece):
+                            found.append(node)
+                            part.append(f)
+                            lists.append(piece.view(np.int64))
             if found:
-                yield out(found)
-        if last := done():
-            yield out(last)
-
-    return sets.repartition(*unit_of).sortWithinPartitions(*unit_of).mapInArrow(compare, "node long, other long")
+                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), pa.array(part, pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))], names=names)
+
+    return texts.select("node", "text").mapInArrow(cut, "node long, fragment int, elements array<long>").distinct()
+
+
+def _linked(pairs: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, na, b, nb) that are linked: overlaps are counted for each fragment by itself
+    and summed per pair."""
+    left = fragments.select(F.col("node").alias("a"), "fragment", F.col("elements").alias("x"))
+    right = fragments.select(F.col("node").alias("b"), "fragment", F.col("elements").alias("y"))
+    # Sets grow with the corpus: the same merge join at every size, split at run time where hot.
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), ["b", "fragment"])
+    counted = both.select("a", "na", "b", "nb", F.size(F.array_intersect("x", "y")).cast("long").alias("part"))
+    return counted.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("both")).where(
+        F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num).select("a", "b")
+
+
+def _possible(rule: Rule):
+    """For prefix rows ``x`` (not larger) and ``y`` with one key: can the sets be linked? The key is
+    among the indexed elements of x; sizes are near enough; what is left after it suffices."""
+    xn, yn, xp, yp = (F.col(c) for c in ("x.n", "y.n", "x.pos", "y.pos"))
+    most = F.least(xp, yp) + 1 + F.least(xn - xp - 1, yn - yp - 1)
+    return (xn * rule.den >= yn * rule.num) & (xp < xn - F.ceil(2 * xn * rule.num / (rule.den + rule.num)) + 1) & (
+        most * (rule.den + rule.num) >= (xn + yn) * rule.num)
+
+
+def _ordered_pairs(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """(a, na, b, nb), once each, of joined rows x and y that can be linked."""
+    smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+    a, b = F.when(smaller, F.col("x")).otherwise(F.col("y")), F.when(smaller, F.col("y")).otherwise(F.col("x"))
+    return pairs.select(a.alias("x"), b.alias("y")).where(_possible(rule)).select(
+        F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb")).distinct()
+
+
+def _links(held: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame | None:
+    """(node, component) of the nodes that have a linked one.
+
+    held: (key, node, n, pos), the keys that several nodes have. A pair of nodes that are known to be
+    connected is not compared any more. First each node meets one of the holders of its keys, drawn
+    anew in each round, so that a family of near copies is connected by a few pairs a node. When two
+    rounds have not helped or few pairs are left, all pairs of a key that are not connected are compared.
+    """
+    roots, seed, idle, before = None, 0, 0, float("inf")
+    while True:
+        if roots is None:
+            now = held.withColumn("root", F.col("node"))
+        else:
+            now = held.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
+        groups = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+        mixed = written(groups.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m").cast("double") * F.col("m")).alias("within"),
+                                                  F.count(F.lit(1)).alias("roots")).where("roots > 1"), "mixed")
+        rows, pairs = mixed.agg(F.sum("m"), F.sum((F.col("m").cast("double") * F.col("m") - F.col("within")) / 2)).first()
+        if not rows:
+            return roots
+        now = written(now.join(mixed.select("key").hint("merge"), "key"), "held")
+        idle = idle + 1 if pairs > SLOW * before else 0
+        last, before = pairs <= PAIRS_A_ROW * rows or idle == 2, pairs
+        row = F.struct("node", "n", "pos")
+        if last:
+            # Roots of a key are paired first: nodes with one root never meet.
+            known = now.select("key", "root").distinct()
+            two = known.join(known.select("key", F.col("root").alias("other")), "key").where("root < other")
+            left = now.select("key", "root", row.alias("x"))
+            right = now.select("key", F.col("root").alias("other"), row.alias("y"))
+            met = two.join(left, ["key", "root"]).join(right, ["key", "other"])
+        else:
+            drawn = F.struct(F.xxhash64(F.lit(seed), "node").alias("draw"), "node", "n", "pos", "root")
+            hubs = written(now.groupBy("key").agg(F.min(drawn).alias("hub")), "hubs")
+            met = now.join(hubs.hint("merge"), "key").where("root <> hub.root")
+            near = (F.col("n") * rule.den >= F.col("hub.n") * rule.num) & (F.col("hub.n") * rule.den >= F.col("n") * rule.num)
+            # Of its keys' holders a node takes the first drawn: near copies mostly take the same.
+            met = met.where(near).groupBy("node").agg(F.min(F.struct(F.col("hub.draw"), F.col("hub"), row.alias("x"))).alias("t")) \
+                .select("t.x", F.struct("t.hub.node", "t.hub.n", "t.hub.pos").alias("y"))
+        found = written(_linked(written(_ordered_pairs(met, rule), "pairs"), fragments, rule), "links")
+        if found.limit(1).count():
+            # What is known is one edge a node, whatever was compared before.
+            links = found if roots is None else found.unionAll(roots.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            roots = components(links, "a", "b", "links")
+        if last:
+            return roots
+        seed += 1
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document, by shingles and similarity of ``rule``.
 
-    Documents with equal sets are one node from the start, however many copies there are.
-    Fragment keys find the nodes that can be linked at all; sets of chained nodes are compared
-    exactly, partial overlaps counted per fragment of the global order and summed per pair.
+    Documents with equal sets are one node from the start, however many copies there are. The
+    global order puts rare shingles first; sets that can be linked share one of their first elements
+    (prefix), at places that leave enough. Overlaps of such pairs are counted for each fragment of
+    the global order and summed per pair.
     component_id is the smallest doc_id reached. Null, empty or wordless texts have no shingles
     and stay by themselves. Rows with equal doc_id are judged each by its own text. Rows with
     null doc_id belong to the component of an equal set that has an id, else to none (null). An
     empty table gives no rows. Other columns than doc_id and text are not read.
 
-    Sets are compared as 64-bit hashes.
+    Sets are compared as 58-bit hashes of their shingles, of one counter's class.
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(_sketch(source, rule), "sketch")
-    seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", "n_shingles", "node")
-    families = written(_families(sketch), "families")
-    # One document for each node that has company.
-    stands = written(seen.where("doc_id is not null and node is not null").join(families, "node").groupBy(
-        "node", "family", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "stands")
-    # A list of documents grows with the corpus: the same merge join at every size.
-    sets = _sets(source.join(stands.join(_units(stands, rule), "node").hint("merge"), "doc_id"), rule)
-    linked = components(_links(sets, rule), "node", "other", "links").withColumnRenamed("component", "root")
+    classes, pivots = _order(source, rule)
+    sketch = written(_sketch(source, rule, classes), "sketch")
+    seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", F.col("n").alias("n_shingles"), "node")
+    keys = sketch.where(F.col("kind") == KEY).select("key", "node", "n", "pos")
+    several = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
+        "low < high").select("key"), "several")
+    held = written(written(keys.join(several.hint("merge"), "key"), "held").distinct(), "held")
+    # One document for each node that has company. A list of documents grows with the corpus: the
+    # same merge join at every size.
+    stands = seen.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    stands = written(stands.join(held.select("node").distinct().hint("merge"), "node"), "stands")
+    fragments = written(_fragments(source.join(stands.hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
+    linked = _links(held, fragments, rule)
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    if linked is None:
+        rooted = lowest.withColumn("root", F.col("node"))
+    else:
+        rooted = lowest.join(linked, "node", "left").select("node", "low", F.coalesce("component", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     nodes = rooted.join(named, "root").select("node", "component_id")
     return seen.where("node is not null").join(nodes, "node").select("doc_id", "n_shingles", "component_id") \
