@@ -56,6 +56,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialized(df, f"llm-{purpose}")
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes working tables (of ``written``) that no later plan reads."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            folder = files[0].rsplit("/", 1)[0]
+            if not folder.rsplit("/", 1)[1].startswith("llm-"):
+                raise ValueError(f"not a working table: {folder}")
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def offsets(counts: DataFrame, part: str, *values: str) -> DataFrame:
     """Per partition number, the sum of each value over all smaller numbers.
 
@@ -90,8 +102,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", purpose: str = "com
     links = table_of(edges.select(F.col(a).alias("u"), F.col(b).alias("v")))
     while True:
         both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        links = table_of(star(both, True))
-        links = table_of(star(links, False))
+        large = table_of(star(both, True))
+        dropped(links)
+        links = table_of(star(large, False))
+        dropped(large)
         # Edges lead down. If no node both leads and is led to, each component is one star.
         inner = links.join(links.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
         if not inner.limit(1).count():

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, components, small_batches, with_row_key, without, written
+from .common import ROW, components, dropped, small_batches, with_row_key, without, written
 
 # Fragments of the global order, cut at equal shares of all shingles.
 FRAGMENTS = 8
@@ -18,7 +18,7 @@ FRAGMENTS = 8
 # and any counts give right results.
 BUCKET_BITS = 18
 # Candidate pairs for each row of the prefix index up to which all of them are compared at once.
-PAIRS_A_ROW = 2
+PAIRS_A_ROW = 4
 # A round that leaves more than this share of the candidate pairs has not helped.
 SLOW = 0.9
 # Different words whose hashes a worker keeps, and shingles it counts at once.
@@ -57,13 +57,14 @@ class Rule:
     den: int
 
     def probed(self, n):
-        """Elements of a set of ``n``, from the first of the global order, that meet the indexed
-        ones of sets not larger: a linked set has at least num / den of the larger one's."""
+        """Elements of a set's prefix, the first of the global order: a linked set has at least
+        num / den of the larger one's, so the prefixes share one."""
         return n - -(-n * self.num // self.den) + 1
 
-    def indexed(self, n):
-        """Elements that sets not smaller can meet: such sets have more in common with it."""
-        return n - -(-2 * n * self.num // (self.den + self.num)) + 1
+    def shared(self, small, large):
+        """Elements of their prefixes that linked sets of these sizes have in common at least: as
+        many of the larger one come after its prefix as it lacks from ``probed``."""
+        return -(-(small + large) * self.num // (self.den + self.num)) - (large - self.probed(large))
 
 
 # The rule of op6, and of the pipeline's stage.
@@ -206,7 +207,7 @@ def _fragments(texts: DataFrame, rule: Rule, classes: np.ndarray, pivots: np.nda
                     [pa.array(found, pa.int64()), pa.array(part, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))], names=names)
 
-    return texts.select("node", "text").mapInArrow(cut, "node long, fragment int, elements array<long>").distinct()
+    return texts.select("node", "text").mapInArrow(cut, "node long, fragment int, elements array<long>")
 
 
 def _linked(pairs: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame:
@@ -216,51 +217,60 @@ def _linked(pairs: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame:
     right = fragments.select(F.col("node").alias("b"), "fragment", F.col("elements").alias("y"))
     # Sets grow with the corpus: the same merge join at every size, split at run time where hot.
     both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), ["b", "fragment"])
-    counted = both.select("a", "na", "b", "nb", F.size(F.array_intersect("x", "y")).cast("long").alias("part"))
+    # A repeated doc_id may have brought a set twice.
+    counted = both.select("a", "na", "b", "nb", "fragment", F.size(F.array_intersect("x", "y")).cast("long").alias("part")) \
+        .groupBy("a", "na", "b", "nb", "fragment").agg(F.max("part").alias("part"))
     return counted.groupBy("a", "na", "b", "nb").agg(F.sum("part").alias("both")).where(
         F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num).select("a", "b")
 
 
-def _possible(rule: Rule):
-    """For prefix rows ``x`` (not larger) and ``y`` with one key: can the sets be linked? The key is
-    among the indexed elements of x; sizes are near enough; what is left after it suffices."""
-    xn, yn, xp, yp = (F.col(c) for c in ("x.n", "y.n", "x.pos", "y.pos"))
-    most = F.least(xp, yp) + 1 + F.least(xn - xp - 1, yn - yp - 1)
-    return (xn * rule.den >= yn * rule.num) & (xp < xn - F.ceil(2 * xn * rule.num / (rule.den + rule.num)) + 1) & (
-        most * (rule.den + rule.num) >= (xn + yn) * rule.num)
+def _candidates(met: DataFrame, rule: Rule) -> DataFrame:
+    """(a, na, b, nb) with na <= nb, once each, of the pairs that can be linked.
 
-
-def _ordered_pairs(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """(a, na, b, nb), once each, of joined rows x and y that can be linked."""
+    met: rows x and y for each key that two prefixes share. Sizes must be near enough, and places
+    must leave enough after the key. Linked sets share so many of their prefixes' keys that the
+    larger one's rest can make up what is needed.
+    """
     smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
     a, b = F.when(smaller, F.col("x")).otherwise(F.col("y")), F.when(smaller, F.col("y")).otherwise(F.col("x"))
-    return pairs.select(a.alias("x"), b.alias("y")).where(_possible(rule)).select(
-        F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb")).distinct()
+    an, bn, ap, bp = (F.col(c) for c in ("a.n", "b.n", "a.pos", "b.pos"))
+    most = F.least(ap, bp) + 1 + F.least(an - ap - 1, bn - bp - 1)
+    enough = (an * rule.den >= bn * rule.num) & (most * (rule.den + rule.num) >= (an + bn) * rule.num)
+    shared = met.select(a.alias("a"), b.alias("b")).where(enough).groupBy(
+        F.col("a.node").alias("a"), an.alias("na"), F.col("b.node").alias("b"), bn.alias("nb")).agg(F.count(F.lit(1)).alias("c"))
+    # needed(nb) - 1 elements of the larger set come after its prefix.
+    rest = F.ceil(F.col("nb") * rule.num / rule.den) - 1
+    return shared.where((F.col("c") + rest) * (rule.den + rule.num) >= (F.col("na") + F.col("nb")) * rule.num).drop("c")
 
 
-def _links(held: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame | None:
+def _links(held: DataFrame, sets, rule: Rule) -> DataFrame | None:
     """(node, component) of the nodes that have a linked one.
 
-    held: (key, node, n, pos), the keys that several nodes have. A pair of nodes that are known to be
-    connected is not compared any more. First each node meets one of the holders of its keys, drawn
-    anew in each round, so that a family of near copies is connected by a few pairs a node. When two
-    rounds have not helped or few pairs are left, all pairs of a key that are not connected are compared.
+    held: (key, node, n, pos), the keys that several nodes have. sets: gives the fragments of the
+    nodes of pairs. A pair of nodes that are known to be connected is not compared any more. First
+    each node meets one of the holders of its keys, drawn anew in each round, so that a family of near
+    copies is connected by a few pairs a node. When a round has not helped or few pairs are left,
+    all pairs of a key that are not connected are looked at.
     """
-    roots, seed, idle, before = None, 0, 0, float("inf")
+    roots, seed, before = None, 0, float("inf")
+    now = held
     while True:
+        old = now
         if roots is None:
-            now = held.withColumn("root", F.col("node"))
+            now = now.withColumn("root", F.col("node"))
         else:
-            now = held.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
-        groups = now.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-        mixed = written(groups.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m").cast("double") * F.col("m")).alias("within"),
+            now = now.drop("root").join(roots.hint("merge"), "node", "left").withColumn(
+                "root", F.coalesce("component", "node")).drop("component")
+        groups = now.groupBy("key", "root").agg(F.count(F.lit(1)).cast("double").alias("m"))
+        mixed = written(groups.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"),
                                                   F.count(F.lit(1)).alias("roots")).where("roots > 1"), "mixed")
-        rows, pairs = mixed.agg(F.sum("m"), F.sum((F.col("m").cast("double") * F.col("m") - F.col("within")) / 2)).first()
+        rows, pairs = mixed.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()
         if not rows:
+            dropped(old, mixed)
             return roots
         now = written(now.join(mixed.select("key").hint("merge"), "key"), "held")
-        idle = idle + 1 if pairs > SLOW * before else 0
-        last, before = pairs <= PAIRS_A_ROW * rows or idle == 2, pairs
+        dropped(old, mixed)
+        last, before = pairs <= PAIRS_A_ROW * rows or pairs > SLOW * before, pairs
         row = F.struct("node", "n", "pos")
         if last:
             # Roots of a key are paired first: nodes with one root never meet.
@@ -268,21 +278,26 @@ def _links(held: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame | Non
             two = known.join(known.select("key", F.col("root").alias("other")), "key").where("root < other")
             left = now.select("key", "root", row.alias("x"))
             right = now.select("key", F.col("root").alias("other"), row.alias("y"))
-            met = two.join(left, ["key", "root"]).join(right, ["key", "other"])
+            met, spare = two.join(left, ["key", "root"]).join(right, ["key", "other"]), []
         else:
             drawn = F.struct(F.xxhash64(F.lit(seed), "node").alias("draw"), "node", "n", "pos", "root")
             hubs = written(now.groupBy("key").agg(F.min(drawn).alias("hub")), "hubs")
-            met = now.join(hubs.hint("merge"), "key").where("root <> hub.root")
-            near = (F.col("n") * rule.den >= F.col("hub.n") * rule.num) & (F.col("hub.n") * rule.den >= F.col("n") * rule.num)
-            # Of its keys' holders a node takes the first drawn: near copies mostly take the same.
-            met = met.where(near).groupBy("node").agg(F.min(F.struct(F.col("hub.draw"), F.col("hub"), row.alias("x"))).alias("t")) \
-                .select("t.x", F.struct("t.hub.node", "t.hub.n", "t.hub.pos").alias("y"))
-        found = written(_linked(written(_ordered_pairs(met, rule), "pairs"), fragments, rule), "links")
+            met, spare = now.join(hubs.hint("merge"), "key").where("root <> hub.root").select(
+                row.alias("x"), F.struct("hub.node", "hub.n", "hub.pos").alias("y")), [hubs]
+        chosen = written(_candidates(met, rule), "pairs")
+        fragments = sets(chosen)
+        found = written(_linked(chosen, fragments, rule), "links")
+        dropped(chosen, fragments, *spare)
         if found.limit(1).count():
             # What is known is one edge a node, whatever was compared before.
-            links = found if roots is None else found.unionAll(roots.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            roots = components(links, "a", "b", "links")
+            known = found if roots is None else found.unionAll(roots.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            merged = components(known, "a", "b", "links")
+            if roots is not None:
+                dropped(roots)
+            roots = merged
+        dropped(found)
         if last:
+            dropped(now)
             return roots
         seed += 1
 
@@ -309,13 +324,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     keys = sketch.where(F.col("kind") == KEY).select("key", "node", "n", "pos")
     several = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
         "low < high").select("key"), "several")
-    held = written(written(keys.join(several.hint("merge"), "key"), "held").distinct(), "held")
-    # One document for each node that has company. A list of documents grows with the corpus: the
-    # same merge join at every size.
-    stands = seen.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    stands = written(stands.join(held.select("node").distinct().hint("merge"), "node"), "stands")
-    fragments = written(_fragments(source.join(stands.hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
-    linked = _links(held, fragments, rule)
+    again = written(keys.join(several.hint("merge"), "key"), "held")
+    held = written(again.distinct(), "held")
+    dropped(several, again)
+    nodes = seen.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+
+    def sets(pairs: DataFrame) -> DataFrame:
+        # One document for each node. A list of documents grows with the corpus: the same merge
+        # join at every size.
+        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+        stands = written(nodes.join(ends.hint("merge"), "node"), "stands")
+        found = written(_fragments(source.join(stands.hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
+        dropped(stands)
+        return found
+
+    linked = _links(held, sets, rule)
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     if linked is None:
         rooted = lowest.withColumn("root", F.col("node"))

@@ -151,8 +151,8 @@ def test_linked_sets_meet_in_their_prefixes(rule):
             if len(b) and rule.den * both >= rule.num * (len(a) + len(b) - both) and not np.array_equal(a, b):
                 tried += 1
                 x, y = (ngram_join.ordered(s, classes) for s in sorted((a, b), key=len))
-                _, xp, yp = np.intersect1d(x[:rule.indexed(len(x))], y[:rule.probed(len(y))], return_indices=True)
-                assert len(xp), n
+                _, xp, yp = np.intersect1d(x[:rule.probed(len(x))], y[:rule.probed(len(y))], return_indices=True)
+                assert len(xp) >= max(1, rule.shared(len(x), len(y))), n
                 most = np.minimum(xp, yp) + 1 + np.minimum(len(x) - xp - 1, len(y) - yp - 1)
                 assert (most * (rule.den + rule.num) >= (len(x) + len(y)) * rule.num).all()
     assert tried > 100
