@@ -21,6 +21,8 @@ BUCKET_BITS = 18
 PAIRS_A_ROW = 4
 # A round that leaves more than this share of the candidate pairs has not helped.
 SLOW = 0.9
+# Cells of a set's parities, 64 to a number.
+CELLS = 512
 # Different words whose hashes a worker keeps, and shingles it counts at once.
 CACHE_WORDS = 400_000
 COUNTED = 1 << 20
@@ -104,6 +106,13 @@ def node_of(s: np.ndarray) -> int | None:
     return int(_scatter(np.add.reduce(_scatter(s ^ _MIX[1]), keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each cell of hashes whether the set has an odd number there. An element that only one of
+    two sets has changes one cell, so the cells that differ are at most the elements that do."""
+    odd = np.bincount((s % np.uint64(CELLS)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _order(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """(classes, pivots): the logarithm of each counter, and where the global order is cut.
 
@@ -146,41 +155,43 @@ DOCUMENT, KEY = 0, 1
 
 def _sketch(docs: DataFrame, rule: Rule, classes: np.ndarray) -> DataFrame:
     """One pass over the texts. DOCUMENT rows: doc_id, n (elements), node (a hash of the whole set,
-    null for an empty one). KEY rows: one for each element of the node's prefix, with its place. A
+    null for an empty one), parities. KEY rows: one for each element of the node's prefix, with its place. A
     task passes on the prefix of a set once (of up to ``CACHE_WORDS`` sets it remembers)."""
-    names = ["kind", "doc_id", "n", "node", "key", "pos"]
+    names = ["kind", "doc_id", "n", "node", "parity", "key", "pos"]
     small = classes.astype(np.uint8)
 
-    def rows(kind, doc, n, node, key, pos):
+    def rows(kind, doc, n, node, parity, key, pos):
         size = len(n)
         return pa.RecordBatch.from_arrays([
             pa.array(np.full(size, kind, np.int8)), pa.nulls(size, pa.int64()) if doc is None else doc, pa.array(n, pa.int64()),
-            pa.array(node, pa.int64()), pa.nulls(size, pa.int64()) if key is None else pa.array(key),
+            pa.array(node, pa.int64()), pa.array(parity if parity else [None] * size, pa.list_(pa.int64())),
+            pa.nulls(size, pa.int64()) if key is None else pa.array(key),
             pa.nulls(size, pa.int32()) if pos is None else pa.array(pos)], names=names)
 
     def measure(batches):
         known, order = set(), small.astype(np.uint64)
         for batch in batches:
-            sizes, nodes, prefixes = [], [], []
+            sizes, nodes, parity, prefixes = [], [], [], []
             for doc, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
                 s = shingle_set(text, rule)
                 node = node_of(s)
                 sizes.append(len(s))
                 nodes.append(node)
+                parity.append(parities(s))
                 if node is not None and doc is not None and node not in known:
                     if len(known) >= CACHE_WORDS:
                         known.clear()
                     known.add(node)
                     prefixes.append((len(s), node, ordered(s, order)[:rule.probed(len(s))]))
             if sizes:
-                yield rows(DOCUMENT, batch.column("doc_id"), sizes, nodes, None, None)
+                yield rows(DOCUMENT, batch.column("doc_id"), sizes, nodes, parity, None, None)
             if prefixes:
                 n, node, keys = zip(*prefixes)
                 long = [len(k) for k in keys]
-                yield rows(KEY, None, np.repeat(np.array(n), long), np.repeat(np.array(node), long),
+                yield rows(KEY, None, np.repeat(np.array(n), long), np.repeat(np.array(node), long), None,
                            np.concatenate(keys).view(np.int64), np.concatenate([np.arange(m, dtype=np.int32) for m in long]))
 
-    return docs.mapInArrow(measure, "kind byte, doc_id long, n long, node long, key long, pos int")
+    return docs.mapInArrow(measure, "kind byte, doc_id long, n long, node long, parity array<long>, key long, pos int")
 
 
 def _fragments(texts: DataFrame, rule: Rule, classes: np.ndarray, pivots: np.ndarray) -> DataFrame:
@@ -243,10 +254,21 @@ def _candidates(met: DataFrame, rule: Rule) -> DataFrame:
     return shared.where((F.col("c") + rest) * (rule.den + rule.num) >= (F.col("na") + F.col("nb")) * rule.num).drop("c")
 
 
-def _links(held: DataFrame, sets, rule: Rule) -> DataFrame | None:
+def _near_parities(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose parities differ in no more cells than linked sets of their sizes can."""
+    a = nodes.select(F.col("node").alias("a"), F.col("parity").alias("p"))
+    b = nodes.select(F.col("node").alias("b"), F.col("parity").alias("q"))
+    cells = sum((F.bit_count(F.col("p")[k].bitwiseXOR(F.col("q")[k])) for k in range(1, CELLS // 64)),
+                F.bit_count(F.col("p")[0].bitwiseXOR(F.col("q")[0])))
+    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+    return both.where(cells * (rule.den + rule.num) <= (F.col("na") + F.col("nb")) * (rule.den - rule.num)).select(
+        "a", "na", "b", "nb")
+
+
+def _links(held: DataFrame, nodes: DataFrame, sets, rule: Rule) -> DataFrame | None:
     """(node, component) of the nodes that have a linked one.
 
-    held: (key, node, n, pos), the keys that several nodes have. sets: gives the fragments of the
+    held: (key, node, n, pos), the keys that several nodes have. nodes: their parities. sets: gives the fragments of the
     nodes of pairs. A pair of nodes that are known to be connected is not compared any more. First
     each node meets one of the holders of its keys, drawn anew in each round, so that a family of near
     copies is connected by a few pairs a node. When a round has not helped or few pairs are left,
@@ -270,7 +292,7 @@ def _links(held: DataFrame, sets, rule: Rule) -> DataFrame | None:
             return roots
         now = written(now.join(mixed.select("key").hint("merge"), "key"), "held")
         dropped(old, mixed)
-        last, before = pairs <= PAIRS_A_ROW * rows or pairs > SLOW * before, pairs
+        last, before = 0 < seed and pairs <= PAIRS_A_ROW * rows or pairs > SLOW * before, pairs
         row = F.struct("node", "n", "pos")
         if last:
             # Roots of a key are paired first: nodes with one root never meet.
@@ -284,7 +306,7 @@ def _links(held: DataFrame, sets, rule: Rule) -> DataFrame | None:
             hubs = written(now.groupBy("key").agg(F.min(drawn).alias("hub")), "hubs")
             met, spare = now.join(hubs.hint("merge"), "key").where("root <> hub.root").select(
                 row.alias("x"), F.struct("hub.node", "hub.n", "hub.pos").alias("y")), [hubs]
-        chosen = written(_candidates(met, rule), "pairs")
+        chosen = written(_near_parities(_candidates(met, rule), nodes, rule), "pairs")
         fragments = sets(chosen)
         found = written(_linked(chosen, fragments, rule), "links")
         dropped(chosen, fragments, *spare)
@@ -327,18 +349,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     again = written(keys.join(several.hint("merge"), "key"), "held")
     held = written(again.distinct(), "held")
     dropped(several, again)
-    nodes = seen.where("doc_id is not null and node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    nodes = sketch.where(F.col("kind") == DOCUMENT).where("doc_id is not null and node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity"))
+    nodes = written(nodes.join(held.select("node").distinct().hint("merge"), "node"), "nodes")
 
     def sets(pairs: DataFrame) -> DataFrame:
         # One document for each node. A list of documents grows with the corpus: the same merge
         # join at every size.
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        stands = written(nodes.join(ends.hint("merge"), "node"), "stands")
+        stands = written(nodes.select("node", "doc_id").join(ends.hint("merge"), "node"), "stands")
         found = written(_fragments(source.join(stands.hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
         dropped(stands)
         return found
 
-    linked = _links(held, sets, rule)
+    linked = _links(held, nodes, sets, rule)
+    dropped(nodes)
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     if linked is None:
         rooted = lowest.withColumn("root", F.col("node"))

@@ -154,6 +154,8 @@ def test_linked_sets_meet_in_their_prefixes(rule):
                 _, xp, yp = np.intersect1d(x[:rule.probed(len(x))], y[:rule.probed(len(y))], return_indices=True)
                 assert len(xp) >= max(1, rule.shared(len(x), len(y))), n
                 most = np.minimum(xp, yp) + 1 + np.minimum(len(x) - xp - 1, len(y) - yp - 1)
+                differ = sum(int(v).bit_count() for v in (ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64))
+                assert differ <= len(x) + len(y) - 2 * both
                 assert (most * (rule.den + rule.num) >= (len(x) + len(y)) * rule.num).all()
     assert tried > 100
 
