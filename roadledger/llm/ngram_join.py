@@ -342,14 +342,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes, pivots = _order(source, rule)
     sketch = written(_sketch(source, rule, classes), "sketch")
-    seen = sketch.where(F.col("kind") == DOCUMENT).select("doc_id", F.col("n").alias("n_shingles"), "node")
+    measured = written(sketch.where(F.col("kind") == DOCUMENT).select("doc_id", "n", "node", "parity"), "documents")
+    seen = measured.select("doc_id", F.col("n").alias("n_shingles"), "node")
     keys = sketch.where(F.col("kind") == KEY).select("key", "node", "n", "pos")
     several = written(keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(
         "low < high").select("key"), "several")
     again = written(keys.join(several.hint("merge"), "key"), "held")
     held = written(again.distinct(), "held")
-    dropped(several, again)
-    nodes = sketch.where(F.col("kind") == DOCUMENT).where("doc_id is not null and node is not null").groupBy("node").agg(
+    dropped(several, again, sketch)
+    nodes = measured.where("doc_id is not null and node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity"))
     nodes = written(nodes.join(held.select("node").distinct().hint("merge"), "node"), "nodes")
 
