@@ -218,21 +218,19 @@ def faults(rows: DataFrame) -> DataFrame:
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
-    """Rows by conversation and turn (nulls first), ties by role and text; with their partition,
-    block and place."""
+    """Rows by conversation and turn (nulls first), ties by role and text; with their place:
+    numbers that grow, by one inside a partition."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["conv_id", "turn", "role", "text"]
     ranged = rows.repartitionByRange(parts, "conv_id", "turn", F.substring("role", 1, 16), F.substring("text", 1, 64))
     placed = ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    inside = F.col("_at").bitwiseAND((1 << 33) - 1)
-    return written(placed.select("*", F.shiftright("_at", 33).alias("part"),
-                                 F.floor(inside / BLOCK).cast("long").alias("block")), "conversation-order")
+    return written(placed, "conversation-order")
 
 
 _ROLES = {"s": SYSTEM, "u": USER, "a": ASSISTANT}
 _LEGAL = {"su", "ua", "au"}
 _COUNTS = ("n_rows", "blank", "duplicate", "truncated", "illegal", "turns")
-_BLOCKS = ("conv_id long, part long, block long, whole boolean, found array<struct<entry:int,goal:int,cost:long,audit:string>>, "
+_BLOCKS = ("conv_id long, start long, whole boolean, found array<struct<entry:int,goal:int,cost:long,audit:string>>, "
            + ", ".join(f"{c} long" for c in _COUNTS) + ", first string, last string, low long, high long")
 
 
@@ -254,9 +252,14 @@ def _measures(rows: list[tuple]) -> dict:
 
 
 def _blocks(ordered: DataFrame) -> DataFrame:
-    """Each block of each conversation searched: rows of ``_BLOCKS``."""
+    """Each block of each conversation searched: rows of ``_BLOCKS``, named by the place they start at.
+
+    A task may read several files in any order, or a part of one: a conversation goes on or ends
+    only where the next place is there to tell.
+    """
+    size = BLOCK
     names = [c.split()[0] for c in _BLOCKS.split(", ")]
-    types = [pa.int64()] * 3 + [pa.bool_(), pa.list_(pa.struct([
+    types = [pa.int64()] * 2 + [pa.bool_(), pa.list_(pa.struct([
         ("entry", pa.int32()), ("goal", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))
     ] + [pa.int64()] * len(_COUNTS) + [pa.string()] * 2 + [pa.int64()] * 2
 
@@ -264,7 +267,7 @@ def _blocks(ordered: DataFrame) -> DataFrame:
         def result(key, rows, first, last):
             items = [Item(_ROLES.get(initial), fault == "truncated", fault in ("blank", "duplicate"), copies - 1)
                      for _, initial, copies, fault in rows]
-            # Alone in its block, and neither first nor last there: nothing of it elsewhere.
+            # Other conversations right before and after it: nothing of it elsewhere.
             whole = not first and not last
             if whole:
                 cost, audit = search(items, NONE, None)
@@ -278,37 +281,39 @@ def _blocks(ordered: DataFrame) -> DataFrame:
         def out(done):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=names)
 
-        key, rows, done, first = None, [], [], True
+        key, rows, done, first, before = None, [], [], True, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "part", "block", "turn", "initial", "copies", "fault")]
-            for conv, part, block, *row in zip(*columns):
-                if (conv, part, block) != key:
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "_at", "turn", "initial", "copies", "fault")]
+            for conv, at, *row in zip(*columns):
+                follows = before is not None and at == before + 1
+                if not follows or conv != key[0] or at % size == 0:
+                    unsure = not follows or conv == key[0]
                     if rows:
-                        same = conv == key[0]
-                        done.append(result(key, rows, first, same))
-                        first = same
+                        done.append(result(key, rows, first, unsure))
+                    first = unsure
                     if len(done) >= 256:
                         yield out(done)
                         done = []
-                    key, rows = (conv, part, block), []
+                    key, rows = (conv, at), []
+                before = at
                 rows.append(tuple(row))
         if rows:
             done.append(result(key, rows, first, True))
         if done:
             yield out(done)
 
-    narrow = ordered.select("conv_id", "part", "block", "turn", F.substring("role", 1, 1).alias("initial"), "copies", "fault")
+    narrow = ordered.select("conv_id", "_at", "turn", F.substring("role", 1, 1).alias("initial"), "copies", "fault")
     return narrow.mapInArrow(solve, _BLOCKS)
 
 
-_PLAN = ("conv_id long, part long, block long, entry int, piece string, closing boolean, audit string, cost long, "
+_PLAN = ("conv_id long, start long, entry int, piece string, closing boolean, audit string, cost long, "
          "gaps long, n_rows long, blank long, duplicate long, truncated long, illegal long")
 
 
 def _plan(blocks: DataFrame) -> DataFrame:
     """Per block the state before it and its edits; the last one also closes the conversation."""
     names = [c.split()[0] for c in _PLAN.split(", ")]
-    types = [pa.int64()] * 3 + [pa.int32(), pa.string(), pa.bool_(), pa.string()] + [pa.int64()] * 7
+    types = [pa.int64()] * 2 + [pa.int32(), pa.string(), pa.bool_(), pa.string()] + [pa.int64()] * 7
 
     def join(batches):
         def close(held, fold):
@@ -323,7 +328,7 @@ def _plan(blocks: DataFrame) -> DataFrame:
             for k, (b, (state, piece)) in enumerate(zip(held, pieces)):
                 end = k + 1 == len(held)
                 whole = "".join(p for _, p in pieces) + tail if end else None
-                yield (conv, b["part"], b["block"], state, piece + tail if end else piece, end, whole,
+                yield (conv, b["start"], state, piece + tail if end else piece, end, whole,
                        *[x if end else None for x in (cost, gaps, *[sums[c] for c in (
                            "n_rows", "blank", "duplicate", "truncated", "illegal")])])
 
@@ -346,7 +351,7 @@ def _plan(blocks: DataFrame) -> DataFrame:
         if done:
             yield out(done)
 
-    return blocks.repartition("conv_id").sortWithinPartitions("conv_id", "part", "block").mapInArrow(join, _PLAN)
+    return blocks.repartition("conv_id").sortWithinPartitions("conv_id", "start").mapInArrow(join, _PLAN)
 
 
 def _repaired(ordered: DataFrame, plan: DataFrame, digest: bool) -> DataFrame:
@@ -399,11 +404,11 @@ def _repaired(ordered: DataFrame, plan: DataFrame, digest: bool) -> DataFrame:
             types = [pa.int64(), pa.string()] if digest else [pa.int64(), pa.int64(), *[pa.string()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    edits = plan.select("conv_id", "part", "block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("_at"), "entry", "piece",
+    edits = plan.select("conv_id", F.col("start").alias("_at"), F.lit(0).alias("kind"), "entry", "piece",
                         *[F.lit(None).cast("string").alias(c) for c in ("role", "text")], F.lit(0).cast("long").alias("copies"))
-    rows = ordered.select("conv_id", "part", "block", F.lit(1).alias("kind"), "_at", F.lit(None).cast("int").alias("entry"),
+    rows = ordered.select("conv_id", "_at", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("entry"),
                           F.lit(None).cast("string").alias("piece"), "role", "text", "copies")
-    both = edits.unionAll(rows).repartition("conv_id").sortWithinPartitions("conv_id", "part", "block", "kind", "_at")
+    both = edits.unionAll(rows).repartition("conv_id").sortWithinPartitions("conv_id", "_at", "kind")
     return both.mapInArrow(carry_out, schema)
 
 

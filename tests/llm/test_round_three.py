@@ -245,6 +245,27 @@ def test_conversations_are_repaired_across_blocks(spark, monkeypatch, block):
     assert got == repaired_by_hand(rows)
 
 
+@pytest.mark.parametrize("conf", [
+    {"spark.sql.shuffle.partitions": "40"},  # several files to a task
+    {"spark.sql.shuffle.partitions": "2", "parquet.block.size": "512", "spark.sql.files.maxPartitionBytes": "700",
+     "spark.sql.files.openCostInBytes": "1"}])  # a file to several tasks
+def test_conversations_are_repaired_whatever_files_a_task_reads(spark, conf):
+    rng = random.Random(6)
+    rows = [(c, k, rng.choice(["user", "assistant", "assistant", "system"]), f"Turn {k}{rng.choice('..!?,')}")
+            for c in range(60) for k in range(rng.randint(1, 30))]
+    rows += [(70, k, rng.choice(["user", "assistant"]), f"Long talk {k}.") for k in range(400)]
+    frame = talk(spark, rows)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted((tuple(r) for r in repair.repair_report(frame, frame).collect()), key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert got == repaired_by_hand(rows)
+
+
 def test_repaired_rows_alternate(spark):
     rows = [(1, k, role, text) for k, (role, text) in enumerate(
         [("user", "Hi."), ("user", "There?"), ("assistant", "Yes."), ("assistant", "Yes."), ("tool", "x")])]
