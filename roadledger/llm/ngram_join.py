@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,8 @@ BUCKET_BITS = 18
 PAIRS_A_ROW = 4
 # A round that leaves more than this share of the candidate pairs has not helped.
 SLOW = 0.9
+# Nodes of a group that are all compared at once.
+SMALL = 32
 # Cells of a set's parities, 64 to a number.
 CELLS = 512
 # Different words whose hashes a worker keeps, and shingles it counts at once.
@@ -235,81 +238,122 @@ def _linked(pairs: DataFrame, fragments: DataFrame, rule: Rule) -> DataFrame:
         F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num).select("a", "b")
 
 
-def _candidates(met: DataFrame, rule: Rule) -> DataFrame:
+def _grouped(held: DataFrame, rule: Rule) -> DataFrame:
+    """(key, node, n, pos, own, many): the holders of a key by groups of size bands, two bands to a group.
+
+    held: (key, node, n, pos). Sizes that can be linked are in one band or in neighbouring ones, so a node is in
+    the group of its band (own) and in that of the next; two nodes meet in a group that one of them
+    owns. key is a hash of key and group. many: groups of more than ``SMALL`` nodes.
+    """
+    width = math.log(rule.den / rule.num) * 1.0001  # a little wider: logarithms are rounded
+    band = F.floor(F.log("n") / width)
+    placed = held.withColumn("band", band).select(
+        "key", "node", "n", "pos", "band", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("g"))
+    placed = placed.select(F.xxhash64("key", "g").alias("key"), "node", "n", "pos", (F.col("band") == F.col("g")).alias("own"))
+    size = placed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max("own").alias("owned")).where("size > 1 and owned")
+    return placed.join(size.select("key", (F.col("size") > SMALL).alias("many")).hint("merge"), "key")
+
+
+def _alone(fragments: DataFrame) -> DataFrame:
+    """(node, alone): elements that no other node here has."""
+    holders = fragments.select("node", F.explode("elements").alias("e")).groupBy("e").agg(
+        F.min("node").alias("node"), F.max("node").alias("high"))
+    return holders.where("node = high").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _can_link(x: str, y: str, rule: Rule):
+    """Whether two rows (struct columns) of a key can be of linked sets: their sizes are near enough, as many
+    elements as needed are shared with any node, places leave enough after the key, and parities
+    differ in no more cells than linked sets of these sizes can."""
+    n, m, pos = ([F.col(f"{z}.{c}") for z in (x, y)] for c in ("n", "m", "pos"))
+    total = sum(n[1:], n[0])
+    most = F.least(*pos) + 1 + F.least(*[a - p - 1 for a, p in zip(n, pos)])
+    cells = [F.bit_count(F.col(f"{x}.parity")[k].bitwiseXOR(F.col(f"{y}.parity")[k])) for k in range(CELLS // 64)]
+    return ((F.col(f"{x}.own") | F.col(f"{y}.own")) & (F.least(*n) * rule.den >= F.greatest(*n) * rule.num) & (F.least(*m) * (rule.den + rule.num) >= total * rule.num)
+            & (most * (rule.den + rule.num) >= total * rule.num)
+            & (sum(cells[1:], cells[0]) * (rule.den + rule.num) <= total * (rule.den - rule.num)))
+
+
+def _candidates(met: DataFrame, rule: Rule, unseen: DataFrame | None = None) -> DataFrame:
     """(a, na, b, nb) with na <= nb, once each, of the pairs that can be linked.
 
-    met: rows x and y for each key that two prefixes share. Sizes must be near enough, and places
-    must leave enough after the key. Linked sets share so many of their prefixes' keys that the
-    larger one's rest can make up what is needed.
+    met: rows x and y that can be, for each key that two prefixes share. Linked sets share so many
+    of their prefixes' keys that the larger one's rest can make up what is needed. unseen: (node,
+    unseen), a node's keys that met does not have and two nodes may share.
     """
-    smaller = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
-    a, b = F.when(smaller, F.col("x")).otherwise(F.col("y")), F.when(smaller, F.col("y")).otherwise(F.col("x"))
-    an, bn, ap, bp = (F.col(c) for c in ("a.n", "b.n", "a.pos", "b.pos"))
-    most = F.least(ap, bp) + 1 + F.least(an - ap - 1, bn - bp - 1)
-    enough = (an * rule.den >= bn * rule.num) & (most * (rule.den + rule.num) >= (an + bn) * rule.num)
-    shared = met.select(a.alias("a"), b.alias("b")).where(enough).groupBy(
-        F.col("a.node").alias("a"), an.alias("na"), F.col("b.node").alias("b"), bn.alias("nb")).agg(F.count(F.lit(1)).alias("c"))
+    ends = F.struct("x.n", "x.node"), F.struct("y.n", "y.node")
+    shared = met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).groupBy(
+        F.col("a.node").alias("a"), F.col("a.n").alias("na"), F.col("b.node").alias("b"), F.col("b.n").alias("nb")).agg(
+        F.count(F.lit(1)).alias("c"))
+    if unseen is not None:
+        for k in ("a", "b"):
+            shared = shared.join(unseen.select(F.col("node").alias(k), F.col("unseen").alias(f"unseen_{k}")).hint("merge"), k, "left")
+        shared = shared.select("a", "na", "b", "nb", (F.col("c") + F.least(
+            *[F.coalesce(f"unseen_{k}", F.lit(0)) for k in ("a", "b")])).alias("c"))
     # needed(nb) - 1 elements of the larger set come after its prefix.
     rest = F.ceil(F.col("nb") * rule.num / rule.den) - 1
     return shared.where((F.col("c") + rest) * (rule.den + rule.num) >= (F.col("na") + F.col("nb")) * rule.num).drop("c")
 
 
-def _near_parities(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs whose parities differ in no more cells than linked sets of their sizes can."""
-    a = nodes.select(F.col("node").alias("a"), F.col("parity").alias("p"))
-    b = nodes.select(F.col("node").alias("b"), F.col("parity").alias("q"))
-    cells = sum((F.bit_count(F.col("p")[k].bitwiseXOR(F.col("q")[k])) for k in range(1, CELLS // 64)),
-                F.bit_count(F.col("p")[0].bitwiseXOR(F.col("q")[0])))
-    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    return both.where(cells * (rule.den + rule.num) <= (F.col("na") + F.col("nb")) * (rule.den - rule.num)).select(
-        "a", "na", "b", "nb")
+# What is known of a node at a key.
+_AT = ("node", "n", "m", "pos", "own", "parity")
+
+
+def _pairs_of_small(grouped: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs that can be linked and meet in a group of few nodes."""
+    few = grouped.where("not many").join(nodes.select("node", "parity").hint("merge"), "node").withColumn("m", F.col("n"))
+    left, right = (few.select("key", F.struct(*_AT).alias(x)) for x in "xy")
+    met = left.join(right.withColumnRenamed("key", "same").hint("merge"),
+                    (F.col("key") == F.col("same")) & (F.col("x.node") < F.col("y.node")) & _can_link("x", "y", rule))
+    return _candidates(met, rule, grouped.where("many").groupBy("node").agg(F.count(F.lit(1)).alias("unseen")))
 
 
-def _links(held: DataFrame, nodes: DataFrame, sets, rule: Rule) -> DataFrame | None:
-    """(node, component) of the nodes that have a linked one.
+def _links(held: DataFrame, fragments: DataFrame, rule: Rule, roots: DataFrame | None) -> DataFrame | None:
+    """(node, component) of the nodes that have a linked one; roots: what is known of it.
 
-    held: (key, node, n, pos), the keys that several nodes have. nodes: their parities. sets: gives the fragments of the
-    nodes of pairs. A pair of nodes that are known to be connected is not compared any more. First
-    each node meets one of the holders of its keys, drawn anew in each round, so that a family of near
-    copies is connected by a few pairs a node. When a round has not helped or few pairs are left,
-    all pairs of a key that are not connected are looked at.
+    held: (key, node, n, m, pos, own, parity), the groups of many nodes, m elements being shared with any node.
+    fragments: the nodes' sets. A pair of nodes that are known to be connected is not compared any
+    more. First each node meets one of the holders of its keys, the one with most of its elements
+    shared, then one drawn anew in each round, so that a family of near copies is connected by a few
+    pairs a node. When a round has not helped or few pairs are left, all pairs of a key that are not
+    connected are looked at.
     """
-    roots, seed, before = None, 0, float("inf")
-    now = held
+    seed, before, now = 0, float("inf"), held
     while True:
-        old = now
+        old, now = now, now.drop("root", "most")
         if roots is None:
             now = now.withColumn("root", F.col("node"))
         else:
-            now = now.drop("root").join(roots.hint("merge"), "node", "left").withColumn(
+            now = now.join(roots.hint("merge"), "node", "left").withColumn(
                 "root", F.coalesce("component", "node")).drop("component")
         groups = now.groupBy("key", "root").agg(F.count(F.lit(1)).cast("double").alias("m"))
-        mixed = written(groups.groupBy("key").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"),
-                                                  F.count(F.lit(1)).alias("roots")).where("roots > 1"), "mixed")
+        mixed = written(groups.groupBy("key").agg(
+            F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"), F.count(F.lit(1)).alias("roots"),
+            F.max(F.struct("m", "root")).getField("root").alias("most")).where("roots > 1"), "mixed")
         rows, pairs = mixed.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("within")) / 2)).first()
         if not rows:
             dropped(old, mixed)
             return roots
-        now = written(now.join(mixed.select("key").hint("merge"), "key"), "held")
+        now = written(now.join(mixed.select("key", "most").hint("merge"), "key"), "held")
         dropped(old, mixed)
         last, before = 0 < seed and pairs <= PAIRS_A_ROW * rows or pairs > SLOW * before, pairs
-        row = F.struct("node", "n", "pos")
+        row = F.struct(*_AT, "root")
         if last:
-            # Roots of a key are paired first: nodes with one root never meet.
-            known = now.select("key", "root").distinct()
-            two = known.join(known.select("key", F.col("root").alias("other")), "key").where("root < other")
-            left = now.select("key", "root", row.alias("x"))
-            right = now.select("key", F.col("root").alias("other"), row.alias("y"))
-            met, spare = two.join(left, ["key", "root"]).join(right, ["key", "other"]), []
+            # The nodes of a key's most frequent root never meet each other: others meet all.
+            left = now.where("root <> most").select("key", row.alias("x"))
+            right = now.select(F.col("key").alias("same"), row.alias("y"), (F.col("root") == F.col("most")).alias("common"))
+            met, spare = left.join(right, (F.col("key") == F.col("same")) & (F.col("x.root") != F.col("y.root")) & (
+                F.col("common") | (F.col("x.node") < F.col("y.node"))) & _can_link("x", "y", rule)), []
         else:
-            drawn = F.struct(F.xxhash64(F.lit(seed), "node").alias("draw"), "node", "n", "pos", "root")
-            hubs = written(now.groupBy("key").agg(F.min(drawn).alias("hub")), "hubs")
-            met, spare = now.join(hubs.hint("merge"), "key").where("root <> hub.root").select(
-                row.alias("x"), F.struct("hub.node", "hub.n", "hub.pos").alias("y")), [hubs]
-        chosen = written(_near_parities(_candidates(met, rule), nodes, rule), "pairs")
-        fragments = sets(chosen)
+            lonely = (F.col("n") - F.col("m")) / F.col("n") if seed == 0 else F.lit(0.0)
+            drawn = F.struct(lonely.alias("lonely"), F.xxhash64(F.lit(seed), "node").alias("draw"), *_AT, "root")
+            hubs = written(now.groupBy("key").agg(F.min(drawn).alias("y")), "hubs")
+            met, spare = now.select("key", row.alias("x")).join(hubs.hint("merge"), "key").where(
+                (F.col("x.root") != F.col("y.root")) & _can_link("x", "y", rule)).select(
+                "x", F.struct(*[F.col(f"y.{c}").alias(c) for c in _AT]).alias("y")), [hubs]
+        chosen = written(_candidates(met, rule), "pairs")
         found = written(_linked(chosen, fragments, rule), "links")
-        dropped(chosen, fragments, *spare)
+        dropped(chosen, *spare)
         if found.limit(1).count():
             # What is known is one edge a node, whatever was compared before.
             known = found if roots is None else found.unionAll(roots.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -350,21 +394,29 @@ def near_duplicates(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     again = written(keys.join(several.hint("merge"), "key"), "held")
     held = written(again.distinct(), "held")
     dropped(several, again, sketch)
-    nodes = measured.where("doc_id is not null and node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("parity").alias("parity"))
-    nodes = written(nodes.join(held.select("node").distinct().hint("merge"), "node"), "nodes")
-
-    def sets(pairs: DataFrame) -> DataFrame:
-        # One document for each node. A list of documents grows with the corpus: the same merge
-        # join at every size.
-        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        stands = written(nodes.select("node", "doc_id").join(ends.hint("merge"), "node"), "stands")
-        found = written(_fragments(source.join(stands.hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
-        dropped(stands)
-        return found
-
-    linked = _links(held, nodes, sets, rule)
+    grouped = written(_grouped(held, rule), "grouped")
+    dropped(held)
+    # One document for each node.
+    nodes = written(measured.where("doc_id is not null and node is not null").join(
+        grouped.select("node").distinct().hint("merge"), "node").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "nodes")
+    pairs = written(_pairs_of_small(grouped, nodes, rule), "pairs")
+    crowd = written(grouped.where("many").drop("many"), "crowd")
+    dropped(grouped)
+    # Lists of documents grow with the corpus: the same merge join at every size.
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).unionAll(crowd.select("node"))
+    stands = written(nodes.join(ends.distinct().hint("merge"), "node"), "stands")
     dropped(nodes)
+    fragments = written(_fragments(source.join(stands.select("node", "doc_id").hint("merge"), "doc_id"), rule, classes, pivots), "fragments")
+    able = stands.select("node", "n", "parity").join(_alone(fragments).hint("merge"), "node", "left").withColumn(
+        "m", F.col("n") - F.coalesce("alone", F.lit(0))).where(F.col("m") * rule.den >= F.col("n") * rule.num)
+    meeting = written(crowd.join(able.select("node", "m", "parity").hint("merge"), "node"), "held")
+    dropped(crowd, stands)
+    found = written(_linked(pairs, fragments, rule), "links")
+    roots = components(found, "a", "b", "links") if found.limit(1).count() else None
+    dropped(pairs, found)
+    linked = _links(meeting, fragments, rule, roots)
+    dropped(fragments)
     lowest = seen.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     if linked is None:
         rooted = lowest.withColumn("root", F.col("node"))

@@ -196,6 +196,52 @@ def test_near_copies_are_connected_by_few_pairs(spark, texts, compared):
     assert sum(compared) < 10 * 3000
 
 
+@pytest.mark.parametrize("small", [1, 4, 32])
+@pytest.mark.parametrize("changes", [4, 12])
+def test_families_around_the_limit_equal_brute_force(spark, texts, monkeypatch, small, changes):
+    """Members of a family linked to some of it, groups of few and of many nodes, sizes that differ."""
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    rng = random.Random(changes)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}b{k}" for k in range(40 + 60 * family)]
+        for _ in range(40):
+            near = base[:len(base) - rng.choice([0, 0, 1, 3, 8])]
+            for _ in range(rng.randint(0, changes)):
+                near[rng.randrange(len(near))] = rng.choice([f"e{rng.randrange(10**6)}", f"c{rng.randrange(4)}"])
+            rows.append((len(rows), " ".join(near)))
+    sets, low = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if linked(sets[i], sets[j]) and low[i] != low[j]:
+                old, new = max(low[i], low[j]), min(low[i], low[j])
+                low = [new if k == old else k for k in low]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(texts(*rows)).collect()}
+    assert got == dict(enumerate(low))
+
+
+def test_copies_too_far_from_each_other_hardly_meet(spark, texts, monkeypatch):
+    """One text with other changes in each copy: no copy is linked, nearly none is paired."""
+    counts, own = [], ngram_join._candidates
+
+    def counted(met, *rest):
+        counts.append(met.count())
+        return own(met, *rest)
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(200)]
+    rows = []
+    for i in range(1500):
+        near = list(base)
+        for k in rng.sample(range(200), 7):
+            near[k] = f"e{i}x{k}"
+        rows.append((i, " ".join(near)))
+    got = ngram_join.near_duplicates(texts(*rows)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 1500
+    assert sum(counts) < 10 * 1500
+
+
 @pytest.mark.parametrize("rule", [ngram_join.CONTRACT, ngram_join.STAGE])
 def test_unrelated_texts_with_one_notice_do_not_meet(spark, texts, compared, rule):
     rng = random.Random(9)
