@@ -3,6 +3,8 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pytest
@@ -313,6 +315,55 @@ def test_one_passage_in_many_texts_is_never_one_group(spark, texts, monkeypatch)
     assert sizes[0] is None or sizes[0] <= bwt_dedup.GROUP
 
 
+def test_repeats_of_all_texts_are_worked_on_in_turns(spark, texts, monkeypatch):
+    rng = random.Random(6)
+    whole = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(150)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(whole)] + [(100 + i, t[:500] + "#" + t[500:]) for i, t in enumerate(whole)]
+    sizes, tables, merged, written = [], [], bwt_dedup._merged, bwt_dedup.written
+
+    def watched(strings):
+        sizes.append(strings.agg(F.sum(F.octet_length("data"))).first()[0])
+        return merged(strings)
+
+    def kept(df, purpose, *by):
+        tables.append((purpose, written(df, purpose, *by)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(bwt_dedup, "_merged", watched)
+    monkeypatch.setattr(bwt_dedup, "written", kept)
+    got = bwt_dedup.remove_repeats(texts(*rows)).collect()
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans")
+    assert Counter((*(r[n] for n in names), bytes(r["kept"])) for r in got) == removed(rows)
+    assert sum(sizes) > sum(len(t) for t in whole) and max(sizes) < 0.5 * sum(sizes)
+    # Left are what the result is read from, not what repeats.
+    left = {purpose for purpose, df in tables for f in df.inputFiles()[:1] if Path(unquote(urlparse(f).path)).exists()}
+    assert "stretches" in dict(tables) and left <= {"copies", "spans"}
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 10**6])
+def test_packed_anchors_find_their_owners(monkeypatch, at_once):
+    monkeypatch.setattr(bwt_dedup, "PACKED", at_once)
+    rng = random.Random(at_once)
+    rows = {}
+    for _ in range(400):
+        anchor, key = rng.choice([rng.randrange(40), rng.randrange(2**51)]), rng.choice([-2**63, 2**63 - 1, *range(-5, 5)])
+        rows[anchor * 2**11 % 2**51 + rng.choice([0, 3, 2**11 - 1]), key] = rng.choice([0, 7, 2**32 - 1])
+    found = [tuple(np.array(c, np.int64) for c in zip(*[(a, k, s) for (a, k), s in some])) for some in (
+        list(rows.items())[:150], list(rows.items())[150:])]
+    packed = {}
+    for batch in [bwt_dedup._packed(found[:1]), bwt_dedup._packed(found[1:])]:
+        for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
+            packed.setdefault(b, []).append(data)
+    # Of an entry 17 bytes are sent.
+    assert sum(len(x) for some in packed.values() for x in some) == 17 * len(rows)
+    holders = defaultdict(list)
+    for (a, k), s in rows.items():
+        holders[a].append((k, s))
+    want = Counter((k, a, *min(some)) for a, some in holders.items() if len(some) > 1 for k, _ in some)
+    got = Counter(tuple(r.values()) for b, some in packed.items() for batch in bwt_dedup._owners(b, some) for r in batch.to_pylist())
+    assert got == want
+
+
 @pytest.mark.parametrize("alphabet", [b"a", b"ab", b"abc\x00\xff", bytes(range(256))])
 @pytest.mark.parametrize("shard", [1, 150, 10**9])
 def test_merged_transforms_find_all_repeats(monkeypatch, alphabet, shard):
